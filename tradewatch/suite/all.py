@@ -1,3 +1,4 @@
 """Import every query module so the registry is complete."""
 
 from tradewatch.suite import core  # noqa: F401
+from tradewatch.suite import detect  # noqa: F401
