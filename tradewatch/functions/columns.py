@@ -106,3 +106,9 @@ def lin_correlation_id(exchange, symbol, ts_text) -> Column:
 def alert_id(*parts) -> Column:
     """Deterministic alert id: first 32 hex chars of sha256 over the parts."""
     return F.substring(F.sha2(F.concat_ws("|", *[F.coalesce(_c(p).cast("string"), F.lit("")) for p in parts]), 256), 1, 32)
+
+
+def stable_round(c, places: int = 4) -> Column:
+    """Round through DECIMAL(38,10) with HALF_UP: the same digits in any engine
+    even for values that sit on a tie (money sums of short decimals often do)."""
+    return F.round(_c(c).cast("decimal(38,10)"), places).cast("double")

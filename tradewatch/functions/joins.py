@@ -1,0 +1,22 @@
+"""Join helpers: a broadcast only behind a checked size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Largest reference table we broadcast explicitly (rows). Above it the join
+# stays a shuffle join and AQE may still pick a broadcast from runtime sizes.
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def has_at_most(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows. Bounded work: each
+    partition stops after max_rows + 1 rows (LocalLimit), whatever its size."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """``broadcast(df)`` if its row count is proven below ``max_rows``,
+    otherwise ``df`` unchanged (shuffle join)."""
+    return F.broadcast(df) if has_at_most(df, max_rows) else df

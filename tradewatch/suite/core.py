@@ -26,7 +26,7 @@ TRADE_COLS = ["event_id", "exchange", "symbol", "price", "quantity", "quote_volu
 def alert_view(alerts: DataFrame, fields: dict[str, str]) -> DataFrame:
     """Base alert columns with ``details`` fields parsed back into typed
     columns (JSON number text differs between engines; values do not)."""
-    base = [c for c in ALERT_COLUMNS if c != "details"]
+    base = [c for c in ALERT_COLUMNS if c != "details"] + [c for c in alerts.columns if c.startswith("d_")]
     return alerts.select(*base, *[F.get_json_object("details", f"$.{k}").cast(t).alias(f"d_{k.split('.')[-1]}")
                                   for k, t in fields.items()])
 

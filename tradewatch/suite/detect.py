@@ -13,7 +13,8 @@ from tradewatch.operators import spread as S
 from tradewatch.operators import volume as V
 from tradewatch.sources import adapters as A
 from tradewatch.suite.core import ALERT_BASE, alert_view
-from tradewatch.suite.oracle import TRADES_E, alert_id, corr_id, ttl, with_
+from tradewatch.functions.columns import stable_round
+from tradewatch.suite.oracle import TRADES_E, alert_id, sround, ttl, with_
 from tradewatch.suite.registry import PROCESSED_AT, query, sql
 
 CFG = make_config({"volume_anomaly": {"window_seconds": 3600, "rolling_window_seconds": 259200},
@@ -86,13 +87,13 @@ ROLL_COLS = ["window_start", "symbol", "exchange", "n_prev"]
 def q_vol_baseline(spark, sf):
     b = V.vol_baseline(V.vol_aggregate(A.trades_e(spark, sf), VOL_W), VOL_LB, 5)
     # the mean is exact (decimal sum / n); the floating stddev is shown to cents
-    return b.select(*ROLL_COLS, "window_volume", "rolling_mean",
+    return b.select(*ROLL_COLS, "window_volume", stable_round("rolling_mean", 4).alias("rolling_mean"),
                     F.round("rolling_stddev", 2).alias("rolling_stddev"))
 
 
-sql("vol_baseline", with_(TRADES_E) + VOL_SQL + """
+sql("vol_baseline", with_(TRADES_E) + VOL_SQL + f"""
 SELECT window_start, symbol, exchange, n_prev, window_volume,
-  rolling_mean, round(rolling_stddev, 2) AS rolling_stddev FROM vb""")
+  {sround('rolling_mean', 4)} AS rolling_mean, round(rolling_stddev, 2) AS rolling_stddev FROM vb""")
 
 
 @query("vol_zscore")

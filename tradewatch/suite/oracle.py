@@ -102,3 +102,7 @@ def json_lit(obj) -> str:
 
 def with_(*ctes: str) -> str:
     return "WITH " + ",".join(ctes)
+
+
+def sround(x: str, places: int = 4) -> str:
+    return f"CAST(round(CAST({x} AS DECIMAL(38,10)), {places}) AS DOUBLE)"
