@@ -107,8 +107,9 @@ def dex_swaps_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     line of a swap order)."""
     sw = onchain_raw(spark, sf_dir).where(F.col("kind") == "swap")
     li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_extendedprice", "l_returnflag")
-    j = sw.join(li, sw.tx == li.l_orderkey.cast("string"))
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_extendedprice",
+        "l_returnflag")
+    j = sw.join(li, sw.tx.cast("long") == li.l_orderkey)
     pair = F.when(F.col("l_returnflag") == "A", "WBTC-USDC").when(F.col("l_returnflag") == "N", "WETH-USDC") \
         .otherwise("SOL-USDC")
     params = F.to_json(F.struct(
@@ -117,7 +118,9 @@ def dex_swaps_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("l_quantity") * (F.lit(1.0) - F.col("l_discount"))).alias("amount_out"),
         F.col("l_extendedprice").alias("amount_usd"),
     ))
-    return j.select("tx", F.col("l_linenumber").alias("log_index"), "blockchain", "protocol",
+    # (order, line) repeats in lineitem: the leg id adds part and supplier
+    leg = F.concat_ws("-", "l_linenumber", "l_partkey", "l_suppkey")
+    return j.select("tx", F.col("l_linenumber").alias("log_index"), leg.alias("leg_id"), "blockchain", "protocol",
                     F.col("block_timestamp").alias("swap_timestamp"), params.alias("params"))
 
 
@@ -195,3 +198,20 @@ def raw_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     ))
     value = F.when(n % 61 == 0, F.substring(payload, 1, 25)).otherwise(payload)
     return rows.select(F.col("event_id").alias("key"), value.alias("value"))
+
+
+def onchain_eth_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chain A events as JSON: epoch-second block times."""
+    o = onchain_raw(spark, sf_dir).where(F.col("blockchain") == "ethereum")
+    return o.select(F.to_json(F.struct(
+        F.col("tx").alias("hash"), F.col("from_wallet").alias("from"), F.col("to_wallet").alias("to"),
+        "value_usd", "kind", "protocol", F.unix_seconds("block_timestamp").alias("block_time"))).alias("value"))
+
+
+def onchain_sol_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chain B events as JSON with other field names and ISO slot times."""
+    o = onchain_raw(spark, sf_dir).where(F.col("blockchain") == "solana")
+    return o.select(F.to_json(F.struct(
+        F.col("tx").alias("signature"), F.col("from_wallet").alias("signer"), F.col("to_wallet").alias("receiver"),
+        F.col("value_usd").alias("amount_usd"), F.col("kind").alias("type"), F.col("protocol").alias("program"),
+        iso_ms("block_timestamp").alias("slot_time"))).alias("value"))

@@ -3,3 +3,4 @@
 from tradewatch.suite import core  # noqa: F401
 from tradewatch.suite import detect  # noqa: F401
 from tradewatch.suite import identity  # noqa: F401
+from tradewatch.suite import chain  # noqa: F401

@@ -62,7 +62,7 @@ onchain_raw AS (
 
 DEX_SWAPS = ONCHAIN_RAW + """,
 dex_swaps AS (
-  SELECT s.tx, l_linenumber AS log_index, s.blockchain, s.protocol, s.block_timestamp AS swap_timestamp,
+  SELECT s.tx, l_linenumber AS log_index, concat_ws('-', l_linenumber, l_partkey, l_suppkey) AS leg_id, s.blockchain, s.protocol, s.block_timestamp AS swap_timestamp,
     CASE WHEN l_returnflag = 'A' THEN 'WBTC-USDC' WHEN l_returnflag = 'N' THEN 'WETH-USDC' ELSE 'SOL-USDC' END AS pair,
     l_quantity AS amount_in, l_quantity * (1.0 - l_discount) AS amount_out, l_extendedprice AS amount_usd
   FROM onchain_raw s JOIN lineitem ON s.tx = CAST(l_orderkey AS VARCHAR)
