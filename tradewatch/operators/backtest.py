@@ -103,7 +103,7 @@ def bt_complete_alerts(report: DataFrame) -> DataFrame:
                                                           F.avg("hit_rate").alias("mean_hit_rate"))
     g = g.withColumn("severity", F.lit("low")).withColumn("symbol", F.lit(None).cast("string")) \
         .withColumn("detected_at", F.col("backtest_date").cast("timestamp"))
-    msg = F.format_string("Back-test of %s complete: %d alerts", F.col("module_id"), F.col("n_alerts"))
+    msg = F.format_string("Back-test of %s complete: %d alerts", F.col("tested_module"), F.col("n_alerts"))
     return alert_build(g.withColumnRenamed("module_id", "tested_module"), "MOD-011", "backtest_complete", "severity",
                        msg, details_cols=["tested_module", "n_alerts", "mean_hit_rate"],
                        id_cols=["tested_module", "backtest_date"], exchange=None)
@@ -122,7 +122,8 @@ def bt_degradation(reports: DataFrame, drop: float = 0.1) -> DataFrame:
     d = reports.withColumn("trailing_hit_rate", F.avg("hit_rate").over(w))
     d = d.where(F.col("hit_rate") < F.col("trailing_hit_rate") - F.lit(drop))
     d = d.withColumn("severity", F.lit("high")).withColumn("detected_at", F.col("backtest_date").cast("timestamp"))
-    msg = F.format_string("Hit rate of %s on %s fell below its trailing mean", F.col("module_id"), F.col("symbol"))
+    msg = F.format_string("Hit rate of %s on %s fell below its trailing mean", F.col("tested_module"),
+                          F.col("symbol"))
     return alert_build(d.withColumnRenamed("module_id", "tested_module"), "MOD-011", "signal_degradation", "severity",
                        msg, details_cols=["tested_module", "horizon_s", "hit_rate", "trailing_hit_rate"],
                        id_cols=["tested_module", "horizon_s", "backtest_date"], exchange=None)
