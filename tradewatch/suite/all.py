@@ -5,3 +5,4 @@ from tradewatch.suite import detect  # noqa: F401
 from tradewatch.suite import identity  # noqa: F401
 from tradewatch.suite import chain  # noqa: F401
 from tradewatch.suite import forecast  # noqa: F401
+from tradewatch.suite import serve  # noqa: F401
