@@ -42,11 +42,13 @@ def read_trades(spark: SparkSession, path: str, start=None, end=None, symbols=No
 
 
 def stream_trades(spark: SparkSession, fmt: str, options: dict, schema: T.StructType = TRADE_JSON_SCHEMA,
-                  path: str | None = None, value_col: str = "value") -> DataFrame:
+                  path: str | None = None, value_col: str = "value", source_schema=None) -> DataFrame:
     """Streaming unified trades from JSON payloads: any source format whose
     rows carry the payload text (text files here; a broker source by
     ``fmt``/``options``, reading from the oldest or latest offset by option)."""
     reader = spark.readStream.format(fmt).options(**options)
+    if source_schema is not None:
+        reader = reader.schema(source_schema)
     raw = reader.load(path) if path else reader.load()
     if value_col not in raw.columns:
         raw = raw.withColumnRenamed(raw.columns[0], value_col)
