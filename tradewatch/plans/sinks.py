@@ -18,9 +18,10 @@ from pyspark.errors import AnalysisException
 ALERT_PARTITIONS = ("dt", "alert_type")
 
 
-def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
+def read_if_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
+    """The folder as a DataFrame, or None when it does not exist yet."""
     try:
-        return spark.read.parquet(path)
+        return spark.read.format(fmt).load(path)
     except AnalysisException:
         return None
 

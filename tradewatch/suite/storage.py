@@ -68,7 +68,7 @@ WHERE "timestamp" >= TIMESTAMP '2024-01-05' AND "timestamp" < TIMESTAMP '2024-01
 def q_src_agg_trades(spark, sf):
     """A per-pair dump folder (CSV) of venue A trades, loaded per pair."""
     path = fixture_path(spark, sf, "agg_dump")
-    if SK.read_if_exists(spark, path) is None:
+    if SK.read_if_exists(spark, path, "csv") is None:
         t = A.trades_e(spark, sf).where(F.col("event_id").cast("long") % 2 == 0)
         dump = t.select(F.regexp_replace("symbol", "-", "").alias("pair"),
                         F.col("event_id").cast("long").alias("agg_trade_id"), F.col("price").cast("string").alias("price"),

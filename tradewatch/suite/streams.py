@@ -52,7 +52,7 @@ def _run(q):
 @query("src_trades_stream")
 def q_src_trades_stream(spark, sf):
     path = fixture_path(spark, sf, "payloads_text")
-    if read_if_exists(spark, path) is None:
+    if read_if_exists(spark, path, "text") is None:
         N.norm_payload(A.trades_e(spark, sf)).select("payload").write.mode("overwrite").text(path)
     p = TR.stream_trades(spark, "text", {}, TRADE_JSON_SCHEMA, path=path)
     out, ck = fresh(spark, "stream_trades"), fresh(spark, "ck")
