@@ -111,7 +111,10 @@ def dex_price_impact(swaps: DataFrame, bucket_seconds: int = 30 * 86400) -> Data
     protocol) in (time, tx, leg) order (R11). The lag runs per time
     bucket with the previous bucket's last price carried in, so a busy pair
     is spread over many tasks."""
-    d = bucketed_prev(swaps, ["pair", "protocol"], ["swap_timestamp", "tx", "leg_id"], ["effective_price"],
+    # leg ids repeat where lineitem repeats a whole row; the amounts complete
+    # a total order (rows equal in all of these are interchangeable)
+    d = bucketed_prev(swaps, ["pair", "protocol"], ["swap_timestamp", "tx", "leg_id", "amount_usd", "amount_in"],
+                      ["effective_price"],
                       "swap_timestamp", bucket_seconds)
     return d.withColumn("price_impact", (F.col("effective_price") - F.col("prev_effective_price"))
                         / F.col("prev_effective_price"))

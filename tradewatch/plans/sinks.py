@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
+from tradewatch.session import ensure_checkpoint_dir
+
 ALERT_PARTITIONS = ("dt", "alert_type")
 
 
@@ -46,11 +48,15 @@ def sink_upsert(df: DataFrame, path: str, key: str = "alert_id", cols=ALERT_PART
                 ts_col: str = "detected_at") -> None:
     """Conditional put: a key is written at most once. The batch is
     deduplicated on the key, then anti-joined with the existing rows of the
-    partitions the batch touches (partition-pruned read), then appended."""
+    partitions the batch touches (partition-pruned read), then appended.
+    The batch is read twice (touched partitions, rows to write), so it is
+    first checkpointed to the shared checkpoint folder: both reads then see
+    the same rows even for a nondeterministic input or after a lost executor."""
     spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
     if "dt" in cols and "dt" not in df.columns:
         df = with_day(df, ts_col)
-    batch = df.dropDuplicates([key])
+    batch = df.dropDuplicates([key]).checkpoint(eager=True)
     existing = read_if_exists(spark, path)
     if existing is not None:
         # partition values come back typed (a day string is read as a date)

@@ -105,7 +105,7 @@ FROM dex GROUP BY 1, 2, 3, 4""")
 
 IMPACT_SQL = """,
 imp AS (
-  SELECT *, lag(effective_price) OVER (PARTITION BY pair, protocol ORDER BY swap_timestamp, tx, leg_id) AS prev_price
+  SELECT *, lag(effective_price) OVER (PARTITION BY pair, protocol ORDER BY swap_timestamp, tx, leg_id, amount_usd, amount_in) AS prev_price
   FROM dex),
 imp2 AS (SELECT *, (effective_price - prev_price) / prev_price AS price_impact FROM imp)"""
 
