@@ -51,11 +51,17 @@ def bt_forward_return(alerts: DataFrame, prices: DataFrame, horizons=(3600, 1440
     pts = pts.withColumn("t", F.timestamp_micros(F.unix_micros("detected_at") + F.col("horizon_s").cast("long")
                                                  * 1_000_000))
     a = bt_price_asof(pts, prices, "t", bucket_seconds)
-    entry = a.where(F.col("horizon_s") == 0).select("alert_id", F.col("asof_price").alias("entry_price"))
-    ex = a.where(F.col("horizon_s") > 0)
-    j = ex.join(entry, "alert_id", "left")
-    exit_price = F.when(F.col("asof_time") > F.col("detected_at"), F.col("asof_price"))
-    j = j.withColumn("exit_price", exit_price)
+    # entry and exits of an alert in one aggregate (one shuffle on alert_id)
+    keep = ["alert_id", "module_id", "alert_type", "symbol", "detected_at", "direction"]
+    legs = [F.max(F.when(F.col("horizon_s") == 0, F.col("asof_price"))).alias("entry_price")]
+    legs += [F.max(F.when(F.col("horizon_s") == int(h), F.struct(F.lit(int(h)).alias("horizon_s"),
+                                                                  F.col("asof_price").alias("p"),
+                                                                  F.col("asof_time").alias("pt"))))
+             .alias(f"_h{int(h)}") for h in horizons]
+    g = a.groupBy(*keep).agg(*legs)
+    j = g.select(*keep, "entry_price", F.explode(F.array(*[f"_h{int(h)}" for h in horizons])).alias("x"))
+    j = j.select(*keep, "x.horizon_s", "entry_price",
+                 F.when(F.col("x.pt") > F.col("detected_at"), F.col("x.p")).alias("exit_price"))
     ret = F.col("exit_price") / F.col("entry_price") - F.lit(1.0)
     j = j.withColumn("ret", ret).withColumn("signed_return", F.col("direction").cast("double") * F.col("ret"))
     return j.select("alert_id", "module_id", "alert_type", "symbol", "detected_at", "direction", "horizon_s",

@@ -41,7 +41,8 @@ def bucketed_prev(df: DataFrame, keys, order_cols, value_cols, ts_col: str, buck
     """``prefix + v`` = value of the previous row of the same key in
     ``order_cols`` order (``lag(v)`` over keys). Rows are windowed per
     (key, time bucket); the first row of a bucket takes the last row of the
-    nearest earlier non-empty bucket, found on the small per-bucket table."""
+    nearest earlier non-empty bucket. The bucket edges come from the windowed
+    frame itself (one row per bucket), so the input is shuffled once."""
     keys, order_cols, value_cols = list(keys), list(order_cols), list(value_cols)
     bcol = F.floor(_seconds(ts_col) / F.lit(bucket_seconds)).cast("long")
     d = df.withColumn("_tb", bcol)
@@ -49,38 +50,40 @@ def bucketed_prev(df: DataFrame, keys, order_cols, value_cols, ts_col: str, buck
     for v in value_cols:
         d = d.withColumn(prefix + v, F.lag(v).over(w))
     d = d.withColumn("_first", F.row_number().over(w) == 1)
-    order_struct = F.struct(*order_cols)
-    last = d.groupBy(*keys, "_tb").agg(*[F.max_by(v, order_struct).alias("_last_" + v) for v in value_cols])
+    for v in value_cols:
+        d = d.withColumn("_last_" + v, F.last(v).over(w.rowsBetween(Window.unboundedPreceding,
+                                                                      Window.unboundedFollowing)))
+    edges = d.where("_first").select(*keys, "_tb", *["_last_" + v for v in value_cols])
     wb = Window.partitionBy(*keys).orderBy("_tb")
-    carry = last.select(*keys, "_tb", *[F.lag("_last_" + v).over(wb).alias("_carry_" + v) for v in value_cols])
+    carry = edges.select(*keys, "_tb", *[F.lag("_last_" + v).over(wb).alias("_carry_" + v) for v in value_cols])
     j = d.join(carry, [*keys, "_tb"], "left")
     for v in value_cols:
         j = j.withColumn(prefix + v, F.when(F.col("_first"), F.col("_carry_" + v)).otherwise(F.col(prefix + v)))
-    return j.drop("_tb", "_first", *["_carry_" + v for v in value_cols])
+    return j.drop("_tb", "_first", *["_carry_" + v for v in value_cols], *["_last_" + v for v in value_cols])
 
 
 def bucketed_last(df: DataFrame, keys, order_cols, value_col: str, ts_col: str, bucket_seconds: int,
                   out_col: str) -> DataFrame:
     """``out_col`` = last non-null ``value_col`` at or before each row of the
     same key (``last(v, ignorenulls)`` over an unbounded-preceding frame),
-    computed per (key, bucket) plus a carry of each bucket's last value."""
+    computed per (key, bucket); rows of a bucket before its first value take
+    the last value of the nearest earlier bucket that has one. The per-bucket
+    edge rows come from the windowed frame itself, so the input is shuffled
+    once; the carry runs on one row per bucket (time span / bucket per key)."""
     keys, order_cols = list(keys), list(order_cols)
     bcol = F.floor(_seconds(ts_col) / F.lit(bucket_seconds)).cast("long")
     d = df.withColumn("_tb", bcol)
-    w = Window.partitionBy(*keys, "_tb").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
-    d = d.withColumn(out_col, F.last(value_col, ignorenulls=True).over(w))
-    order_struct = F.struct(*order_cols)
-    last = (d.where(F.col(value_col).isNotNull()).groupBy(*keys, "_tb")
-            .agg(F.max_by(value_col, order_struct).alias("_lastv")))
-    # each bucket inherits the last value of the nearest earlier bucket that
-    # has one; the per-bucket table is small (time span / bucket per key)
-    present = d.select(*keys, "_tb").distinct()
-    allb = present.join(last, [*keys, "_tb"], "full").select(*keys, "_tb", "_lastv")
+    w = Window.partitionBy(*keys, "_tb").orderBy(*order_cols)
+    d = d.withColumn(out_col, F.last(value_col, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    d = d.withColumn("_blast", F.last(value_col, ignorenulls=True).over(
+        w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+    d = d.withColumn("_first", F.row_number().over(w) == 1)
+    edges = d.where("_first").select(*keys, "_tb", "_blast")
     wf = Window.partitionBy(*keys).orderBy("_tb").rowsBetween(Window.unboundedPreceding, -1)
-    fill = allb.select(*keys, "_tb", F.last("_lastv", ignorenulls=True).over(wf).alias("_carry"))
+    fill = edges.select(*keys, "_tb", F.last("_blast", ignorenulls=True).over(wf).alias("_carry"))
     out = d.join(fill, [*keys, "_tb"], "left")
     out = out.withColumn(out_col, F.coalesce(F.col(out_col), F.col("_carry")))
-    return out.drop("_tb", "_carry")
+    return out.drop("_tb", "_carry", "_blast", "_first")
 
 
 def max_drawdown(df: DataFrame, keys, order_cols, value_col: str, ts_col: str, bucket_seconds: int,

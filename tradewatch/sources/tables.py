@@ -10,18 +10,21 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
-def spread_input(df: DataFrame) -> DataFrame:
+def spread_input(df: DataFrame, key: str | None = None) -> DataFrame:
     """Give an under-split scan the cluster's parallelism.
 
     A table stored as one file with one row group is read by one task, and
     every row-level step before the first shuffle (JSON, hashing, casts) then
     runs on one core. When a scan has fewer splits than the default
-    parallelism, rows are dealt round-robin to that many partitions; filters
-    and column pruning still run below the exchange, in the scan. Inputs that
-    are already split (any real table at scale) are left as they are."""
+    parallelism, rows are hash-partitioned on the table's key (its first
+    column by default) into that many partitions. Hashing a key is
+    deterministic on retry without the full sort a round-robin repartition
+    needs; filters and column pruning still run below the exchange, in the
+    scan. Inputs that are already split (any real table at scale) are left as
+    they are."""
     target = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
+        return df.repartition(target, key or df.columns[0])
     return df
 
 
