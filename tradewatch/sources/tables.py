@@ -20,10 +20,14 @@ def spread_input(df: DataFrame, key: str | None = None) -> DataFrame:
     column by default) into that many partitions. Hashing a key is
     deterministic on retry without the full sort a round-robin repartition
     needs; filters and column pruning still run below the exchange, in the
-    scan. Inputs that are already split (any real table at scale) are left as
-    they are."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    scan. The partition count is the shuffle partition count, so a later
+    join or aggregate on the same key reuses this partitioning instead of
+    shuffling again (lineitem and orders meet on the order key this way).
+    Inputs that are already split (any real table at scale) are left as they
+    are."""
+    spark = df.sparkSession
+    target = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    if df.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism:
         return df.repartition(target, key or df.columns[0])
     return df
 
