@@ -88,3 +88,17 @@ def test_halo_baseline_equals_range_window(spark):
             assert m == pytest.approx(r.m) and (s == pytest.approx(r.s) if r.s is not None else s is None)
         else:
             assert m is None
+
+
+@pytest.mark.parametrize("seed", [12, 13])
+def test_running_mean_before_equals_range_frame(spark, seed):
+    rnd = random.Random(seed)
+    rows = [(rnd.choice("xy"), i * 3600 + rnd.randint(0, 3000), None if rnd.random() < 0.3 else float(rnd.randint(0, 1)))
+            for i in range(500)]
+    df = spark.createDataFrame(rows, "k string, t long, v double")
+    w = Window.partitionBy("k").orderBy("t").rangeBetween(Window.unboundedPreceding, -7200)
+    want = {(r.k, r.t): r.a for r in df.select("k", "t", F.avg("v").over(w).alias("a")).collect()}
+    got = {(r.k, r.t): r.a for r in WH.running_mean_before(df, ["k"], "t", "v", 7200, 5 * 86400, "a").collect()}
+    assert got.keys() == want.keys()
+    for key, val in want.items():
+        assert (got[key] is None and val is None) or got[key] == pytest.approx(val)

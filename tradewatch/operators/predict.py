@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tradewatch.operators.alerts import alert_build, alert_union
 from tradewatch.operators.backtest import bt_price_asof
+from tradewatch.operators.windows import running_mean_before
 
 # Our coefficients per horizon (the reference gives none, R10):
 # intercept, consensus/100, alpha percentile, volume, flow, past accuracy.
@@ -54,16 +55,27 @@ def pred_outcomes(features: DataFrame, prices: DataFrame, horizon_s: int, move_p
     return g.select("window_start", "symbol", F.when(F.col("time_h") > F.col("t0"), moved).alias("moved"))
 
 
-def pred_accuracy(features: DataFrame, outcomes: DataFrame, horizon_s: int, width_s: int) -> DataFrame:
+def pred_accuracy(features: DataFrame, outcomes: DataFrame, horizon_s: int, width_s: int,
+                  bucket_seconds: int | None = None) -> DataFrame:
     """Hit rate of past grid rows in the same feature buckets (consensus
     score in fifths, flow ratio in fifths) whose outcome was known before the
-    current window started: outcome time = start + width + horizon <= now."""
+    current window started: outcome time = start + width + horizon <= now.
+
+    Grid rows grow with time span x symbols / width, not with trade volume,
+    so one range frame per feature bucket is the default. For very long or
+    wide grids pass ``bucket_seconds``: the frame then runs per (feature
+    bucket, time slice) with prefix totals carried across slices
+    (windows.running_mean_before), the same numbers without a task per bucket."""
     d = features.join(outcomes, ["window_start", "symbol"], "left")
     d = d.withColumn("score_bucket", F.floor(F.col("consensus_score") / 20).cast("int")) \
          .withColumn("flow_bucket", F.floor(F.coalesce("flow_ratio_filled", F.lit(0.5)) * 5).cast("int")) \
          .withColumn("_t", F.unix_seconds("window_start"))
-    w = Window.partitionBy("score_bucket", "flow_bucket").orderBy("_t") \
-        .rangeBetween(Window.unboundedPreceding, -(width_s + horizon_s))
+    lag = width_s + horizon_s
+    if bucket_seconds:
+        out = running_mean_before(d.withColumn("_moved", F.col("moved").cast("double")),
+                                  ["score_bucket", "flow_bucket"], "_t", "_moved", lag, bucket_seconds, "accuracy")
+        return out.drop("_t", "_moved")
+    w = Window.partitionBy("score_bucket", "flow_bucket").orderBy("_t").rangeBetween(Window.unboundedPreceding, -lag)
     return d.withColumn("accuracy", F.avg(F.col("moved").cast("double")).over(w)).drop("_t")
 
 

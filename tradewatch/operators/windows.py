@@ -143,3 +143,41 @@ def distributed_percent_rank(df: DataFrame, group_cols, value_col: str, out_col:
         F.when(F.col("_n") > 1, (F.col("_offset") + F.col("_below_local")) / (F.col("_n") - 1))
         .otherwise(F.lit(0.0)).alias(out_col))
     return df.join(ranks, [*g, value_col], "left")
+
+
+def running_mean_before(df: DataFrame, keys, t_seconds: str, value_col: str, lag: int, bucket_seconds: int,
+                        out_col: str) -> DataFrame:
+    """``out_col`` = mean of non-null ``value_col`` over rows of the same key
+    whose time is at most (own time - ``lag``): the unbounded range frame
+    ``avg(v) over (partition by keys order by t range between unbounded
+    preceding and lag preceding)`` without a task per key.
+
+    Values and lookups (at t - lag) are unioned and bucketed by time; running
+    sums run per (key, bucket); bucket totals are prefixed over the small
+    per-bucket table and added back."""
+    keys = list(keys)
+    cols = df.columns
+    v = F.col(value_col).cast("double")
+    row_t = df.select(F.struct(*cols)).schema[0].dataType
+    # one pass: every row yields its value (kind 0) and its lookup (kind 1)
+    both = df.select(*keys, F.explode(F.array(
+        F.struct(F.col(t_seconds).cast("long").alias("_t"), F.lit(0).alias("_kind"), v.alias("_v"),
+                 F.lit(None).cast(row_t).alias("_row")),
+        F.struct((F.col(t_seconds) - F.lit(lag)).cast("long").alias("_t"), F.lit(1).alias("_kind"),
+                 F.lit(None).cast("double").alias("_v"), F.struct(*cols).alias("_row")))).alias("_x"))
+    both = both.select(*keys, "_x.*").where((F.col("_kind") == 1) | F.col("_v").isNotNull())
+    u = both.withColumn("_tb", F.floor(F.col("_t") / F.lit(bucket_seconds)).cast("long"))
+    w = Window.partitionBy(*keys, "_tb").orderBy("_t", "_kind")
+    run = w.rowsBetween(Window.unboundedPreceding, 0)
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    u = u.select("*", F.sum("_v").over(run).alias("_rs"), F.count("_v").over(run).alias("_rc"),
+                 F.sum("_v").over(whole).alias("_ts"), F.count("_v").over(whole).alias("_tc"),
+                 (F.row_number().over(w) == 1).alias("_first"))
+    edges = u.where("_first").select(*keys, "_tb", F.coalesce("_ts", F.lit(0.0)).alias("_ts"), "_tc")
+    before = Window.partitionBy(*keys).orderBy("_tb").rowsBetween(Window.unboundedPreceding, -1)
+    pre = edges.select(*keys, "_tb", F.coalesce(F.sum("_ts").over(before), F.lit(0.0)).alias("_ps"),
+                       F.coalesce(F.sum("_tc").over(before), F.lit(0)).alias("_pc"))
+    q = u.where(F.col("_kind") == 1).join(pre, [*keys, "_tb"], "left")
+    s = F.coalesce("_rs", F.lit(0.0)) + F.col("_ps")
+    c = F.col("_rc") + F.col("_pc")
+    return q.select("_row.*", F.when(c > 0, s / c).alias(out_col))
