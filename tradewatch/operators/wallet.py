@@ -94,8 +94,8 @@ def wallet_high_alpha(scores: DataFrame, pct: float = 0.95, high_pct: float = 0.
     th = scores.where(F.col("alpha").isNotNull()).groupBy("scored_at").agg(
         F.percentile_approx("alpha", [pct, high_pct], accuracy).alias("_q"))
     th = th.select("scored_at", F.col("_q")[0].alias("threshold"), F.col("_q")[1].alias("high_threshold"))
-    # one row per scoring run: bounded by the number of runs
-    j = scores.join(F.broadcast(th), "scored_at").where(F.col("alpha") > F.col("threshold"))
+    # one row per scoring run; AQE broadcasts it when its measured size allows
+    j = scores.join(th, "scored_at").where(F.col("alpha") > F.col("threshold"))
     j = j.withColumn("severity", F.when(F.col("alpha") > F.col("high_threshold"), "high").otherwise("medium"))
     j = j.withColumn("symbol", F.lit(None).cast("string"))
     msg = F.format_string("Wallet %s on %s above the %s percentile of alpha", F.col("wallet").cast("string"),

@@ -137,8 +137,9 @@ def distributed_percent_rank(df: DataFrame, group_cols, value_col: str, out_col:
         "_pid", *g,
         F.coalesce(F.sum("_part_n").over(wp.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"),
         F.sum("_part_n").over(Window.partitionBy(*g)).alias("_n"))
-    # offsets has (partitions x groups) rows: a bounded broadcast
-    ranks = local.join(F.broadcast(offsets), ["_pid", *g]).select(
+    # a range partition spans a contiguous run of groups, so offsets has about
+    # partitions + groups rows; AQE broadcasts it when its measured size allows
+    ranks = local.join(offsets, ["_pid", *g]).select(
         *g, value_col,
         F.when(F.col("_n") > 1, (F.col("_offset") + F.col("_below_local")) / (F.col("_n") - 1))
         .otherwise(F.lit(0.0)).alias(out_col))

@@ -29,8 +29,12 @@ def _batch_dir(base: str, epoch: int) -> str:
 
 
 def start(df: DataFrame, path: str, checkpoint: str, available_now: bool = True, processing_time: str | None = None,
-          mode: str = "append", fmt: str = "parquet") -> StreamingQuery:
+          mode: str = "append", fmt: str = "parquet", partition_by=()) -> StreamingQuery:
+    """File sink (exactly once through its commit log); ``partition_by`` gives
+    the partitioned streaming form of sink_partitioned."""
     w = df.writeStream.format(fmt).outputMode(mode).option("path", path).option("checkpointLocation", checkpoint)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "10 seconds")
     return w.start()
 
