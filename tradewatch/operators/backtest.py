@@ -62,7 +62,7 @@ def bt_forward_return(alerts: DataFrame, prices: DataFrame, horizons=(3600, 1440
     j = g.select(*keep, "entry_price", F.explode(F.array(*[f"_h{int(h)}" for h in horizons])).alias("x"))
     j = j.select(*keep, "x.horizon_s", "entry_price",
                  F.when(F.col("x.pt") > F.col("detected_at"), F.col("x.p")).alias("exit_price"))
-    ret = F.col("exit_price") / F.col("entry_price") - F.lit(1.0)
+    ret = F.try_divide(F.col("exit_price"), F.col("entry_price")) - F.lit(1.0)
     j = j.withColumn("ret", ret).withColumn("signed_return", F.col("direction").cast("double") * F.col("ret"))
     return j.select("alert_id", "module_id", "alert_type", "symbol", "detected_at", "direction", "horizon_s",
                     "entry_price", "exit_price", "ret", "signed_return",

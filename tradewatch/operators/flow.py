@@ -26,7 +26,7 @@ def flow_aggregate(whales: DataFrame, width: str = "5 minutes") -> DataFrame:
         F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "symbol",
         F.col("_buy").cast("double").alias("buy_volume"), F.col("_sell").cast("double").alias("sell_volume"),
         (F.col("_buy") - F.col("_sell")).cast("double").alias("net_flow"),
-        (F.col("_buy").cast("double") / (F.col("_buy") + F.col("_sell")).cast("double")).alias("flow_ratio"),
+        F.try_divide(F.col("_buy").cast("double"), (F.col("_buy") + F.col("_sell")).cast("double")).alias("flow_ratio"),
         "whale_count", "last_event_id")
 
 

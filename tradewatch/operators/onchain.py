@@ -96,7 +96,7 @@ def dex_decode(df: DataFrame, params_col: str = "params") -> DataFrame:
     return p.select(*[c for c in df.columns if c != params_col],
                     F.col("_p.pair").alias("pair"), F.col("_p.amount_in").alias("amount_in"),
                     F.col("_p.amount_out").alias("amount_out"), F.col("_p.amount_usd").alias("amount_usd"),
-                    (F.col("_p.amount_usd") / F.col("_p.amount_out")).alias("effective_price"))
+                    F.try_divide(F.col("_p.amount_usd"), F.col("_p.amount_out")).alias("effective_price"))
 
 
 def dex_volume(swaps: DataFrame, width: str = "60 seconds") -> DataFrame:
@@ -116,8 +116,8 @@ def dex_price_impact(swaps: DataFrame, bucket_seconds: int = 30 * 86400) -> Data
     d = bucketed_prev(swaps, ["pair", "protocol"], ["swap_timestamp", "tx", "leg_id", "amount_usd", "amount_in"],
                       ["effective_price"],
                       "swap_timestamp", bucket_seconds)
-    return d.withColumn("price_impact", (F.col("effective_price") - F.col("prev_effective_price"))
-                        / F.col("prev_effective_price"))
+    return d.withColumn("price_impact", F.try_divide(F.col("effective_price") - F.col("prev_effective_price"),
+                                                     F.col("prev_effective_price")))
 
 
 def dex_large_swaps(swaps: DataFrame, usd: float = 100000, high_usd: float = 1000000) -> DataFrame:
@@ -144,7 +144,7 @@ def dex_liquidity(swaps: DataFrame, width: str = "60 seconds") -> DataFrame:
     d = d.withColumn("_prev", F.lag("_liq").over(w))
     return d.select("window_start", "window_end", "pair", "protocol", F.col("_net").cast("double").alias("net_change"),
                     F.col("_liq").cast("double").alias("liquidity"), F.col("_prev").cast("double").alias("prev_liquidity"),
-                    (F.col("_net").cast("double") / F.abs(F.col("_prev").cast("double")) * F.lit(100.0))
+                    (F.try_divide(F.col("_net").cast("double"), F.abs(F.col("_prev").cast("double"))) * F.lit(100.0))
                     .alias("change_pct"))
 
 

@@ -19,7 +19,7 @@ def vwap(df: DataFrame, width: str = "30 seconds") -> DataFrame:
         F.max_by("event_id", F.struct("timestamp", "event_id")).alias("last_event_id"),
     )
     return g.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "symbol", "exchange",
-                    (F.col("_pq").cast("double") / F.col("_q").cast("double")).alias("vwap"), "trade_count",
+                    F.try_divide(F.col("_pq").cast("double"), F.col("_q").cast("double")).alias("vwap"), "trade_count",
                     "last_event_id")
 
 
@@ -33,7 +33,7 @@ def spread(vwaps: DataFrame) -> DataFrame:
     out = nxt.where(F.col("exchange_b").isNotNull()).select(
         "window_start", "window_end", "symbol", F.col("exchange").alias("exchange_a"), "exchange_b",
         F.col("vwap").alias("vwap_a"), "vwap_b",
-        ((F.col("vwap") - F.col("vwap_b")) / F.col("vwap_b") * F.lit(100.0)).alias("spread_pct"))
+        (F.try_divide(F.col("vwap") - F.col("vwap_b"), F.col("vwap_b")) * F.lit(100.0)).alias("spread_pct"))
     return out
 
 

@@ -79,7 +79,7 @@ def vol_zscore(base: DataFrame, medium: float = 2.5, high: float = 3.5) -> DataF
     """z = (window_volume - rolling_mean) / rolling_stddev; null when the
     stddev is null or 0. Severity on |z|: > high high, > medium medium."""
     sd = F.col("rolling_stddev")
-    z = F.when(sd > 0, (F.col("window_volume") - F.col("rolling_mean")) / sd)
+    z = F.when(sd > 0, F.try_divide(F.col("window_volume") - F.col("rolling_mean"), sd))
     az = F.abs(F.col("z_score"))
     return (base.withColumn("z_score", z)
             .withColumn("severity", F.when(az > F.lit(high), "high").when(az > F.lit(medium), "medium"))
