@@ -92,25 +92,41 @@ def stream_volume_aggregates(src: DataFrame, width: str, watermark: str) -> Data
 def volume_batch(agg_path: str, out_path: str, cfg: dict, lookback: int, processed_at: str | None = None):
     """foreachBatch body for MOD-001: append the closed windows to the
     aggregates table, then score them against the earlier windows read back
-    from that table within ``lookback`` (the table is the state; only the
-    lookback range is read, by a pushed-down filter)."""
+    from that table within ``lookback`` (the table is the state).
+
+    The table is partitioned by (date, batch_id): a replayed epoch overwrites
+    only its own partitions, and the read-back lists only the folders of the
+    days the lookback touches (a path glob), so the cost of a micro-batch does
+    not grow with the number of batches the stream has run. The micro-batch
+    is persisted because it is used three times."""
     va = cfg["volume_anomaly"]
+    keys = ["symbol", "exchange", "window_start"]
 
     def fn(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        lo = batch.agg(F.min("window_start").alias("lo")).first()["lo"]
-        if lo is None:
-            return
-        batch.write.mode("overwrite").parquet(_batch_dir(agg_path, epoch))
-        hist = spark.read.parquet(agg_path).drop("batch_id")
-        hist = hist.where(F.col("window_start") >= F.lit(lo - dt.timedelta(seconds=lookback)))
-        base = V.vol_baseline(hist, lookback, va["min_windows"])
-        fresh = spark.read.parquet(_batch_dir(agg_path, epoch)).select("symbol", "exchange", "window_start")
-        scored = V.vol_zscore(base, va["z_score_medium"], va["z_score_high"]).join(
-            fresh, ["symbol", "exchange", "window_start"], "left_semi")
-        scored.write.mode("overwrite").parquet(_batch_dir(os.path.join(out_path, "scored"), epoch))
-        s = L.lin_attach(scored, "MOD-001", "volume-anomaly", va, processed_at or "stream", event_col="last_event_id")
-        V.vol_spike_alerts(s, cfg).write.mode("overwrite").parquet(_batch_dir(os.path.join(out_path, "alerts"), epoch))
+        b = batch.persist()
+        try:
+            span = b.agg(F.min("window_start").alias("lo"), F.max("window_start").alias("hi")).first()
+            if span["lo"] is None:
+                return
+            (b.withColumn("date", F.to_date("window_start")).withColumn("batch_id", F.lit(epoch))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("date", "batch_id").parquet(agg_path))
+            first = (span["lo"] - dt.timedelta(seconds=lookback)).date()
+            days = [first + dt.timedelta(days=i) for i in range((span["hi"].date() - first).days + 1)]
+            glob = os.path.join(agg_path, "date={" + ",".join(d.isoformat() for d in days) + "}")
+            hist = spark.read.option("basePath", agg_path).parquet(glob).drop("date", "batch_id")
+            hist = hist.where(F.col("window_start") >= F.lit(span["lo"] - dt.timedelta(seconds=lookback)))
+            base = V.vol_baseline(hist, lookback, va["min_windows"])
+            scored = V.vol_zscore(base, va["z_score_medium"], va["z_score_high"]).join(
+                b.select(*keys), keys, "left_semi")
+            scored.write.mode("overwrite").parquet(_batch_dir(os.path.join(out_path, "scored"), epoch))
+            s = L.lin_attach(scored, "MOD-001", "volume-anomaly", va, processed_at or "stream",
+                             event_col="last_event_id")
+            V.vol_spike_alerts(s, cfg).write.mode("overwrite").parquet(
+                _batch_dir(os.path.join(out_path, "alerts"), epoch))
+        finally:
+            b.unpersist()
     return fn
 
 
