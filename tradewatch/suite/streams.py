@@ -9,6 +9,7 @@ ending after max(event time) - watermark (FIXTURES 5)."""
 
 from __future__ import annotations
 
+import contextlib
 import os
 
 from pyspark.sql import functions as F
@@ -49,6 +50,22 @@ def _run(q):
         raise q.exception()
 
 
+@contextlib.contextmanager
+def state_partitions(spark):
+    """Start test streams with one state partition per core: the count of
+    stateful partitions is fixed when a query first starts (it is kept in
+    the checkpoint) and AQE does not coalesce them, so a session default of
+    200 would give 200 state stores for a few thousand windows. The session
+    value is restored afterwards."""
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 @query("src_trades_stream")
 def q_src_trades_stream(spark, sf):
     path = fixture_path(spark, sf, "payloads_text")
@@ -56,7 +73,8 @@ def q_src_trades_stream(spark, sf):
         N.norm_payload(A.trades_e(spark, sf)).select("payload").write.mode("overwrite").text(path)
     p = TR.stream_trades(spark, "text", {}, TRADE_JSON_SCHEMA, path=path)
     out, ck = fresh(spark, "stream_trades"), fresh(spark, "ck")
-    _run(J.start(p, out, ck))
+    with state_partitions(spark):
+        _run(J.start(p, out, ck))
     return spark.read.parquet(out).select(*TRADE_COLS, "ingestion_timestamp")
 
 
@@ -68,7 +86,8 @@ SELECT event_id, exchange, symbol, price, quantity, quote_volume, side, date_tru
 @query("stream_whale")
 def q_stream_whale(spark, sf):
     out, ck = fresh(spark, "stream_whale"), fresh(spark, "ck")
-    _run(J.start(J.stream_whale(trades_source(spark, sf), core.CFG, PROCESSED_AT), out, ck))
+    with state_partitions(spark):
+        _run(J.start(J.stream_whale(trades_source(spark, sf), core.CFG, PROCESSED_AT), out, ck))
     return alert_view(spark.read.parquet(out), core.WHALE_FIELDS)
 
 
@@ -83,7 +102,8 @@ def q_stream_volume(spark, sf):
     base, ck = fresh(spark, "stream_volume"), fresh(spark, "ck")
     agg_path, out = os.path.join(base, "volume_aggregates"), os.path.join(base, "out")
     src = J.stream_volume_aggregates(trades_source(spark, sf), detect.VOL_W, VOL_WM)
-    _run(J.start_batches(src, J.volume_batch(agg_path, out, detect.CFG, detect.VOL_LB, PROCESSED_AT), ck))
+    with state_partitions(spark):
+        _run(J.start_batches(src, J.volume_batch(agg_path, out, detect.CFG, detect.VOL_LB, PROCESSED_AT), ck))
     scored = spark.read.parquet(os.path.join(out, "scored"))
     return scored.select("window_start", "symbol", "exchange", F.round("z_score", 6).alias("z_score"), "severity")
 
@@ -97,7 +117,8 @@ WHERE window_end <= {TAIL.format(wm="30 SECOND")}""")
 def q_stream_spread(spark, sf):
     out, ck = fresh(spark, "stream_spread"), fresh(spark, "ck")
     src = J.stream_vwap(trades_source(spark, sf), detect.SPREAD_W, SPREAD_WM)
-    _run(J.start_batches(src, J.spread_batch(out, 0.5, 1.0), ck))
+    with state_partitions(spark):
+        _run(J.start_batches(src, J.spread_batch(out, 0.5, 1.0), ck))
     s = spark.read.parquet(out)
     return s.select("window_start", "window_end", "symbol", "exchange_a", "exchange_b",
                     F.round("spread_pct", 6).alias("spread_pct"))
@@ -112,7 +133,8 @@ WHERE window_end <= {TAIL.format(wm="15 SECOND")}""")
 def q_stream_flow(spark, sf):
     out, ck = fresh(spark, "stream_flow"), fresh(spark, "ck")
     flows = J.stream_flow(trades_source(spark, sf), identity.CFG, identity.FLOW_W, FLOW_WM)
-    _run(J.start(flows, out, ck))
+    with state_partitions(spark):
+        _run(J.start(flows, out, ck))
     f = spark.read.parquet(out)
     return f.select("window_start", "window_end", "symbol", "buy_volume", "sell_volume",
                     stable_round("flow_ratio", 6).alias("flow_ratio"), "whale_count")
@@ -128,8 +150,9 @@ def _dq_run(spark, sf):
     src = J.observe_quality(spark.readStream.schema("key string, value string").parquet(path))
     base, ck = fresh(spark, "stream_dq"), fresh(spark, "ck")
     paths = {k: os.path.join(base, k) for k in ("valid", "dlq", "metrics")}
-    _run(J.start_batches(src, J.quality_batch(paths["valid"], paths["dlq"], paths["metrics"], core.DQ_CFG,
-                                              core.AS_OF_DAY), ck))
+    with state_partitions(spark):
+        _run(J.start_batches(src, J.quality_batch(paths["valid"], paths["dlq"], paths["metrics"], core.DQ_CFG,
+                                                  core.AS_OF_DAY), ck))
     return paths
 
 
@@ -162,7 +185,8 @@ def q_wallet_alpha_incremental(spark, sf):
     path = _fixture(spark, sf, "wallet_trades", lambda: A.wallet_trades(spark, sf))
     src = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
     out, ck = fresh(spark, "wallet_alpha"), fresh(spark, "ck")
-    _run(J.start(wallet_alpha_incremental(src, identity.DAYS, identity.MIN_TRADES), out, ck))
+    with state_partitions(spark):
+        _run(J.start(wallet_alpha_incremental(src, identity.DAYS, identity.MIN_TRADES), out, ck))
     r = spark.read.parquet(out)
     latest = r.groupBy("wallet", "blockchain").agg(F.max_by(F.struct("trade_count", "alpha"), "updates").alias("s"))
     return latest.select("wallet", "blockchain", F.col("s.trade_count").alias("trade_count"),
