@@ -115,9 +115,10 @@ def alarm_m_of_n(series: DataFrame, value_col: str, threshold: float, m: int, n:
         "alarm", F.col("breaches_in_n") >= F.lit(m))
 
 
-def lag_monitor(df: DataFrame, width: str = "5 minutes", accuracy: int = 1_000_000) -> DataFrame:
+def lag_monitor(df: DataFrame, width: str = "5 minutes", accuracy: int = 10_000) -> DataFrame:
     """Ingestion minus event time per (window, venue): max, mean and p95
-    (``percentile_approx``: bounded memory; exact below ``accuracy`` rows)."""
+    (``percentile_approx``: a bounded sketch per group, rank error at most
+    n / ``accuracy``)."""
     lag = (F.unix_micros("ingestion_timestamp") - F.unix_micros("timestamp")) / F.lit(1_000_000)
     g = df.withColumn("_lag", lag).groupBy(F.window("timestamp", width).alias("w"), "exchange").agg(
         F.count(F.lit(1)).alias("records"), F.max("_lag").alias("max_lag_s"), F.avg("_lag").alias("avg_lag_s"),

@@ -86,11 +86,12 @@ def alpha_percentile(scores: DataFrame, out_col: str = "alpha_percentile") -> Da
 
 
 def wallet_high_alpha(scores: DataFrame, pct: float = 0.95, high_pct: float = 0.99,
-                      accuracy: int = 1_000_000) -> DataFrame:
+                      accuracy: int = 10_000) -> DataFrame:
     """``high_alpha_wallet`` alerts for alpha above the ``pct`` percentile of
     its scoring run (high above ``high_pct``). Thresholds come from
-    ``percentile_approx`` (bounded memory, map-side partial aggregation; exact
-    while a run has fewer wallets than ``accuracy``); no global sort."""
+    ``percentile_approx``: a sketch of bounded size per run (rank error at
+    most n / ``accuracy``, so exact for runs of up to ``accuracy`` wallets),
+    merged map-side; no global sort."""
     th = scores.where(F.col("alpha").isNotNull()).groupBy("scored_at").agg(
         F.percentile_approx("alpha", [pct, high_pct], accuracy).alias("_q"))
     th = th.select("scored_at", F.col("_q")[0].alias("threshold"), F.col("_q")[1].alias("high_threshold"))
