@@ -239,8 +239,7 @@ def dq_feed_staleness(df: DataFrame, as_of=None, seconds: int = 30) -> DataFrame
     of ``as_of`` (default: the latest event of all venues)."""
     last = df.groupBy("exchange").agg(F.max("timestamp").alias("last_seen"))
     if as_of is None:
-        ref = df.agg(F.max("timestamp").alias("as_of"))
-        last = last.crossJoin(F.broadcast(ref))  # one row: bounded broadcast
+        last = last.withColumn("as_of", df.agg(F.max("timestamp")).scalar())  # scalar subquery
     else:
         last = last.withColumn("as_of", as_of if isinstance(as_of, Column) else F.lit(as_of).cast("timestamp"))
     age = F.unix_micros("as_of") - F.unix_micros("last_seen")

@@ -29,32 +29,28 @@ def alerts_query(alerts: DataFrame, alert_type=None, symbol=None, since=None, li
         a = a.where(F.col("symbol") == symbol)
     if since is not None:
         a = a.where(F.col("detected_at") >= _ts(since))
-    top = a.orderBy(F.col("detected_at").desc(), F.col("alert_id").desc()).limit(limit + 1)
-    # the window runs over at most limit + 1 rows
-    w = Window.orderBy(F.col("detected_at").desc(), F.col("alert_id").desc())
-    top = top.withColumn("_rn", F.row_number().over(w)).withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy()))
-    return top.where(F.col("_rn") <= limit).withColumn("has_more", F.col("_n") > limit).drop("_rn", "_n")
+    order = [F.col("detected_at").desc(), F.col("alert_id").desc()]
+    # two top-k scans (TakeOrderedAndProject): the page, and limit + 1 rows
+    # counted as a scalar subquery for has_more
+    more = a.orderBy(*order).limit(limit + 1).agg(F.count(F.lit(1))).scalar() > F.lit(limit)
+    return a.orderBy(*order).limit(limit).withColumn("has_more", more)
 
 
 def metrics_symbol(trades: DataFrame, spreads: DataFrame, alerts: DataFrame, as_of=None) -> DataFrame:
     """Per (symbol, exchange): last price, 1 h volume; per symbol: latest
     spread, anomaly count in 24 h, last whale time and size. ``as_of``
-    defaults to the latest trade (a one-row aggregate, broadcast)."""
-    if as_of is None:
-        clock = trades.agg(F.max("timestamp").alias("as_of"))
-    else:
-        clock = trades.sparkSession.range(1).select(_ts(as_of).alias("as_of"))
-    clock = F.broadcast(clock)
-    t = trades.crossJoin(clock).where(F.col("timestamp") <= F.col("as_of"))
-    hour_ago = F.col("as_of") - F.expr("INTERVAL 1 HOUR")
+    defaults to the latest trade (a scalar subquery, computed once)."""
+    clock = trades.agg(F.max("timestamp")).scalar() if as_of is None else _ts(as_of)
+    t = trades.where(F.col("timestamp") <= clock)
+    hour_ago = clock - F.expr("INTERVAL 1 HOUR")
     venue = t.groupBy("symbol", "exchange").agg(
         F.max_by("price", F.struct("timestamp", "event_id")).alias("last_price"),
         F.coalesce(F.sum(F.when(F.col("timestamp") > hour_ago, money("quote_volume"))),
                    F.lit(0).cast("decimal(38,8)")).cast("double").alias("volume_1h"))
-    sp = spreads.crossJoin(clock).where(F.col("window_end") <= F.col("as_of")).groupBy("symbol").agg(
+    sp = spreads.where(F.col("window_end") <= clock).groupBy("symbol").agg(
         F.max_by("spread_pct", "window_start").alias("last_spread_pct"))
-    day_ago = F.col("as_of") - F.expr("INTERVAL 24 HOURS")
-    al = alerts.crossJoin(clock).where(F.col("detected_at") <= F.col("as_of")).groupBy("symbol").agg(
+    day_ago = clock - F.expr("INTERVAL 24 HOURS")
+    al = alerts.where(F.col("detected_at") <= clock).groupBy("symbol").agg(
         F.count(F.when(F.col("detected_at") > day_ago, 1)).alias("anomaly_count_24h"),
         F.max(F.when(F.col("alert_type") == "whale_trade", F.col("detected_at"))).alias("last_whale_at"),
         F.max_by(F.when(F.col("alert_type") == "whale_trade", F.get_json_object("details", "$.quote_volume")

@@ -16,10 +16,9 @@ RET = "decimal(18,8)"
 
 def _as_of(df: DataFrame, as_of) -> tuple[DataFrame, Column]:
     """Attach the scoring time. ``None`` means the latest trade time in the
-    data (a one-row aggregate, broadcast)."""
+    data (a scalar subquery, computed once)."""
     if as_of is None:
-        clock = df.agg(F.max("ts").alias("_as_of"))
-        return df.crossJoin(F.broadcast(clock)), F.col("_as_of")
+        return df.withColumn("_as_of", df.agg(F.max("ts")).scalar()), F.col("_as_of")
     return df.withColumn("_as_of", F.lit(as_of).cast("timestamp")), F.col("_as_of")
 
 

@@ -23,5 +23,5 @@ def flagship(spark: SparkSession, sf_dir: str, cfg: dict | None = None) -> DataF
     whales = L.with_correlation_id(whale_detect(valid, cfg))
     whales = L.lin_attach(whales, "MOD-002", "whale-detector", cfg["whale_detector"], PROCESSED_AT)
     alerts = whale_alerts(whales, cfg)
-    clock = alerts.agg(F.max("detected_at").alias("as_of"))  # one row: bounded broadcast
-    return alert_ttl(alerts.crossJoin(F.broadcast(clock)), F.col("as_of") - F.expr("INTERVAL 7 DAYS")).drop("as_of")
+    clock = alerts.agg(F.max("detected_at")).scalar()  # scalar subquery: computed once
+    return alert_ttl(alerts, clock - F.expr("INTERVAL 7 DAYS"))

@@ -86,8 +86,8 @@ SELECT event_id, alert_id, alert_id AS feed_alert_id FROM whale_alerts""")
 @query("alert_ttl")
 def q_alert_ttl(spark, sf):
     a = small_alerts(spark, sf)
-    clock = F.broadcast(a.agg((F.max("detected_at") - F.expr("INTERVAL 12 HOURS")).alias("_as_of")))
-    return AL.alert_ttl(a.crossJoin(clock), F.col("_as_of")).select("alert_id", "alert_type", "ttl_epoch")
+    clock = a.agg(F.max("detected_at") - F.expr("INTERVAL 12 HOURS")).scalar()
+    return AL.alert_ttl(a, clock).select("alert_id", "alert_type", "ttl_epoch")
 
 
 sql("alert_ttl", SMALL_SQL + f""",
@@ -160,9 +160,7 @@ cid AS (SELECT max_by(d_correlation_id, struct_pack(t := detected_at, e := event
 
 @query("lin_by_correlation")
 def q_lin_by_correlation(spark, sf):
-    a = small_alerts(spark, sf).withColumn("_cid", _lin("correlation_id"))
-    hit = a.join(F.broadcast(_latest_whale_cid(spark, sf)), F.col("_cid") == F.col("cid"))  # one-row side
-    return L.lin_by_correlation(hit.drop("_cid", "cid"), F.col("correlation_id"))
+    return L.lin_by_correlation(small_alerts(spark, sf), _latest_whale_cid(spark, sf).scalar())
 
 
 sql("lin_by_correlation", SMALL_SQL + LATEST_CID_SQL + f"""

@@ -157,8 +157,8 @@ def q_route_alerts(spark, sf):
     a = small_alerts(spark, sf)
     SK.route_alerts(a, hot, cold)
     hot_df = spark.read.parquet(hot)
-    clock = F.broadcast(hot_df.agg(F.max("detected_at").alias("_as_of")))  # one row
-    live = hot_df.crossJoin(clock).where(F.col("ttl_epoch") > F.unix_seconds("_as_of"))
+    clock = hot_df.agg(F.max("detected_at")).scalar()  # scalar subquery
+    live = hot_df.where(F.col("ttl_epoch") > F.unix_seconds(clock))
     return live.select(F.lit("hot").alias("store"), "alert_id").unionByName(
         spark.read.parquet(cold).select(F.lit("cold").alias("store"), "alert_id"))
 
@@ -301,8 +301,7 @@ def q_table_stats(spark, sf):
 @query("retention")
 def q_retention(spark, sf):
     a = small_alerts(spark, sf)
-    clock = F.broadcast(a.agg(F.max("detected_at").alias("_as_of")))  # one row
-    return LK.retention(a.crossJoin(clock), "detected_at", F.col("_as_of"), 7).select(*BASE)
+    return LK.retention(a, "detected_at", a.agg(F.max("detected_at")).scalar(), 7).select(*BASE)
 
 
 sql("retention", SMALL_SQL + f""",
