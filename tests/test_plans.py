@@ -48,3 +48,18 @@ def test_no_python_udf_in_batch_queries(spark):
                  "bt_report", "pred_score", "metrics_symbol"]:
         p = plan(q[name](spark, SF_SMALL))
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
+
+
+def test_small_side_broadcasts_only_below_the_proven_bound(spark):
+    from tradewatch.functions.joins import has_at_most, small_side
+    big = spark.range(0, 5000).withColumnRenamed("id", "k")
+    small = spark.range(0, 10).withColumnRenamed("id", "k")
+    assert has_at_most(small, 10) and not has_at_most(big, 10)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined_small = big.join(small_side(small, 100), "k")
+        joined_big = small.join(small_side(big, 100), "k")
+        assert "BroadcastHashJoin" in plan(joined_small)
+        assert "BroadcastHashJoin" not in plan(joined_big)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
