@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradewatch.functions.columns import money
-from tradewatch.functions.joins import has_at_most, small_side, BROADCAST_MAX_ROWS
+from tradewatch.functions.joins import BROADCAST_MAX_ROWS, has_at_most
 from tradewatch.operators.alerts import alert_build
 from tradewatch.operators.windows import bucketed_prev
 

@@ -10,7 +10,7 @@ from tradewatch.config import make_config
 from tradewatch.functions.columns import stable_round
 from tradewatch.operators import onchain as O
 from tradewatch.sources import adapters as A
-from tradewatch.suite.core import ALERT_BASE, alert_view
+from tradewatch.suite.core import alert_view
 from tradewatch.suite.oracle import DEX_SWAPS, ONCHAIN_RAW, WALLET_LABELS, alert_id, sround, ttl, with_
 from tradewatch.suite.registry import query, sql
 

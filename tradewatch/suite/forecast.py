@@ -12,7 +12,7 @@ from tradewatch.functions.columns import stable_round
 from tradewatch.operators import backtest as B
 from tradewatch.operators import predict as P
 from tradewatch.sources import adapters as A
-from tradewatch.suite.core import ALERT_BASE, alert_view
+from tradewatch.suite.core import alert_view
 from tradewatch.suite.detect import VOL_SQL, vol_scored
 from tradewatch.suite.identity import CONS_SQL, consensus, whales_e
 from tradewatch.suite.oracle import TRADES_E, alert_id, sround, ttl, with_

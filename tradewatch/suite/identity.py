@@ -13,9 +13,9 @@ from tradewatch.functions.columns import stable_round
 from tradewatch.operators import flow as FL
 from tradewatch.operators import labels as LB
 from tradewatch.operators import wallet as W
-from tradewatch.operators.whale import whale_alerts, whale_detect
+from tradewatch.operators.whale import whale_detect
 from tradewatch.sources import adapters as A
-from tradewatch.suite.core import ALERT_BASE, alert_view
+from tradewatch.suite.core import alert_view
 from tradewatch.suite.detect import CFG, VOL_ALERTS_SQL, VOL_SQL, vol_scored
 from tradewatch.suite.oracle import (
     TRADES_E, WALLET_LABELS, WALLET_TRADES, alert_id, sround, ttl, with_,

@@ -11,8 +11,6 @@ import uuid
 from pyspark.sql import functions as F
 
 from tradewatch.config import make_config
-from tradewatch.operators import alerts as AL
-from tradewatch.operators import quality as Q
 from tradewatch.operators.whale import whale_alerts, whale_detect
 from tradewatch.plans import lake as LK
 from tradewatch.plans import sinks as SK
@@ -20,8 +18,8 @@ from tradewatch.session import scratch_path
 from tradewatch.sources import adapters as A
 from tradewatch.sources import trades as TR
 from tradewatch.suite import core
-from tradewatch.suite.core import DQ_CFG, TRADE_COLS, WHALE_ALERTS_SQL, whales_with_lineage
-from tradewatch.suite.oracle import SQL, TRADES_E, with_
+from tradewatch.suite.core import TRADE_COLS, WHALE_ALERTS_SQL, whales_with_lineage
+from tradewatch.suite.oracle import TRADES_E, with_
 from tradewatch.suite.registry import PROCESSED_AT, query, sql
 from tradewatch.suite.serve import BASE, BASE_SQL, SMALL_SQL, RUN_CFG, small_alerts
 
