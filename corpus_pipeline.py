@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tradewatch.llm.block_names import exact_groups
 from tradewatch.llm.common import keep_rows, shared_dir, table
+from tradewatch.llm.hyperminhash import near_groups
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -17,8 +18,14 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return keep_rows(docs, exact_groups(docs).filter("kept").selectExpr("rid AS __rid"))
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of every group of linked texts stays."""
+    return keep_rows(docs, near_groups(docs).filter("kept").selectExpr("rid AS __rid"))
+
+
 STAGES = [
     ("exact dedup", exact_dedup),
+    ("near dedup", near_dedup),
 ]
 ORACLE_SQL = None
 

@@ -26,8 +26,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not path:
         if not spark.sparkContext.master.startswith("local["):
             raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
-        path = tempfile.mkdtemp(prefix="tradewatch-llm-")
-        spark.conf.set(CHECKPOINT_CONF, path)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tradewatch-llm-"))
+        path = spark.sparkContext.getCheckpointDir()
     return path
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tradewatch.llm.block_names import exact_groups
 from tradewatch.llm.common import table
+from tradewatch.llm.hyperminhash import near_groups
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -31,3 +32,8 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_
 FROM d JOIN g USING (t)""")
 def op6_block_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents")).drop("rid")
+
+
+@query("op8_hyperminhash")
+def op8_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups(table(spark, sf_dir, "documents")).drop("rid")
