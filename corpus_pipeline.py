@@ -11,6 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from tradewatch.llm.block_names import exact_groups
 from tradewatch.llm.common import keep_rows, shared_dir, table
 from tradewatch.llm.hyperminhash import near_groups
+from tradewatch.llm.line_quality import keeps
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows that the quality rules reject go; the texts of the others stay whole."""
+    return docs.filter(keeps(docs["text"]))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,6 +30,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("quality rules", quality_rules),
     ("exact dedup", exact_dedup),
     ("near dedup", near_dedup),
 ]

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tradewatch.llm.block_names import exact_groups
 from tradewatch.llm.common import table
 from tradewatch.llm.hyperminhash import near_groups
+from tradewatch.llm.line_quality import BOILERPLATE, judged
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -37,3 +38,27 @@ def op6_block_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_hyperminhash")
 def op8_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(table(spark, sf_dir, "documents")).drop("rid")
+
+
+WORD = r"[^\x20\x09-\x0D]+"
+
+
+@query("op3_line_quality", rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT rid, doc_id, t, regexp_extract_all(t, '{WORD}') AS w FROM d),
+win AS (SELECT rid, i, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c FROM w, UNNEST(range(1, len(w) - 1)) AS u(i)),
+rep AS (SELECT rid, count(DISTINCT p) AS rep FROM (
+  SELECT rid, unnest([i, i + 1, i + 2]) AS p FROM (SELECT *, count(*) OVER (PARTITION BY rid, a, b, c) AS k FROM win) WHERE k > 1) GROUP BY rid),
+ls AS (SELECT rid, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{WORD}')) AS ls FROM w),
+line AS (SELECT rid, l, len(regexp_extract_all(l, '{WORD}')) AS n FROM (SELECT rid, unnest(list_distinct(ls)) AS l FROM ls)),
+kept AS (SELECT rid, sum(n) AS kept_words FROM line WHERE NOT (
+  len(regexp_extract_all(l, ' [|>»] ')) >= greatest(3, n * 0.2::DOUBLE) OR len(regexp_extract_all(l, '[#*$%&|<>]')) > n * 0.5::DOUBLE
+  OR len(regexp_extract_all(l, '!')) > n * 0.5::DOUBLE OR n <= 20 AND regexp_matches(l, '{BOILERPLATE}')) GROUP BY rid),
+m AS (SELECT doc_id, len(w)::BIGINT AS n_words, length(list_aggregate(list_concat([''], w), 'string_agg', ''))::BIGINT AS word_chars,
+  len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols, (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
+  coalesce(rep, 0)::BIGINT AS n_repeat_words, coalesce(kept_words, 0)::BIGINT AS kept_words
+  FROM w JOIN ls USING (rid) LEFT JOIN rep USING (rid) LEFT JOIN kept USING (rid)),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
+SELECT *, NOT base_failed AND 100 * (n_words - kept_words) <= 50 * n_words AS kept FROM b""")
+def op3_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judged(table(spark, sf_dir, "documents"))
