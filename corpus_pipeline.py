@@ -7,11 +7,13 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tradewatch.llm.block_names import exact_groups
-from tradewatch.llm.common import keep_rows, shared_dir, table
+from tradewatch.llm.common import keep_rows, shared_dir, table, with_rid
 from tradewatch.llm.hyperminhash import near_groups
 from tradewatch.llm.line_quality import keeps
+from tradewatch.llm.mix import mixed
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,10 +31,18 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return keep_rows(docs, near_groups(docs).filter("kept").selectExpr("rid AS __rid"))
 
 
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every row as often as the mix takes it: not at all, once, twice or three times."""
+    copies = mixed(docs).filter("copies > 0").select(F.col("rid").alias("__rid"), F.col("copies").alias("__copies"))
+    rows = with_rid(docs).join(copies, "__rid")
+    return rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), "__copies"))).select(*[rows[c] for c in docs.columns])
+
+
 STAGES = [
     ("quality rules", quality_rules),
     ("exact dedup", exact_dedup),
     ("near dedup", near_dedup),
+    ("mix to target weights", mix_sources),
 ]
 ORACLE_SQL = None
 

@@ -9,6 +9,7 @@ from tradewatch.llm.block_names import exact_groups
 from tradewatch.llm.common import table
 from tradewatch.llm.hyperminhash import near_groups
 from tradewatch.llm.line_quality import BOILERPLATE, judged
+from tradewatch.llm.mix import mixed
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -62,3 +63,8 @@ b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_fail
 SELECT *, NOT base_failed AND 100 * (n_words - kept_words) <= 50 * n_words AS kept FROM b""")
 def op3_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(table(spark, sf_dir, "documents"))
+
+
+@query("op2_budget_mix")
+def op2_budget_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixed(table(spark, sf_dir, "documents")).drop("rid", "copies")
