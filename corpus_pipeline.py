@@ -6,6 +6,7 @@ from __future__ import annotations
 
 import uuid
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +15,7 @@ from tradewatch.llm.common import keep_rows, shared_dir, table, with_rid
 from tradewatch.llm.hyperminhash import near_groups
 from tradewatch.llm.line_quality import keeps
 from tradewatch.llm.mix import mixed
+from tradewatch.llm.trie_bpe import encoded
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,11 +40,17 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), "__copies"))).select(*[rows[c] for c in docs.columns])
 
 
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every row, their count, and the digests of ids and decoded text."""
+    return encoded(docs, public_tokenizers.path("byte_bpe_50k.json"), with_ids=True)
+
+
 STAGES = [
     ("quality rules", quality_rules),
     ("exact dedup", exact_dedup),
     ("near dedup", near_dedup),
     ("mix to target weights", mix_sources),
+    ("encode", encode),
 ]
 ORACLE_SQL = None
 

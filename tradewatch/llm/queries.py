@@ -3,6 +3,7 @@ SQL can state them. Each applies its operator to its whole table."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tradewatch.llm.block_names import exact_groups
@@ -10,6 +11,7 @@ from tradewatch.llm.common import table
 from tradewatch.llm.hyperminhash import near_groups
 from tradewatch.llm.line_quality import BOILERPLATE, judged
 from tradewatch.llm.mix import mixed
+from tradewatch.llm.trie_bpe import encoded
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -68,3 +70,8 @@ def op3_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_budget_mix")
 def op2_budget_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed(table(spark, sf_dir, "documents")).drop("rid", "copies")
+
+
+@query("op5_trie_bpe")
+def op5_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoded(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
