@@ -111,8 +111,9 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     gives an empty result; other columns are not read, whatever their names."""
     rows = saved(block_identity(docs, text, block_bytes, hash_of, carry=(id_col,))
                  .withColumnRenamed(id_col, "doc_id"), "block-identity")
-    best = rows.groupBy("level", "name").agg(F.max(F.struct("doc_id", "rid")).alias("best"),
-                                             F.count(F.lit(1)).alias("group_size"))
+    # a table of its own, so that the join below has two plain sides and a large group can be split
+    best = saved(rows.groupBy("level", "name").agg(F.max(F.struct("doc_id", "rid")).alias("best"),
+                                                   F.count(F.lit(1)).alias("group_size")), "block-groups")
     return rows.join(best, ["level", "name"]).select(
         "rid", "doc_id", F.col("best.doc_id").alias("keep_id"), "group_size",
         (F.col("rid") == F.col("best.rid")).alias("kept"), "text_sha256")
