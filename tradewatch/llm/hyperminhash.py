@@ -210,7 +210,8 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
 
     left = saved(members.filter("c > 2").join(roots.selectExpr("node AS rid", "root"), "rid", "left").select(
         "band", "key", "rid", F.coalesce("root", "rid").alias("root")), "rooted-buckets")
-    split = left.groupBy("band", "key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 != r1")
+    split = saved(left.groupBy("band", "key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 != r1")
+                  .select("band", "key"), "split-buckets")
     mixed = left.join(split, ["band", "key"], "left_semi").select("rid", "root").distinct()
     done = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = saved(_cross_pairs(mixed, texts).join(done, ["a", "b"], "left_anti"), "cross-pairs")
@@ -222,7 +223,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
     own = own.unionByName(sketch.filter("n = 0").select("rid", "doc_id", "n", F.col("rid").alias("rep")))
     own = saved(own.join(roots.selectExpr("node AS rep", "root"), "rep", "left").select(
         "rid", "doc_id", "n", F.coalesce("root", "rep").alias("root")), "members")
-    best = own.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "rid")).alias("best"))
+    best = saved(own.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "rid")).alias("best")), "component-ids")
     return own.join(best, "root").select(
         "rid", "doc_id", F.col("n").alias("n_shingles"), F.col("best.doc_id").alias("component_id"),
         (F.col("rid") == F.col("best.rid")).alias("kept"))
