@@ -11,6 +11,7 @@ from tradewatch.llm.common import table
 from tradewatch.llm.hyperminhash import near_groups
 from tradewatch.llm.line_quality import BOILERPLATE, judged
 from tradewatch.llm.mix import mixed
+from tradewatch.llm.secret_tests import digest_columns, secrets
 from tradewatch.llm.trie_bpe import encoded
 
 QUERIES: dict = {}
@@ -75,3 +76,8 @@ def op2_budget_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_trie_bpe")
 def op5_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op9_secret_tests")
+def op9_secret_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest_columns(secrets(table(spark, sf_dir, "documents")))
