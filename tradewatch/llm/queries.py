@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tradewatch.llm.block_names import exact_groups
 from tradewatch.llm.common import table
+from tradewatch.llm.gbt_quality import scored
 from tradewatch.llm.hyperminhash import near_groups
 from tradewatch.llm.line_quality import BOILERPLATE, judged
 from tradewatch.llm.mix import mixed
@@ -81,3 +82,8 @@ def op5_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_secret_tests")
 def op9_secret_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest_columns(secrets(table(spark, sf_dir, "documents")))
+
+
+@query("op4_gbt_quality")
+def op4_gbt_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
