@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tradewatch.llm.block_names import exact_groups
 from tradewatch.llm.common import table
@@ -13,6 +14,7 @@ from tradewatch.llm.hyperminhash import near_groups
 from tradewatch.llm.line_quality import BOILERPLATE, judged
 from tradewatch.llm.mix import mixed
 from tradewatch.llm.secret_tests import digest_columns, secrets
+from tradewatch.llm.template_lines import line_verdicts
 from tradewatch.llm.trie_bpe import encoded
 
 QUERIES: dict = {}
@@ -87,3 +89,9 @@ def op9_secret_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_gbt_quality")
 def op4_gbt_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op1_template_lines")
+def op1_template_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_verdicts(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_recurring", F.size("dropped").cast("long").alias("n_dropped"), F.array_join("dropped", ",").alias("dropped_lines"))
