@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from tradewatch.llm.block_names import exact_groups
 from tradewatch.llm.common import table
+from tradewatch.llm.edit_counts import edit_counts
 from tradewatch.llm.gbt_quality import scored
 from tradewatch.llm.hyperminhash import near_groups
+from tradewatch.llm.licenses import licensed
 from tradewatch.llm.line_quality import BOILERPLATE, judged
 from tradewatch.llm.mix import mixed
 from tradewatch.llm.secret_tests import digest_columns, secrets
@@ -95,3 +97,16 @@ def op4_gbt_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_template_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_verdicts(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_lines", "n_recurring", F.size("dropped").cast("long").alias("n_dropped"), F.array_join("dropped", ",").alias("dropped_lines"))
+
+
+@query("op7_edit_counts")
+def op7_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document before and after its personal data is replaced."""
+    return edit_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op10_licenses")
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table has no paths: source, language and hundreds of the id stand for directories."""
+    path = F.concat_ws("/", "source", "lang", F.floor(F.col("doc_id") / 100).cast("string"), F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    return licensed(table(spark, sf_dir, "documents"), path)

@@ -188,7 +188,7 @@ class TrieBpe:
 _LOADED: dict = {}
 
 
-def _coder(file) -> TrieBpe:
+def loaded(file) -> TrieBpe:
     """One coder per worker process and vocabulary."""
     if file.value not in _LOADED:
         _LOADED.clear()
@@ -209,7 +209,7 @@ def encoded(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text: str
     id_type = dict(docs.dtypes)[id_col]
 
     def run(batches):
-        coder = _coder(file)
+        coder = loaded(file)
         for batch in batches:
             texts, at = batch.column("text"), 0
             while at < len(texts):
