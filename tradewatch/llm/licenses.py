@@ -54,7 +54,9 @@ def notices(docs: DataFrame, text: str = "text") -> DataFrame:
     spark = docs.sparkSession
     head = F.filter(F.transform(F.split(F.coalesce(F.col(text), F.lit("")), "\n"),
                                 lambda x, i: F.struct(i.alias("line"), x.alias("x"))), lambda s: s["x"].rlike(HEADER))
-    lines = saved(docs.select(F.monotonically_increasing_id().alias("rid"), F.explode(head).alias("h")).select(
+    # numbered before the lines are unfolded
+    heads = docs.select(F.monotonically_increasing_id().alias("rid"), head.alias("heads"))
+    lines = saved(heads.select("rid", F.explode("heads").alias("h")).select(
         "rid", "h.line", F.size(F.filter(F.split("h.x", SPACES), lambda w: w != "")).alias("words"), _terms(F.col("h.x")).alias("terms")),
         "header-lines")
     tf = lines.select("rid", "line", F.explode("terms").alias("term")).groupBy("rid", "line", "term").agg(F.count(F.lit(1)).alias("tf"))
