@@ -50,16 +50,15 @@ def test_no_python_udf_in_batch_queries(spark):
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
 
 
-def test_small_side_broadcasts_only_below_the_proven_bound(spark):
-    from tradewatch.functions.joins import has_at_most, small_side
-    big = spark.range(0, 5000).withColumnRenamed("id", "k")
-    small = spark.range(0, 10).withColumnRenamed("id", "k")
-    assert has_at_most(small, 10) and not has_at_most(big, 10)
+def test_lookups_force_no_broadcast(spark):
+    from tradewatch.operators.labels import label_enrich
+    from tradewatch.operators.onchain import onchain_known_wallet
+    trades = spark.createDataFrame([(1, 2, 3)], "wallet long, from_wallet long, to_wallet long")
+    labels = spark.createDataFrame([(2, "a", "b"), (2, "a", "b")], "wallet long, label string, entity_type string")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        joined_small = big.join(small_side(small, 100), "k")
-        joined_big = small.join(small_side(big, 100), "k")
-        assert "BroadcastHashJoin" in plan(joined_small)
-        assert "BroadcastHashJoin" not in plan(joined_big)
+        assert "BroadcastHashJoin" not in plan(label_enrich(trades, labels))
+        assert "BroadcastHashJoin" not in plan(onchain_known_wallet(trades, labels))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert onchain_known_wallet(trades, labels).count() == 1

@@ -60,8 +60,9 @@ def iso_ms(c) -> Column:
 
 
 def norm_iso_ms(c) -> Column:
-    """ISO text with microseconds to a timestamp truncated (not rounded) to ms."""
-    return F.date_trunc("millisecond", F.to_timestamp(F.regexp_replace(_c(c), "Z$", "")))
+    """ISO text with microseconds to a timestamp truncated (not rounded) to ms;
+    null for a text that is no time."""
+    return F.date_trunc("millisecond", F.try_to_timestamp(F.regexp_replace(_c(c), "Z$", "")))
 
 
 def norm_quote_volume(price, qty) -> Column:

@@ -20,14 +20,15 @@ def flow_aggregate(whales: DataFrame, width: str = "5 minutes") -> DataFrame:
         F.coalesce(F.sum(F.when(F.col("side") == "buy", qv)), zero).alias("_buy"),
         F.coalesce(F.sum(F.when(F.col("side") == "sell", qv)), zero).alias("_sell"),
         F.count(F.lit(1)).alias("whale_count"),
-        F.max_by("event_id", F.struct("timestamp", "event_id")).alias("last_event_id"),
+        F.max(F.struct("timestamp", "exchange", "event_id")).alias("_last"),
     )
     return g.select(
         F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "symbol",
         F.col("_buy").cast("double").alias("buy_volume"), F.col("_sell").cast("double").alias("sell_volume"),
         (F.col("_buy") - F.col("_sell")).cast("double").alias("net_flow"),
         F.try_divide(F.col("_buy").cast("double"), (F.col("_buy") + F.col("_sell")).cast("double")).alias("flow_ratio"),
-        "whale_count", "last_event_id")
+        "whale_count", F.col("_last.event_id").alias("last_event_id"), F.col("_last.timestamp").alias("last_timestamp"),
+        F.col("_last.exchange").alias("last_exchange"))
 
 
 def flow_alerts(flows: DataFrame, hi: float = 0.7, lo: float = 0.3, strong_hi: float = 0.85,
@@ -47,54 +48,62 @@ def flow_alerts(flows: DataFrame, hi: float = 0.7, lo: float = 0.3, strong_hi: f
 SEVERITY_STRENGTH = {"medium": 0.5, "high": 0.75, "critical": 1.0}
 
 
-def consensus_signals(vol_scored: DataFrame, whales: DataFrame, flows: DataFrame, width: str = "5 minutes",
-                      vol_alerts: DataFrame | None = None, whale_alerts: DataFrame | None = None,
-                      flow_alerts: DataFrame | None = None) -> DataFrame:
-    """One row per (window, symbol) with any signal: volume strength
-    v = min(max |z| / 3.5, 1) over flagged volume windows, whale strength w by
-    worst severity (0.5, 0.75, 1), flow strength f = |2 ratio - 1| (R8).
-    The three inputs are unioned and grouped once (one shuffle, no joins);
-    missing signals are 0. ``contributing`` lists the strongest alert of each
-    kind (at most three ids)."""
+def _alert_ref(df: DataFrame):
+    return F.col("alert_id") if "alert_id" in df.columns else F.lit(None).cast("string")
+
+
+def _signal_rows(vol_scored: DataFrame, whales: DataFrame, flows: DataFrame, width: str) -> DataFrame:
+    """The three inputs in one shape: window_start, symbol, v, w, buy, sell, alert_id,
+    and the time and id of the event behind the row."""
+    none, nil = F.lit(None).cast("double"), F.lit(None).cast("decimal(28,8)")
+
     def win(col):
-        return F.window(col, width).start
+        return F.window(col, width).start.alias("window_start")
+
+    def event(df, ts):
+        at = F.col(ts) if ts in df.columns else F.lit(None).cast("timestamp")
+        eid = next((F.col(c) for c in ("last_event_id", "event_id") if c in df.columns), F.lit(None).cast("string"))
+        exch = F.col("exchange") if "exchange" in df.columns else F.col("last_exchange") if "last_exchange" in df.columns \
+            else F.lit(None).cast("string")
+        return F.struct(at.alias("timestamp"), eid.cast("string").alias("event_id"), exch.alias("exchange")).alias("event")
 
-    v = vol_scored.where(F.col("severity").isNotNull()).select(
-        win("window_start").alias("window_start"), "symbol",
-        F.least(F.abs("z_score") / F.lit(3.5), F.lit(1.0)).alias("v"),
-        F.lit(None).cast("double").alias("w"), F.lit(None).cast("double").alias("f"),
-        F.lit(None).cast("double").alias("flow_ratio"),
-        F.abs("z_score").alias("_vrank"), F.lit(None).cast("double").alias("_wrank"),
-        F.col("alert_id").alias("_vid") if "alert_id" in vol_scored.columns else F.lit(None).cast("string").alias("_vid"),
-        F.lit(None).cast("string").alias("_wid"), F.lit(None).cast("string").alias("_fid"))
     strength = reduce(lambda acc, kv: acc.when(F.col("severity") == kv[0], F.lit(kv[1])),
                       list(SEVERITY_STRENGTH.items())[1:],
                       F.when(F.col("severity") == "medium", F.lit(SEVERITY_STRENGTH["medium"])))
-    w = whales.select(
-        win("timestamp").alias("window_start"), "symbol", F.lit(None).cast("double").alias("v"),
-        strength.alias("w"), F.lit(None).cast("double").alias("f"), F.lit(None).cast("double").alias("flow_ratio"),
-        F.lit(None).cast("double").alias("_vrank"), F.col("quote_volume").alias("_wrank"),
-        F.lit(None).cast("string").alias("_vid"),
-        F.col("alert_id").alias("_wid") if "alert_id" in whales.columns else F.lit(None).cast("string").alias("_wid"),
-        F.lit(None).cast("string").alias("_fid"))
-    f = flows.select(
-        win("window_start").alias("window_start"), "symbol", F.lit(None).cast("double").alias("v"),
-        F.lit(None).cast("double").alias("w"), F.abs(F.lit(2.0) * F.col("flow_ratio") - F.lit(1.0)).alias("f"),
-        "flow_ratio", F.lit(None).cast("double").alias("_vrank"), F.lit(None).cast("double").alias("_wrank"),
-        F.lit(None).cast("string").alias("_vid"), F.lit(None).cast("string").alias("_wid"),
-        F.col("alert_id").alias("_fid") if "alert_id" in flows.columns else F.lit(None).cast("string").alias("_fid"))
-    u = v.unionByName(w).unionByName(f)
-    g = u.groupBy("window_start", "symbol").agg(
+    v = vol_scored.where(F.col("severity").isNotNull()).select(
+        win("window_start"), "symbol", F.least(F.abs("z_score") / F.lit(3.5), F.lit(1.0)).alias("v"), none.alias("w"),
+        nil.alias("buy"), nil.alias("sell"), _alert_ref(vol_scored).alias("alert_id"), event(vol_scored, "last_timestamp"))
+    w = whales.select(win("timestamp"), "symbol", none.alias("v"), strength.alias("w"), nil.alias("buy"), nil.alias("sell"),
+                      _alert_ref(whales).alias("alert_id"), event(whales, "timestamp"))
+    f = flows.select(win("window_start"), "symbol", none.alias("v"), none.alias("w"), money("buy_volume").alias("buy"),
+                     money("sell_volume").alias("sell"), _alert_ref(flows).alias("alert_id"), event(flows, "last_timestamp"))
+    return v.unionByName(w).unionByName(f)
+
+
+def consensus_signals(vol_scored: DataFrame, whales: DataFrame, flows: DataFrame, width: str = "5 minutes") -> DataFrame:
+    """One row per (window, symbol) with any signal: volume strength
+    v = min(max |z| / 3.5, 1) over flagged volume windows, whale strength w by
+    worst severity (0.5, 0.75, 1), flow strength f = |2 ratio - 1| (R8), where
+    ratio is that of all flow in the window. The three inputs are unioned and
+    grouped once (one shuffle, no joins); missing signals are 0. ``contributing``
+    counts the alerts behind the row; ``consensus_contributions`` lists them."""
+    g = _signal_rows(vol_scored, whales, flows, width).groupBy("window_start", "symbol").agg(
         F.coalesce(F.max("v"), F.lit(0.0)).alias("volume_signal"),
         F.coalesce(F.max("w"), F.lit(0.0)).alias("whale_signal"),
-        F.coalesce(F.max("f"), F.lit(0.0)).alias("flow_signal"),
-        F.max("flow_ratio").alias("flow_ratio"),
-        F.max_by("_vid", F.when(F.col("_vid").isNotNull(), F.struct("_vrank", "_vid"))).alias("_vid"),
-        F.max_by("_wid", F.when(F.col("_wid").isNotNull(), F.struct("_wrank", "_wid"))).alias("_wid"),
-        F.max("_fid").alias("_fid"))
+        F.sum("buy").alias("_buy"), F.sum("sell").alias("_sell"),
+        F.count("alert_id").alias("contributing"), F.max("event").alias("_event"))
+    ratio = F.try_divide(F.col("_buy").cast("double"), (F.col("_buy") + F.col("_sell")).cast("double"))
     end = F.col("window_start") + F.expr(f"INTERVAL {width}")
-    return g.select("window_start", end.alias("window_end"), "symbol", "volume_signal", "whale_signal", "flow_signal",
-                    "flow_ratio", F.array_sort(F.array_compact(F.array("_vid", "_wid", "_fid"))).alias("contributing"))
+    return g.withColumn("flow_ratio", ratio).select(
+        "window_start", end.alias("window_end"), "symbol", "volume_signal", "whale_signal",
+        F.coalesce(F.abs(F.lit(2.0) * F.col("flow_ratio") - F.lit(1.0)), F.lit(0.0)).alias("flow_signal"), "flow_ratio", "contributing",
+        F.col("_event.timestamp").alias("last_timestamp"), F.col("_event.event_id").alias("last_event_id"),
+        F.col("_event.exchange").alias("last_exchange"))
+
+
+def consensus_contributions(vol_scored: DataFrame, whales: DataFrame, flows: DataFrame, width: str = "5 minutes") -> DataFrame:
+    """One row per alert behind a consensus row: window_start, symbol, alert_id."""
+    return _signal_rows(vol_scored, whales, flows, width).where(F.col("alert_id").isNotNull()).select("window_start", "symbol", "alert_id")
 
 
 def consensus_score(sig: DataFrame, weights=(0.3, 0.3, 0.4)) -> DataFrame:

@@ -1,13 +1,11 @@
 """MOD-005 wallet labels: registry refresh, enrichment, alerts.
-The registry is a small reference table; it is broadcast only after its row
-count is checked (functions.joins.small_side)."""
+The join strategy is left to the planner and AQE, which see measured bytes."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewatch.functions.joins import small_side
 from tradewatch.operators.alerts import alert_build
 
 LABEL_COLS = ["wallet", "label", "entity_type"]
@@ -26,16 +24,16 @@ def label_refresh(old: DataFrame, new: DataFrame, key: str = "wallet") -> DataFr
 
 
 def label_enrich(df: DataFrame, labels: DataFrame, key: str = "wallet") -> DataFrame:
-    """Left join of transactions to the registry (broadcast when small)."""
+    """Left join of transactions to the registry."""
     lab = labels.select(F.col("wallet").alias(key), "label", "entity_type")
-    return df.join(small_side(lab), key, "left")
+    return df.join(lab, key, "left")
 
 
 def label_alerts(df: DataFrame, labels: DataFrame, usd: float = 100000, high_usd: float = 500000,
                  key: str = "wallet") -> DataFrame:
     """``known_whale_activity`` for trades above ``usd`` by labelled wallets."""
     lab = labels.select(F.col("wallet").alias(key), "label", "entity_type")
-    j = df.where(F.col("quote_volume") > F.lit(usd)).join(small_side(lab), key)
+    j = df.where(F.col("quote_volume") > F.lit(usd)).join(lab, key)
     j = j.withColumn("severity", F.when(F.col("quote_volume") > F.lit(high_usd), "high").otherwise("medium"))
     msg = F.format_string("Labelled wallet %s (%s) traded %d USD of %s", F.col(key).cast("string"), F.col("label"),
                           F.floor("quote_volume").cast("long"), F.col("symbol"))

@@ -43,10 +43,10 @@ def norm_unwrap(df: DataFrame, value_col: str = "value") -> DataFrame:
 def norm_venue_a(df: DataFrame, exchange: str = "binance", ingested_at=None, value_col: str = "value") -> DataFrame:
     """Venue A trade JSON (already unwrapped) -> nine unified columns."""
     m = F.from_json(F.col(value_col), VENUE_A_SCHEMA).alias("m")
-    trade_ms = F.get_json_object(F.col(value_col), "$.T").cast("long").alias("trade_ms")
+    trade_ms = F.get_json_object(F.col(value_col), "$.T").try_cast("long").alias("trade_ms")
     p = df.select(m, trade_ms).select("m.*", "trade_ms")
-    price = F.col("p").cast("double")
-    qty = F.col("q").cast("double")
+    price = F.col("p").try_cast("double")
+    qty = F.col("q").try_cast("double")
     return p.select(
         F.col("t").cast("string").alias("event_id"),
         F.lit(exchange).alias("exchange"),
@@ -69,8 +69,8 @@ def norm_venue_b(df: DataFrame, exchange: str = "coinbase", ingested_at=None, va
     """Venue B match JSON -> nine unified columns (side passes through)."""
     m = F.from_json(F.col(value_col), VENUE_B_SCHEMA).alias("m")
     p = norm_match_filter(df, value_col).select(m).select("m.*")
-    price = F.col("price").cast("double")
-    qty = F.col("size").cast("double")
+    price = F.col("price").try_cast("double")
+    qty = F.col("size").try_cast("double")
     return p.select(
         F.col("trade_id").cast("string").alias("event_id"),
         F.lit(exchange).alias("exchange"),

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradewatch.functions.columns import money
-from tradewatch.functions.joins import BROADCAST_MAX_ROWS, has_at_most
 from tradewatch.operators.alerts import alert_build
 from tradewatch.operators.windows import bucketed_prev
 
@@ -73,21 +72,13 @@ def onchain_large_transfer(df: DataFrame, usd: float = 50000, high_usd: float =
                        id_cols=["blockchain", "tx"], detected_at="block_timestamp", exchange=None)
 
 
-def onchain_known_wallet(df: DataFrame, labels: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Events whose sender or receiver is labelled. With a registry of proven
-    small size: two broadcast lookups and a filter (no shuffle, no dedupe).
-    Otherwise: semi join on sender, union semi join on receiver minus the
-    rows already taken (no duplicates, so no distinct)."""
-    lab = labels.select(F.col("wallet"))
-    if has_at_most(lab, max_rows):
-        b = F.broadcast(lab.distinct())
-        j = df.join(b.withColumnRenamed("wallet", "_f"), F.col("from_wallet") == F.col("_f"), "left") \
-              .join(b.withColumnRenamed("wallet", "_t"), F.col("to_wallet") == F.col("_t"), "left")
-        return j.where(F.col("_f").isNotNull() | F.col("_t").isNotNull()).drop("_f", "_t")
-    by_from = df.join(lab, df.from_wallet == lab.wallet, "left_semi")
-    not_from = df.join(lab, df.from_wallet == lab.wallet, "left_anti")
-    by_to = not_from.join(lab, not_from.to_wallet == lab.wallet, "left_semi")
-    return by_from.unionByName(by_to)
+def onchain_known_wallet(df: DataFrame, labels: DataFrame) -> DataFrame:
+    """Events whose sender or receiver is labelled: one lookup for each side,
+    against distinct wallets, so that no event comes twice."""
+    lab = labels.select("wallet").distinct()
+    j = df.join(lab.withColumnRenamed("wallet", "_f"), F.col("from_wallet") == F.col("_f"), "left") \
+          .join(lab.withColumnRenamed("wallet", "_t"), F.col("to_wallet") == F.col("_t"), "left")
+    return j.where(F.col("_f").isNotNull() | F.col("_t").isNotNull()).drop("_f", "_t")
 
 
 def dex_decode(df: DataFrame, params_col: str = "params") -> DataFrame:

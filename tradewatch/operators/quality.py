@@ -44,18 +44,21 @@ def _with_rule(df: DataFrame, name: str, failed: Column) -> DataFrame:
 
 
 def dq_schema(df: DataFrame, schema: T.StructType = TRADE_JSON_SCHEMA, value_col: str = "value") -> DataFrame:
-    """Parse payloads; rows that are not a JSON object of the schema get the
-    ``malformed`` rule and null fields. Times arrive as ISO text."""
-    parsed = F.from_json(F.col(value_col), schema)
-    out = df.withColumn("_p", parsed).withColumn(
-        "_malformed", F.col(value_col).isNull() | F.col("_p").isNull()
-        | ~F.coalesce(F.col(value_col).rlike(r"^\s*\{.*\}\s*$"), F.lit(False)))
-    cols = [F.when(~F.col("_malformed"), F.col(f"_p.{f.name}")).alias(f.name) for f in schema.fields]
-    keep = [c for c in df.columns if c not in {f.name for f in schema.fields}]
-    out = out.select(*keep, *cols, "_malformed")
-    for f in ("timestamp", "ingestion_timestamp"):
-        if f in out.columns:
-            out = out.withColumn(f, F.to_timestamp(F.regexp_replace(f, "Z$", "")))
+    """Parse payloads; rows that are not a JSON object of the schema (cut
+    short, a field of the wrong type, a time that is none) get the
+    ``malformed`` rule and null fields. Times arrive as ISO text. No record
+    ends the job."""
+    corrupt = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
+    parsed = F.from_json(F.col(value_col), corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    times = [f for f in ("timestamp", "ingestion_timestamp") if f in schema.names]
+    when = {f: F.try_to_timestamp(F.regexp_replace(F.col(f"_p.{f}"), "Z$", "")) for f in times}
+    bad = (F.col(value_col).isNull() | F.col("_p").isNull() | F.col("_p._corrupt").isNotNull()
+           | ~F.coalesce(F.ltrim(F.col(value_col)).startswith("{"), F.lit(False)))
+    for f in times:
+        bad = bad | (F.col(f"_p.{f}").isNotNull() & when[f].isNull())
+    keep = [c for c in df.columns if c not in schema.names]
+    out = df.withColumn("_p", parsed).withColumn("_malformed", bad)
+    out = out.select(*keep, *[F.when(~F.col("_malformed"), when.get(n, F.col(f"_p.{n}"))).alias(n) for n in schema.names], "_malformed")
     return _with_rule(out, "malformed", F.col("_malformed")).drop("_malformed")
 
 
@@ -126,11 +129,13 @@ def dq_dedup(df: DataFrame, seconds: int = 3600) -> DataFrame:
 
 def dq_late_flag(df: DataFrame, seconds: int = 300, as_of=None) -> DataFrame:
     """``is_late``: older than ``seconds`` at processing time (ingestion time,
-    or ``as_of`` when given). Late rows are kept."""
+    or ``as_of`` when given). ``is_early``: that much in the future, a skewed
+    clock. Both are kept."""
     ref = F.col("ingestion_timestamp") if as_of is None else (
         as_of if isinstance(as_of, Column) else F.lit(as_of).cast("timestamp"))
     lag_us = F.unix_micros(ref) - F.unix_micros("timestamp")
-    return df.withColumn("is_late", F.coalesce(lag_us > F.lit(seconds * 1_000_000), F.lit(False)))
+    return df.withColumn("is_late", F.coalesce(lag_us > F.lit(seconds * 1_000_000), F.lit(False))).withColumn(
+        "is_early", F.coalesce(lag_us < F.lit(-seconds * 1_000_000), F.lit(False)))
 
 
 def dq_consistency(df: DataFrame, tol: float = 0.001) -> DataFrame:
@@ -220,15 +225,24 @@ def dq_dlq_summary(invalid: DataFrame) -> DataFrame:
     return invalid.groupBy("dt", "reason").agg(F.count(F.lit(1)).alias("records"))
 
 
-def dq_stream_gap(df: DataFrame, width_seconds: int) -> DataFrame:
-    """Windows with no record per (exchange, symbol) between each key's first
-    and last window. The calendar grows with time span / width, not rows."""
+def dq_stream_gap(df: DataFrame, width_seconds: int, start=None, as_of=None) -> DataFrame:
+    """Windows with no record per (exchange, symbol) from ``start`` to ``as_of``
+    (default: the first and last window of the whole input), so that a feed that came
+    late or has stopped is reported too. The calendar grows with time span / width,
+    not with rows."""
     w_us = width_seconds * 1_000_000
-    start_us = F.floor(F.unix_micros("timestamp") / F.lit(w_us)) * F.lit(w_us)
-    seen = df.select("exchange", "symbol", start_us.cast("long").alias("ws")).distinct()
-    bounds = seen.groupBy("exchange", "symbol").agg(F.min("ws").alias("lo"), F.max("ws").alias("hi"))
-    cal = bounds.select("exchange", "symbol",
-                        F.explode(F.sequence("lo", "hi", F.lit(w_us).cast("long"))).alias("ws"))
+
+    def window_of(c):
+        return (F.floor(F.unix_micros(c) / F.lit(w_us)) * F.lit(w_us)).cast("long")
+
+    def bound(given, default):
+        if given is None:
+            return df.agg(default("timestamp")).scalar()
+        return given if isinstance(given, Column) else F.lit(given).cast("timestamp")
+
+    seen = df.select("exchange", "symbol", window_of(F.col("timestamp")).alias("ws")).distinct()
+    cal = seen.select("exchange", "symbol").distinct().select("exchange", "symbol", F.explode(F.sequence(
+        window_of(bound(start, F.min)), window_of(bound(as_of, F.max)), F.lit(w_us).cast("long"))).alias("ws"))
     gaps = cal.join(seen, ["exchange", "symbol", "ws"], "left_anti")
     return gaps.select("exchange", "symbol", F.timestamp_micros("ws").alias("window_start"),
                        F.timestamp_micros(F.col("ws") + F.lit(w_us)).alias("window_end"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradewatch.functions.columns import iso_ms, money
@@ -16,25 +16,31 @@ def vwap(df: DataFrame, width: str = "30 seconds") -> DataFrame:
         F.sum(money(F.col("price") * F.col("quantity"))).alias("_pq"),
         F.sum(money("quantity")).alias("_q"),
         F.count(F.lit(1)).alias("trade_count"),
-        F.max_by("event_id", F.struct("timestamp", "event_id")).alias("last_event_id"),
+        F.max(F.struct("timestamp", "event_id")).alias("_last"),
     )
     return g.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "symbol", "exchange",
                     F.try_divide(F.col("_pq").cast("double"), F.col("_q").cast("double")).alias("vwap"), "trade_count",
-                    "last_event_id")
+                    F.col("_last.event_id").alias("last_event_id"), F.col("_last.timestamp").alias("last_timestamp"))
 
 
 def spread(vwaps: DataFrame) -> DataFrame:
-    """Venues of a (window, symbol) ordered by name; each venue is paired with
-    the next one: spread_pct = (vwap_a - vwap_b) / vwap_b * 100 (signed, R5).
-    Two venues give one row; a one-venue window gives none. The window runs on
-    the small per-venue aggregate, one tiny group per (window, symbol)."""
-    w = Window.partitionBy("window_start", "symbol").orderBy("exchange")
-    nxt = vwaps.select("*", F.lead("exchange").over(w).alias("exchange_b"), F.lead("vwap").over(w).alias("vwap_b"))
-    out = nxt.where(F.col("exchange_b").isNotNull()).select(
-        "window_start", "window_end", "symbol", F.col("exchange").alias("exchange_a"), "exchange_b",
-        F.col("vwap").alias("vwap_a"), "vwap_b",
-        (F.try_divide(F.col("vwap") - F.col("vwap_b"), F.col("vwap_b")) * F.lit(100.0)).alias("spread_pct"))
-    return out
+    """The widest pair of venues per (window, symbol): lowest and highest VWAP,
+    put in name order; spread_pct = (vwap_a - vwap_b) / vwap_b * 100 (signed,
+    R5). Venues of one VWAP are told apart by name. A one-venue window gives
+    no row. One aggregation over the per-venue rows, linear in the venues."""
+    v = F.struct("vwap", "exchange")
+    last = F.max(F.struct("last_timestamp", "exchange", "last_event_id")) if "last_event_id" in vwaps.columns else None
+    g = vwaps.where(F.col("vwap").isNotNull()).groupBy("window_start", "window_end", "symbol").agg(
+        F.min(v).alias("lo"), F.max(v).alias("hi"), *([last.alias("last")] if last is not None else []))
+    first = F.col("lo.exchange") < F.col("hi.exchange")
+    a, b = (F.when(first, F.col(x)).otherwise(F.col(y)) for x, y in (("lo", "hi"), ("hi", "lo")))
+    out = g.where(F.col("lo.exchange") != F.col("hi.exchange")).withColumn("a", a).withColumn("b", b)
+    pct = F.try_divide(F.col("a.vwap") - F.col("b.vwap"), F.col("b.vwap")) * F.lit(100.0)
+    event = [F.col("last.last_timestamp").alias("last_timestamp"), F.col("last.exchange").alias("last_exchange"),
+             F.col("last.last_event_id").alias("last_event_id")] if last is not None else []
+    return out.select("window_start", "window_end", "symbol", F.col("a.exchange").alias("exchange_a"),
+                      F.col("b.exchange").alias("exchange_b"), F.col("a.vwap").alias("vwap_a"), F.col("b.vwap").alias("vwap_b"),
+                      pct.alias("spread_pct"), *event)
 
 
 def spread_alerts(spreads: DataFrame, pct: float = 0.5, high: float = 1.0) -> DataFrame:

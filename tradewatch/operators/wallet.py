@@ -84,16 +84,16 @@ def alpha_percentile(scores: DataFrame, out_col: str = "alpha_percentile") -> Da
     return distributed_percent_rank(scores, ["blockchain", "scored_at"], "alpha", out_col)
 
 
-def wallet_high_alpha(scores: DataFrame, pct: float = 0.95, high_pct: float = 0.99,
-                      accuracy: int = 10_000) -> DataFrame:
+def wallet_high_alpha(scores: DataFrame, pct: float = 0.95, high_pct: float = 0.99) -> DataFrame:
     """``high_alpha_wallet`` alerts for alpha above the ``pct`` percentile of
-    its scoring run (high above ``high_pct``). Thresholds come from
-    ``percentile_approx``: a sketch of bounded size per run (rank error at
-    most n / ``accuracy``, so exact for runs of up to ``accuracy`` wallets),
-    merged map-side; no global sort."""
-    th = scores.where(F.col("alpha").isNotNull()).groupBy("scored_at").agg(
-        F.percentile_approx("alpha", [pct, high_pct], accuracy).alias("_q"))
-    th = th.select("scored_at", F.col("_q")[0].alias("threshold"), F.col("_q")[1].alias("high_threshold"))
+    its scoring run (high above ``high_pct``). The percentile is exact: the
+    value of rank ceil(pct * n), by the distributed rank of the distinct values."""
+    known = scores.where(F.col("alpha").isNotNull())
+    ranked = distributed_percent_rank(known, ["scored_at"], "alpha", "_rank")
+    sizes = known.groupBy("scored_at").agg(F.count(F.lit(1)).alias("_n"))
+    below = F.round(F.col("_rank") * (F.col("_n") - 1))  # values strictly below
+    at = lambda q: F.max(F.when(below < F.ceil(F.lit(q) * F.col("_n")), F.col("alpha")))
+    th = ranked.join(sizes, "scored_at").groupBy("scored_at").agg(at(pct).alias("threshold"), at(high_pct).alias("high_threshold"))
     # one row per scoring run; AQE broadcasts it when its measured size allows
     j = scores.join(th, "scored_at").where(F.col("alpha") > F.col("threshold"))
     j = j.withColumn("severity", F.when(F.col("alpha") > F.col("high_threshold"), "high").otherwise("medium"))

@@ -77,7 +77,7 @@ def wallet_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def wallet_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     cu = table(spark, sf_dir, "customer")
-    return cu.where(F.col("c_custkey") % 10 == 0).select(
+    return cu.where(F.col("c_mktsegment") != "HOUSEHOLD").select(
         F.col("c_custkey").alias("wallet"), F.col("c_name").alias("label"),
         F.col("c_mktsegment").alias("entity_type"))
 
@@ -85,6 +85,7 @@ def wallet_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 def onchain_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """On-chain events from ``orders``: swaps on two routers, the rest transfers."""
     o = table(spark, sf_dir, "orders")
+    wallets = table(spark, sf_dir, "customer").agg(F.max("c_custkey")).scalar()
     prio = F.col("o_orderpriority")
     kind = F.when(prio.isin("1-URGENT", "2-HIGH"), "swap").otherwise("transfer")
     protocol = F.when(prio == "1-URGENT", "uniswap").when(prio == "2-HIGH", "jupiter")
@@ -94,7 +95,7 @@ def onchain_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").cast("string").alias("tx"),
         chain.alias("blockchain"),
         F.col("o_custkey").alias("from_wallet"),
-        ((F.col("o_custkey") * 7) % 1500).alias("to_wallet"),
+        ((F.col("o_custkey") * 7) % wallets).alias("to_wallet"),
         kind.alias("kind"),
         protocol.alias("protocol"),
         F.col("o_totalprice").alias("value_usd"),

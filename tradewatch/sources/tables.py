@@ -10,41 +10,7 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
-_SPLITS: dict = {}
-
-
-def _splits(df: DataFrame, path: str | None) -> int:
-    """Scan split count (planning only); remembered per path and context."""
-    if path is None:
-        return df.rdd.getNumPartitions()
-    k = (id(df.sparkSession.sparkContext), path)
-    if k not in _SPLITS:
-        _SPLITS[k] = df.rdd.getNumPartitions()
-    return _SPLITS[k]
-
-
-def spread_input(df: DataFrame, key: str | None = None, path: str | None = None) -> DataFrame:
-    """Give an under-split scan the cluster's parallelism.
-
-    A table stored as one file with one row group is read by one task, and
-    every row-level step before the first shuffle (JSON, hashing, casts) then
-    runs on one core. When a scan has fewer splits than the default
-    parallelism, rows are hash-partitioned on the table's key (its first
-    column by default) into that many partitions. Hashing a key is
-    deterministic on retry without the full sort a round-robin repartition
-    needs; filters and column pruning still run below the exchange, in the
-    scan. With as many shuffle partitions as cores, a later join or
-    aggregate on the same key reuses this partitioning instead of shuffling
-    again (lineitem and orders meet on the order key this way).
-    Inputs that are already split (any real table at scale) are left as they
-    are."""
-    spark = df.sparkSession
-    target = spark.sparkContext.defaultParallelism
-    if _splits(df, path) < spark.sparkContext.defaultParallelism:
-        return df.repartition(target, key or df.columns[0])
-    return df
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    return spread_input(spark.read.parquet(path), path=path)
+    """One driver table; the scan's own splits set the parallelism
+    (``spark.sql.files.maxPartitionBytes`` and the files' row groups)."""
+    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))

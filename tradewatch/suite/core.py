@@ -589,7 +589,7 @@ def q_dq_stream_gap(spark, sf):
 
 sql("dq_stream_gap", with_(TRADES_E) + """,
 seen AS (SELECT DISTINCT exchange, symbol, (epoch_us("timestamp") // 3600000000) * 3600000000 AS ws FROM trades_e),
-b AS (SELECT exchange, symbol, min(ws) AS lo, max(ws) AS hi FROM seen GROUP BY 1, 2),
+b AS (SELECT DISTINCT exchange, symbol, (SELECT min(ws) FROM seen) AS lo, (SELECT max(ws) FROM seen) AS hi FROM seen),
 cal AS (SELECT exchange, symbol, unnest(range(lo, hi + 1, 3600000000)) AS ws FROM b)
 SELECT c.exchange, c.symbol, make_timestamp(c.ws) AS window_start, make_timestamp(c.ws + 3600000000) AS window_end
 FROM cal c ANTI JOIN seen s ON c.exchange = s.exchange AND c.symbol = s.symbol AND c.ws = s.ws""")

@@ -172,7 +172,7 @@ FROM l WHERE abs(alpha - prev_alpha) > {SCORE_DELTA}""")
 
 def labels_new(spark, sf):
     cu = A.table(spark, sf, "customer")
-    return cu.where(F.col("c_custkey") % 15 == 0).select(
+    return cu.where(F.col("c_mktsegment").isin("BUILDING", "HOUSEHOLD")).select(
         F.col("c_custkey").alias("wallet"), F.concat(F.col("c_name"), F.lit("-v2")).alias("label"),
         F.col("c_mktsegment").alias("entity_type"))
 
@@ -184,7 +184,7 @@ def q_label_refresh(spark, sf):
 
 sql("label_refresh", with_(WALLET_LABELS) + """,
 nw AS (SELECT c_custkey AS wallet, c_name || '-v2' AS label, c_mktsegment AS entity_type FROM customer
-       WHERE c_custkey % 15 = 0)
+       WHERE c_mktsegment IN ('BUILDING', 'HOUSEHOLD'))
 SELECT coalesce(n.wallet, o.wallet) AS wallet, coalesce(n.label, o.label) AS label,
   coalesce(n.entity_type, o.entity_type) AS entity_type,
   CASE WHEN n.label IS NULL THEN 'kept' WHEN o.label IS NULL THEN 'added' WHEN o.label = n.label THEN 'unchanged'
@@ -278,7 +278,7 @@ SELECT {alert_id('alert_type', 'NULL', 'symbol', 'epoch_us(window_start) // 1000
   {sround('flow_ratio', 6)} AS d_flow_ratio, whale_count AS d_whale_count FROM fla""")
 
 
-def consensus(spark, sf):
+def consensus_inputs(spark, sf):
     vs = vol_scored(spark, sf).withColumn(
         "alert_id", alert_id_col(F.lit("volume_spike"), "exchange", "symbol", F.unix_seconds("window_start")))
     wh = whales_e(spark, sf).withColumn("alert_id", alert_id_col(F.lit("whale_trade"), "exchange", "symbol", "event_id"))
@@ -287,32 +287,34 @@ def consensus(spark, sf):
     ftype = F.when(r > 0.7, "accumulation_signal").when(r < 0.3, "distribution_signal")
     fl = fl.withColumn("alert_id", F.when(ftype.isNotNull(), alert_id_col(
         ftype, F.lit(None).cast("string"), "symbol", F.unix_seconds("window_start"))))
-    return FL.consensus_score(FL.consensus_signals(vs, wh, fl, FLOW_W))
+    return vs, wh, fl
+
+
+def consensus(spark, sf):
+    return FL.consensus_score(FL.consensus_signals(*consensus_inputs(spark, sf), FLOW_W))
 
 
 CONS_SQL = VOL_ALERTS_SQL + FLOW_SQL + f""",
 u AS (
   SELECT time_bucket(INTERVAL 6 HOUR, window_start, TIMESTAMP '1970-01-01') AS window_start, symbol,
     least(abs(z_score) / 3.5, 1.0) AS v, NULL::DOUBLE AS w, NULL::DOUBLE AS f, NULL::DOUBLE AS flow_ratio,
-    abs(z_score) AS vrank, NULL::DOUBLE AS wrank, alert_id AS vid, NULL::VARCHAR AS wid, NULL::VARCHAR AS fid
+    alert_id AS aid, NULL::DOUBLE AS buy, NULL::DOUBLE AS sell
   FROM vol_alerts
   UNION ALL
   SELECT time_bucket(INTERVAL 6 HOUR, "timestamp", TIMESTAMP '1970-01-01'), symbol, NULL,
     CASE severity WHEN 'medium' THEN 0.5 WHEN 'high' THEN 0.75 WHEN 'critical' THEN 1.0 END, NULL, NULL,
-    NULL, quote_volume, NULL, {alert_id("'whale_trade'", 'exchange', 'symbol', 'event_id')}, NULL
+    {alert_id("'whale_trade'", 'exchange', 'symbol', 'event_id')}, NULL, NULL
   FROM wh
   UNION ALL
-  SELECT window_start, symbol, NULL, NULL, abs(2.0 * flow_ratio - 1.0), flow_ratio, NULL, NULL, NULL, NULL,
+  SELECT window_start, symbol, NULL, NULL, abs(2.0 * flow_ratio - 1.0), flow_ratio,
     CASE WHEN flow_ratio > 0.7 OR flow_ratio < 0.3 THEN
       {alert_id("CASE WHEN flow_ratio > 0.7 THEN 'accumulation_signal' ELSE 'distribution_signal' END", 'NULL',
-                'symbol', 'epoch_us(window_start) // 1000000')} END
+                'symbol', 'epoch_us(window_start) // 1000000')} END, buy_volume, sell_volume
   FROM fl),
 cs AS (
   SELECT window_start, window_start + INTERVAL 6 HOUR AS window_end, symbol,
     coalesce(max(v), 0.0) AS volume_signal, coalesce(max(w), 0.0) AS whale_signal, coalesce(max(f), 0.0) AS flow_signal,
-    max(flow_ratio) AS flow_ratio,
-    array_to_string(list_sort(list_filter([arg_max(vid, vrank) FILTER (WHERE vid IS NOT NULL),
-      arg_max(wid, wrank) FILTER (WHERE wid IS NOT NULL), max(fid)], lambda x: x IS NOT NULL)), ',') AS contributing
+    max(flow_ratio) AS flow_ratio, count(aid) AS contributing
   FROM u GROUP BY window_start, symbol),
 cscore AS (
   SELECT *, 100.0 * (0.3 * volume_signal + 0.3 * whale_signal + 0.4 * flow_signal) AS consensus_score FROM cs)"""
@@ -323,7 +325,7 @@ def q_consensus_signals(spark, sf):
     c = consensus(spark, sf)
     return c.select("window_start", "window_end", "symbol", stable_round("volume_signal", 6).alias("volume_signal"),
                     "whale_signal", stable_round("flow_signal", 6).alias("flow_signal"),
-                    F.concat_ws(",", "contributing").alias("contributing"))
+                    "contributing")
 
 
 sql("consensus_signals", with_(TRADES_E) + VOL_SQL + CONS_SQL + f"""
@@ -331,6 +333,16 @@ SELECT window_start, window_end, symbol, {sround('volume_signal', 6)} AS volume_
   {sround('flow_signal', 6)} AS flow_signal, contributing FROM cscore""")
 
 
+@query("consensus_contributions")
+def q_consensus_contributions(spark, sf):
+    """Every alert behind a consensus row, as rows."""
+    return FL.consensus_contributions(*consensus_inputs(spark, sf), FLOW_W)
+
+
+sql("consensus_contributions", with_(TRADES_E) + VOL_SQL + CONS_SQL + """
+SELECT window_start, symbol, aid AS alert_id FROM u WHERE aid IS NOT NULL""")
+
+
 @query("consensus_score")
 def q_consensus_score(spark, sf):
     c = consensus(spark, sf)
@@ -346,8 +358,8 @@ CONS_FIELDS = {"consensus_score": "double"}
 @query("consensus_alerts")
 def q_consensus_alerts(spark, sf):
     alerts = FL.consensus_alerts(consensus(spark, sf))
-    contributing = F.from_json(F.get_json_object("details", "$.contributing_alerts"), "array<string>")
-    a = alert_view(alerts.withColumn("d_contributing", F.concat_ws(",", contributing)), CONS_FIELDS)
+    contributing = F.get_json_object("details", "$.contributing_alerts").cast("long")
+    a = alert_view(alerts.withColumn("d_contributing", contributing), CONS_FIELDS)
     return a.withColumn("d_consensus_score", stable_round("d_consensus_score", 6))
 
 

@@ -47,14 +47,14 @@ wallet_trades AS (
 
 WALLET_LABELS = """
 wallet_labels AS (
-  SELECT c_custkey AS wallet, c_name AS label, c_mktsegment AS entity_type FROM customer WHERE c_custkey % 10 = 0)"""
+  SELECT c_custkey AS wallet, c_name AS label, c_mktsegment AS entity_type FROM customer WHERE c_mktsegment <> 'HOUSEHOLD')"""
 
 ONCHAIN_RAW = """
 onchain_raw AS (
   SELECT CAST(o_orderkey AS VARCHAR) AS tx,
     CASE WHEN o_orderpriority = '1-URGENT' THEN 'ethereum' WHEN o_orderpriority = '2-HIGH' THEN 'solana'
          WHEN o_custkey % 2 = 0 THEN 'ethereum' ELSE 'solana' END AS blockchain,
-    o_custkey AS from_wallet, (o_custkey * 7) % 1500 AS to_wallet,
+    o_custkey AS from_wallet, (o_custkey * 7) % (SELECT max(c_custkey) FROM customer) AS to_wallet,
     CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'swap' ELSE 'transfer' END AS kind,
     CASE WHEN o_orderpriority = '1-URGENT' THEN 'uniswap' WHEN o_orderpriority = '2-HIGH' THEN 'jupiter' END AS protocol,
     o_totalprice AS value_usd, CAST(o_orderdate AS TIMESTAMP) AS block_timestamp

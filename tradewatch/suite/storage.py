@@ -24,7 +24,7 @@ from tradewatch.suite.registry import PROCESSED_AT, query, sql
 from tradewatch.suite.serve import BASE, BASE_SQL, SMALL_SQL, RUN_CFG, small_alerts
 
 CUT = "2024-01-20 00:00:00"
-FIXTURE_VERSION = "v1"
+FIXTURE_VERSION = "v2"
 
 
 def _tag(sf: str) -> str:
@@ -67,7 +67,7 @@ def q_src_agg_trades(spark, sf):
     """A per-pair dump folder (CSV) of venue A trades, loaded per pair."""
     path = fixture_path(spark, sf, "agg_dump")
     if SK.read_if_exists(spark, path, "csv") is None:
-        t = A.trades_e(spark, sf).where(F.col("event_id").cast("long") % 2 == 0)
+        t = A.trades_e(spark, sf)
         dump = t.select(F.regexp_replace("symbol", "-", "").alias("pair"),
                         F.col("event_id").cast("long").alias("agg_trade_id"), F.col("price").cast("string").alias("price"),
                         F.col("quantity").cast("string").alias("quantity"),
@@ -83,9 +83,9 @@ def q_src_agg_trades(spark, sf):
 
 
 sql("src_agg_trades", with_(TRADES_E) + """
-SELECT event_id, exchange, symbol, price, quantity, quote_volume, side,
+SELECT event_id, 'binance' AS exchange, symbol, price, quantity, quote_volume, side,
   make_timestamp((epoch_us("timestamp") // 1000) * 1000) AS "timestamp", strftime("timestamp", '%Y-%m-%d') AS date
-FROM trades_e WHERE n % 2 = 0""")
+FROM trades_e""")
 
 
 @query("src_label_files")
@@ -94,16 +94,16 @@ def q_src_label_files(spark, sf):
     csv_p, json_p = os.path.join(base, "csv"), os.path.join(base, "json")
     A.wallet_labels(spark, sf).write.mode("overwrite").option("header", True).csv(csv_p)
     cu = A.table(spark, sf, "customer")
-    cu.where(F.col("c_custkey") % 15 == 0).select(
+    cu.where(F.col("c_mktsegment").isin("BUILDING", "HOUSEHOLD")).select(
         F.col("c_custkey").alias("wallet"), F.concat(F.col("c_name"), F.lit("-v2")).alias("label"),
         F.col("c_mktsegment").alias("entity_type")).write.mode("overwrite").json(json_p)
     return TR.load_labels(spark, [csv_p], [json_p])
 
 
 sql("src_label_files", """
-WITH o AS (SELECT c_custkey AS wallet, c_name AS label, c_mktsegment AS entity_type FROM customer WHERE c_custkey % 10 = 0),
+WITH o AS (SELECT c_custkey AS wallet, c_name AS label, c_mktsegment AS entity_type FROM customer WHERE c_mktsegment <> 'HOUSEHOLD'),
 n AS (SELECT c_custkey AS wallet, c_name || '-v2' AS label, c_mktsegment AS entity_type FROM customer
-      WHERE c_custkey % 15 = 0)
+      WHERE c_mktsegment IN ('BUILDING', 'HOUSEHOLD'))
 SELECT wallet, label, entity_type FROM n
 UNION ALL
 SELECT wallet, label, entity_type FROM o WHERE wallet NOT IN (SELECT wallet FROM n)""")
