@@ -42,6 +42,13 @@ def lin_attach(df: DataFrame, module_id: str, detector_name: str, cfg: dict, pro
     return df.withColumn("_lineage", lineage)
 
 
+def lin_attach_latest(df: DataFrame, module_id: str, detector_name: str, cfg: dict, processed_at: str) -> DataFrame:
+    """Lineage of an aggregated row: its latest event (last_event_id,
+    last_timestamp, last_exchange)."""
+    cid = lin_correlation_id("last_exchange", "symbol", iso_ms("last_timestamp"))
+    return lin_attach(df.withColumn("correlation_id", cid), module_id, detector_name, cfg, processed_at, event_col="last_event_id")
+
+
 def lin_merge_details(df: DataFrame, details_col: str = "details") -> DataFrame:
     """Nest ``_lineage`` inside the ``details`` struct and serialise last."""
     merged = F.col(details_col).withField("_lineage", F.col("_lineage"))

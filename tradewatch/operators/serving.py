@@ -17,18 +17,22 @@ def _ts(v) -> Column:
     return v if isinstance(v, Column) else F.lit(v).cast("timestamp")
 
 
-def alerts_query(alerts: DataFrame, alert_type=None, symbol=None, since=None, limit: int = 50) -> DataFrame:
-    """Filter by type, symbol and time (partition columns of the alert
-    table, so the scan prunes), newest first, at most ``limit`` rows (capped
-    at 200) plus ``has_more``."""
+def alerts_query(alerts: DataFrame, alert_type=None, symbol=None, since=None, limit: int = 50, as_of=None) -> DataFrame:
+    """Filter by type, symbol and time, newest first, at most ``limit`` rows
+    (capped at 200) plus ``has_more``. Type and day (``dt``, where the table has
+    it) are partition columns, so the scan prunes. Without ``since`` it is 24 hours
+    before ``as_of`` (default: now)."""
+    if since is None:
+        since = (F.current_timestamp() if as_of is None else _ts(as_of)) - F.expr("INTERVAL 24 HOURS")
     limit = max(1, min(int(limit), MAX_LIMIT))
     a = alerts
     if alert_type is not None:
         a = a.where(F.col("alert_type") == alert_type)
     if symbol is not None:
         a = a.where(F.col("symbol") == symbol)
-    if since is not None:
-        a = a.where(F.col("detected_at") >= _ts(since))
+    if "dt" in a.columns:
+        a = a.where(F.col("dt").cast("date") >= F.to_date(_ts(since)))
+    a = a.where(F.col("detected_at") >= _ts(since))
     order = [F.col("detected_at").desc(), F.col("alert_id").desc()]
     # two top-k scans (TakeOrderedAndProject): the page, and limit + 1 rows
     # counted as a scalar subquery for has_more
@@ -38,7 +42,7 @@ def alerts_query(alerts: DataFrame, alert_type=None, symbol=None, since=None, li
 
 def metrics_symbol(trades: DataFrame, spreads: DataFrame, alerts: DataFrame, as_of=None) -> DataFrame:
     """Per (symbol, exchange): last price, 1 h volume; per symbol: latest
-    spread, anomaly count in 24 h, last whale time and size. ``as_of``
+    spread, anomaly count in 24 h, last whale time, size, price, quantity and side. ``as_of``
     defaults to the latest trade (a scalar subquery, computed once)."""
     clock = trades.agg(F.max("timestamp")).scalar() if as_of is None else _ts(as_of)
     t = trades.where(F.col("timestamp") <= clock)
@@ -53,11 +57,14 @@ def metrics_symbol(trades: DataFrame, spreads: DataFrame, alerts: DataFrame, as_
     al = alerts.where(F.col("detected_at") <= clock).groupBy("symbol").agg(
         F.count(F.when(F.col("detected_at") > day_ago, 1)).alias("anomaly_count_24h"),
         F.max(F.when(F.col("alert_type") == "whale_trade", F.col("detected_at"))).alias("last_whale_at"),
-        F.max_by(F.when(F.col("alert_type") == "whale_trade", F.get_json_object("details", "$.quote_volume")
-                        .cast("double")),
-                 F.when(F.col("alert_type") == "whale_trade", F.struct("detected_at", "alert_id")))
-        .alias("last_whale_usd"))
-    return venue.join(sp, "symbol", "left").join(al, "symbol", "left")
+        F.max_by(F.when(F.col("alert_type") == "whale_trade", F.col("details")),
+                 F.when(F.col("alert_type") == "whale_trade", F.struct("detected_at", "alert_id"))).alias("_whale"))
+    whale = F.from_json("_whale", "quote_volume double, price double, quantity double, side string")
+    al = al.withColumn("_w", whale).select(
+        "symbol", "anomaly_count_24h", "last_whale_at", F.col("_w.quote_volume").alias("last_whale_usd"),
+        F.col("_w.price").alias("last_whale_price"), F.col("_w.quantity").alias("last_whale_quantity"),
+        F.col("_w.side").alias("last_whale_side"))
+    return venue.join(sp, "symbol", "left").join(al, "symbol", "left").withColumn("updated_at", clock)
 
 
 def board_volume(agg: DataFrame, alerts: DataFrame) -> DataFrame:

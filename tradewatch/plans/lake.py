@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tradewatch.plans.modules import run_modules
 from tradewatch.operators.alerts import alert_union
+from tradewatch.plans.sinks import read_if_exists
 
 
 def snapshot_write(df: DataFrame, path: str, commit_id: int, committed_at: str, partition_cols=("date",)) -> None:
@@ -51,17 +52,27 @@ def reconcile(old: DataFrame, new: DataFrame, key: str = "alert_id", compare=Non
                     F.when(both, F.array_join(diffs, ",")).otherwise(F.lit("")).alias("changed_columns"))
 
 
-def swap_if_valid(spark: SparkSession, view: str, new_path: str, diff: DataFrame, max_changed: int) -> DataFrame:
-    """Point ``view`` at the reprocessed table only if at most
-    ``max_changed`` rows differ (changed + missing + new). The decision is one
-    aggregated row; the view swap itself is catalog metadata."""
+def swap_if_valid(spark: SparkSession, pointers: str, name: str, new_path: str, diff: DataFrame,
+                  max_share: float = 0.01) -> DataFrame:
+    """Point the table ``name`` at the reprocessed folder only if at most
+    ``max_share`` of the compared rows differ (changed, missing or new). The pointer is a
+    row appended to the table ``pointers``, which outlives the session; the last one counts."""
     summary = diff.agg(
         F.count(F.when(F.col("status") != "same", 1)).alias("differing"),
-        F.count(F.lit(1)).alias("compared")).withColumn("passed", F.col("differing") <= F.lit(max_changed))
+        F.count(F.lit(1)).alias("compared")).withColumn("passed", F.col("differing") <= F.col("compared") * F.lit(max_share))
     row = summary.first()
     if row["passed"]:
-        spark.read.parquet(new_path).createOrReplaceTempView(view)
-    return summary.withColumn("view", F.lit(view)).withColumn("swapped", F.lit(bool(row["passed"])))
+        spark.range(1).select(F.lit(name).alias("name"), F.lit(new_path).alias("path"),
+                              F.current_timestamp().alias("swapped_at")).write.mode("append").parquet(pointers)
+    return spark.createDataFrame([(name, row["differing"], row["compared"], row["passed"])],
+                                 "name string, differing long, compared long, passed boolean")
+
+
+def current_table(spark: SparkSession, pointers: str, name: str) -> DataFrame | None:
+    """The folder that ``name`` points at, or None before the first swap."""
+    p = read_if_exists(spark, pointers)
+    row = None if p is None else p.where(F.col("name") == name).orderBy(F.desc("swapped_at")).first()
+    return None if row is None else spark.read.parquet(row["path"])
 
 
 def evolve_add_column(spark: SparkSession, table: str, name: str, dtype: str) -> None:
@@ -89,15 +100,31 @@ def table_ddl(schema: T.StructType, name: str, partition_cols=(), fmt: str = "pa
 
 
 def table_stats(spark: SparkSession, table: str) -> DataFrame:
-    """Refresh table and column statistics; return the table statistics rows."""
-    spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR ALL COLUMNS")
-    return spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where(F.col("col_name") == "Statistics")
+    """Recover the partitions of a catalog table, refresh its statistics and return
+    them: a row per data column with the table's rows and the column's nulls, minimum and maximum
+    (as text). Only catalog metadata passes through the driver."""
+    fields = spark.catalog.listColumns(table)
+    if any(f.isPartition for f in fields):
+        spark.sql(f"MSCK REPAIR TABLE {table}")
+    names = [f.name for f in fields if not f.isPartition]
+    spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS")
+    spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR COLUMNS {', '.join(f'`{n}`' for n in names)}")
+    text = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where(F.col("col_name") == "Statistics").first()["data_type"]
+    rows = int(text.split(",")[1].split()[0])
+    out = []
+    for n in names:
+        info = {r["info_name"]: r["info_value"] for r in spark.sql(f"DESCRIBE EXTENDED {table} `{n}`").collect()}
+        known = {k: None if info.get(k) in (None, "NULL") else info[k] for k in ("num_nulls", "min", "max")}
+        out.append((n, rows, None if known["num_nulls"] is None else int(known["num_nulls"]), known["min"], known["max"]))
+    return spark.createDataFrame(out, "column_name string, row_count long, null_count long, min_value string, max_value string")
 
 
 def retention(df: DataFrame, col: str, as_of, days: float) -> DataFrame:
-    """Rows newer than ``as_of - days`` (on a partition column this prunes)."""
+    """Rows newer than ``as_of - days``; the day partition ``dt``, where there is one, prunes."""
     ref = as_of if isinstance(as_of, Column) else F.lit(as_of).cast("timestamp")
     lo = F.timestamp_micros(F.unix_micros(ref) - F.lit(int(days * 86400 * 1_000_000)))
+    if "dt" in df.columns:
+        df = df.where(F.col("dt").cast("date") >= F.to_date(lo))
     return df.where(F.col(col).cast("timestamp") > lo)
 
 

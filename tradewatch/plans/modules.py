@@ -64,12 +64,13 @@ def run_modules(valid: DataFrame, cfg: dict, modules=("MOD-001", "MOD-002", "MOD
             out[m] = W.whale_alerts(w, cfg)
         elif m == "MOD-003":
             spreads = S.spread_detect(valid, cfg, _secs(sp["window_seconds"]))
+            spreads = L.lin_attach_latest(spreads, m, MODULES[m], sp, at)
             out[m] = S.spread_alerts(spreads, sp["spread_threshold_pct"], sp["spread_high_pct"])
         elif m == "MOD-006":
             fc = cfg["flow"]
             flows = FL.flow_aggregate(ctx["whales"], _secs(fc["window_seconds"]))
             ctx["flows"] = flows
-            out[m] = FL.flow_alerts(flows, fc["accumulation"], fc["distribution"], fc["strong_accumulation"],
+            out[m] = FL.flow_alerts(L.lin_attach_latest(flows, m, MODULES[m], fc, at), fc["accumulation"], fc["distribution"], fc["strong_accumulation"],
                                     fc["strong_distribution"])
         elif m == "MOD-007":
             cc = cfg["consensus"]
@@ -84,7 +85,7 @@ def run_modules(valid: DataFrame, cfg: dict, modules=("MOD-001", "MOD-002", "MOD
                 ftype, F.lit(None).cast("string"), "symbol", F.unix_seconds("window_start"))))
             sig = FL.consensus_score(FL.consensus_signals(vs, wh, fl, _secs(cc["window_seconds"])),
                                      tuple(cc["weights"]))
-            out[m] = FL.consensus_alerts(sig, cc["threshold"], cc["high"])
+            out[m] = FL.consensus_alerts(L.lin_attach_latest(sig, m, MODULES[m], cc, at), cc["threshold"], cc["high"])
         else:
             raise ValueError(f"{m} does not run on the trade stream")
     return {m: out[m] for m in order}

@@ -8,8 +8,6 @@ partition (detected_at is event time), so a repeat is always found there."""
 
 from __future__ import annotations
 
-import os
-
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,38 +57,37 @@ def sink_upsert(df: DataFrame, path: str, key: str = "alert_id", cols=ALERT_PART
     batch = df.dropDuplicates([key]).checkpoint(eager=True)
     existing = read_if_exists(spark, path)
     if existing is not None:
-        # partition values come back typed (a day string is read as a date)
+        # the partitions the batch touches, as literals: at most days x alert types of one batch
+        for c in cols:
+            values = [r[0] for r in batch.select(F.col(c).cast("string")).distinct().collect()]
+            existing = existing.where(F.col(c).cast("string").isin(values))
         existing = existing.select(*[F.col(c).cast("string").alias(c) for c in cols], key)
-        # semi join on the partition columns lets dynamic partition pruning
-        # skip partitions the batch does not touch
-        touched = batch.select(*cols).distinct()
-        existing = existing.join(touched, list(cols), "left_semi")
         batch = batch.join(existing, [*cols, key], "left_anti")
     batch.write.mode("append").partitionBy(*cols).parquet(path)
 
 
-def sink_dlq(invalid: DataFrame, path: str) -> None:
-    """Failed rows under reason=/dt= folders."""
-    invalid.write.mode("append").partitionBy("reason", "dt").parquet(path)
+def _write_batch(df: DataFrame, path: str, cols, batch_id: int | None) -> None:
+    """Append; with a batch id, a replay overwrites the partitions of that id."""
+    if batch_id is None:
+        df.write.mode("append").partitionBy(*cols).parquet(path)
+        return
+    (df.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*cols, "batch_id").parquet(path))
+
 
+def sink_dlq(invalid: DataFrame, path: str, batch_id: int | None = None) -> None:
+    """Failed rows under reason=/dt= folders (and batch_id= in a stream)."""
+    _write_batch(invalid, path, ("reason", "dt"), batch_id)
 
-def route_alerts(alerts: DataFrame, hot_path: str, cold_path: str) -> None:
+
+def route_alerts(alerts: DataFrame, hot_path: str, cold_path: str, batch_id: int | None = None) -> None:
     """One alert set to the hot keyed store (upsert, read with an expiry
     filter) and the cold partitioned table; the batch is persisted so both
-    writes reuse one computation."""
-    a = alerts.persist(StorageLevel.MEMORY_AND_DISK)
+    writes reuse one computation. A stream passes its batch id, so that a replayed
+    batch changes neither store."""
+    a = with_day(alerts, "detected_at").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         sink_upsert(a, hot_path)
-        sink_partitioned(a, cold_path)
+        _write_batch(a, cold_path, ALERT_PARTITIONS, batch_id)
     finally:
         a.unpersist()
-
-
-def read_hot(spark: SparkSession, hot_path: str, as_of) -> DataFrame:
-    """Hot store view: rows whose TTL has not passed at ``as_of``."""
-    a = spark.read.parquet(hot_path)
-    return a.where(F.col("ttl_epoch") > F.unix_seconds(F.lit(as_of).cast("timestamp")))
-
-
-def fresh_path(base: str, name: str) -> str:
-    return os.path.join(base, name)

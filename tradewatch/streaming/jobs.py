@@ -22,6 +22,7 @@ from tradewatch.operators import quality as Q
 from tradewatch.operators import spread as S
 from tradewatch.operators import volume as V
 from tradewatch.operators import whale as W
+from tradewatch.plans.sinks import read_if_exists
 
 
 def _batch_dir(base: str, epoch: int) -> str:
@@ -138,12 +139,34 @@ def observe_quality(raw: DataFrame) -> DataFrame:
                        F.count(F.when(F.col("value").isNull(), 1)).alias("null_payloads"))
 
 
+def _seen_before(flagged: DataFrame, valid_path: str, epoch: int, seconds: int) -> DataFrame:
+    """Mark rows whose event an earlier batch kept within ``seconds``. The valid table is
+    the state; rows of this and later batches are left out, so a replay sees what the first
+    run saw, and the time filter reaches the scan."""
+    spark = flagged.sparkSession
+    prior = read_if_exists(spark, valid_path)
+    span = flagged.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")).first()
+    if prior is None or span["lo"] is None:
+        return flagged
+    wide = dt.timedelta(seconds=seconds)
+    key = F.struct(*[F.col(c).cast("string") for c in Q.KEY])
+    prior = prior.where((F.col("batch_id") < epoch) & F.col("timestamp").between(F.lit(span["lo"] - wide), F.lit(span["hi"] + wide)))
+    prior = prior.select(key.alias("_key"), F.col("timestamp").alias("_seen"))
+    near = F.abs(F.unix_micros("timestamp") - F.unix_micros("_seen")) <= F.lit(seconds * 1_000_000)
+    keyed = flagged.withColumn("_k", F.when(F.col("reason").isNull(), key))
+    hit = keyed.join(prior, (F.col("_k") == F.col("_key")) & near, "left_semi").withColumn("is_duplicate", F.lit(True))
+    miss = keyed.join(prior, (F.col("_k") == F.col("_key")) & near, "left_anti")
+    return hit.unionByName(miss).drop("_k")
+
+
 def quality_batch(valid_path: str, dlq_path: str, metrics_path: str, cfg: dict, processing_date: str | None = None):
     """foreachBatch body: validate, write valid rows and dead letters, and
     one delivery-metrics row per batch. The flagged batch is persisted so the
-    three writes share one computation."""
+    three writes share one computation. Duplicates are looked for in the batch
+    and in what earlier batches kept."""
     def fn(batch: DataFrame, epoch: int) -> None:
-        flagged = Q.dq_flag(batch, cfg).persist()
+        within = Q.dq_flag(batch, cfg).persist()
+        flagged = _seen_before(within, valid_path, epoch, cfg["quality"]["dedup_seconds"]).persist()
         try:
             valid = flagged.where(F.col("reason").isNull() & ~F.col("is_duplicate")).drop(
                 "failed_rules", "reason", "is_duplicate")
@@ -160,4 +183,5 @@ def quality_batch(valid_path: str, dlq_path: str, metrics_path: str, cfg: dict,
             m.write.mode("overwrite").parquet(_batch_dir(metrics_path, epoch))
         finally:
             flagged.unpersist()
+            within.unpersist()
     return fn

@@ -212,7 +212,7 @@ def q_metrics_symbol(spark, sf):
     m = SV.metrics_symbol(A.trades_e(spark, sf), spreads(spark, sf), small_alerts(spark, sf))
     return m.select("symbol", "exchange", "last_price", stable_round("volume_1h", 6).alias("volume_1h"),
                     stable_round("last_spread_pct", 6).alias("last_spread_pct"), "anomaly_count_24h",
-                    "last_whale_at", "last_whale_usd")
+                    "last_whale_at", "last_whale_usd", "last_whale_price", "last_whale_quantity", "last_whale_side", "updated_at")
 
 
 sql("metrics_symbol", SMALL_SQL + f""",
@@ -226,11 +226,14 @@ s AS (SELECT symbol, max_by(spread_pct, window_start) AS last_spread_pct FROM sp
 a AS (SELECT symbol, count(*) FILTER (WHERE detected_at > as_of - INTERVAL 24 HOUR) AS anomaly_count_24h,
         max(detected_at) FILTER (WHERE alert_type = 'whale_trade') AS last_whale_at,
         max_by(quote_volume, struct_pack(t := detected_at, i := alert_id)) FILTER (WHERE alert_type = 'whale_trade')
-          AS last_whale_usd
+          AS last_whale_usd, max_by(source_event_id, struct_pack(t := detected_at, i := alert_id))
+          FILTER (WHERE alert_type = 'whale_trade') AS whale_event
       FROM small, clk WHERE detected_at <= as_of GROUP BY 1)
-SELECT v.symbol, exchange, last_price, {sround('volume_1h', 6)} AS volume_1h, {sround('last_spread_pct', 6)} AS
-  last_spread_pct, anomaly_count_24h, last_whale_at, last_whale_usd
-FROM v LEFT JOIN s USING (symbol) LEFT JOIN a USING (symbol)""")
+SELECT v.symbol, v.exchange, last_price, {sround('volume_1h', 6)} AS volume_1h, {sround('last_spread_pct', 6)} AS
+  last_spread_pct, anomaly_count_24h, last_whale_at, last_whale_usd,
+  e.price AS last_whale_price, e.quantity AS last_whale_quantity, e.side AS last_whale_side, as_of AS updated_at
+FROM v LEFT JOIN s USING (symbol) LEFT JOIN a USING (symbol)
+LEFT JOIN trades_e e ON e.event_id = whale_event AND e.symbol = v.symbol, clk""")
 
 
 @query("board_volume")
