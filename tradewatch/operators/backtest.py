@@ -89,18 +89,21 @@ def bt_max_drawdown(r: DataFrame, bucket_seconds: int = 7 * 86400) -> DataFrame:
     return max_drawdown(s, GROUP, ["detected_at", "alert_id"], "signed_return", "detected_at", bucket_seconds)
 
 
-def bt_report(r: DataFrame, backtest_date) -> DataFrame:
-    """All metrics in one aggregate, plus the drawdown (a second, bucketed
-    pass over the same returns) joined on the small group key."""
-    agg = r.groupBy(*GROUP).agg(
-        F.count(F.lit(1)).alias("n_alerts"),
-        F.count("hit").alias("n_scored"),
-        F.avg(F.col("hit").cast("double")).alias("hit_rate"),
-        F.avg("signed_return").alias("avg_return"),
-        F.try_divide(F.avg("signed_return"), F.stddev_samp("signed_return")).alias("sharpe"))
-    dd = bt_max_drawdown(r)
-    out = agg.join(dd, GROUP, "left")
-    return out.withColumn("backtest_date", F.lit(backtest_date).cast("date"))
+def bt_report(r: DataFrame, backtest_date, bucket_seconds: int = 7 * 86400) -> DataFrame:
+    """All metrics from one bucketed pass over the returns. Mean and deviation
+    come from exact decimal sums, so they do not depend on the order of the rows."""
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    s = F.col("signed_return").cast("decimal(20,12)")
+    g = max_drawdown(r, GROUP, ["detected_at", "alert_id"], "signed_return", "detected_at", bucket_seconds, sums=[
+        ("n_alerts", one), ("n_scored", F.when(F.col("hit").isNotNull(), one).otherwise(none)),
+        ("_hits", F.when(F.col("hit"), one).otherwise(none)), ("_n", F.when(s.isNotNull(), one).otherwise(none)),
+        ("_s", s), ("_ss", (s * s).cast("decimal(28,18)"))])
+    mean = F.try_divide(F.col("_s").cast("double"), F.col("_n"))
+    spread = F.col("_ss").cast("double") - F.col("_s").cast("double") * mean
+    deviation = F.sqrt(F.greatest(F.lit(0.0), F.try_divide(spread, F.col("_n") - 1)))
+    return g.select(*GROUP, "n_alerts", "n_scored", F.try_divide(F.col("_hits"), F.col("n_scored")).alias("hit_rate"),
+                    mean.alias("avg_return"), F.try_divide(mean, deviation).alias("sharpe"), "max_drawdown",
+                    F.lit(backtest_date).cast("date").alias("backtest_date"))
 
 
 def bt_complete_alerts(report: DataFrame) -> DataFrame:

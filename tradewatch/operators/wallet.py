@@ -19,7 +19,8 @@ def _as_of(df: DataFrame, as_of) -> tuple[DataFrame, Column]:
     data (a scalar subquery, computed once)."""
     if as_of is None:
         return df.withColumn("_as_of", df.agg(F.max("ts")).scalar()), F.col("_as_of")
-    return df.withColumn("_as_of", F.lit(as_of).cast("timestamp")), F.col("_as_of")
+    at = as_of if isinstance(as_of, Column) else F.lit(as_of).cast("timestamp")
+    return df.withColumn("_as_of", at), F.col("_as_of")
 
 
 def _recent(df: DataFrame, as_of, days: int) -> DataFrame:
@@ -56,14 +57,30 @@ def wallet_alpha(stats: DataFrame, dd: DataFrame, min_trades: int = 5) -> DataFr
     """alpha = win_rate * avg_return * sqrt(n) / max_drawdown; null with fewer
     than ``min_trades`` trades or a zero drawdown (R9)."""
     keys = [k for k in stats.columns if k in dd.columns and k != "max_drawdown"]
-    j = stats.join(dd, keys, "left")
+    return _with_alpha(stats.join(dd, keys, "left"), min_trades)
+
+
+def _with_alpha(j: DataFrame, min_trades: int) -> DataFrame:
     alpha = ratio(F.col("win_rate") * F.col("avg_return") * F.sqrt(F.col("trade_count").cast("double")),
                   F.col("max_drawdown"))
     return j.withColumn("alpha", F.when(F.col("trade_count") >= F.lit(min_trades), alpha))
 
 
-def wallet_scores(df: DataFrame, as_of=None, days: int = 30, min_trades: int = 5) -> DataFrame:
-    return wallet_alpha(wallet_stats(df, as_of, days), wallet_drawdown(df, as_of, days), min_trades)
+def _scores(df: DataFrame, keys, min_trades: int, bucket_seconds: int) -> DataFrame:
+    """Counts, returns and drawdown of each key from one bucketed pass, and alpha."""
+    one = F.lit(1).cast("long")
+    s = max_drawdown(df, keys, ["ts", "event_id"], "ret", "ts", bucket_seconds, sums=[
+        ("trade_count", one), ("wins", F.when(F.col("ret") > 0, one).otherwise(F.lit(0).cast("long"))),
+        ("_ret_sum", F.col("ret").cast(RET))], maxima=[("scored_at", F.col("_as_of"))])
+    stats = s.select(*keys, "scored_at", "trade_count", "wins", (F.col("wins") / F.col("trade_count")).alias("win_rate"),
+                     (F.col("_ret_sum").cast("double") / F.col("trade_count")).alias("avg_return"), "max_drawdown")
+    return _with_alpha(stats, min_trades)
+
+
+def wallet_scores(df: DataFrame, as_of=None, days: int = 30, min_trades: int = 5, bucket_seconds: int = 7 * 86400) -> DataFrame:
+    """Scores of every wallet over ``days`` up to ``as_of`` (a time or a Column; None
+    takes the latest trade, which reads the trades once more)."""
+    return _scores(_recent(df, as_of, days), KEYS, min_trades, bucket_seconds)
 
 
 def wallet_scores_periodic(df: DataFrame, width: str, min_trades: int = 5,
@@ -73,9 +90,7 @@ def wallet_scores_periodic(df: DataFrame, width: str, min_trades: int = 5,
     p = df.withColumn("_w", F.window("ts", width)).withColumn("_as_of", F.col("_w.end")) \
         .withColumn("period_start", F.col("_w.start")).drop("_w")
     keys = [*KEYS, "period_start"]
-    stats = _stats(p, keys)
-    dd = max_drawdown(p, keys, ["ts", "event_id"], "ret", "ts", bucket_seconds)
-    return wallet_alpha(stats, dd, min_trades)
+    return _scores(p, keys, min_trades, bucket_seconds)
 
 
 def alpha_percentile(scores: DataFrame, out_col: str = "alpha_percentile") -> DataFrame:

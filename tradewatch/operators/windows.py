@@ -87,12 +87,16 @@ def bucketed_last(df: DataFrame, keys, order_cols, value_col: str, ts_col: str,
 
 
 def max_drawdown(df: DataFrame, keys, order_cols, value_col: str, ts_col: str, bucket_seconds: int,
-                 out_col: str = "max_drawdown") -> DataFrame:
+                 out_col: str = "max_drawdown", sums=(), maxima=()) -> DataFrame:
     """Per key: max over rows of (running peak of the cumulative sum, starting
     at 0) minus the cumulative sum. Values are summed as DECIMAL so the answer
     does not depend on summation order. Per-bucket summaries (total, lowest
     running sum, highest running sum, internal drawdown) are combined in time
-    order on the small per-bucket table, so no task holds a whole key."""
+    order on the small per-bucket table, so no task holds a whole key. Rows
+    without a value change nothing; a key without any value gets null.
+
+    ``sums`` and ``maxima`` are (name, Column) pairs that the same per-bucket
+    aggregation totals for each key, so that other figures of the key need no second pass."""
     keys, order_cols = list(keys), list(order_cols)
     dec = "decimal(38,12)"
     bcol = F.floor(_seconds(ts_col) / F.lit(bucket_seconds)).cast("long")
@@ -104,7 +108,8 @@ def max_drawdown(df: DataFrame, keys, order_cols, value_col: str, ts_col: str, b
         F.max(F.col("_peak") - F.col("_cum")).alias("_inner"),       # drawdown from a peak inside the bucket
         F.min("_cum").alias("_low"),
         F.max("_cum").alias("_high"),
-        F.sum("_v").alias("_total"))
+        F.sum("_v").alias("_total"), F.count("_v").alias("_values"),
+        *[F.sum(c).alias(n) for n, c in sums], *[F.max(c).alias(n) for n, c in maxima])
     wb = Window.partitionBy(*keys).orderBy("_tb")
     before = wb.rowsBetween(Window.unboundedPreceding, -1)
     seg = seg.withColumn("_offset", F.coalesce(F.sum("_total").over(before), F.lit(0).cast(dec)))
@@ -114,7 +119,9 @@ def max_drawdown(df: DataFrame, keys, order_cols, value_col: str, ts_col: str, b
                                                                F.lit(0).cast(dec))))
     seg = seg.withColumn("_dd", F.greatest(F.col("_inner"), F.col("_peak_before") - F.col("_offset") - F.col("_low"),
                                            F.lit(0).cast(dec)))
-    return seg.groupBy(*keys).agg(F.max("_dd").cast("double").alias(out_col))
+    return seg.groupBy(*keys).agg(
+        F.when(F.sum("_values") > 0, F.max("_dd")).cast("double").alias(out_col),
+        *[F.sum(n).alias(n) for n, _ in sums], *[F.max(n).alias(n) for n, _ in maxima])
 
 
 def distributed_percent_rank(df: DataFrame, group_cols, value_col: str, out_col: str = "percent_rank",

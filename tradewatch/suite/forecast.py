@@ -152,6 +152,21 @@ SELECT module_id, symbol, horizon_s, n_alerts, n_scored, {sround('hit_rate', 6)}
 FROM rep LEFT JOIN rdd USING (module_id, symbol, horizon_s)""")
 
 
+@query("backtest_complete")
+def q_backtest_complete(spark, sf):
+    a = alert_view(B.bt_complete_alerts(B.bt_report(returns(spark, sf), BT_DATE)),
+                   {"tested_module": "string", "n_alerts": "long", "mean_hit_rate": "double"})
+    return a.withColumn("d_mean_hit_rate", stable_round("d_mean_hit_rate", 6))
+
+
+sql("backtest_complete", with_(TRADES_E) + BT_SQL + f""",
+g AS (SELECT module_id AS tested, CAST(sum(n_alerts) AS BIGINT) AS n, avg(hit_rate) AS h, TIMESTAMP '{BT_DATE}' AS tm FROM rep GROUP BY 1)
+SELECT {alert_id("'backtest_complete'", 'NULL', 'NULL', 'tested', f"'{BT_DATE}'")} AS alert_id, 'backtest_complete' AS alert_type,
+  'MOD-011' AS module_id, CAST(NULL AS VARCHAR) AS symbol, CAST(NULL AS VARCHAR) AS exchange, 'low' AS severity, tm AS detected_at,
+  'Back-test of ' || tested || ' complete: ' || n || ' alerts' AS message, {ttl('tm')} AS ttl_epoch,
+  tested AS d_tested_module, n AS d_n_alerts, {sround('h', 6)} AS d_mean_hit_rate FROM g""")
+
+
 @query("bt_degradation")
 def q_bt_degradation(spark, sf):
     a = alert_view(B.bt_degradation(B.bt_daily_hit_rate(returns(spark, sf))),

@@ -31,7 +31,9 @@ FLOW_W = "6 hours"
 
 
 def wallet_scores_all(spark, sf):
-    return W.wallet_scores(A.wallet_trades(spark, sf), None, DAYS, MIN_TRADES)
+    # every trade has an order, so the clock can be read before the join
+    clock = A.trades_l(spark, sf).agg(F.max("timestamp")).scalar()
+    return W.wallet_scores(A.wallet_trades(spark, sf), clock, DAYS, MIN_TRADES)
 
 
 def wallet_scores_yearly(spark, sf):
