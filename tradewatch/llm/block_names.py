@@ -58,7 +58,7 @@ def block_identity(docs: DataFrame, text: str = "text", block_bytes: int = BLOCK
     texts = texts.withColumn("h", hash_of(F.col("block")))
     distinct = texts.groupBy("h", "block").agg(F.count(F.lit(1)).alias("n"))
     names = saved(_numbered(distinct, ["block"]).select("h", "name"), "block-names")
-    per_hash = names.groupBy("h").agg(F.min("name").alias("name"), F.count(F.lit(1)).alias("variants"))
+    per_hash = saved(names.groupBy("h").agg(F.min("name").alias("name"), F.count(F.lit(1)).alias("variants")), "block-hash-names")
 
     cur = base.select("rid", F.size("hs").alias("n"), F.posexplode("hs").alias("pos", "h"))
     cur = saved(cur.join(per_hash, "h").select("rid", "n", "pos", "h", "name", "variants"), "block-level0")
