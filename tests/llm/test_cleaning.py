@@ -111,6 +111,7 @@ def test_length_fit():
         assert (take >= 0).all() and (take <= counts).all()
         assert (lengths * take).sum() == min(budget, (lengths * counts).sum())
     assert (knapsack(np.array([5, 7]), np.array([1, 2]), 18) == [0, 2]).all()  # 18 can't be reached
+    assert (fit_lengths(np.array([1000]), np.array([1]), 900) == [1]).all() and (fit_lengths(np.array([1000]), np.array([1]), 400) == [0]).all()
     assert (fit_lengths(np.array([10 ** 8]), np.array([3]), 2 * 10 ** 8 + 5) == [2]).all()
 
 

@@ -30,7 +30,7 @@ SPARE = 1 << 15  # words left for the knapsack table to fit
 
 def fit(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
     """How many documents of each length (> 0) to take so that their sum is the
-    budget, or the largest value below it that the table reaches."""
+    budget, or, where the table does not reach it, comes near it from either side."""
     lengths, counts = lengths.astype(np.int64), counts.astype(np.int64)
     total = int((lengths * counts).sum())
     if budget >= total:
@@ -51,7 +51,12 @@ def fit(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
         i = free[lengths[free].argmax()]
         take[i] += 1
         left -= int(lengths[i])
-    return take + knapsack(lengths, counts - take, left)
+    take += knapsack(lengths, counts - take, left)
+    left = budget - int((lengths * take).sum())
+    free = np.flatnonzero((take < counts) & (lengths < 2 * left))  # one more comes nearer than none
+    if len(free):
+        take[free[np.abs(lengths[free] - left).argmin()]] += 1
+    return take
 
 
 def knapsack(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
