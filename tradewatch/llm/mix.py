@@ -4,8 +4,8 @@ The corpus is reduced to a histogram: documents by source and exact length in
 words. Sources share the corpus size by weight; none gets more than three times
 its own. A source's target is met by whole passes over it and a subset for the
 remaining budget: each length gives its share, and a bounded-knapsack table over
-the length counts fits what is left, so the subset sums to the budget or to the largest
-reachable value below it. The documents of a length are taken in seeded order.
+the length counts fits what is left, so the subset sums to the budget or near it.
+The documents of a length are taken in seeded order.
 
 Scale: rows are shuffled as (id, source, length) only. The histogram of a
 source has a row per distinct length, however many documents it has. The
