@@ -96,3 +96,25 @@ def test_pointer_outlives_the_view(spark, tmp_path):
     assert LK.current_table(spark, pointers, "t") is None
     assert LK.swap_if_valid(spark, pointers, "t", data, diff, 0.1).first().passed
     assert LK.current_table(spark, pointers, "t").count() == 5
+
+
+def test_wallet_scores_on_shuffled_batches_equal_the_batch_operator(spark, tmp_path):
+    """Late rows, a replayed batch, a wallet that falls silent, a 30-day horizon."""
+    import random
+
+    from tradewatch.operators.wallet import wallet_scores
+    from tradewatch.streaming.wallet_state import wallet_alpha_batch
+    r = random.Random(4)
+    schema = "wallet long, blockchain string, ts timestamp, event_id string, ret double"
+    rows = [(w, "solana", T0 + dt.timedelta(hours=r.randrange(60 * 24)), f"{w}-{i}", round(r.uniform(-1, 1), 3)) for w in range(4) for i in range(60)]
+    rows += [(9, "solana", T0 + dt.timedelta(hours=i), f"9-{i}", 0.5 - i % 2) for i in range(20)]  # silent later
+    r.shuffle(rows)
+    parts = [rows[i::5] for i in range(5)]
+    paths = [str(tmp_path / k) for k in ("trades", "segments", "scores")]
+    fn = wallet_alpha_batch(*paths, days=30, min_trades=5)
+    for epoch in (0, 1, 2, 1, 3, 4):
+        fn(spark.createDataFrame(parts[epoch], schema), epoch)
+    got = {x.wallet: (x.trade_count, x.max_drawdown, x.alpha) for x in spark.read.parquet(paths[2]).where("batch_id = 4").collect()}
+    want = {x.wallet: (x.trade_count, x.max_drawdown, x.alpha)
+            for x in wallet_scores(spark.createDataFrame(rows, schema), None, 30, 5).collect()}
+    assert got == want and set(got) == {0, 1, 2, 3}

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tradewatch.functions.columns import ratio
 from tradewatch.operators.alerts import alert_build
-from tradewatch.operators.windows import distributed_percent_rank, max_drawdown
+from tradewatch.operators.windows import combine_drawdown, distributed_percent_rank, drawdown_segments, max_drawdown
 
 KEYS = ["wallet", "blockchain"]
 RET = "decimal(18,8)"
@@ -66,17 +66,30 @@ def _with_alpha(j: DataFrame, min_trades: int) -> DataFrame:
     return j.withColumn("alpha", F.when(F.col("trade_count") >= F.lit(min_trades), alpha))
 
 
-def _scores(df: DataFrame, keys, min_trades: int, bucket_seconds: int) -> DataFrame:
-    """Counts, returns and drawdown of each key from one bucketed pass, and alpha."""
-    one = F.lit(1).cast("long")
-    s = max_drawdown(df, keys, ["ts", "event_id"], "ret", "ts", bucket_seconds, sums=[
-        ("trade_count", one), ("wins", F.when(F.col("ret") > 0, one).otherwise(F.lit(0).cast("long"))),
-        ("_ret_sum", F.col("ret").cast(RET))], maxima=[("scored_at", F.col("_as_of"))])
+SEGMENT_SUMS = [("trade_count", lambda: F.lit(1).cast("long")),
+                ("wins", lambda: F.when(F.col("ret") > 0, F.lit(1).cast("long")).otherwise(F.lit(0).cast("long"))),
+                ("_ret_sum", lambda: F.col("ret").cast(RET))]
+
+
+def wallet_segments(df: DataFrame, keys, bucket_seconds: int) -> DataFrame:
+    """Summaries per (key, time bucket): counts, returns, drawdown parts; needs ``_as_of``."""
+    return drawdown_segments(df, keys, ["ts", "event_id"], "ret", "ts", bucket_seconds,
+                             sums=[(n, c()) for n, c in SEGMENT_SUMS], maxima=[("scored_at", F.col("_as_of"))])
+
+
+def scores_of_segments(seg: DataFrame, keys, min_trades: int) -> DataFrame:
+    """Summaries to scores: one row per key with alpha."""
+    s = combine_drawdown(seg, keys, sums=[n for n, _ in SEGMENT_SUMS], maxima=["scored_at"])
     stats = s.select(*keys, "scored_at", "trade_count", "wins", (F.col("wins") / F.col("trade_count")).alias("win_rate"),
                      (F.col("_ret_sum").cast("double") / F.col("trade_count")).alias("avg_return"), "max_drawdown")
     return _with_alpha(stats, min_trades)
 
 
+def _scores(df: DataFrame, keys, min_trades: int, bucket_seconds: int) -> DataFrame:
+    """Counts, returns and drawdown of each key from one bucketed pass, and alpha."""
+    return scores_of_segments(wallet_segments(df, keys, bucket_seconds), keys, min_trades)
+
+
 def wallet_scores(df: DataFrame, as_of=None, days: int = 30, min_trades: int = 5, bucket_seconds: int = 7 * 86400) -> DataFrame:
     """Scores of every wallet over ``days`` up to ``as_of`` (a time or a Column; None
     takes the latest trade, which reads the trades once more)."""

@@ -97,19 +97,34 @@ def max_drawdown(df: DataFrame, keys, order_cols, value_col: str, ts_col: str, b
 
     ``sums`` and ``maxima`` are (name, Column) pairs that the same per-bucket
     aggregation totals for each key, so that other figures of the key need no second pass."""
+    seg = drawdown_segments(df, keys, order_cols, value_col, ts_col, bucket_seconds, sums, maxima)
+    return combine_drawdown(seg, keys, out_col, [n for n, _ in sums], [n for n, _ in maxima])
+
+
+_DEC = "decimal(38,12)"
+
+
+def drawdown_segments(df: DataFrame, keys, order_cols, value_col: str, ts_col: str, bucket_seconds: int,
+                      sums=(), maxima=()) -> DataFrame:
+    """One summary per (key, time bucket ``_tb``) for ``combine_drawdown``; a bucket's
+    summary depends on the rows of that bucket only, so it can be stored."""
     keys, order_cols = list(keys), list(order_cols)
-    dec = "decimal(38,12)"
     bcol = F.floor(_seconds(ts_col) / F.lit(bucket_seconds)).cast("long")
-    d = df.withColumn("_tb", bcol).withColumn("_v", F.col(value_col).cast(dec))
+    d = df.withColumn("_tb", bcol).withColumn("_v", F.col(value_col).cast(_DEC))
     w = Window.partitionBy(*keys, "_tb").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
     d = d.withColumn("_cum", F.sum("_v").over(w))
     d = d.withColumn("_peak", F.max("_cum").over(w))
-    seg = d.groupBy(*keys, "_tb").agg(
+    return d.groupBy(*keys, "_tb").agg(
         F.max(F.col("_peak") - F.col("_cum")).alias("_inner"),       # drawdown from a peak inside the bucket
         F.min("_cum").alias("_low"),
         F.max("_cum").alias("_high"),
         F.sum("_v").alias("_total"), F.count("_v").alias("_values"),
         *[F.sum(c).alias(n) for n, c in sums], *[F.max(c).alias(n) for n, c in maxima])
+
+
+def combine_drawdown(seg: DataFrame, keys, out_col: str = "max_drawdown", sums=(), maxima=()) -> DataFrame:
+    """Summaries of a key's buckets, in time order, to its drawdown and totals."""
+    keys, dec = list(keys), _DEC
     wb = Window.partitionBy(*keys).orderBy("_tb")
     before = wb.rowsBetween(Window.unboundedPreceding, -1)
     seg = seg.withColumn("_offset", F.coalesce(F.sum("_total").over(before), F.lit(0).cast(dec)))
@@ -121,7 +136,7 @@ def max_drawdown(df: DataFrame, keys, order_cols, value_col: str, ts_col: str, b
                                            F.lit(0).cast(dec)))
     return seg.groupBy(*keys).agg(
         F.when(F.sum("_values") > 0, F.max("_dd")).cast("double").alias(out_col),
-        *[F.sum(n).alias(n) for n, _ in sums], *[F.max(n).alias(n) for n, _ in maxima])
+        *[F.sum(n).alias(n) for n in sums], *[F.max(n).alias(n) for n in maxima])
 
 
 def distributed_percent_rank(df: DataFrame, group_cols, value_col: str, out_col: str = "percent_rank",

@@ -1,122 +1,60 @@
-"""wallet_alpha_incremental: wallet scores updated as trades
-arrive, with keyed state per wallet in ``applyInPandasWithState``.
+"""MOD-004 on a stream: wallet scores kept up to date per micro-batch, in
+DataFrame operations.
 
-State per wallet is a list of day buckets, each the summary of that day's
-returns in event order: count, wins, exact return sum, and the drawdown
-summary (total, lowest and highest running sum, largest fall inside the day).
-Buckets older than ``days`` before the wallet's latest trade are pruned, so a
-wallet's state is bounded by ``days`` entries whatever its trade count. The
-score combines the buckets in day order, exactly as the batch operator does.
-Trades of a wallet are assumed to arrive in event order across batches (R14);
-within a batch they are sorted."""
+State is two tables. Trades are stored by (month, batch); a replayed batch
+overwrites its own part. For the months a batch touches, late ones included, the
+per-(wallet, day) summaries are built again from the stored trades, and the scores
+of the horizon are combined from the summaries, as in the batch operator. What lies before the
+horizon is not read, so idle wallets leave the scores."""
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator
-from decimal import ROUND_HALF_UP, Decimal
+import datetime as dt
 
-import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-
-Q8 = Decimal("1e-8")
-Q12 = Decimal("1e-12")
-DAY_US = 86400 * 1_000_000
-
-OUTPUT_SCHEMA = ("wallet long, blockchain string, last_trade timestamp, updates long, trade_count long, wins long, "
-                 "win_rate double, avg_return double, max_drawdown double, alpha double")
-STATE_SCHEMA = ("days array<long>, n array<long>, wins array<long>, ret_sum array<string>, total array<string>, "
-                "low array<string>, high array<string>, inner array<string>, updates long, last_trade timestamp")
-
-
-def _dec(x: float, q: Decimal) -> Decimal:
-    return Decimal(repr(float(x))).quantize(q, rounding=ROUND_HALF_UP)
-
-
-def _day_summary(rets: list[float]) -> tuple:
-    cum = Decimal(0)
-    low = high = None
-    inner = Decimal(0)
-    s8 = Decimal(0)
-    wins = 0
-    for r in rets:
-        cum += _dec(r, Q12)
-        s8 += _dec(r, Q8)
-        wins += r > 0
-        high = cum if high is None else max(high, cum)
-        low = cum if low is None else min(low, cum)
-        inner = max(inner, high - cum)
-    return [len(rets), wins, s8, cum, low, high, inner]
-
-
-def _merge(a: list, b: list) -> list:
-    """Summary of segment a followed by segment b."""
-    n, w, s = a[0] + b[0], a[1] + b[1], a[2] + b[2]
-    total = a[3] + b[3]
-    low = min(a[4], a[3] + b[4])
-    high = max(a[5], a[3] + b[5])
-    inner = max(a[6], b[6], a[5] - (a[3] + b[4]))
-    return [n, w, s, total, low, high, inner]
-
-
-def _score(segs: dict, min_trades: int) -> tuple:
-    offset = Decimal(0)
-    peak_before = Decimal(0)
-    dd = Decimal(0)
-    n = wins = 0
-    s = Decimal(0)
-    for day in sorted(segs):
-        cnt, w, s8, total, low, high, inner = segs[day]
-        dd = max(dd, inner, peak_before - offset - low)
-        peak_before = max(peak_before, offset + high)
-        offset += total
-        n, wins, s = n + cnt, wins + w, s + s8
-    win_rate = wins / n if n else None
-    avg = float(s) / n if n else None
-    mdd = float(dd)
-    alpha = None
-    if n >= min_trades and mdd != 0:
-        alpha = win_rate * avg * math.sqrt(float(n)) / mdd
-    return n, wins, win_rate, avg, mdd, alpha
-
-
-def alpha_updater(days: int = 30, min_trades: int = 5):
-    def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        wallet, chain = key
-        segs: dict = {}
-        updates, last_trade = 0, None
-        if state.exists:
-            st = state.get
-            for i, d in enumerate(st[0]):
-                segs[int(d)] = [int(st[1][i]), int(st[2][i]), Decimal(st[3][i]), Decimal(st[4][i]), Decimal(st[5][i]),
-                                Decimal(st[6][i]), Decimal(st[7][i])]
-            updates, last_trade = int(st[8]), st[9]
-        batch = pd.concat(list(pdfs), ignore_index=True)
-        if len(batch):
-            batch = batch.sort_values(["ts", "event_id"], kind="mergesort")
-            batch["_day"] = batch["ts"].values.astype("datetime64[us]").astype("int64") // DAY_US
-            for day, g in batch.groupby("_day", sort=True):
-                seg = _day_summary(g["ret"].tolist())
-                segs[int(day)] = _merge(segs[int(day)], seg) if int(day) in segs else seg
-            last_trade = batch["ts"].max()
-        if segs:
-            newest = max(segs)
-            for d in [d for d in segs if d <= newest - days]:
-                del segs[d]
-        n, wins, win_rate, avg, mdd, alpha = _score(segs, min_trades)
-        updates += 1
-        order = sorted(segs)
-        state.update((order, [segs[d][0] for d in order], [segs[d][1] for d in order],
-                      *[[str(segs[d][i]) for d in order] for i in range(2, 7)], updates, last_trade))
-        yield pd.DataFrame([{"wallet": wallet, "blockchain": chain, "last_trade": last_trade, "updates": updates,
-                             "trade_count": n, "wins": wins, "win_rate": win_rate, "avg_return": avg,
-                             "max_drawdown": mdd, "alpha": alpha}])
+from pyspark.sql import functions as F
+
+from tradewatch.operators import wallet as W
+
+DAY = 86400
+
+
+def _segments(trades: DataFrame) -> DataFrame:
+    return W.wallet_segments(trades.withColumn("_as_of", F.col("ts")), W.KEYS, DAY)
+
+
+def _month_of_bucket() -> F.Column:
+    return F.date_format(F.date_add(F.lit("1970-01-01").cast("date"), F.col("_tb").cast("int")), "yyyy-MM")
+
+
+def wallet_alpha_batch(trades_path: str, segments_path: str, scores_path: str, days: int = 30, min_trades: int = 5):
+    """foreachBatch body. Input rows: wallet, blockchain, ts, event_id, ret.
+    Writes the scores of all wallets within ``days`` of the latest trade as
+    ``batch_id=<epoch>``. Work per batch: the months it touches, and one summary per
+    (wallet, day) of the horizon."""
+    dynamic = {"partitionOverwriteMode": "dynamic"}
+
+    def fn(batch: DataFrame, epoch: int) -> None:
+        spark = batch.sparkSession
+        month = F.date_format("ts", "yyyy-MM")
+        rows = batch.select("wallet", "blockchain", "ts", "event_id", "ret", month.alias("month"),
+                            F.lit(epoch).cast("long").alias("batch_id"))
+        rows.write.mode("overwrite").options(**dynamic).partitionBy("month", "batch_id").parquet(trades_path)
+        # a month reads back as text whatever the session infers
+        stored = spark.read.schema(rows.schema).parquet(trades_path)
+        touched = [r[0] for r in stored.where(F.col("batch_id") == epoch).select("month").distinct().collect()]  # of one batch
+        if not touched:
+            return
+        seg = _segments(stored.where(F.col("month").isin(touched))).withColumn("month", _month_of_bucket())
+        seg.repartition("month").write.mode("overwrite").options(**dynamic).partitionBy("month").parquet(segments_path)
+        segments = spark.read.schema(seg.schema).parquet(segments_path)
+        as_of = segments.agg(F.max("scored_at")).first()[0]
+        lo = as_of - dt.timedelta(days=days)
+        first = (lo.date() - dt.date(1970, 1, 1)).days
+        # the day the horizon begins in is summed from its trades, later days from their summaries
+        edge = _segments(stored.where((F.col("month") == f"{lo:%Y-%m}") & (F.col("ts") > F.lit(lo))
+                                      & (F.to_date("ts") == F.lit(lo.date()))))
+        inside = segments.where((F.col("month") >= f"{lo:%Y-%m}") & (F.col("_tb") > first)).select(*edge.columns)
+        scores = W.scores_of_segments(inside.unionByName(edge), W.KEYS, min_trades).withColumn("scored_at", F.lit(as_of))
+        scores.write.mode("overwrite").parquet(f"{scores_path}/batch_id={epoch}")
     return fn
-
-
-def wallet_alpha_incremental(stream: DataFrame, days: int = 30, min_trades: int = 5) -> DataFrame:
-    """Streaming wallet scores: one output row per wallet touched by a batch."""
-    src = stream.select("wallet", "blockchain", "ts", "event_id", "ret")
-    return src.groupBy("wallet", "blockchain").applyInPandasWithState(
-        alpha_updater(days, min_trades), OUTPUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)

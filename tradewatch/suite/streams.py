@@ -21,7 +21,7 @@ from tradewatch.plans.sinks import read_if_exists
 from tradewatch.sources import adapters as A
 from tradewatch.sources import trades as TR
 from tradewatch.streaming import jobs as J
-from tradewatch.streaming.wallet_state import wallet_alpha_incremental
+from tradewatch.streaming.wallet_state import wallet_alpha_batch
 from tradewatch.suite import core, detect, identity
 from tradewatch.suite.core import ALERT_BASE, TRADE_COLS, WHALE_ALERTS_SQL, alert_view
 from tradewatch.suite.oracle import SQL as ORACLE
@@ -184,13 +184,12 @@ SELECT CAST(0 AS BIGINT) AS batch_id, count(*) AS processed,
 def q_wallet_alpha_incremental(spark, sf):
     path = _fixture(spark, sf, "wallet_trades", lambda: A.wallet_trades(spark, sf))
     src = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
-    out, ck = fresh(spark, "wallet_alpha"), fresh(spark, "ck")
-    with state_partitions(spark):
-        _run(J.start(wallet_alpha_incremental(src, identity.DAYS, identity.MIN_TRADES), out, ck))
-    r = spark.read.parquet(out)
-    latest = r.groupBy("wallet", "blockchain").agg(F.max_by(F.struct("trade_count", "alpha"), "updates").alias("s"))
-    return latest.select("wallet", "blockchain", F.col("s.trade_count").alias("trade_count"),
-                         stable_round("s.alpha", 6).alias("alpha"))
+    base, ck = fresh(spark, "wallet_alpha"), fresh(spark, "ck")
+    fn = wallet_alpha_batch(*[os.path.join(base, k) for k in ("trades", "segments", "scores")], identity.DAYS, identity.MIN_TRADES)
+    _run(J.start_batches(src, fn, ck))
+    r = spark.read.parquet(os.path.join(base, "scores"))
+    last = r.where(F.col("batch_id") == r.agg(F.max("batch_id")).scalar())
+    return last.select("wallet", "blockchain", "trade_count", stable_round("alpha", 6).alias("alpha"))
 
 
 # with a horizon longer than the data the streamed score equals the batch score
