@@ -22,7 +22,7 @@ from tradewatch.operators import quality as Q
 from tradewatch.operators import spread as S
 from tradewatch.operators import volume as V
 from tradewatch.operators import whale as W
-from tradewatch.plans.sinks import read_if_exists
+from tradewatch.plans.sinks import read_if_exists, route_alerts
 
 
 def _batch_dir(base: str, epoch: int) -> str:
@@ -77,15 +77,41 @@ def stream_vwap(src: DataFrame, width: str, watermark: str) -> DataFrame:
     return S.vwap(src.withWatermark("timestamp", watermark), width)
 
 
-def spread_batch(out_path: str, pct: float, high: float):
-    """foreachBatch body: all venues of a window close in the same batch, so
-    the spread of the batch's windows is complete."""
+def detector_batch(rows_path: str, rows_of, alerts_of, hot_path: str, cold_path: str):
+    """foreachBatch body of a windowed detector: the rows of the batch's closed windows
+    are written as ``batch_id=<epoch>``, and their alerts are routed to the hot and cold
+    stores, which a replayed batch leaves as they are."""
     def fn(batch: DataFrame, epoch: int) -> None:
-        sp = S.spread(batch)
-        sp.write.mode("overwrite").parquet(_batch_dir(out_path, epoch))
+        rows = rows_of(batch).persist()
+        try:
+            rows.write.mode("overwrite").parquet(_batch_dir(rows_path, epoch))
+            route_alerts(alerts_of(rows), hot_path, cold_path, epoch)
+        finally:
+            rows.unpersist()
     return fn
 
 
+def spread_batch(base: str, cfg: dict, processed_at: str):
+    """Spreads and their alerts; all venues of a window close in the same
+    batch, so the spread of the batch's windows is complete."""
+    c = cfg["spread_calculator"]
+
+    def alerts(rows: DataFrame) -> DataFrame:
+        s = L.lin_attach_latest(rows, "MOD-003", "spread-calculator", c, processed_at)
+        return S.spread_alerts(s, c["spread_threshold_pct"], c["spread_high_pct"])
+    return detector_batch(os.path.join(base, "rows"), S.spread, alerts, os.path.join(base, "hot"), os.path.join(base, "cold"))
+
+
+def flow_batch(base: str, cfg: dict, processed_at: str):
+    """Flows of closed windows and their alerts."""
+    c = cfg["flow"]
+
+    def alerts(rows: DataFrame) -> DataFrame:
+        f = L.lin_attach_latest(rows, "MOD-006", "flow-direction", c, processed_at)
+        return FL.flow_alerts(f, c["accumulation"], c["distribution"], c["strong_accumulation"], c["strong_distribution"])
+    return detector_batch(os.path.join(base, "rows"), lambda b: b, alerts, os.path.join(base, "hot"), os.path.join(base, "cold"))
+
+
 def stream_volume_aggregates(src: DataFrame, width: str, watermark: str) -> DataFrame:
     return V.vol_aggregate(src.withWatermark("timestamp", watermark), width)
 

@@ -25,7 +25,7 @@ from tradewatch.streaming.wallet_state import wallet_alpha_batch
 from tradewatch.suite import core, detect, identity
 from tradewatch.suite.core import ALERT_BASE, TRADE_COLS, WHALE_ALERTS_SQL, alert_view
 from tradewatch.suite.oracle import SQL as ORACLE
-from tradewatch.suite.oracle import TRADES_E, sround, with_
+from tradewatch.suite.oracle import TRADES_E, alert_id, sround, with_
 from tradewatch.suite.registry import PROCESSED_AT, query, sql
 from tradewatch.suite.storage import fixture_path, fresh
 
@@ -113,13 +113,25 @@ SELECT window_start, symbol, exchange, round(z_score, 6) AS z_score, severity FR
 WHERE window_end <= {TAIL.format(wm="30 SECOND")}""")
 
 
-@query("stream_spread")
-def q_stream_spread(spark, sf):
-    out, ck = fresh(spark, "stream_spread"), fresh(spark, "ck")
+def _spread_run(spark, sf):
+    base, ck = fresh(spark, "stream_spread"), fresh(spark, "ck")
     src = J.stream_vwap(trades_source(spark, sf), detect.SPREAD_W, SPREAD_WM)
     with state_partitions(spark):
-        _run(J.start_batches(src, J.spread_batch(out, 0.5, 1.0), ck))
-    s = spark.read.parquet(out)
+        _run(J.start_batches(src, J.spread_batch(base, detect.CFG, PROCESSED_AT), ck))
+    return base
+
+
+def _routed(spark, base):
+    """What reached the cold store, and whether the hot one and the lineage agree."""
+    cold, hot = (spark.read.parquet(os.path.join(base, k)) for k in ("cold", "hot"))
+    module = F.get_json_object("details", "$._lineage.module_id")
+    return cold.join(hot.select("alert_id", F.lit(True).alias("in_hot")), "alert_id", "left").select(
+        "alert_id", "alert_type", "symbol", "severity", "detected_at", module.alias("lineage_module"), F.coalesce("in_hot", F.lit(False)).alias("in_hot"))
+
+
+@query("stream_spread")
+def q_stream_spread(spark, sf):
+    s = spark.read.parquet(os.path.join(_spread_run(spark, sf), "rows"))
     return s.select("window_start", "window_end", "symbol", "exchange_a", "exchange_b",
                     F.round("spread_pct", 6).alias("spread_pct"))
 
@@ -129,17 +141,41 @@ SELECT window_start, window_end, symbol, exchange_a, exchange_b, round(spread_pc
 WHERE window_end <= {TAIL.format(wm="15 SECOND")}""")
 
 
-@query("stream_flow")
-def q_stream_flow(spark, sf):
-    out, ck = fresh(spark, "stream_flow"), fresh(spark, "ck")
+@query("stream_spread_alerts")
+def q_stream_spread_alerts(spark, sf):
+    return _routed(spark, _spread_run(spark, sf))
+
+
+sql("stream_spread_alerts", with_(TRADES_E) + detect.SPREAD_SQL + detect.SPREAD_ALERTS_SQL + f"""
+SELECT alert_id, alert_type, symbol, severity, detected_at, 'MOD-003' AS lineage_module, true AS in_hot FROM spread_alerts
+WHERE detected_at <= {TAIL.format(wm="15 SECOND")}""")
+
+
+def _flow_run(spark, sf):
+    base, ck = fresh(spark, "stream_flow"), fresh(spark, "ck")
     flows = J.stream_flow(trades_source(spark, sf), identity.CFG, identity.FLOW_W, FLOW_WM)
     with state_partitions(spark):
-        _run(J.start(flows, out, ck))
-    f = spark.read.parquet(out)
+        _run(J.start_batches(flows, J.flow_batch(base, identity.CFG, PROCESSED_AT), ck))
+    return base
+
+
+@query("stream_flow")
+def q_stream_flow(spark, sf):
+    f = spark.read.parquet(os.path.join(_flow_run(spark, sf), "rows"))
     return f.select("window_start", "window_end", "symbol", "buy_volume", "sell_volume",
                     stable_round("flow_ratio", 6).alias("flow_ratio"), "whale_count")
 
 
+@query("stream_flow_alerts")
+def q_stream_flow_alerts(spark, sf):
+    return _routed(spark, _flow_run(spark, sf))
+
+
+sql("stream_flow_alerts", with_(TRADES_E) + identity.FLOW_SQL + f"""
+SELECT {alert_id('alert_type', 'NULL', 'symbol', 'epoch_us(window_start) // 1000000')} AS alert_id, alert_type, symbol, severity,
+  window_end AS detected_at, 'MOD-006' AS lineage_module, true AS in_hot FROM fla WHERE window_end <= {TAIL.format(wm="30 SECOND")}""")
+
+
 sql("stream_flow", with_(TRADES_E) + identity.FLOW_SQL + f"""
 SELECT window_start, window_end, symbol, buy_volume, sell_volume, {sround('flow_ratio', 6)} AS flow_ratio, whale_count
 FROM fl WHERE window_end <= {TAIL.format(wm="30 SECOND")}""")
