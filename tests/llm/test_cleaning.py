@@ -217,6 +217,8 @@ def test_classifier(stored, spark, tmp_path):
     moved = df.withColumn("source", F.lit("other")).withColumn("lang", F.lit("xx"))
     assert {(r.doc_id, r.score) for r in scored(moved, other).collect()} == {(r.doc_id, r.score) for r in got}
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in got)
+    few = scored(df, labels, sample_rows=150).collect()  # a bounded sample
+    assert sum(r.predicted == (r.doc_id % 3 > 0) for r in few if r.held_out and r.doc_id < 600) >= 0.9 * len(out)
     none = scored(df, labels.limit(0)).collect()
     assert {r.score for r in none} == {0.5}
     assert scored(stored([], "none"), labels).count() == 0

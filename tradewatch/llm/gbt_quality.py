@@ -124,7 +124,10 @@ def scored(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
     stats = saved(src.select("rid", "doc_id", "text").mapInArrow(_measure, f"rid long, doc_id {id_type}, x array<double>"), "statistics")
     rest = F.pmod(F.coalesce(F.crc32(F.col("doc_id").cast("string")), F.lit(0)), F.lit(3))
     known = labels.select(F.col(id_col).alias("doc_id"), F.col(label).cast("int").alias("y")).filter("doc_id IS NOT NULL AND y IS NOT NULL")
-    known = known.filter(rest != 1).groupBy("doc_id").agg(F.max("y").alias("y"))
+    known = saved(known.filter(rest != 1).groupBy("doc_id").agg(F.max("y").alias("y")), "training-labels")
+    n = known.count()
+    if n > sample_rows:  # a fifth more than needed, so that not every task offers a whole sample
+        known = known.filter(F.xxhash64("doc_id") / F.lit(2.0 ** 64) + 0.5 <= 1.2 * sample_rows / n)
     sample = (stats.join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "rid").limit(sample_rows).select("x", "y").toPandas())
     x = np.stack(sample["x"].to_numpy()) if len(sample) else np.zeros((0, len(NAMES)))
     trees = docs.sparkSession.sparkContext.broadcast(fit(x, sample["y"].to_numpy(np.float64)))  # some kilobytes
