@@ -24,7 +24,7 @@ def shared_dir(spark: SparkSession) -> str:
     setting unset; it then gets a folder of its own."""
     path = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if not path:
-        if not spark.sparkContext.master.startswith("local["):
+        if not (spark.sparkContext.master + "[").startswith("local["):
             raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tradewatch-llm-"))
         path = spark.sparkContext.getCheckpointDir()
