@@ -39,7 +39,8 @@ def spreads(spark, sf):
 
 def spread_alerts(spark, sf):
     c = CFG["spread_calculator"]
-    return S.spread_alerts(spreads(spark, sf), c["spread_threshold_pct"], c["spread_high_pct"])
+    s = L.lin_attach_latest(spreads(spark, sf), "MOD-003", "spread-calculator", c, PROCESSED_AT)
+    return S.spread_alerts(s, c["spread_threshold_pct"], c["spread_high_pct"])
 
 
 STRUCT_ORDER = 'struct_pack(t := "timestamp", e := event_id)'
@@ -176,6 +177,10 @@ def q_spread_alerts(spark, sf):
 
 
 SPREAD_ALERTS_SQL = f""",
+lastev AS (
+  SELECT time_bucket(INTERVAL 1 HOUR, "timestamp", TIMESTAMP '1970-01-01') AS window_start, symbol,
+    arg_max(struct_pack(t := "timestamp", x := exchange, e := event_id), struct_pack(t := "timestamp", x := exchange, e := event_id)) AS l
+  FROM trades_e GROUP BY 1, 2),
 spread_alerts AS (
   SELECT {alert_id("'spread_divergence'", 'NULL', 'symbol', 'epoch_us(window_start) // 1000000', 'exchange_a',
                    'exchange_b')} AS alert_id,
@@ -183,8 +188,9 @@ spread_alerts AS (
     CASE WHEN abs(spread_pct) > 1.0 THEN 'high' ELSE 'medium' END AS severity, window_end AS detected_at,
     'Spread between ' || exchange_a || ' and ' || exchange_b || ' on ' || symbol || ' over 0.5 %' AS message,
     {ttl('window_end')} AS ttl_epoch, round(spread_pct, 6) AS d_spread_pct, exchange_a AS d_exchange_a,
-    exchange_b AS d_exchange_b, spread_pct, window_start, exchange_a, exchange_b
-  FROM sp WHERE abs(spread_pct) > 0.5)"""
+    exchange_b AS d_exchange_b, spread_pct, window_start, exchange_a, exchange_b, l.e AS last_event_id,
+    substr(sha256(concat_ws(':', l.x, symbol, strftime(l.t, '%Y-%m-%dT%H:%M:%S.%g') || 'Z')), 1, 16) AS correlation_id
+  FROM sp JOIN lastev USING (window_start, symbol) WHERE abs(spread_pct) > 0.5)"""
 
 sql("spread_alerts", with_(TRADES_E) + SPREAD_SQL + SPREAD_ALERTS_SQL + f"""
 SELECT {ALERT_BASE}, d_spread_pct, d_exchange_a, d_exchange_b FROM spread_alerts""")

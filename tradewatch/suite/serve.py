@@ -29,6 +29,7 @@ RUN_CFG = make_config({
     "flow": {"window_seconds": 21600}, "consensus": {"window_seconds": 21600}})
 WHALE_HASH = config_hash("whale_detector")
 VOL_HASH = lin_config_hash(detect.CFG["volume_anomaly"])
+SPREAD_HASH = lin_config_hash(detect.CFG["spread_calculator"])
 BASE = ["alert_id", "alert_type", "module_id", "symbol", "exchange", "severity", "detected_at", "message", "ttl_epoch"]
 BASE_SQL = ", ".join(BASE)
 
@@ -53,7 +54,7 @@ small AS (
     '_lineage,direction,rolling_mean,rolling_stddev,trade_count,window_start,window_volume,z_score', NULL
   FROM vol_alerts
   UNION ALL
-  SELECT {BASE_SQL}, NULL, NULL, NULL, 'exchange_a,exchange_a_vwap,exchange_b,exchange_b_vwap,spread_pct,window_start',
+  SELECT {BASE_SQL}, correlation_id, last_event_id, '{SPREAD_HASH}', '_lineage,exchange_a,exchange_a_vwap,exchange_b,exchange_b_vwap,spread_pct,window_start',
     NULL FROM spread_alerts)"""
 
 
@@ -165,7 +166,8 @@ def q_lin_by_correlation(spark, sf):
 
 sql("lin_by_correlation", SMALL_SQL + LATEST_CID_SQL + f"""
 SELECT alert_id, alert_type, detected_at, correlation_id, module_id AS lineage_module_id,
-  CASE module_id WHEN 'MOD-002' THEN 'whale-detector' ELSE 'volume-anomaly' END AS detector_name, config_hash
+  CASE module_id WHEN 'MOD-002' THEN 'whale-detector' WHEN 'MOD-003' THEN 'spread-calculator'
+    ELSE 'volume-anomaly' END AS detector_name, config_hash
 FROM small, cid WHERE correlation_id = cid.cid""")
 
 
@@ -181,15 +183,13 @@ GROUP BY 1, 2, 3""")
 
 @query("lin_trace_raw")
 def q_lin_trace_raw(spark, sf):
-    """Every volume alert traced to the raw trade that closed its window."""
-    a = small_alerts(spark, sf).where(F.col("alert_type") == "volume_spike")
-    return L.lin_trace_raw(a, A.trades_e(spark, sf))
+    """Every alert of one venue traced to its raw trade, or to the one that closed its window."""
+    return L.lin_trace_raw(small_alerts(spark, sf), A.trades_e(spark, sf))
 
 
 sql("lin_trace_raw", SMALL_SQL + """
 SELECT t.exchange, t.symbol, t.event_id, t.price, t.quantity, s.alert_type, s.detected_at, s.correlation_id
-FROM small s JOIN trades_e t ON s.source_event_id = t.event_id AND s.symbol = t.symbol AND s.exchange = t.exchange
-WHERE s.alert_type = 'volume_spike'""")
+FROM small s JOIN trades_e t ON s.source_event_id = t.event_id AND s.symbol = t.symbol AND s.exchange = t.exchange""")
 
 
 # ---- serving --------------------------------------------------------------------------------------
