@@ -15,7 +15,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewatch.llm.trie_bpe import WORDS, TrieBpe, loaded
+from tradewatch.llm.trie_bpe import CHUNK_CHARS, WORDS, TrieBpe, loaded
 
 BLOCK = 64  # pre-tokens of a new leaf
 CONTEXT = 2  # characters before an edit that a pre-token's end may look at
@@ -123,21 +123,20 @@ def edit_counts(docs: DataFrame, vocabulary: str, edits=redactions, id_col: str
         counts = Counts(coder)
         for batch in batches:
             rows = []
-            for t in batch.column("text"):
-                x = t.as_py() or ""
-                todo = edits(x)
-                if not todo:
-                    words = WORDS.findall(x)
-                    n = counts(words)
-                    total = sum(map(n.__getitem__, words))
-                    rows.append((total, 0, len(words), 0, total))
-                    continue
-                tree = CountTree(x, counts)
-                before, words, shift = tree.total, sum(map(len, tree.leaves)), 0
-                for start, end, new in todo:
-                    tree.edit(start + shift, end + shift, new)
-                    shift += len(new) - (end - start)
-                rows.append((before, len(todo), words, tree.encoded, tree.total))
+            for texts in _groups(batch.column("text")):
+                split = [WORDS.findall(x) for x in texts]
+                n = counts({w for words in split for w in words})  # the words of several texts share one walk
+                before = [(sum(map(n.__getitem__, words)), len(words)) for words in split]
+                for x, (total, words) in zip(texts, before, strict=True):
+                    todo = edits(x)
+                    if not todo:
+                        rows.append((total, 0, words, 0, total))
+                        continue
+                    tree, shift = CountTree(x, counts), 0
+                    for start, end, new in todo:
+                        tree.edit(start + shift, end + shift, new)
+                        shift += len(new) - (end - start)
+                    rows.append((total, len(todo), words, tree.encoded, tree.total))
             names = ["n_tokens", "n_edits", "n_words", "n_encoded_again", "n_tokens_after"]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), *(pa.array([r[i] for r in rows], pa.int64()) for i in range(5))], names=["doc_id", *names])
@@ -146,6 +145,20 @@ def edit_counts(docs: DataFrame, vocabulary: str, edits=redactions, id_col: str
         run, f"doc_id {id_type}, n_tokens long, n_edits long, n_words long, n_encoded_again long, n_tokens_after long")
 
 
+def _groups(texts):
+    """Texts in groups of up to CHUNK_CHARS characters; a longer one is a group by itself."""
+    group, chars = [], 0
+    for t in texts:
+        x = t.as_py() or ""
+        if group and chars + len(x) > CHUNK_CHARS:
+            yield group
+            group, chars = [], 0
+        group.append(x)
+        chars += len(x)
+    if group:
+        yield group
+
+
 class Counts:
     """Token counts of pre-tokens; new ones are encoded together."""
 
