@@ -98,6 +98,14 @@ def test_near_groups(stored):
     assert all(r.doc_id == r.component_id for r in got if r.kept)
 
 
+def test_small_sets_link(stored):
+    """6 shingles against 7 reach 6/7; 5 against 6 stay under the threshold."""
+    data = [(10 * k + j, t) for k in range(8) for j, t in enumerate(
+        (prose(k, 10), prose(k, 10) + " tail", "front " + prose(k, 10), prose(50 + k, 9), prose(50 + k, 9) + " tail"))]
+    got = {r.doc_id: r.component_id for r in near_groups(stored(rows(*data))).collect()}
+    assert got == {10 * k + j: 10 * k + (0 if j < 3 else j) for k in range(8) for j in range(5)}
+
+
 def test_shingle_hashes_do_not_collide_on_two_words():
     words = WordHashes()
     r = random.Random(3)
