@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewatch.llm.block_names import exact_groups
-from tradewatch.llm.common import keep_rows, shared_dir, table, with_rid
+from tradewatch.llm.common import keep_rows, numbered, shared_dir, table
 from tradewatch.llm.hyperminhash import near_groups
 from tradewatch.llm.line_quality import keeps
 from tradewatch.llm.mix import mixed
@@ -25,18 +25,21 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of every group of equal texts stays."""
-    return keep_rows(docs, exact_groups(docs).filter("kept").selectExpr("rid AS __rid"))
+    rows = numbered(docs)
+    return keep_rows(rows, exact_groups(rows, rid="__rid").filter("kept").selectExpr("rid AS __rid"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of every group of linked texts stays."""
-    return keep_rows(docs, near_groups(docs).filter("kept").selectExpr("rid AS __rid"))
+    rows = numbered(docs)
+    return keep_rows(rows, near_groups(rows, rid="__rid").filter("kept").selectExpr("rid AS __rid"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every row as often as the mix takes it: not at all, once, twice or three times."""
-    copies = mixed(docs).filter("copies > 0").select(F.col("rid").alias("__rid"), F.col("copies").alias("__copies"))
-    rows = with_rid(docs).join(copies, "__rid")
+    rows = numbered(docs)
+    copies = mixed(rows, rid="__rid").filter("copies > 0").select(F.col("rid").alias("__rid"), F.col("copies").alias("__copies"))
+    rows = rows.join(copies, "__rid")
     return rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), "__copies"))).select(*[rows[c] for c in docs.columns])
 
 

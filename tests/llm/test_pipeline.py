@@ -8,7 +8,7 @@ import corpus_pipeline as P
 from tests.conftest import SF_SMALL
 from tradewatch.llm.queries import QUERIES, SQL
 
-from .conftest import EDGE, rows
+from .conftest import EDGE, prose, rows
 
 
 def test_one_query_per_operator():
@@ -43,6 +43,19 @@ def test_stages(spark, tmp_path):
     assert sorted(r.n_tokens for r in docs.collect()) == sorted(r.n_tokens for r in P.run(spark, SF_SMALL).collect())
 
 
+@pytest.mark.parametrize("stage", [P.exact_dedup, P.near_dedup, P.mix_sources])
+def test_row_numbers_hold_when_splits_change(spark, stored, stage):
+    """The files are dealt to other tasks once the operator has run, as when executors join."""
+    docs = stored(rows(*[(i, prose(i // 2, 30), f"s{i % 3}") for i in range(60)]), parts=6)
+    want = sorted(r.doc_id for r in stage(spark, docs, "").collect())
+    out = stage(spark, docs, "")
+    spark.conf.set("spark.sql.files.minPartitionNum", "1")
+    try:
+        assert sorted(r.doc_id for r in out.collect()) == want
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+
+
 def test_stages_on_edge_rows(spark, stored):
     docs = stored(rows(*EDGE))
     assert P.exact_dedup(spark, docs, "").count() == 6

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradewatch.llm.common import ascii_lower, saved
+from tradewatch.llm.common import ascii_lower, saved, source_rows
 
 BLOCK_BYTES = 4096
 NONE = -(2 ** 62)  # stands for the missing right half of an odd pair
@@ -43,14 +43,15 @@ def _numbered(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def block_identity(docs: DataFrame, text: str = "text", block_bytes: int = BLOCK_BYTES,
-                   hash_of=F.xxhash64, carry: tuple[str, ...] = ()) -> DataFrame:
+                   hash_of=F.xxhash64, carry: tuple[str, ...] = (), rid: str | None = None) -> DataFrame:
     """One row per row of ``docs``: ``rid``, the ``carry`` columns, ``text_sha256``
     (of the normalised text), ``level`` and ``name``. A null text is empty; an empty text
-    has level -1. ``hash_of`` routes blocks and never decides (tests pass a weak one)."""
-    norm = ascii_lower(F.coalesce(F.col(text), F.lit("")))
-    src = docs.select(*[F.col(c).alias(f"c_{i}") for i, c in enumerate(carry)], norm.alias("norm"))
+    has level -1. ``hash_of`` routes blocks and never decides (tests pass a weak one). ``rid``: see ``source_rows``."""
+    rows = source_rows(docs, rid, text=text, **{f"c_{i}": c for i, c in enumerate(carry)})
+    norm = ascii_lower(F.coalesce("text", F.lit("")))
+    src = rows.select("rid", *[f"c_{i}" for i in range(len(carry))], norm.alias("norm"))
     base = saved(src.select(
-        F.monotonically_increasing_id().alias("rid"), *[f"c_{i}" for i in range(len(carry))],
+        "rid", *[f"c_{i}" for i in range(len(carry))],
         F.sha2(F.col("norm"), 256).alias("text_sha256"),
         _blocks(F.col("norm"), block_bytes, lambda b, i: hash_of(b)).alias("hs")), "block-hashes")
 
@@ -64,7 +65,7 @@ def block_identity(docs: DataFrame, text: str = "text", block_bytes: int = BLOCK
     cur = saved(cur.join(per_hash, "h").select("rid", "n", "pos", "h", "name", "variants"), "block-level0")
     clashes = cur.filter("variants > 1")
     if not clashes.isEmpty():
-        cur = cur.filter("variants = 1").unionByName(_by_block(docs, text, block_bytes, hash_of, clashes, cur))
+        cur = cur.filter("variants = 1").unionByName(_by_block(src, block_bytes, hash_of, clashes))
     cur = cur.select("rid", "n", "pos", "name")
 
     done = cur.filter("n = 1").select("rid", F.lit(0).alias("level"), "name")
@@ -87,10 +88,9 @@ def block_identity(docs: DataFrame, text: str = "text", block_bytes: int = BLOCK
     return out.select("rid", *[F.col(f"c_{i}").alias(c) for i, c in enumerate(carry)], "text_sha256", "level", "name")
 
 
-def _by_block(docs, text, block_bytes, hash_of, clashes, cur) -> DataFrame:
+def _by_block(src, block_bytes, hash_of, clashes) -> DataFrame:
     """Names for the rows of hashes that several distinct blocks share, by the block."""
-    norm = ascii_lower(F.coalesce(F.col(text), F.lit("")))
-    rows = docs.select(F.monotonically_increasing_id().alias("rid"), norm.alias("norm")).select(
+    rows = src.select(
         "rid", F.explode(_blocks(F.col("norm"), block_bytes,
                                  lambda b, i: F.struct(i.alias("pos"), hash_of(b).alias("h"), b.alias("block")))).alias("x"))
     rows = saved(rows.select("rid", "x.*").join(clashes.select("h").distinct(), "h", "left_semi"), "block-clashes")
@@ -102,14 +102,14 @@ def _by_block(docs, text, block_bytes, hash_of, clashes, cur) -> DataFrame:
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
-                 block_bytes: int = BLOCK_BYTES, hash_of=F.xxhash64) -> DataFrame:
+                 block_bytes: int = BLOCK_BYTES, hash_of=F.xxhash64, rid: str | None = None) -> DataFrame:
     """One row per row of ``docs``: rid, doc_id, keep_id, group_size, kept, text_sha256.
 
     Texts are equal when identical after lower-casing A-Z only; null counts as
     empty. Of equal texts the row with the largest id stays (of rows that also
     share the id, the last one); a null id is smaller than any. An empty table
-    gives an empty result; other columns are not read, whatever their names."""
-    rows = saved(block_identity(docs, text, block_bytes, hash_of, carry=(id_col,))
+    gives an empty result; other columns are not read, whatever their names. ``rid``: see ``source_rows``."""
+    rows = saved(block_identity(docs, text, block_bytes, hash_of, carry=(id_col,), rid=rid)
                  .withColumnRenamed(id_col, "doc_id"), "block-identity")
     # a table of its own, so that the join below has two plain sides and a large group can be split
     best = saved(rows.groupBy("level", "name").agg(F.max(F.struct("doc_id", "rid")).alias("best"),

@@ -45,13 +45,27 @@ def ascii_lower(text: Column) -> Column:
 
 
 def with_rid(docs: DataFrame, name: str = "__rid") -> DataFrame:
-    """Number the rows of a stored table. The number depends on the file splits
-    only, so two reads of one DataFrame give the same one; rows that repeat, or
-    share an id, stay apart."""
+    """Number the rows; rows that repeat, or share an id, stay apart. The number depends
+    on the file splits, which change with the cores registered when a scan is planned, so
+    it holds for this one scan. Where rows are joined by it, use ``numbered``."""
     return docs.withColumn(name, F.monotonically_increasing_id())
 
 
-def keep_rows(docs: DataFrame, decided: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose number is in ``decided`` (one column, ``__rid``);
-    the columns of ``docs`` unchanged."""
-    return with_rid(docs).join(decided, "__rid", "left_semi").drop("__rid")
+def numbered(docs: DataFrame, name: str = "__rid") -> DataFrame:
+    """The rows with their number, written once: every later read gives the same one."""
+    return saved(with_rid(docs, name), "numbered-rows")
+
+
+def source_rows(docs: DataFrame, rid: str | None, **columns: str) -> DataFrame:
+    """rid and the columns asked for, as a stored table. ``rid`` names the column of a
+    ``numbered`` table that has the number; without it the rows are numbered here."""
+    chosen = [F.col(c).alias(name) for name, c in columns.items()]
+    if rid is None:
+        return numbered(docs.select(*chosen), "rid").select("rid", *columns)
+    return docs.select(F.col(rid).alias("rid"), *chosen)
+
+
+def keep_rows(rows: DataFrame, decided: DataFrame) -> DataFrame:
+    """Rows of a ``numbered`` table whose number is in ``decided`` (one column,
+    ``__rid``), without the number."""
+    return rows.join(decided, "__rid", "left_semi").drop("__rid")

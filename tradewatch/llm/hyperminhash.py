@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tradewatch.llm.common import saved, with_rid
+from tradewatch.llm.common import saved, source_rows
 from tradewatch.llm.components import components
 from tradewatch.llm.shingles import WordHashes, shingle_set
 
@@ -179,7 +179,7 @@ def _cross_pairs(mixed: DataFrame, texts: DataFrame) -> DataFrame:
     ).select(F.least("rid", "rid2").alias("a"), F.greatest("rid", "rid2").alias("b")).distinct()
 
 
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", rid: str | None = None) -> DataFrame:
     """One row per row of ``docs``: rid, doc_id, n_shingles, component_id, kept.
 
     Texts are lower-cased (A-Z) and shingled by five words; rows are linked when
@@ -187,9 +187,9 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
     smallest id reachable (null only if all are null), and that row is kept; of
     rows that share the id, the first. Null, empty and blank texts have no shingles and
     link with nothing. An empty table gives an empty result; other columns are
-    not read, whatever their names."""
+    not read, whatever their names. ``rid``: see ``source_rows``."""
     id_type = dict(docs.dtypes)[id_col]
-    src = with_rid(docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text")), "rid")
+    src = source_rows(docs, rid, doc_id=id_col, text=text)
     sketch = saved(src.select("rid", "doc_id", "text").mapInArrow(_sketches, _SKETCH.format(id=id_type)), "sketches")
 
     reps = saved(sketch.filter("n > 0").groupBy("d1", "d2").agg(

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradewatch.llm.common import SPACES, saved, with_rid
+from tradewatch.llm.common import SPACES, numbered, saved
 
 # fixed values: notices as their licences give them
 TEMPLATES = (
@@ -48,14 +48,21 @@ def _terms(line: Column) -> Column:
     return F.regexp_extract_all(F.lower(line), F.lit(TERM), F.lit(0))
 
 
+def _heads(text: str) -> Column:
+    """The header lines of a text with their places."""
+    return F.filter(F.transform(F.split(F.coalesce(F.col(text), F.lit("")), "\n"),
+                                lambda x, i: F.struct(i.alias("line"), x.alias("x"))), lambda s: s["x"].rlike(HEADER))
+
+
 def notices(docs: DataFrame, text: str = "text") -> DataFrame:
     """rid, line, words, license, cosine for every header line that matches a template;
     rid numbers the rows of ``docs``."""
-    spark = docs.sparkSession
-    head = F.filter(F.transform(F.split(F.coalesce(F.col(text), F.lit("")), "\n"),
-                                lambda x, i: F.struct(i.alias("line"), x.alias("x"))), lambda s: s["x"].rlike(HEADER))
-    # numbered before the lines are unfolded
-    heads = docs.select(F.monotonically_increasing_id().alias("rid"), head.alias("heads"))
+    return _matched(saved(docs.select(F.monotonically_increasing_id().alias("rid"), _heads(text).alias("heads")), "header-rows"))
+
+
+def _matched(heads: DataFrame) -> DataFrame:
+    """``notices`` of a stored table of rid, heads."""
+    spark = heads.sparkSession
     lines = saved(heads.select("rid", F.explode("heads").alias("h")).select(
         "rid", "h.line", F.size(F.filter(F.split("h.x", SPACES), lambda w: w != "")).alias("words"), _terms(F.col("h.x")).alias("terms")),
         "header-lines")
@@ -94,11 +101,11 @@ def licensed(docs: DataFrame, path: Column, id_col: str = "doc_id", text: str =
     license is the same, or else that of the nearest ancestor directory with a licence
     file (from_dir; of several files the largest cosine, then the smallest licence name), or null. A null path lies in the root. A null text has no
     notice. An empty table gives an empty result; other columns are not read, whatever their names."""
-    src = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"), _parent(F.coalesce(path, F.lit(""))).alias("dir"))
-    found = saved(notices(src), "notices").groupBy("rid").agg(
+    words = F.size(F.filter(F.split(F.coalesce(text, F.lit("")), SPACES), lambda w: w != ""))
+    base = numbered(docs.select(F.col(id_col).alias("doc_id"), _parent(F.coalesce(path, F.lit(""))).alias("dir"), words.alias("words"),
+                                _heads(text).alias("heads")), "rid")  # one scan: numbers, and all that is needed of the texts
+    found = saved(_matched(base.select("rid", "heads")), "notices").groupBy("rid").agg(
         F.max(F.struct("cosine", (-F.col("line")).alias("o"), "license")).alias("b"), F.count(F.lit(1)).alias("k"), F.sum("words").alias("lw"))
-    words = F.size(F.filter(F.split(F.coalesce("text", F.lit("")), SPACES), lambda w: w != ""))
-    base = with_rid(src, "rid").select("rid", "doc_id", "dir", words.alias("words"))
     rows = saved(base.join(found, "rid", "left").select(
         "rid", "doc_id", "dir", F.col("b.license").alias("own_license"), F.col("b.cosine").alias("cosine"),
         F.coalesce("k", F.lit(0)).alias("n_notices"), F.coalesce(F.col("lw") >= LICENCE_FILE * F.col("words"), F.lit(False)).alias("license_file")),

@@ -125,14 +125,16 @@ def targets(hist: DataFrame, weights: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
 
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source",
-          weights: tuple[int, ...] = (1, 2, 3), seed: int = 17) -> DataFrame:
+          weights: tuple[int, ...] = (1, 2, 3), seed: int = 17, rid: str | None = None) -> DataFrame:
     """One row per row of ``docs``: rid, doc_id, size, source_size, target, copies, taken.
 
     size counts words (null: 0); copies is 0 to 3, taken is copies * size. Null
     is a source of its own. The order within a length depends on the seed and the id
     only (rows that share an id follow each other), so reruns agree. An empty
-    table gives an empty result; other columns are not read, whatever their names."""
-    rows = saved(with_rid(docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("t"), F.col(source).alias("s")), "rid").select(
+    table gives an empty result; other columns are not read, whatever their names.
+    ``rid`` names the column of a ``numbered`` table that has the row number."""
+    src = docs.select(*([F.col(rid).alias("rid")] if rid else []), F.col(id_col).alias("doc_id"), F.col(text).alias("t"), F.col(source).alias("s"))
+    rows = saved((src if rid else with_rid(src, "rid")).select(
         "rid", "doc_id", F.regexp_count(F.coalesce("t", F.lit("")), F.lit(WORD)).cast("long").alias("size"),
         F.col("s").isNull().alias("z"), F.coalesce("s", F.lit("")).alias("source")), "mix-sizes")
     hist = saved(rows.groupBy("z", "source", "size").agg(F.count(F.lit(1)).alias("n")), "mix-histogram")
