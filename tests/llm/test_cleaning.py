@@ -101,6 +101,20 @@ def test_line_templates(stored):
     assert line_verdicts(stored([], "none")).count() == 0
 
 
+def test_several_templates_in_a_leaf(stored):
+    """Two families, noise and a hot line under the same four tokens and length."""
+    start = "The mail of today "
+    data = [(i, start + f"from {w} was sent on a day in past") for i, w in enumerate(["Ann", "Bob", "Cyd", "Dan"])]
+    data += [(10 + i, start + f"will reach {w} before the next week it ends") for i, w in enumerate(["Eve", "Fay", "Gus"])]
+    data += [(20 + i, start + prose(i, 9)) for i in range(10)]
+    data += [(40 + i, start + "holds the one line that very many texts share") for i in range(20)]
+    got = {r.doc_id: (r.n_recurring, r.dropped) for r in line_verdicts(stored(rows(*data))).collect()}
+    assert {len(t.split()) for _, t in data} == {13}
+    for ids in (range(4), range(10, 13), range(40, 60)):
+        assert [got[i] for i in ids] == [(1, []), *[(1, [0])] * (len(ids) - 1)]
+    assert all(got[i] == (0, []) for i in range(20, 30))
+
+
 def test_length_fit():
     r = np.random.default_rng(1)
     for k in range(30):
