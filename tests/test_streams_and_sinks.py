@@ -118,3 +118,17 @@ def test_wallet_scores_on_shuffled_batches_equal_the_batch_operator(spark, tmp_p
     want = {x.wallet: (x.trade_count, x.max_drawdown, x.alpha)
             for x in wallet_scores(spark.createDataFrame(rows, schema), None, 30, 5).collect()}
     assert got == want and set(got) == {0, 1, 2, 3}
+
+
+def test_wallet_summaries_of_a_month_are_written_by_many_tasks(spark, tmp_path):
+    from tradewatch.streaming.wallet_state import wallet_alpha_batch
+    schema = "wallet long, blockchain string, ts timestamp, event_id string, ret double"
+    rows = [(w, "solana", T0 + dt.timedelta(minutes=w), f"{w}", 0.1) for w in range(40)]
+    paths = [str(tmp_path / k) for k in ("trades", "segments", "scores")]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        wallet_alpha_batch(*paths)(spark.createDataFrame(rows, schema), 0)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    written = list((tmp_path / "segments").glob("month=*/*.parquet"))
+    assert len({f.parent for f in written}) == 1 and len(written) > 1

@@ -46,7 +46,7 @@ def wallet_alpha_batch(trades_path: str, segments_path: str, scores_path: str, d
         if not touched:
             return
         seg = _segments(stored.where(F.col("month").isin(touched))).withColumn("month", _month_of_bucket())
-        seg.repartition("month").write.mode("overwrite").options(**dynamic).partitionBy("month").parquet(segments_path)
+        seg.repartition("month", "wallet").write.mode("overwrite").options(**dynamic).partitionBy("month").parquet(segments_path)
         segments = spark.read.schema(seg.schema).parquet(segments_path)
         as_of = segments.agg(F.max("scored_at")).first()[0]
         lo = as_of - dt.timedelta(days=days)
