@@ -16,6 +16,7 @@ from tradewatch.llm.licenses import licensed
 from tradewatch.llm.line_quality import BOILERPLATE, judged
 from tradewatch.llm.mix import mixed
 from tradewatch.llm.secret_tests import digest_columns, secrets
+from tradewatch.llm.slot_negatives import hard_negatives
 from tradewatch.llm.template_lines import line_verdicts
 from tradewatch.llm.trie_bpe import encoded
 
@@ -110,3 +111,19 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table has no paths: source, language and hundreds of the id stand for directories."""
     path = F.concat_ws("/", "source", "lang", F.floor(F.col("doc_id") / 100).cast("string"), F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
     return licensed(table(spark, sf_dir, "documents"), path)
+
+
+@query("op13_slot_negatives", """
+WITH r AS (SELECT row_number() OVER () AS rid, vec_id, (CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END)::BIGINT AS label,
+  list_transform(embedding, lambda x: floor(x::DOUBLE * 256)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.rid AS ar, a.vec_id AS anchor_id, b.rid AS br, b.vec_id, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS s
+  FROM r a, r b WHERE a.vec_id % 100 = 0 AND a.rid <> b.rid),
+p AS (SELECT ar, anchor_id, br, vec_id AS positive_id, s AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY ar ORDER BY s DESC, vec_id, br) <= 5),
+n AS (SELECT p.anchor_id, p.positive_id, row_number() OVER (PARTITION BY p.ar, p.br ORDER BY s.s DESC, s.vec_id, s.br) AS rank,
+  s.vec_id AS negative_id, p.positive_score, s.s AS negative_score
+  FROM p JOIN s ON p.ar = s.ar AND NOT s.same AND 30 * p.positive_score <= 100 * s.s AND 100 * s.s <= 90 * p.positive_score)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10""")
+def op13_slot_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives(table(spark, sf_dir, "embeddings"))
