@@ -15,6 +15,7 @@ from tradewatch.llm.hyperminhash import near_groups
 from tradewatch.llm.licenses import licensed
 from tradewatch.llm.line_quality import BOILERPLATE, judged
 from tradewatch.llm.mix import mixed
+from tradewatch.llm.positional_index import contamination
 from tradewatch.llm.secret_tests import digest_columns, secrets
 from tradewatch.llm.slot_negatives import hard_negatives
 from tradewatch.llm.template_lines import line_verdicts
@@ -113,6 +114,32 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licensed(table(spark, sf_dir, "documents"), path)
 
 
+ITEM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+@query("op12_positional_index", rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({LOWERED}, '{ITEM_WORD}') AS w FROM documents),
+i AS (SELECT coalesce(item_id::VARCHAR, '') AS item, regexp_extract_all({LOWERED}, '{ITEM_WORD}') AS w FROM benchmark),
+held AS (SELECT DISTINCT item, w[s : s + 9] AS terms FROM (
+  SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS s FROM i WHERE len(w) > 0)),
+win AS (SELECT row_number() OVER () AS wid, terms, len(terms) AS k FROM (SELECT DISTINCT terms FROM held)),
+post AS (SELECT rid, pos, w[pos] AS t FROM (SELECT rid, w, unnest(range(1, len(w) + 1)) AS pos FROM d)),
+f AS (SELECT t, count(*) AS f FROM post GROUP BY t),
+seed AS (SELECT wid, terms, k, off, terms[off] AS t FROM (SELECT wid, terms, k, unnest(range(1, k + 1)) AS off FROM win) JOIN f ON f.t = terms[off]
+  QUALIFY row_number() OVER (PARTITION BY wid ORDER BY f.f, off) = 1),
+cand AS (SELECT wid, terms, k, rid, pos - off AS s, w FROM seed JOIN post USING (t) JOIN d USING (rid)),
+m AS (SELECT wid, terms, k, rid, s, s >= 0 AND w[greatest(s, 0) + 1 : s + k] = terms AS exact FROM cand
+  WHERE list_bool_and(list_transform(range(1, k + 1), lambda j: list_contains(w[greatest(s + j - 2, 1) : greatest(s + j + 2, 0)], terms[j])))),
+hit AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(s, s + k)) AS p FROM m WHERE exact) GROUP BY rid),
+seen AS (SELECT rid, item, bool_or(exact) AS exact FROM m JOIN held USING (terms) GROUP BY rid, item),
+named AS (SELECT rid, count_if(exact) AS n_items, string_agg(item, ',' ORDER BY item) FILTER (WHERE exact) AS names, count_if(NOT exact) AS n_near FROM seen GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, coalesce(n_near, 0)::BIGINT AS n_near
+FROM d LEFT JOIN hit USING (rid) LEFT JOIN named USING (rid)""")
+def op12_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op13_slot_negatives", """
 WITH r AS (SELECT row_number() OVER () AS rid, vec_id, (CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END)::BIGINT AS label,
   list_transform(embedding, lambda x: floor(x::DOUBLE * 256)) AS v FROM embeddings
