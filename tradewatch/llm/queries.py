@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tradewatch.llm.block_names import exact_groups
 from tradewatch.llm.common import table
 from tradewatch.llm.edit_counts import edit_counts
+from tradewatch.llm.fragment_align import aligned
 from tradewatch.llm.gbt_quality import scored
 from tradewatch.llm.hyperminhash import near_groups
 from tradewatch.llm.licenses import licensed
@@ -114,6 +115,11 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licensed(table(spark, sf_dir, "documents"), path)
 
 
+@query("op11_fragment_groups")
+def op11_fragment_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aligned(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 ITEM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
