@@ -7,8 +7,8 @@ open suffix (behind the last common end). Two adjacent fragments compose: the su
 prefix of the other become a closed group, a seam. Composition is associative, so the
 fragments of a very long text are made in different tasks and composed as a tree.
 
-Encoding is local to units: no token of either tokenizer has a break character behind another one than
-white space, so texts are cut there, and the distinct units of a run are encoded once. Cuts of byte ranges
+Encoding is local to units: no token of either tokenizer has white space behind another character, or a
+full stop or comma behind a letter, so texts are cut there, and the distinct units of a run are encoded once. Cuts of byte ranges
 ignore units; a range is encoded from the start of its first unit, and tokens that end outside it belong to its neighbours.
 
 How often the corpus links a pair of ids is counted in two steps, by blocks of some million
@@ -25,11 +25,12 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections import Counter
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,7 +41,8 @@ from tradewatch.llm.trie_bpe import _S, WORDS, TrieBpe
 CHUNK = 1 << 16  # characters of a byte range
 BLOCK = 1 << 22  # characters of a block
 RUN = 1 << 19  # characters encoded together
-CACHE_UNITS = 200_000  # bounds memory only: a full cache is emptied
+CACHE_UNITS, CACHE_WORDS = 300_000, 100_000  # these bound memory only: a full cache is emptied
+JOINED = 20_000  # units encoded together
 MARK = "▁"
 PAIR = 20  # bits of the second id in a pair
 FRAGMENT = "rid long, doc_id {id}, at long, n_a long, n_b long, n_groups long, sha string, groups string, units array<int>"
@@ -86,40 +88,115 @@ class Aligner:
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(MARK, " ").encode() for i, p in enumerate(pieces)]
         self.a_size, self.b_size = self.a.size, list(map(len, self.b_bytes))
         kept = [p for i, p in enumerate(pieces) if not self.b.is_byte(i)]
-        # white space that no token has behind another character
-        safe = "".join(c for c in " \n\t" if not any(re.search(f"[^{_S}{MARK}]{MARK if c == ' ' else c}", p) for p in kept))
-        self.unit = re.compile(rf"(?:[{_S}]+[^{_S}]*|[^{_S}]+)(?:(?![{safe}])[{_S}]+[^{_S}]*)*" if safe else r"(?s:.+)")
-        self.starts = re.compile(rf"(?<![{_S}])[{safe}]" if safe else r"(?!)")
+        # break characters: no piece has them behind what the first tokenizer cuts from them
+        held = lambda before, c: any(re.search(before + (MARK if c == " " else re.escape(c)), p) for p in kept)
+        space = "".join(c for c in " \n\t" if not held(f"[^{_S}{MARK}]", c))
+        stop = "".join(c for c in ".,;:!?" if not held(r"[^\W\d_]", c))
+        letter = r"[^\W\d_]"
+        at = [rf"(?<=[^{_S}])[{space}]"] * bool(space) + [rf"(?<={letter})[{stop}]"] * bool(stop)
+        self.starts = re.compile("|".join(at) or r"(?!)")
+        run = rf"[^{_S}{stop}]*" + rf"(?:(?<!{letter})[{stop}]+[^{_S}{stop}]*)*" * bool(stop)
+        self.unit = re.compile(rf"(?:[{_S}]+{rf'|[{stop}]+' * bool(stop)})?{run}(?:{rf'(?![{space}])' * bool(space)}[{_S}]+{run})*")
+        self.space = space
         self.first = self.b.encode("a")
+        self.a_sizes, self.b_sizes = np.zeros(max(self.a_size) + 1, np.int64), np.array(self.b_size, np.int64)
+        self.a_sizes[list(self.a_size)] = list(self.a_size.values())
+        self.own = np.zeros(len(self.a_sizes), bool)
+        self.own[list(self.a.own)] = True
+        self.fast = tiktoken.Encoding("ranks", pat_str=WORDS.pattern, mergeable_ranks={b: i for i, b in self.a.bytes.items() if b.decode("utf-8", "ignore") not in self.a.special},
+                                      special_tokens={})
+        # an id's name with what may follow it: within a group, at its end; for the second id at a unit's end as well
+        self.names = [f"{i}{x}" for i in range(len(self.a_sizes)) for x in ",|"] + [f"{i}{x}" for i in range(len(pieces)) for x in ",;\n"]
+        self.b_names_at = 2 * len(self.a_sizes)
         self.words, self.infos = {}, {}
 
-    def a_ids(self, units) -> dict[str, list[int]]:
-        parts = {u: WORDS.findall(u) for u in units}
-        new = {w for p in parts.values() for w in p} - self.words.keys()
-        if len(self.words) + len(new) > CACHE_UNITS:
+    def units(self, text: str) -> list[str]:
+        found = self.unit.findall(text)
+        found.pop()  # nothing, at the end
+        return found
+
+    def a_words(self, words: list[str]) -> list[list[int]]:
+        new = set(words) - self.words.keys()
+        if len(self.words) + len(new) > CACHE_WORDS:
             self.words.clear()
-            new = {w for p in parts.values() for w in p}
-        self.words.update(self.a.encode_words(new))
-        return {u: [t for w in p for t in self.words[w]] for u, p in parts.items()}
-
-    def tokens(self, units) -> dict[str, tuple[Cut, Cut] | None]:
-        """Both tokenizers' tokens of units; None where their bytes are not the unit's."""
-        units, out = list(units), {}
-        a_ids, skip = self.a_ids(units), len(self.first)
-        # a unit stands behind a letter as in a text: the space that the model adds goes to the letter
-        for u, ids in zip(units, self.b.encode(["a" + u for u in units]), strict=True):
-            whole, b = u.encode("utf-8", "surrogatepass"), ids[skip:]
-            same = ids[:skip] == self.first and b"".join([self.b_bytes[i] for i in b]) == whole
-            out[u] = (Cut(a_ids[u], self.a_size), Cut(b, self.b_size)) if same else None
-        return out
+            new = set(words)
+        self._encode(list(new))
+        return [self.words[w] for w in words]
+
+    def _encode(self, words: list[str]) -> None:
+        """Ids of distinct words by a fast coder that merges by rank, kept where they are the merges' encoding: the
+        one sequence of tokens in which each may stand beside the next. The others are encoded by the merges."""
+        if not words:
+            return
+        found = [self.fast.encode_ordinary(w) for w in words]
+        ids = np.fromiter(chain.from_iterable(found), np.int64)
+        word = np.repeat(np.arange(len(words)), [len(x) for x in found])
+        inside = word[1:] == word[:-1]
+        pairs, place = np.unique(ids[:-1][inside] << PAIR | ids[1:][inside], return_inverse=True)
+        fits = np.array([self._beside(int(x)) for x in pairs], bool)
+        other = set(word[1:][inside][~fits[place]].tolist()) | set(word[~self.own[ids]].tolist())
+        self.words.update(zip(words, found, strict=True))
+        self.words.update(self.a.encode_words([words[i] for i in other]))
+
+    def _beside(self, pair: int) -> bool:
+        ok = self.a.beside.get(pair)
+        if ok is None:
+            ok = self.a.beside[pair] = not self.a._crossed(pair >> PAIR, pair & (1 << PAIR) - 1)
+        return ok
+
+    def tokens(self, unit: str) -> tuple[Cut, Cut]:
+        """Both tokenizers' tokens of a unit. It stands behind a letter, as in a text: the space that the
+        model adds goes to the letter."""
+        ids, skip = self.b.encode("a" + unit), len(self.first)
+        self.same(unit, ids[:skip] == self.first, ids[skip:])
+        return Cut([t for w in self.a_words(WORDS.findall(unit)) for t in w], self.a_size), Cut(ids[skip:], self.b_size)
+
+    def same(self, text: str, begun: bool, ids) -> None:
+        if not begun or b"".join([self.b_bytes[i] for i in ids]) != text.encode("utf-8", "surrogatepass"):
+            raise ValueError("the second model changes texts that don't have its mark for spaces")
 
     def known(self, units: set[str]) -> None:
+        """Fill the cache: unit -> info. The distinct units are joined and encoded as texts: where one
+        ends and the next begins, both tokenizers cut."""
         new = units - self.infos.keys()
         if new and len(self.infos) + len(new) > CACHE_UNITS:
             self.infos.clear()
             new = units
-        for u, cut in self.tokens(new).items():
-            self.infos[u] = cut and self.info(grouped(cut[0].within(0, cut[0].ends[-1]), cut[1].within(0, cut[1].ends[-1]))[0])
+        # units at the ends of texts may lack the break before or behind them
+        whole = [u for u in new if u[0] in self.space and not u[-1].isspace()]
+        for u in new.difference(whole):
+            a, b = self.tokens(u)
+            self.infos[u] = self.info(grouped(a.within(0, a.ends[-1]), b.within(0, b.ends[-1]))[0])
+        for i in range(0, len(whole), JOINED):
+            self._joined(whole[i:i + JOINED])
+
+    def _joined(self, units: list[str]) -> None:
+        parts, skip, b_ids = ["".join(units[i:i + 64]) for i in range(0, len(units), 64)], len(self.first), []
+        for part, ids in zip(parts, self.b.encode(["a" + x for x in parts]), strict=True):
+            self.same(part, ids[:skip] == self.first, ids[skip:])
+            b_ids += ids[skip:]
+        words = self.a_words(WORDS.findall("".join(parts)))
+        a, b = np.fromiter(chain.from_iterable(words), np.int64), np.array(b_ids, np.int64)
+        a_ends, b_ends = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
+        ends = np.cumsum([len(u.encode("utf-8", "surrogatepass")) for u in units])
+        # links: at every end of a token one pair of tokens stands before it
+        every = np.union1d(a_ends, b_ends)
+        pairs = a[np.searchsorted(a_ends, every)] << PAIR | b[np.searchsorted(b_ends, every)]
+        # text: the ids of a group in order, each with what follows it
+        common = a_ends[np.isin(a_ends, b_ends, assume_unique=True)]
+        a_group, b_group = np.searchsorted(common, a_ends), np.searchsorted(common, b_ends)
+        a_last, b_last = a_ends == common[a_group], (b_ends == common[b_group]).astype(np.int64)
+        b_last += np.isin(b_ends, ends, assume_unique=True)
+        out = np.empty(len(a) + len(b), np.int64)
+        before_a, before_b = np.searchsorted(b_group, a_group, "left"), np.searchsorted(a_group, b_group, "right")
+        out[np.arange(len(a)) + before_a] = a * 2 + a_last
+        out[np.arange(len(b)) + before_b] = self.b_names_at + b * 3 + b_last
+        text = "".join(map(self.names.__getitem__, out.tolist())).split("\n")
+        cuts = [np.searchsorted(x, ends, "right") for x in (a_ends, b_ends, common, every)]
+        sizes = [np.diff(c, prepend=0).tolist() for c in cuts[:3]]
+        at = [0, *cuts[3].tolist()]
+        for i, u in enumerate(units):
+            self.infos[u] = text[i], sizes[0][i], sizes[1][i], sizes[2][i], pairs[at[i]:at[i + 1]]
 
     def info(self, groups) -> tuple:
         """(text of the groups, tokens of a, tokens of b, groups, linked pairs)"""
@@ -147,11 +224,9 @@ class Aligner:
     def fragment(self, text: str, low: int, high: int, first: bool):
         """Of the tokens of ``text`` (whole units) that end in its bytes (low, high]: the units whose groups are
         all closed here, by name or as (groups,), and the open parts (closed, prefix, suffix). ``first``: the text begins here."""
-        units = self.unit.findall(text)
+        units = self.units(text)
         size = [len(u.encode("utf-8", "surrogatepass")) for u in units]
-        cut, total = self.tokens({units[0], units[-1]}), sum(size)
-        if any(x is None for x in cut.values()):
-            return None
+        cut, total = {u: self.tokens(u) for u in {units[0], units[-1]}}, sum(size)
         if len(units) == 1:
             a, b = cut[units[0]]
             groups, rest = grouped(a.within(low, high), b.within(low, high))
@@ -184,32 +259,42 @@ def ranges(text: str, aligner: Aligner, chunk: int):
 
 
 class Places(dict):
-    """unit -> its position in the block, given as units appear."""
+    """unit -> its position in the block, given as units appear; ``infos`` has what is known of them, in that order."""
+
+    def __init__(self, known: dict):
+        super().__init__()
+        self.known, self.infos = known, []
 
     def __missing__(self, unit):
+        self.infos.append(self.known[unit])
         self[unit] = at = len(self)
         return at
 
+    def put(self, info) -> int:
+        """The position of groups that are no whole unit."""
+        if (info[0],) not in self:
+            self[info[0],] = len(self)
+            self.infos.append(info)
+        return self[info[0],]
+
 
 class Block:
     """Fragments of some texts: their units by position, and the block's pairs with counts."""
 
-    def __init__(self, number: int):
-        self.number, self.places, self.infos, self.chars, self.rows = number, Places(), [], 0, []
+    def __init__(self, number: int, known: dict):
+        self.number, self.places, self.chars, self.rows = number, Places(known), 0, []
 
-    def add(self, rid, doc_id, at, units, infos, opened=None, payload=False, chars=0) -> None:
+    def add(self, rid, doc_id, at, units, opened=None, payload=False, chars=0) -> None:
         """``units`` are names, or (info,) of groups that are no whole unit."""
-        idx = [self.places[u if isinstance(u, str) else u[0][0:1]] for u in units]
-        for i, info in zip(idx, infos, strict=True):
-            if i == len(self.infos):
-                self.infos.append(info)
+        idx = [self.places[u] if isinstance(u, str) else self.places.put(u[0]) for u in units] if payload else list(map(self.places.__getitem__, units))
         self.chars += chars
         self.rows.append((rid, doc_id, at, idx, opened, payload))
 
     def batch(self, id_type, open_parts: bool) -> pa.RecordBatch:
-        names, used = [x[0] for x in self.infos], np.concatenate([np.empty(0, np.int64), *[np.array(r[3], np.int64) for r in self.rows]])
-        counts = np.array([x[1:4] for x in self.infos], np.int64).reshape(-1, 3)
-        sizes, times = np.array([len(x[4]) for x in self.infos], np.int64), np.bincount(used, minlength=len(self.infos))
+        infos = self.places.infos
+        names, used = [x[0] for x in infos], np.concatenate([np.empty(0, np.int64), *[np.array(r[3], np.int64) for r in self.rows]])
+        counts = np.array([x[1:4] for x in infos], np.int64).reshape(-1, 3)
+        sizes, times = np.array([len(x[4]) for x in infos], np.int64), np.bincount(used, minlength=len(infos))
         cols = {c: [] for c in ("rid", "doc_id", "at", "n_a", "n_b", "n_groups", "sha", "groups", "units")}
         parts = {c: [] for c in ("closed", "pa", "pb", "sa", "sb")}
         for rid, doc_id, at, idx, opened, payload in self.rows:
@@ -222,7 +307,7 @@ class Block:
             closed, prefix, suffix = opened or (True, ([], []), ([], []))
             for c, x in zip(parts, (closed, *prefix, *suffix), strict=True):
                 parts[c].append(x)
-        flat = np.concatenate([np.empty(0, np.int64), *[x[4] for x in self.infos]])
+        flat = np.concatenate([np.empty(0, np.int64), *[x[4] for x in infos]])
         pairs, place = np.unique(flat, return_inverse=True)
         per_pair = np.bincount(place, np.repeat(times, sizes), len(pairs)).astype(np.int64)
         table = {"pairs": pairs, "counts": per_pair, "unit_at": np.cumsum(sizes) - sizes, "unit_pairs": place}
@@ -275,18 +360,16 @@ def _whole(files, id_type, block_chars):
     """Texts of one byte range."""
     def work(batches):
         aligner, numbers = loaded(files), _numbers(0)
-        block = Block(next(numbers))
+        block = Block(next(numbers), aligner.infos)
         for run in _runs(batches):
-            texts = [aligner.unit.findall(" " + r["text"]) if r["text"] else [] for r in run]
-            aligner.known({u for t in texts for u in t})
+            # with the model's mark for spaces in it, a text's tokens are not the text's
+            texts = [aligner.units(" " + r["text"]) if r["text"] and MARK not in r["text"] else [] for r in run]
+            aligner.known(set(chain.from_iterable(texts)))
             for r, units in zip(run, texts, strict=True):
-                infos = [aligner.infos[u] for u in units]
-                if any(x is None for x in infos):  # the tokens are not the text's
-                    units = infos = []
-                block.add(r["rid"], r["doc_id"], 0, units, infos, chars=len(r["text"] or ""))
+                block.add(r["rid"], r["doc_id"], 0, units, chars=len(r["text"] or ""))
             if block.chars >= block_chars:
                 yield block.batch(id_type, False)
-                block = Block(next(numbers))
+                block = Block(next(numbers), aligner.infos)
         if block.rows:
             yield block.batch(id_type, False)
     return work
@@ -311,18 +394,15 @@ def _ranged(files, chunk):
 def _fragments(files, id_type, block_chars):
     def work(batches):
         aligner, numbers = loaded(files), _numbers(1)
-        block = Block(next(numbers))
+        block = Block(next(numbers), aligner.infos)
         for run in _runs(batches):
             found = [aligner.fragment(r["text"], r["low"], r["high"], r["no"] == 0) if r["text"] else ([], None) for r in run]
-            if any(x is None for x in found):
-                raise ValueError("the second model changes texts that have no mark of its own for spaces")
             aligner.known({u for units, _ in found for u in units if isinstance(u, str)})
             for r, (units, opened) in zip(run, found, strict=True):
-                infos = [aligner.infos[u] if isinstance(u, str) else u[0] for u in units]
-                block.add(r["rid"], r["doc_id"], 2 * r["no"], units, infos, opened, True, len(r["text"]))
+                block.add(r["rid"], r["doc_id"], 2 * r["no"], units, opened, True, len(r["text"]))
             if block.chars >= block_chars:
                 yield block.batch(id_type, True)
-                block = Block(next(numbers))
+                block = Block(next(numbers), aligner.infos)
         if block.rows:
             yield block.batch(id_type, True)
     return work
@@ -332,14 +412,14 @@ def _seams(files, id_type, block_chars):
     """Groups closed by composition, as fragments between those of their byte ranges."""
     def work(batches):
         aligner, numbers = loaded(files), _numbers(2)
-        block = Block(next(numbers))
+        block = Block(next(numbers), aligner.infos)
         for batch in batches:
             for r in batch.to_pylist():
                 info = aligner.info([(r["a"], r["b"])])
-                block.add(r["rid"], r["doc_id"], r["at"], [(info,)], [info], None, True, len(info[0]))
+                block.add(r["rid"], r["doc_id"], r["at"], [(info,)], None, True, len(info[0]))
                 if block.chars >= block_chars:
                     yield block.batch(id_type, False)
-                    block = Block(next(numbers))
+                    block = Block(next(numbers), aligner.infos)
         if block.rows:
             yield block.batch(id_type, False)
     return work
