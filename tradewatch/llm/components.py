@@ -1,8 +1,8 @@
 """Connected components of a link table, by alternating large and small stars.
 
-Each round is two aggregations with map-side combine and two joins on the node,
-which adaptive execution splits where one node holds many links. Rounds are
-written to the shared folder; nothing but two counters reaches the driver."""
+Each round is two aggregations with map-side combine and two joins on the node. The
+aggregates are stored first, so that the joins have two plain sides, which adaptive
+execution splits where one node holds many links. Rounds are written to the shared folder; nothing but two counters reaches the driver."""
 
 from __future__ import annotations
 
@@ -19,7 +19,7 @@ def _both_ways(edges: DataFrame) -> DataFrame:
 def _star(links: DataFrame, large: bool) -> DataFrame:
     """Hang neighbours of each node onto the smallest one: the larger neighbours
     (large star), or the smaller ones and the node itself (small star)."""
-    least = links.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
+    least = saved(links.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")), "least-neighbours")
     hung = links.join(least, "u")
     if large:
         hung = hung.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))

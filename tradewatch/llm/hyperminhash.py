@@ -38,6 +38,7 @@ REGISTERS, ROWS = 128, 4
 BANDS = REGISTERS // ROWS
 MANTISSA = 10
 THRESHOLD = 85  # percent
+HELD_SHINGLES = 1 << 21  # shingles a task keeps of the texts it has just compared
 LEAST_SET = 6  # smaller sets reach 85 % only when equal
 SLACK = 0.25  # of the estimate; over six standard deviations from 128 shingles on
 ESTIMATE_FROM = 128
@@ -111,13 +112,16 @@ def linked_sets(x: np.ndarray, y: np.ndarray) -> bool:
 
 def _confirmed(batches):
     """Pairs whose full shingle sets reach the threshold."""
-    words, sets = WordHashes(), OrderedDict()
+    words, sets, held = WordHashes(), OrderedDict(), 0
 
     def of(rid, text):
+        nonlocal held
         if rid not in sets:
-            if len(sets) >= 64:
-                sets.popitem(last=False)
-            sets[rid] = shingle_set(text.as_py(), words)
+            made = shingle_set(text.as_py(), words)
+            while sets and held + len(made) > HELD_SHINGLES:
+                held -= len(sets.popitem(last=False)[1])
+            sets[rid] = made
+            held += len(made)
         return sets[rid]
 
     for batch in batches:
@@ -161,13 +165,14 @@ def _cross_pairs(mixed: DataFrame, texts: DataFrame) -> DataFrame:
     rejects most pairs of edited copies, whose edits are rare, unseen."""
     rows = saved(texts.join(mixed, "rid").select("rid", "root", "text")
                  .mapInArrow(_set_rows, "rid long, root long, n long, h long"), "mixed-shingles")
-    shared = rows.groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+    # aggregates are stored before they are joined: a join with two plain sides is split where a key holds many rows
+    shared = saved(rows.groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1"), "shared-shingles")
     own = Window.partitionBy("rid")  # one text's shingles
     rows = rows.join(shared, "h").select(
         "h", "rid", "root", "n",
         (F.col("n") - F.count(F.lit(1)).over(own) + F.row_number().over(own.orderBy("c", "h")) - 1).alias("pos"))
     rows = saved(rows.filter(f"pos <= n - ceil({THRESHOLD} * n / 100)"), "rare-shingles")
-    crossing = rows.groupBy("h").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 != r1").select("h")
+    crossing = saved(rows.groupBy("h").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 != r1").select("h"), "crossing-shingles")
     rows = rows.join(crossing, "h", "left_semi")
     # sizes of a linked pair differ by at most one step of this scale
     rows = rows.withColumn("g", F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / THRESHOLD))).cast("int"))
@@ -195,15 +200,15 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", rid
     reps = saved(sketch.filter("n > 0").groupBy("d1", "d2").agg(
         F.min("rid").alias("rid"), F.first("n").alias("n"), F.first("bands").alias("bands")), "set-classes")
     rows = reps.filter(f"n >= {LEAST_SET}").select("rid", "n", F.posexplode("bands").alias("band", "key"))
-    sizes = rows.groupBy("band", "key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+    sizes = saved(rows.groupBy("band", "key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1"), "bucket-sizes")
     members = saved(rows.join(sizes, ["band", "key"]), "buckets")
     texts = saved(src.join(members.select("rid").distinct(), "rid", "left_semi").select("rid", "text"), "bucket-texts")
 
     # the most central member of a bucket: the one whose own buckets hold the most rows
     central = members.groupBy("rid").agg(F.sum("c").alias("w"))
-    heads = (members.join(central, "rid").groupBy("band", "key")
-             .agg(F.max(F.struct(F.col("w"), (-F.col("rid")).alias("r"))).alias("top"))
-             .select("band", "key", (-F.col("top.r")).alias("a")))
+    heads = saved(members.join(central, "rid").groupBy("band", "key")
+                  .agg(F.max(F.struct(F.col("w"), (-F.col("rid")).alias("r"))).alias("top"))
+                  .select("band", "key", (-F.col("top.r")).alias("a")), "bucket-heads")
     tested = saved(members.join(heads, ["band", "key"]).filter("rid != a").select("a", F.col("rid").alias("b")).distinct(), "star-pairs")
     links = saved(_verified(tested, reps, texts), "star-links")
     roots = components(links.selectExpr("a AS u", "b AS v"))
