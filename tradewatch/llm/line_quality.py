@@ -1,7 +1,8 @@
 """Line-first quality rules, in DataFrame operations.
 
-Each line is judged alone: navigation, symbols and shouting in place of
-punctuation, boilerplate, repeats of an earlier line. Failing lines are removed; a document goes if a base
+Each line is judged alone: navigation (with separators, or an item a line), no sentence
+punctuation in a short line, symbols and shouting in place of
+it, boilerplate, repeats of an earlier line. Failing lines are removed; a document goes if a base
 rule rejects it (too few words, too much repeated wording) or if it loses too
 much of its text with its lines.
 
@@ -24,10 +25,15 @@ BOILERPLATE = (r"(?i)\b(all rights reserved|cookies?|privacy policy|terms of (us
                r"|released under the|subscribe|sign in|log in|click here)\b")
 
 
+# How a line that is part of prose ends: a mark, a closing bracket or quote.
+ENDED = r"[.!?:;,…\"')\]»”][\x20\x09-\x0D]*$"
+
+
 @dataclass(frozen=True)
 class LineRules:
     min_words: int = 50
     max_repeat_pct: int = 50
+    item_words: int = 4  # a line of so few words without an end mark is a menu item or a label
     separators_per_word: float = 0.2  # " | " and " > " between words: navigation
     symbols_per_word: float = 0.5
     shouts_per_word: float = 0.5  # "!" in place of sentence punctuation
@@ -76,22 +82,25 @@ def _line(line: Column, r: LineRules) -> Column:
         (F.regexp_count(line, F.lit(r" [|>»] ")) >= F.greatest(F.lit(3), n * r.separators_per_word))
         | (F.regexp_count(line, F.lit(SYMBOL)) > n * r.symbols_per_word)
         | (F.regexp_count(line, F.lit("!")) > n * r.shouts_per_word)
+        | ((n <= r.item_words) & ~line.rlike(ENDED))
         | ((n <= r.boilerplate_words) & line.rlike(BOILERPLATE))).alias("bad")))
 
 
 def judged(docs: DataFrame, id_col: str = "doc_id", text: str = "text", rules: LineRules = LineRules()) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, word_chars, n_symbols,
-    n_dup_lines, n_repeat_words, kept_words, base_failed, kept.
+    n_dup_lines, n_repeat_words, kept_words, base_failed, kept, cleaned_sha256 (of the
+    text without its failing lines, as ``cleaned`` gives it).
 
     A null text has no words. Lines without a word count for nothing. An empty
     table gives an empty result; other columns are not read, whatever their names."""
     t = F.coalesce(F.col(text), F.lit(""))
     n, rep, left = F.col("m.w.n"), F.col("m.w.rep"), F.col("m.l.left")
     base = (n < rules.min_words) | (100 * rep > rules.max_repeat_pct * n)
-    return docs.select(F.col(id_col).alias("doc_id"), _measures(t, rules).alias("m")).select(
+    return docs.select(F.col(id_col).alias("doc_id"), _measures(t, rules, True).alias("m")).select(
         "doc_id", n.alias("n_words"), F.col("m.w.chars").alias("word_chars"), F.col("m.symbols").alias("n_symbols"),
         F.col("m.l.dup").alias("n_dup_lines"), rep.alias("n_repeat_words"), left.alias("kept_words"),
-        base.alias("base_failed"), (~base & (100 * (n - left) <= rules.max_loss_pct * n)).alias("kept"))
+        base.alias("base_failed"), (~base & (100 * (n - left) <= rules.max_loss_pct * n)).alias("kept"),
+        F.sha2(F.col("m.l.text"), 256).alias("cleaned_sha256"))
 
 
 def keeps(text: Column, rules: LineRules = LineRules()) -> Column:
@@ -109,7 +118,7 @@ def cleaned(text: Column, rules: LineRules = LineRules()) -> Column:
     return F.array_join(ok, "\n")
 
 
-def _measures(t: Column, r: LineRules) -> Column:
+def _measures(t: Column, r: LineRules, with_text: bool = False) -> Column:
     def lines(x):
         return F.filter(F.split(x, "\n"), lambda v: v.rlike(r"[^\x20\x09-\x0D]"))
 
@@ -118,7 +127,7 @@ def _measures(t: Column, r: LineRules) -> Column:
             F.size(w).cast("long").alias("n"), F.char_length(F.array_join(w, "")).cast("long").alias("chars"),
             _repeat_words(w).alias("rep"))).alias("w"),
         F.regexp_count(x, F.lit(SYMBOL)).cast("long").alias("symbols"),
-        _once(lines(x), lambda v: _once(F.array_distinct(v), lambda d: F.struct(
+        _once(lines(x), lambda v: _once(F.array_distinct(v), lambda d: _once(F.transform(d, lambda y: _line(y, r)), lambda j: F.struct(
             (F.size(v) - F.size(d)).cast("long").alias("dup"),
-            F.aggregate(F.transform(d, lambda y: _line(y, r)), F.lit(0).cast("long"),
-                        lambda a, y: a + F.when(y["bad"], 0).otherwise(y["n"])).alias("left")))).alias("l")))
+            F.aggregate(j, F.lit(0).cast("long"), lambda a, y: a + F.when(y["bad"], 0).otherwise(y["n"])).alias("left"),
+            *([F.array_join(F.filter(d, lambda y, i: ~F.get(j, i)["bad"]), "\n").alias("text")] if with_text else []))))).alias("l")))

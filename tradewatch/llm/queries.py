@@ -14,7 +14,7 @@ from tradewatch.llm.fragment_align import aligned
 from tradewatch.llm.gbt_quality import scored
 from tradewatch.llm.hyperminhash import near_groups
 from tradewatch.llm.licenses import licensed
-from tradewatch.llm.line_quality import BOILERPLATE, judged
+from tradewatch.llm.line_quality import BOILERPLATE, ENDED, judged
 from tradewatch.llm.mix import mixed
 from tradewatch.llm.positional_index import contamination
 from tradewatch.llm.secret_tests import digest_columns, secrets
@@ -62,16 +62,18 @@ win AS (SELECT rid, i, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c FROM w, UNNEST(ra
 rep AS (SELECT rid, count(DISTINCT p) AS rep FROM (
   SELECT rid, unnest([i, i + 1, i + 2]) AS p FROM (SELECT *, count(*) OVER (PARTITION BY rid, a, b, c) AS k FROM win) WHERE k > 1) GROUP BY rid),
 ls AS (SELECT rid, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{WORD}')) AS ls FROM w),
-line AS (SELECT rid, l, len(regexp_extract_all(l, '{WORD}')) AS n FROM (SELECT rid, unnest(list_distinct(ls)) AS l FROM ls)),
-kept AS (SELECT rid, sum(n) AS kept_words FROM line WHERE NOT (
+line AS (SELECT rid, l, i, len(regexp_extract_all(l, '{WORD}')) AS n FROM (SELECT rid, unnest(ls) AS l, generate_subscripts(ls, 1) AS i FROM ls)
+  QUALIFY row_number() OVER (PARTITION BY rid, l ORDER BY i) = 1),
+kept AS (SELECT rid, sum(n) AS kept_words, string_agg(l, chr(10) ORDER BY i) AS cleaned FROM line WHERE NOT (
   len(regexp_extract_all(l, ' [|>»] ')) >= greatest(3, n * 0.2::DOUBLE) OR len(regexp_extract_all(l, '[#*$%&|<>]')) > n * 0.5::DOUBLE
-  OR len(regexp_extract_all(l, '!')) > n * 0.5::DOUBLE OR n <= 20 AND regexp_matches(l, '{BOILERPLATE}')) GROUP BY rid),
+  OR len(regexp_extract_all(l, '!')) > n * 0.5::DOUBLE OR n <= 4 AND NOT regexp_matches(l, '{ENDED.replace("'", "''")}')
+  OR n <= 20 AND regexp_matches(l, '{BOILERPLATE}')) GROUP BY rid),
 m AS (SELECT doc_id, len(w)::BIGINT AS n_words, length(list_aggregate(list_concat([''], w), 'string_agg', ''))::BIGINT AS word_chars,
   len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols, (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
-  coalesce(rep, 0)::BIGINT AS n_repeat_words, coalesce(kept_words, 0)::BIGINT AS kept_words
+  coalesce(rep, 0)::BIGINT AS n_repeat_words, coalesce(kept_words, 0)::BIGINT AS kept_words, sha256(coalesce(cleaned, '')) AS cleaned_sha256
   FROM w JOIN ls USING (rid) LEFT JOIN rep USING (rid) LEFT JOIN kept USING (rid)),
 b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
-SELECT *, NOT base_failed AND 100 * (n_words - kept_words) <= 50 * n_words AS kept FROM b""")
+SELECT * EXCLUDE (cleaned_sha256), NOT base_failed AND 100 * (n_words - kept_words) <= 50 * n_words AS kept, cleaned_sha256 FROM b""")
 def op3_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(table(spark, sf_dir, "documents"))
 
