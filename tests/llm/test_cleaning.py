@@ -8,12 +8,12 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from tradewatch.llm.gbt_quality import NAMES, fit, scored, statistics
-from tradewatch.llm.licenses import licensed, notices
+from tradewatch.llm.licenses import HEADER, LEAST, LICENCE_FILE, TERM, TEXTS, TITLES, licensed, notices, templates
 from tradewatch.llm.line_quality import cleaned, judged, keeps
 from tradewatch.llm.mix import fit as fit_lengths
 from tradewatch.llm.mix import knapsack, mixed
 from tradewatch.llm.secret_tests import base_spans, battery, digest_columns, secrets
-from tradewatch.llm.template_lines import CLOSE, LEADING, line_verdicts, tokens, without_recurring_lines
+from tradewatch.llm.template_lines import CLOSE, LEADING, LONG, leaf_and_variant, line_verdicts, tokens, without_recurring_lines
 
 from .conftest import EDGE, prose, rows
 
@@ -51,42 +51,121 @@ def test_quality_verdicts(stored):
     assert judged(stored([], "none")).count() == 0
 
 
+def test_a_menu_with_an_item_a_line(stored):
+    """Sixty items without an end mark go, prose with a heading and wrapped lines stay."""
+    menu = "\n".join(f"{a} {b}" for a, b in zip(prose(1, 60).split(), prose(2, 60).split(), strict=True))
+    good = "A heading of it\n" + "\n".join(prose(k, 12) + ("." if k % 3 == 2 else "") for k in range(9))
+    listed = "\n".join(f"{a} {b}." for a, b in zip(prose(3, 40).split(), prose(4, 40).split(), strict=True))
+    df = stored(rows((1, menu), (2, good), (3, listed), (4, good + "\n" + menu), (5, None)))
+    got = {r.doc_id: r for r in judged(df).collect()}
+    assert {i: r.kept for i, r in got.items()} == {1: False, 2: True, 3: True, 4: False, 5: False}
+    assert got[2].kept_words == got[2].n_words - 4 and got[1].kept_words == 0
+    clean = {r.doc_id: r.t for r in df.select("doc_id", cleaned(F.col("text")).alias("t")).collect()}
+    assert clean[4] == clean[2] == good.split("\n", 1)[1]
+    assert {i: r.cleaned_sha256 for i, r in got.items()} == {i: hashlib.sha256(x.encode()).hexdigest() for i, x in clean.items()}
+
+
+def close_lines(x, y):
+    same = [a == b for a, b in zip(x, y, strict=True)]
+    return sum(same[LEADING:]) >= CLOSE * (len(x) - LEADING) > 0 and any(s and a != b"<*>" for s, a in zip(same, x, strict=True))
+
+
+def families(ts):
+    """(seed, members) by comparing all variants of a leaf with each other."""
+    left = set(ts)
+    while True:
+        cells = Counter((i, t[i]) for t in left for i in range(LEADING, len(t)))
+        rank = {t: (sum(c for i in range(LEADING, len(t)) if (c := cells[i, t[i]]) > 1), leaf_and_variant(list(t))[1]) for t in left}
+        links = [(t, h) for t in left for h in left if rank[h] > rank[t] and close_lines(t, h)]
+        if not links:
+            return
+        seeds = {h for _, h in links} - {t for t, _ in links}
+        group = {h: [h] for h in seeds}
+        for t in {t for t, _ in links}:
+            heads = [h for u, h in links if u == t and h in seeds]
+            if heads:
+                group[max(heads, key=rank.get)].append(t)
+        for h, members in group.items():
+            left.discard(h)
+            if (yield h, members):
+                left -= set(members)
+
+
 def brute_lines(data, min_docs=3):
     lines = [(r, i, tuple(tokens(x))) for r, (_, t) in enumerate(data) for i, x in enumerate((t or "").split("\n"))]
     lines = [x for x in lines if x[2]]
-    variants = defaultdict(set)
+    variants, place = defaultdict(set), {}
     for r, _, t in lines:
-        variants[t].add(r)
+        if set(t) != {b"<*>"}:
+            variants[t].add(r)
+            place[t] = t
     leaves = defaultdict(list)
     for t in variants:
         leaves[len(t), t[:LEADING]].append(t)
-    place = {}
-    for leaf, ts in leaves.items():
-        total = sum(len(variants[t]) for t in ts)
-        for t in ts:
-            place[t] = t
-        if len(ts) > 1 and total >= min_docs:
-            tops = []
-            for i in range(leaf[0]):
-                c = Counter()
-                for t in ts:
-                    c[t[i]] += len(variants[t])
-                tops.append({k for k, v in c.items() if v == max(c.values()) and v >= min_docs and 2 * v >= total})
-            for t in ts:
-                if sum(w in top for w, top in zip(t, tops, strict=True)) >= CLOSE * len(t):
-                    place[t] = leaf
+    merged = set()
+    for ts in leaves.values():
+        gen, enough = families(ts), None
+        while True:
+            try:
+                seed, members = gen.send(enough)
+            except StopIteration:
+                break
+            enough = sum(len(variants[t]) for t in members) >= min_docs
+            if enough:
+                place |= dict.fromkeys(members, seed)
+                merged.add(seed)
     holders = defaultdict(set)
     for r, _, t in lines:
-        holders[place[t]].add(r)
+        if t in place:
+            holders[place[t]].add(r)
+    recurs = {p for p, h in holders.items() if len(h) >= (2 if p not in merged and len(p) - p.count(b"<*>") >= LONG else min_docs)}
     out = {}
     for r in range(len(data)):
-        mine = [(i, place[t]) for s, i, t in lines if s == r]
-        often = [(i, p) for i, p in mine if len(holders[p]) >= min_docs]
+        mine = [(i, place.get(t)) for s, i, t in lines if s == r]
+        often = [(i, p) for i, p in mine if p in recurs]
         first = {p: min(holders[p], key=lambda s: (data[s][0] is None, data[s][0] or 0, s)) for _, p in often}
         out[r] = (str(data[r][0]), len(mine), len(often), [i for i, p in often if first[p] != r])
     return sorted(map(str, out.values()))
 
 
+def drops(df):
+    return {r.doc_id: r.dropped for r in line_verdicts(df).collect()}
+
+
+def test_lines_that_are_no_templates(stored):
+    """Five or six words with one that differs, rows of numbers, and what two documents share."""
+    data = [(i, f"I went to the {w}") for i, w in enumerate(["market", "doctor", "beach", "lake"])]
+    data += [(10 + i, f"I walk to the old {w}") for i, w in enumerate(["market", "doctor", "beach", "lake"])]
+    data += [(20 + i, f"0.{i} 1.{i}5 {i}9") for i in range(5)]
+    data += [(30 + i, "1 2 3 4 5 6 7 8") for i in range(5)]
+    shared = prose(77, 60)
+    data += [(40, prose(1, 20) + "\n" + shared), (41, prose(2, 20) + "\n" + shared), (42, "short line of two"), (43, "short line of two")]
+    got = drops(stored(rows(*data)))
+    assert {i for i, d in got.items() if d} == {41} and got[41] == [1]
+    assert sorted(str((str(r.doc_id), r.n_lines, r.n_recurring, r.dropped)) for r in line_verdicts(stored(rows(*data), "again")).collect()) == brute_lines(data)
+
+
+def test_a_small_family_among_unrelated_lines(stored):
+    """Three of one message in a leaf whose every cell holds unrelated lines too."""
+    start = "The mail of today "
+    family = [f"from {w} was sent on a day in past".split() for w in ("Ann", "Bob", "Cyd")]
+    data = [(i, start + " ".join(t)) for i, t in enumerate(family)]
+    for n in range(30):
+        t = prose(500 + n, 9).split()
+        t[n % 9] = family[0][n % 9]  # shares one cell with the family
+        data.append((100 + n, start + " ".join(t)))
+    got = drops(stored(rows(*data)))
+    assert {i for i, d in got.items() if d} == {1, 2}
+
+
+def test_lines_of_long_texts_and_repeated_ids(stored):
+    line = "a line of a very long text that every one of these documents holds"
+    long = "\n".join(prose(k, 40) for k in range(800))
+    data = [(7, long + "\n" + line), (7, line), (7, line), (None, line), (8, long)]
+    got = sorted(str((str(r.doc_id), r.n_lines, r.n_recurring, len(r.dropped))) for r in line_verdicts(stored(rows(*data), parts=1)).collect())
+    assert got == sorted(map(str, [("7", 801, 801, 0), ("7", 1, 1, 1), ("7", 1, 1, 1), ("None", 1, 1, 1), ("8", 800, 800, 800)]))
+
+
 def test_line_templates(stored):
     data = [(1, "Page 1 of 20\nown text here"), (2, "Page 7 of 31\nother text"), (3, "third\nPage 9 of 5"), (4, "Page x of 5"),
             *[(10 + i, f"The mail of today from {w} was sent on a day in the past\n{prose(i, 20)}") for i, w in enumerate(["Ann", "Bob", "Cyd", "Dan"])],
@@ -215,6 +294,62 @@ def test_licenses(stored):
     assert licensed(stored([], "none"), F.lit("a/b")).count() == 0 and notices(stored(rows(*EDGE), "edge")).count() == 0
 
 
+def wrapped(text, width=9, mark=""):
+    w = text.split()
+    return "\n".join(mark + " ".join(w[i:i + width]) for i in range(0, len(w), width))
+
+
+def brute_cosines(texts):
+    """(row, kind, place) -> (licence, cosine) by comparing every unit with every template."""
+    units = {}
+    for r, t in enumerate(texts):
+        t = t or ""
+        if not re.search(HEADER, t):
+            continue
+        blocks = [(i, b) for i, b in enumerate(re.split(r"\n[\x20\x09-\x0D]*\n", t)) if re.search(HEADER, b)]
+        units |= {(r, 0, i): x for i, x in enumerate(t.split("\n")) if re.search(HEADER, x)}
+        units |= {(r, 1, i): x for i, x in blocks if "\n" in x.strip(" ")}
+        if re.search(r"\n[\x20\x09-\x0D]*\n", t) and sum(len(WORD.findall(b)) for _, b in blocks) >= LICENCE_FILE * len(WORD.findall(t)):
+            units[r, 2, 0] = t
+    terms = {k: Counter(re.findall(TERM, x.lower())) for k, x in units.items()}
+    n = len(units)
+    df = Counter(w for c in terms.values() for w in c)
+    idf = lambda w: np.log((n + 1) / (df[w] + 1)) + 1
+    norm = lambda c: np.sqrt(sum((v * idf(w)) ** 2 for w, v in c.items()))
+    out = {}
+    for k, c in terms.items():
+        best = (0, 0, None)
+        for i, name, x, _ in templates():
+            d = Counter(re.findall(TERM, x.lower()))
+            cos = round(float(sum(v * d[w] * idf(w) ** 2 for w, v in c.items()) / (norm(c) * norm(d))), 6) if c else 0
+            best = max(best, (cos, -i, name))
+        if best[0] >= LEAST:
+            out[k] = best[2], best[0]
+    return out
+
+
+def test_licence_files_cover_their_directories(stored):
+    """Whole licence texts, titles, wrapped notices and identifier lines, against all cosines."""
+    texts, titles = dict(TEXTS[:4]), dict(TITLES)
+    holder = "Copyright (c) 2024 The Holders\n\n"
+    data = [(1, "The MIT License\n\n" + holder + wrapped(texts["MIT"])), (2, prose(1, 60)),
+            (3, wrapped(titles["Apache-2.0"], 3) + "\n\n" + "\n\n".join(wrapped(prose(k, 90)) for k in range(6))), (4, prose(2, 50)),
+            (5, holder + texts["BSD-3-Clause"].replace(". ", ".\n\n")), (6, prose(3, 40)),
+            (7, "# SPDX-License-Identifier: Apache-2.0\n" + prose(4, 60)), (8, "// SPDX-License-Identifier: MIT\n" + prose(5, 60)),
+            (9, wrapped(dict(TEXTS)["GPL-3.0"], 8, "# ") + "\n\n" + prose(6, 400)), (10, None), (11, "\n\n" + "\n".join(prose(k, 50) for k in range(900)))]
+    where = {1: "a/LICENSE", 2: "a/x/y.txt", 3: "b/LICENSE", 4: "b/z.txt", 5: "c/COPYING", 6: "c/d/e/f.txt", 7: "p/q.py", 8: "p/r.js", 9: "g/m.c", 10: "g/n.c", 11: "h/long.txt"}
+    df = stored(rows(*data), parts=1)
+    path = F.element_at(F.create_map(*[F.lit(x) for k, v in where.items() for x in (k, v)]), F.col("doc_id").cast("int"))
+    got = {r.doc_id: r for r in licensed(df, path).collect()}
+    assert {i: r.own_license for i, r in got.items() if r.own_license} == {
+        1: "MIT", 3: "Apache-2.0", 5: "BSD-3-Clause", 7: "Apache-2.0", 8: "MIT", 9: "GPL-3.0"}
+    assert {i for i, r in got.items() if r.license_file} == {1, 3, 5}
+    assert {i: (r.license, r.from_dir) for i, r in got.items() if r.own_license is None} == {
+        2: ("MIT", "a"), 4: ("Apache-2.0", "b"), 6: ("BSD-3-Clause", "c"), 10: (None, None), 11: (None, None)}
+    found = {(int(r.rid), r.kind, r.line): (r.license, r.cosine) for r in notices(df).collect()}
+    assert found == brute_cosines([t for _, t in data])
+
+
 def test_classifier(stored, spark, tmp_path):
     def junk(k):
         return [" | ".join(prose(k, 40).split()), " ".join(w + "!!" for w in prose(k, 40).split()), " ".join([prose(k, 1)] * 60)][k % 3]
