@@ -41,7 +41,7 @@ from tradewatch.llm.trie_bpe import _S, WORDS, TrieBpe
 CHUNK = 1 << 16  # characters of a byte range
 BLOCK = 1 << 22  # characters of a block
 RUN = 1 << 19  # characters encoded together
-CACHE_UNITS, CACHE_WORDS = 300_000, 100_000  # these bound memory only: a full cache is emptied
+CACHE_UNITS, CACHE_WORDS = 250_000, 100_000  # these bound memory only: a full cache is emptied
 JOINED = 20_000  # units encoded together
 MARK = "▁"
 PAIR = 20  # bits of the second id in a pair
@@ -291,32 +291,34 @@ class Block:
         self.rows.append((rid, doc_id, at, idx, opened, payload))
 
     def batch(self, id_type, open_parts: bool) -> pa.RecordBatch:
-        infos = self.places.infos
-        names, used = [x[0] for x in infos], np.concatenate([np.empty(0, np.int64), *[np.array(r[3], np.int64) for r in self.rows]])
+        infos, k = self.places.infos, len(self.rows)
+        names, lists = [x[0] for x in infos], [r[3] for r in self.rows]
         counts = np.array([x[1:4] for x in infos], np.int64).reshape(-1, 3)
+        size = np.array(list(map(len, lists)), np.int64)
+        used, ends = np.fromiter(chain.from_iterable(lists), np.int64, size.sum()), np.cumsum(size)
         sizes, times = np.array([len(x[4]) for x in infos], np.int64), np.bincount(used, minlength=len(infos))
-        cols = {c: [] for c in ("rid", "doc_id", "at", "n_a", "n_b", "n_groups", "sha", "groups", "units")}
+        sums = np.diff(np.vstack([np.zeros((1, 3), np.int64), np.cumsum(counts[used], axis=0)])[np.r_[0, ends]], axis=0)
+        texts = [";".join([names[i] for i in idx]) for idx in lists]
+        sha = [None if r[5] else hashlib.sha256(t.encode()).hexdigest() if r[3] else "" for r, t in zip(self.rows, texts, strict=True)]
+        groups = [t if r[5] else None for r, t in zip(self.rows, texts, strict=True)]
         parts = {c: [] for c in ("closed", "pa", "pb", "sa", "sb")}
-        for rid, doc_id, at, idx, opened, payload in self.rows:
-            found = np.array(idx, np.int64)
-            n = counts[found].sum(axis=0)
-            text = ";".join([names[i] for i in idx])
-            sha = None if payload else hashlib.sha256(text.encode()).hexdigest() if idx else ""
-            for c, x in zip(cols, (rid, doc_id, at, *n.tolist(), sha, text if payload else None, found.astype(np.int32)), strict=True):
-                cols[c].append(x)
-            closed, prefix, suffix = opened or (True, ([], []), ([], []))
+        for r in self.rows if open_parts else ():
+            closed, prefix, suffix = r[4] or (True, ([], []), ([], []))
             for c, x in zip(parts, (closed, *prefix, *suffix), strict=True):
                 parts[c].append(x)
         flat = np.concatenate([np.empty(0, np.int64), *[x[4] for x in infos]])
         pairs, place = np.unique(flat, return_inverse=True)
         per_pair = np.bincount(place, np.repeat(times, sizes), len(pairs)).astype(np.int64)
         table = {"pairs": pairs, "counts": per_pair, "unit_at": np.cumsum(sizes) - sizes, "unit_pairs": place}
-        k = len(self.rows)
         types = {"pairs": pa.int64(), "counts": pa.int64(), "unit_at": pa.int32(), "unit_pairs": pa.int32()}
         out = {"block": pa.array([self.number] * (k + 1), pa.int64())}
         out |= {c: pa.array([None] * k + [np.asarray(x).astype(types[c].to_pandas_dtype())], pa.list_(types[c])) for c, x in table.items()}
-        kinds = {"doc_id": id_type, "sha": pa.string(), "groups": pa.string(), "units": pa.list_(pa.int32())}
-        out |= {c: pa.array([*x, None], kinds.get(c, pa.int64())) for c, x in cols.items()}
+        cols = {"rid": [r[0] for r in self.rows], "at": [r[2] for r in self.rows], **dict(zip(("n_a", "n_b", "n_groups"), sums.T.tolist(), strict=True))}
+        out |= {"rid": pa.array([*cols["rid"], None], pa.int64()), "doc_id": pa.array([*[r[1] for r in self.rows], None], id_type)}
+        out |= {c: pa.array([*cols[c], None], pa.int64()) for c in ("at", "n_a", "n_b", "n_groups")}
+        out |= {"sha": pa.array([*sha, None], pa.string()), "groups": pa.array([*groups, None], pa.string())}
+        offsets = pa.array(np.r_[0, ends, ends[-1] if k else 0], pa.int32(), mask=np.r_[np.zeros(k, bool), True, False])
+        out["units"] = pa.ListArray.from_arrays(offsets, pa.array(used.astype(np.int32)))
         if open_parts:
             out |= {c: pa.array([*x, None], pa.bool_() if c == "closed" else pa.list_(pa.int32())) for c, x in parts.items()}
         return pa.RecordBatch.from_arrays(list(out.values()), names=list(out))
@@ -453,26 +455,22 @@ def _scored(id_type):
     """Fragments with the links that are their second id's best, and the sum of the links' counts. A
     partition has its blocks one after the other: pairs with counts, then the units, then the fragments."""
     def work(batches):
-        number, count, best, times, unit_best, unit_sum = None, [], [], [], None, None
+        number = count = best = unit_best = unit_sum = None
         for batch in batches:
             out, kinds, blocks = [], batch.column("kind").to_numpy(), batch.column("block").to_numpy()
             edges = np.flatnonzero(np.r_[True, (kinds[1:] != kinds[:-1]) | (blocks[1:] != blocks[:-1])]) if len(kinds) else []
             for low, high in zip(edges, [*edges[1:], len(kinds)], strict=True):
                 part = batch.slice(low, high - low)
                 if blocks[low] != number:
-                    number, count, best, times = blocks[low], [], [], []
+                    number = blocks[low]
                     unit_best = unit_sum = np.empty(0, np.int64)
                 if kinds[low] == 0:
-                    count.append(part.column("count").to_numpy())
-                    best.append(part.column("best").to_numpy(zero_copy_only=False))
-                    times.append(part.column("at").to_numpy())
+                    order = np.argsort(part.column("ats")[0].values.to_numpy())
+                    count, best = (part.column(c)[0].values.to_numpy(zero_copy_only=False)[order].astype(np.int64) for c in ("counts", "bests"))
                 elif kinds[low] == 1:
                     at, pairs = (part.column(c)[0].values.to_numpy() for c in ("unit_at", "unit_pairs"))
                     if len(pairs):
-                        order = np.argsort(np.concatenate(times))
-                        unit_sum = np.add.reduceat(np.concatenate(count)[order][pairs], at)
-                        unit_best = np.add.reduceat(np.concatenate(best)[order].astype(np.int64)[pairs], at)
-                    count, best, times = [], [], []
+                        unit_sum, unit_best = (np.add.reduceat(x[pairs], at) for x in (count, best))
                 else:
                     units = part.column("units")
                     ids, ends = units.flatten().to_numpy(), units.offsets.to_numpy()
@@ -544,11 +542,13 @@ def aligned(docs: DataFrame, a_vocabulary: str, b_model: str, id_col: str = "doc
     held, counts = pair_counts(parts[0].unionByName(parts[1]).unionByName(parts[2]))
 
     def lined(df: DataFrame, order: int) -> DataFrame:
-        have = {"at": "long", "count": "long", "best": "boolean", "unit_at": "array<int>", "unit_pairs": "array<int>", "rid": "long", "doc_id": kind,
+        have = {"ats": "array<int>", "counts": "array<long>", "bests": "array<boolean>", "at": "long", "unit_at": "array<int>", "unit_pairs": "array<int>", "rid": "long", "doc_id": kind,
                 "n_a": "long", "n_b": "long", "n_groups": "long", "sha": "string", "units": "array<int>"}
         return df.select("block", F.lit(order).alias("kind"), *[(F.col(c) if c in df.columns else F.lit(None)).cast(t).alias(c) for c, t in have.items()])
 
-    rows = lined(held.join(counts, "pair").select("block", "at", "count", "best"), 0)
+    # one row a block, as many entries as the block has pairs
+    back = held.join(counts, "pair").groupBy("block").agg(F.collect_list(F.struct("at", "count", "best")).alias("p"))
+    rows = lined(back.select("block", F.col("p.at").alias("ats"), F.col("p.count").alias("counts"), F.col("p.best").alias("bests")), 0)
     for x in parts:
         rows = rows.unionByName(lined(x.filter("pairs IS NOT NULL").select("block", "unit_at", "unit_pairs"), 1))
         rows = rows.unionByName(lined(x.filter("rid IS NOT NULL").drop("pairs", "counts", "unit_at", "unit_pairs", "groups"), 2))
