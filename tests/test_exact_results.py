@@ -9,7 +9,7 @@ from tradewatch.operators import flow as FL
 from tradewatch.operators import normalize as N
 from tradewatch.operators import quality as Q
 from tradewatch.operators.serving import lag_monitor
-from tradewatch.operators.spread import spread, spread_alerts
+from tradewatch.operators.spread import spread, spread_alerts, vwap
 from tradewatch.operators.wallet import wallet_high_alpha
 
 T0 = dt.datetime(2024, 1, 1)
@@ -93,3 +93,22 @@ def test_skewed_clock_is_flagged_on_both_sides(spark):
     rows = [(T0, T0 + 6 * m), (T0, T0), (T0 + 6 * m, T0)]
     got = Q.dq_late_flag(spark.createDataFrame(rows, "timestamp timestamp, ingestion_timestamp timestamp")).collect()
     assert [(r.is_late, r.is_early) for r in got] == [(True, False), (False, False), (False, True)]
+
+
+def test_numbers_beyond_exact_sums_are_dead_letters(spark):
+    rows = [("ok", 100.0, 1.0, 100.0), ("nan", float("nan"), 1.0, 1.0), ("inf", float("inf"), 1.0, 1.0), ("big", 1e30, 1.0, 1.0), ("minus", -float("inf"), 1.0, 1.0),
+            ("product", 1e15, 1e15, 1.0), ("volume", 1.0, 1.0, float("nan")), ("null", None, 1.0, None), ("null2", None, -1.0, None)]
+    df = spark.createDataFrame(rows, "event_id string, price double, quantity double, quote_volume double").withColumn("failed_rules", Q.empty())
+    assert {r.event_id for r in Q.dq_valid_range(df).where("size(failed_rules) > 0").collect()} == {"nan", "inf", "big", "minus", "product", "volume", "null2"}
+
+
+def test_vwap_leaves_out_trades_that_have_no_exact_product(spark):
+    rows = [("1", 100.0, 2.0), ("2", float("nan"), 5.0), ("3", 1e30, 5.0), ("4", 50.0, float("inf")), ("5", None, 7.0), ("6", 50.0, None), ("7", 200.0, 2.0)]
+    df = spark.createDataFrame([(T0, "X", "a", *r) for r in rows], "timestamp timestamp, symbol string, exchange string, event_id string, price double, quantity double")
+    assert [r.vwap for r in vwap(df).collect()] == [150.0]
+
+
+def test_overlong_epochs_become_null(spark):
+    rows = ['{"e":"trade","E":1,"s":"BTCUSDT","t":%d,"p":"1","q":"1","T":%d,"m":true}' % x for x in ((1, 2 ** 63 - 1), (2, -2 ** 63), (3, 1_700_000_000_000))]
+    got = N.norm_venue_a(spark.createDataFrame([(r,) for r in rows], "value string"), ingested_at="2024-01-01").collect()
+    assert [(r.event_id, r.timestamp is None) for r in got] == [("1", True), ("2", True), ("3", False)]

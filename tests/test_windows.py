@@ -1,4 +1,4 @@
-"""The bucketed window helpers give exactly the single-partition answer."""
+"""The segmented window helpers give exactly the single-partition answer."""
 
 import random
 
@@ -102,3 +102,28 @@ def test_running_mean_before_equals_range_frame(spark, seed):
     assert got.keys() == want.keys()
     for key, val in want.items():
         assert (got[key] is None and val is None) or got[key] == pytest.approx(val)
+
+
+def _hot(spark, n=3000):
+    """One key has most rows, all within one minute, and many share a second; another key is null."""
+    rnd = random.Random(21)
+    rows = [(rnd.choice(["hot"] * 8 + ["a", None]), f"{i:05d}", None if rnd.random() < .3 else float(rnd.randint(-4, 4)), rnd.randint(0, 59)) for i in range(n)]
+    return spark.createDataFrame(rows, "k string, id string, v double, s long").withColumn("ts", F.timestamp_seconds("s")).drop("s")
+
+
+def test_a_hot_minute_is_spread_over_the_segments(spark):
+    sizes = [r["count"] for r in WH.time_segments(_hot(spark), ["k"], ["ts", "id"], 8).where("k = 'hot'").groupBy("_tb").count().collect()]
+    assert len(sizes) >= 6 and max(sizes) <= 3000 / 4
+
+
+def test_segments_equal_plain_windows(spark):
+    df = _hot(spark)
+    w = Window.partitionBy("k").orderBy("ts", "id")
+    up = w.rowsBetween(Window.unboundedPreceding, 0)
+    plain = df.select("id", F.lag("v").over(w).alias("p"), F.last("v", ignorenulls=True).over(up).alias("f")).collect()
+    assert {r.id: r.prev_v for r in WH.bucketed_prev(df, ["k"], ["ts", "id"], ["v"], "ts").collect()} == {r.id: r.p for r in plain}
+    assert {r.id: r.f for r in WH.bucketed_last(df, ["k"], ["ts", "id"], "v", "ts", None, "f").collect()} == {r.id: r.f for r in plain}
+    d = df.withColumn("cum", F.sum(F.col("v").cast("decimal(38,12)")).over(up))
+    d = d.withColumn("peak", F.greatest(F.lit(0).cast("decimal(38,12)"), F.max("cum").over(up)))
+    want = {r.k: float(r.dd) for r in d.groupBy("k").agg(F.greatest(F.max(F.col("peak") - F.col("cum")), F.lit(0)).alias("dd")).collect()}
+    assert {r.k: r.max_drawdown for r in WH.max_drawdown(df, ["k"], ["ts", "id"], "v", "ts").collect()} == pytest.approx(want)

@@ -46,17 +46,18 @@ DEFAULTS: dict = {
         "window_seconds": 30,
         "watermark_seconds": 15,
     },
-    "wallet_scorer": {"days": 30, "min_trades": 5, "high_alpha_pct": 0.95, "score_delta": 1.0},
+    "wallet_scorer": {"days": 30, "period_days": 1, "min_trades": 5, "high_alpha_pct": 0.95, "score_delta": 1.0},
+    "labels": {"min_quote_volume_usd": 100000, "severity_high_usd": 500000},
     "flow": {"window_seconds": 300, "accumulation": 0.7, "distribution": 0.3,
              "strong_accumulation": 0.85, "strong_distribution": 0.15},
     "consensus": {"window_seconds": 300, "weights": [0.3, 0.3, 0.4], "threshold": 70, "high": 85},
     "onchain": {"large_transfer_usd": 50000, "high_transfer_usd": 1000000,
                 "routers": ["uniswap", "jupiter", "sushiswap", "raydium"]},
     "dex": {"window_seconds": 60, "large_swap_usd": 100000, "high_swap_usd": 1000000,
-            "liquidity_change_pct": 50.0},
+            "liquidity_change_pct": 50.0, "liquidity_window_seconds": 60},
     "predictive": {"window_seconds": 900, "alert_p": 0.7, "update_delta": 0.1,
-                   "move_pct": 2.0},
-    "backtest": {"horizons_seconds": [3600, 14400, 86400], "degradation_drop": 0.1},
+                   "move_pct": 2.0, "outcome_seconds": 14400},
+    "backtest": {"horizons_seconds": [3600, 14400, 86400], "degradation_drop": 0.1, "date": None},
     "alerts": {"ttl_hours": 24},
 }
 

@@ -6,8 +6,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# The text form of event times, and the quote assets that end a venue's symbol.
 ISO_MS = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
+QUOTE_ASSETS = ("USDT", "BTC", "ETH")
+
 MONEY = "decimal(28,8)"
+MONEY_LIMIT = 1e20
+FIRST_MS, LAST_MS = -62_135_596_800_000, 253_402_300_799_999
 
 
 def _c(c) -> Column:
@@ -16,17 +21,19 @@ def _c(c) -> Column:
 
 # ---- symbols --------------------------------------------------------------
 
+def _split_quote(c, names: dict) -> Column:
+    """BASEQUOTE -> BASE-QUOTE, quotes renamed by ``names``; other symbols pass in upper case."""
+    s, out = F.upper(_c(c)), None
+    for quote in QUOTE_ASSETS:
+        split = F.concat(s.substr(F.lit(1), F.length(s) - len(quote)), F.lit("-" + names.get(quote, quote)))
+        out = F.when(s.endswith(quote), split) if out is None else out.when(s.endswith(quote), split)
+    return out.otherwise(s)
+
+
 def norm_symbol(c) -> Column:
     """Venue A pair to BASE-QUOTE: BTCUSDT -> BTC-USDT; quote assets USDT, BTC,
     ETH are split off, any other symbol passes unchanged."""
-    s = F.upper(_c(c))
-    n = F.length(s)
-    return (
-        F.when(s.endswith("USDT"), F.concat(s.substr(F.lit(1), n - 4), F.lit("-USDT")))
-        .when(s.endswith("BTC"), F.concat(s.substr(F.lit(1), n - 3), F.lit("-BTC")))
-        .when(s.endswith("ETH"), F.concat(s.substr(F.lit(1), n - 3), F.lit("-ETH")))
-        .otherwise(s)
-    )
+    return _split_quote(c, {})
 
 
 def norm_symbol_usd(c) -> Column:
@@ -37,21 +44,14 @@ def norm_symbol_usd(c) -> Column:
 
 def norm_product_id(c) -> Column:
     """Configured symbol to venue B product id: btcusdt -> BTC-USD."""
-    s = F.upper(_c(c))
-    n = F.length(s)
-    return (
-        F.when(s.endswith("USDT"), F.concat(s.substr(F.lit(1), n - 4), F.lit("-USD")))
-        .when(s.endswith("BTC"), F.concat(s.substr(F.lit(1), n - 3), F.lit("-BTC")))
-        .when(s.endswith("ETH"), F.concat(s.substr(F.lit(1), n - 3), F.lit("-ETH")))
-        .otherwise(s)
-    )
+    return _split_quote(c, {"USDT": "USD"})
 
 
 # ---- time -------------------------------------------------------------------
 
 def norm_epoch_ms(c) -> Column:
-    """Epoch milliseconds to a UTC timestamp (millisecond precision)."""
-    return F.timestamp_millis(_c(c))
+    """Epoch milliseconds to a UTC timestamp (millisecond precision); null outside the years 1 to 9999."""
+    return F.when(_c(c).between(F.lit(FIRST_MS), F.lit(LAST_MS)), F.timestamp_millis(_c(c)))
 
 
 def iso_ms(c) -> Column:
@@ -83,8 +83,13 @@ def epoch_seconds(c) -> Column:
 # ---- money ----------------------------------------------------------------------
 
 def money(c) -> Column:
-    """Exact money for sums: double -> DECIMAL(28,8)."""
-    return _c(c).cast(MONEY)
+    """Exact money for sums: double -> DECIMAL(28,8); null for what it can't hold (not a number, infinite, too large)."""
+    return _c(c).try_cast(MONEY)
+
+
+def in_money_range(c) -> Column:
+    """Whether a double is finite and within DECIMAL(28,8); a number that is none is not."""
+    return F.abs(_c(c)) < F.lit(MONEY_LIMIT)
 
 
 def money_sum(c) -> Column:

@@ -2,9 +2,9 @@
 report per (module, symbol, horizon).
 
 The as-of lookup is a union of points and prices ordered by time, with
-``last(price, ignorenulls)`` per (symbol, time bucket) and the previous
-bucket's last price carried in (windows.bucketed_last): no range join, no
-task holding a whole symbol."""
+``last(price, ignorenulls)`` per (symbol, segment) and the previous
+segment's last price carried in (windows.bucketed_last): no range join, no
+task holding a whole symbol, however its trades lie in time."""
 
 from __future__ import annotations
 
@@ -21,7 +21,7 @@ GROUP = ["module_id", "symbol", "horizon_s"]
 DIRECTION = {"accumulation_signal": 1, "consensus_bullish": 1, "distribution_signal": -1, "consensus_bearish": -1}
 
 
-def bt_price_asof(points: DataFrame, prices: DataFrame, t_col: str = "t", bucket_seconds: int = 86400,
+def bt_price_asof(points: DataFrame, prices: DataFrame, t_col: str = "t", bucket_seconds: int | None = None,
                   keys=("symbol",)) -> DataFrame:
     """Add ``asof_price`` and ``asof_time``: the last trade at or before
     ``t_col`` of the same key (ties: the larger event id)."""
@@ -41,7 +41,7 @@ def bt_price_asof(points: DataFrame, prices: DataFrame, t_col: str = "t", bucket
 
 
 def bt_forward_return(alerts: DataFrame, prices: DataFrame, horizons=(3600, 14400, 86400),
-                      bucket_seconds: int = 86400) -> DataFrame:
+                      bucket_seconds: int | None = None) -> DataFrame:
     """One row per (alert, horizon): entry price at the alert, exit price at
     alert + horizon (null unless a trade came after the alert), return,
     signed return (times ``direction``) and hit."""
@@ -76,42 +76,69 @@ def bt_hit_rate(r: DataFrame) -> DataFrame:
 
 
 def bt_avg_return(r: DataFrame) -> DataFrame:
-    return r.groupBy(*GROUP).agg(F.avg("signed_return").alias("avg_return"))
+    """Mean of exact decimal sums: the same digits in any order of the rows."""
+    return _moments(r).select(*GROUP, "avg_return")
 
 
 def bt_sharpe(r: DataFrame) -> DataFrame:
-    return r.groupBy(*GROUP).agg(
-        F.try_divide(F.avg("signed_return"), F.stddev_samp("signed_return")).alias("sharpe"))
+    return _moments(r).select(*GROUP, "sharpe")
 
 
-def bt_max_drawdown(r: DataFrame, bucket_seconds: int = 7 * 86400) -> DataFrame:
+RETURN_SUMS = [("_n", lambda s: F.when(s.isNotNull(), F.lit(1).cast("long")).otherwise(F.lit(0).cast("long"))), ("_s", lambda s: s),
+               ("_ss", lambda s: (s * s).cast("decimal(28,18)"))]
+
+
+def _return_sums():
+    """(name, Column) of a group's count, sum and sum of squares of returns, as decimals."""
+    s = F.col("signed_return").cast("decimal(20,12)")
+    return [(n, f(s)) for n, f in RETURN_SUMS]
+
+
+def _mean_and_sharpe():
+    mean = F.try_divide(F.col("_s").cast("double"), F.col("_n"))
+    spread = F.col("_ss").cast("double") - F.col("_s").cast("double") * mean
+    deviation = F.sqrt(F.greatest(F.lit(0.0), F.try_divide(spread, F.col("_n") - 1)))
+    return mean.alias("avg_return"), F.try_divide(mean, deviation).alias("sharpe")
+
+
+def _moments(r: DataFrame) -> DataFrame:
+    g = r.groupBy(*GROUP).agg(*[F.sum(c).alias(n) for n, c in _return_sums()])
+    return g.select(*GROUP, *_mean_and_sharpe())
+
+
+def bt_max_drawdown(r: DataFrame, bucket_seconds: int | None = None) -> DataFrame:
     s = r.where(F.col("signed_return").isNotNull())
     return max_drawdown(s, GROUP, ["detected_at", "alert_id"], "signed_return", "detected_at", bucket_seconds)
 
 
-def bt_report(r: DataFrame, backtest_date, bucket_seconds: int = 7 * 86400) -> DataFrame:
+def bt_report(r: DataFrame, backtest_date, bucket_seconds: int | None = None) -> DataFrame:
     """All metrics from one bucketed pass over the returns. Mean and deviation
     come from exact decimal sums, so they do not depend on the order of the rows."""
     one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
-    s = F.col("signed_return").cast("decimal(20,12)")
     g = max_drawdown(r, GROUP, ["detected_at", "alert_id"], "signed_return", "detected_at", bucket_seconds, sums=[
         ("n_alerts", one), ("n_scored", F.when(F.col("hit").isNotNull(), one).otherwise(none)),
-        ("_hits", F.when(F.col("hit"), one).otherwise(none)), ("_n", F.when(s.isNotNull(), one).otherwise(none)),
-        ("_s", s), ("_ss", (s * s).cast("decimal(28,18)"))])
-    mean = F.try_divide(F.col("_s").cast("double"), F.col("_n"))
-    spread = F.col("_ss").cast("double") - F.col("_s").cast("double") * mean
-    deviation = F.sqrt(F.greatest(F.lit(0.0), F.try_divide(spread, F.col("_n") - 1)))
+        ("_hits", F.when(F.col("hit"), one).otherwise(none)), *_return_sums()])
     return g.select(*GROUP, "n_alerts", "n_scored", F.try_divide(F.col("_hits"), F.col("n_scored")).alias("hit_rate"),
-                    mean.alias("avg_return"), F.try_divide(mean, deviation).alias("sharpe"), "max_drawdown",
-                    F.lit(backtest_date).cast("date").alias("backtest_date"))
+                    *_mean_and_sharpe(), "max_drawdown", F.lit(backtest_date).cast("date").alias("backtest_date"))
+
+
+def bt_direction_of(alerts: DataFrame) -> DataFrame:
+    """Alerts of any module as back-test input; the direction is that of the alert type
+    (``DIRECTION``), null for types that predict none."""
+    kind = F.lit(None).cast("int")
+    for name, d in DIRECTION.items():
+        kind = F.when(F.col("alert_type") == name, d).otherwise(kind)
+    return alerts.select("alert_id", "module_id", "alert_type", "symbol", "detected_at", kind.alias("direction"))
 
 
-def bt_complete_alerts(report: DataFrame) -> DataFrame:
-    """One ``backtest_complete`` (low) per module and back-test date."""
+def bt_complete_alerts(report: DataFrame, lineage=None) -> DataFrame:
+    """One ``backtest_complete`` (low) per module and back-test date. ``lineage`` (rows to
+    rows) may add a row's lineage."""
     g = report.groupBy("module_id", "backtest_date").agg(F.sum("n_alerts").alias("n_alerts"),
                                                           F.avg("hit_rate").alias("mean_hit_rate"))
     g = g.withColumn("severity", F.lit("low")).withColumn("symbol", F.lit(None).cast("string")) \
         .withColumn("detected_at", F.col("backtest_date").cast("timestamp"))
+    g = lineage(g) if lineage else g
     msg = F.format_string("Back-test of %s complete: %d alerts", F.col("tested_module"), F.col("n_alerts"))
     return alert_build(g.withColumnRenamed("module_id", "tested_module"), "MOD-011", "backtest_complete", "severity",
                        msg, details_cols=["tested_module", "n_alerts", "mean_hit_rate"],

@@ -97,10 +97,10 @@ def dex_volume(swaps: DataFrame, width: str = "60 seconds") -> DataFrame:
                     "volume_usd", "swap_count")
 
 
-def dex_price_impact(swaps: DataFrame, bucket_seconds: int = 30 * 86400) -> DataFrame:
+def dex_price_impact(swaps: DataFrame, bucket_seconds: int | None = None) -> DataFrame:
     """impact = (price - previous price) / previous price per (pair,
-    protocol) in (time, tx, leg) order (R11). The lag runs per time
-    bucket with the previous bucket's last price carried in, so a busy pair
+    protocol) in (time, tx, leg) order (R11). The lag runs per segment
+    of a pair's order with the previous segment's last price carried in, so a busy pair
     is spread over many tasks."""
     # leg ids repeat where lineitem repeats a whole row; the amounts complete
     # a total order (rows equal in all of these are interchangeable)
@@ -128,21 +128,25 @@ def dex_liquidity(swaps: DataFrame, width: str = "60 seconds") -> DataFrame:
     liquidity and its change against the previous window. The windows run on
     the per-window aggregate (one row per window and pool)."""
     g = swaps.groupBy(F.window("swap_timestamp", width).alias("w"), "pair", "protocol").agg(
-        F.sum(money("amount_in") - money("amount_out")).alias("_net"))
+        F.sum(money("amount_in") - money("amount_out")).alias("_net"),
+        F.max(F.struct("swap_timestamp", "tx", "leg_id", "blockchain")).alias("_last"))
     w = Window.partitionBy("pair", "protocol").orderBy("window_start")
-    d = g.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "pair", "protocol", "_net")
+    d = g.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "pair", "protocol", "_net", "_last")
     d = d.withColumn("_liq", F.sum("_net").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     d = d.withColumn("_prev", F.lag("_liq").over(w))
     return d.select("window_start", "window_end", "pair", "protocol", F.col("_net").cast("double").alias("net_change"),
                     F.col("_liq").cast("double").alias("liquidity"), F.col("_prev").cast("double").alias("prev_liquidity"),
                     (F.try_divide(F.col("_net").cast("double"), F.abs(F.col("_prev").cast("double"))) * F.lit(100.0))
-                    .alias("change_pct"))
+                    .alias("change_pct"), F.col("_last.swap_timestamp").alias("last_timestamp"),
+                    F.concat_ws("/", "_last.tx", "_last.leg_id").alias("last_event_id"), F.col("_last.blockchain").alias("last_blockchain"))
 
 
 def dex_liquidity_change(swaps: DataFrame, width: str = "60 seconds", pct: float = 50.0,
-                         high_pct: float = 100.0) -> DataFrame:
-    """``liquidity_change`` when the pool moves by more than ``pct`` percent."""
+                         high_pct: float = 100.0, lineage=None) -> DataFrame:
+    """``liquidity_change`` when the pool moves by more than ``pct`` percent.
+    ``lineage`` (rows to rows) may add the lineage of a row's latest swap."""
     d = dex_liquidity(swaps, width).where(F.abs("change_pct") > F.lit(pct))
+    d = lineage(d) if lineage else d
     d = d.withColumn("severity", F.when(F.abs("change_pct") > F.lit(high_pct), "high").otherwise("medium"))
     d = d.withColumn("symbol", F.col("pair"))
     msg = F.format_string("Liquidity of %s on %s changed by more than %s %%", F.col("pair"), F.col("protocol"),

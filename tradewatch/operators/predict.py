@@ -1,7 +1,7 @@
-"""MOD-010 predictive scoring: a feature grid per (window,
-symbol), point-in-time accuracy of past cases, a logistic score with fixed
-coefficients (R10) and alerts. Every window here runs on grid rows (time span
-/ width per symbol), never on raw trades."""
+"""MOD-010 predictive scoring: a feature grid per (15 minutes,
+symbol) filled as of each window's end from the other modules' outputs, point-in-time
+accuracy of past cases, a logistic score with fixed coefficients (R10) and alerts. Every
+window here runs on grid rows (time span / width per symbol), never on raw trades."""
 
 from __future__ import annotations
 
@@ -10,36 +10,47 @@ from pyspark.sql import functions as F
 
 from tradewatch.operators.alerts import alert_build, alert_union
 from tradewatch.operators.backtest import bt_price_asof
-from tradewatch.operators.windows import running_mean_before
+from tradewatch.operators.windows import asof_fill, running_mean_before
 
 # Our coefficients per horizon (the reference gives none, R10):
-# intercept, consensus/100, alpha percentile, volume, flow, past accuracy.
+# intercept, consensus/100, alpha percentile, volume (|z| / 3.5, at most 1), flow
+# (|2 ratio - 1|), past accuracy.
 COEFFICIENTS = {
     "p_1h": (-2.0, 2.5, 0.5, 0.8, 1.2, 1.0),
     "p_2h": (-1.8, 2.2, 0.5, 0.7, 1.1, 1.0),
     "p_4h": (-1.5, 2.0, 0.4, 0.6, 1.0, 1.0),
 }
-NEUTRAL = {"alpha_pct": 0.5, "accuracy": 0.5}
+NEUTRAL = {"consensus_score": 0.0, "alpha_pct": 0.5, "z_score": 0.0, "flow_ratio": 0.5, "accuracy": 0.5}
 
 
-def pred_features(consensus: DataFrame, alpha: DataFrame | None = None) -> DataFrame:
-    """Grid rows = the (window, symbol) rows of the consensus signals;
-    consensus score and flow ratio are carried forward per symbol when a
-    window lacks them (as-of fill); the alpha feature joins per (window,
-    symbol) and is neutral when absent."""
-    w = Window.partitionBy("symbol").orderBy("window_start").rowsBetween(Window.unboundedPreceding, 0)
-    g = consensus.select("window_start", "window_end", "symbol", "consensus_score", "volume_signal", "whale_signal",
-                         "flow_signal", "flow_ratio")
-    g = g.withColumn("flow_ratio_filled", F.last("flow_ratio", ignorenulls=True).over(w))
-    if alpha is not None:
-        g = g.join(alpha.select("window_start", "symbol", "alpha_pct"), ["window_start", "symbol"], "left")
-    else:
-        g = g.withColumn("alpha_pct", F.lit(None).cast("double"))
-    return g.withColumn("alpha_pct", F.coalesce("alpha_pct", F.lit(NEUTRAL["alpha_pct"])))
+def pred_grid(trades: DataFrame, width_s: int = 900) -> DataFrame:
+    """window_start, window_end, symbol: every evaluation window from a symbol's first trade to its last."""
+    us = width_s * 1_000_000
+    at = lambda c: (F.floor(F.unix_micros(c) / F.lit(us)) * F.lit(us)).cast("long")
+    span = trades.groupBy("symbol").agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")).where("lo IS NOT NULL")
+    g = span.select("symbol", F.explode(F.sequence(at("lo"), at("hi"), F.lit(us).cast("long"))).alias("t"))
+    return g.select(F.timestamp_micros("t").alias("window_start"), F.timestamp_micros(F.col("t") + F.lit(us)).alias("window_end"), "symbol")
+
+
+def pred_features(grid: DataFrame, consensus: DataFrame, zscores: DataFrame, flows: DataFrame, alpha: DataFrame) -> DataFrame:
+    """The feature vector at the end of every grid window, each feature as last known then: the
+    score of the last closed consensus window, the largest |z| of the last scored volume window, the
+    ratio of the last closed flow window, and the alpha percentile of the last scoring run
+    (``alpha``: symbol, scored_at, alpha_pct). What is not known yet is neutral.
+
+    volume_signal = min(|z| / 3.5, 1) and flow_signal = |2 ratio - 1| as in the consensus (R8)."""
+    at = lambda df, t, v: df.select("symbol", F.col(t).alias("at"), v.alias("value"))
+    f = asof_fill(grid, "window_end", {
+        "consensus_score": at(consensus, "window_end", F.col("consensus_score")), "z_score": at(zscores, "window_end", F.abs("z_score")),
+        "flow_ratio": at(flows, "window_end", F.col("flow_ratio")), "alpha_pct": at(alpha, "scored_at", F.col("alpha_pct"))}, ["symbol"])
+    known = {n: F.coalesce(n, F.lit(NEUTRAL[n])) for n in ("consensus_score", "z_score", "flow_ratio", "alpha_pct")}
+    f = f.select("window_start", "window_end", "symbol", *[c.alias(n) for n, c in known.items()])
+    return f.withColumn("volume_signal", F.least(F.col("z_score") / F.lit(3.5), F.lit(1.0))).withColumn(
+        "flow_signal", F.abs(F.lit(2.0) * F.col("flow_ratio") - F.lit(1.0)))
 
 
 def pred_outcomes(features: DataFrame, prices: DataFrame, horizon_s: int, move_pct: float = 2.0,
-                  bucket_seconds: int = 86400) -> DataFrame:
+                  bucket_seconds: int | None = None) -> DataFrame:
     """``moved``: |close at window end + horizon / close at window end - 1|
     > move_pct %, with as-of closes (null without a later trade)."""
     pts = features.select("window_start", "symbol", F.lit(0).alias("leg"), F.col("window_end").alias("t")).unionByName(
@@ -55,28 +66,20 @@ def pred_outcomes(features: DataFrame, prices: DataFrame, horizon_s: int, move_p
     return g.select("window_start", "symbol", F.when(F.col("time_h") > F.col("t0"), moved).alias("moved"))
 
 
-def pred_accuracy(features: DataFrame, outcomes: DataFrame, horizon_s: int, width_s: int,
-                  bucket_seconds: int | None = None) -> DataFrame:
+def pred_accuracy(features: DataFrame, outcomes: DataFrame, horizon_s: int, width_s: int, bucket_seconds: int = 86400) -> DataFrame:
     """Hit rate of past grid rows in the same feature buckets (consensus
     score in fifths, flow ratio in fifths) whose outcome was known before the
     current window started: outcome time = start + width + horizon <= now.
 
-    Grid rows grow with time span x symbols / width, not with trade volume,
-    so one range frame per feature bucket is the default. For very long or
-    wide grids pass ``bucket_seconds``: the frame then runs per (feature
-    bucket, time slice) with prefix totals carried across slices
-    (windows.running_mean_before), the same numbers without a task per bucket."""
+    The frame runs per (feature bucket, time slice) with prefix totals carried across slices
+    (windows.running_mean_before), so no task holds a feature bucket's whole history."""
     d = features.join(outcomes, ["window_start", "symbol"], "left")
     d = d.withColumn("score_bucket", F.floor(F.col("consensus_score") / 20).cast("int")) \
-         .withColumn("flow_bucket", F.floor(F.coalesce("flow_ratio_filled", F.lit(0.5)) * 5).cast("int")) \
+         .withColumn("flow_bucket", F.floor(F.col("flow_ratio") * 5).cast("int")) \
          .withColumn("_t", F.unix_seconds("window_start"))
-    lag = width_s + horizon_s
-    if bucket_seconds:
-        out = running_mean_before(d.withColumn("_moved", F.col("moved").cast("double")),
-                                  ["score_bucket", "flow_bucket"], "_t", "_moved", lag, bucket_seconds, "accuracy")
-        return out.drop("_t", "_moved")
-    w = Window.partitionBy("score_bucket", "flow_bucket").orderBy("_t").rangeBetween(Window.unboundedPreceding, -lag)
-    return d.withColumn("accuracy", F.avg(F.col("moved").cast("double")).over(w)).drop("_t")
+    out = running_mean_before(d.withColumn("_moved", F.col("moved").cast("double")),
+                              ["score_bucket", "flow_bucket"], "_t", "_moved", width_s + horizon_s, bucket_seconds, "accuracy")
+    return out.drop("_t", "_moved")
 
 
 def pred_score(features: DataFrame, coef: dict | None = None) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradewatch.functions.columns import ratio
+from tradewatch.functions.columns import QUOTE_ASSETS, in_money_range, ratio
 
 TRADE_JSON_SCHEMA = T.StructType([
     T.StructField("event_id", T.StringType()), T.StructField("exchange", T.StringType()),
@@ -29,12 +29,8 @@ def empty() -> Column:
 def unified_symbol(s: str) -> str:
     """Config symbol (btcusdt) -> unified form (BTC-USDT); config-side only."""
     u = s.upper()
-    if "-" in u:
-        return u
-    for quote in ("USDT", "BTC", "ETH"):
-        if u.endswith(quote):
-            return f"{u[: -len(quote)]}-{quote}"
-    return u
+    quote = next((q for q in QUOTE_ASSETS if "-" not in u and u.endswith(q)), None)
+    return f"{u[: -len(quote)]}-{quote}" if quote else u
 
 
 def _with_rule(df: DataFrame, name: str, failed: Column) -> DataFrame:
@@ -71,7 +67,12 @@ def dq_complete(df: DataFrame, cols=REQUIRED) -> DataFrame:
 
 
 def dq_valid_range(df: DataFrame) -> DataFrame:
-    return _with_rule(df, "invalid_range", (F.col("price") <= 0) | (F.col("quantity") <= 0))
+    """Price and quantity must be positive, and they, their product and the quote volume finite
+    numbers that exact sums can hold; what is missing is another rule's."""
+    price, quantity, volume = F.col("price"), F.col("quantity"), F.col("quote_volume")
+    bad = (price <= 0) | (quantity <= 0) | F.coalesce(~in_money_range(price), F.lit(False)) | F.coalesce(~in_money_range(quantity), F.lit(False))
+    product = F.coalesce(~in_money_range(price * quantity), F.lit(False))
+    return _with_rule(df, "invalid_range", F.coalesce(bad, F.lit(False)) | product | F.coalesce(~in_money_range(volume), F.lit(False)))
 
 
 def dq_valid_symbol(df: DataFrame, symbols) -> DataFrame:

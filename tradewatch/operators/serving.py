@@ -105,14 +105,50 @@ def metrics_counts(alerts: DataFrame, width: str = "1 hour") -> DataFrame:
                     "alert_count")
 
 
+def period_series(series: DataFrame, period_seconds: int, key_cols=(), order_col: str = "window_start", until=None) -> DataFrame:
+    """The series with a row for every period from a key's first to its last one (or to ``until``, for a
+    feed that has stopped); ``missing`` tells the rows that were added, whose values are null.
+    A key has (time span / period) rows."""
+    key, us = list(key_cols), period_seconds * 1_000_000
+    last = F.max(order_col) if until is None else F.greatest(F.max(order_col), until if isinstance(until, Column) else F.lit(until).cast("timestamp"))
+    span = series.where(F.col(order_col).isNotNull()).groupBy(*key).agg(F.unix_micros(F.min(order_col)).alias("_lo"), F.unix_micros(last).alias("_hi"))
+    cal = span.where("_hi IS NOT NULL").select(*key, F.explode(F.sequence("_lo", "_hi", F.lit(us).cast("long"))).alias("_at"))
+    have = series.select(*[F.col(c).alias("_k" + c) for c in key], *[c for c in series.columns if c not in key], F.lit(True).alias("_has"))
+    same = F.unix_micros(have[order_col]) == cal["_at"]
+    for c in key:
+        same = same & cal[c].eqNullSafe(have["_k" + c])
+    j = cal.join(have, same, "left")
+    return j.select(*key, F.timestamp_micros("_at").alias(order_col), *[c for c in series.columns if c not in (*key, order_col)],
+                    F.col("_has").isNull().alias("missing"))
+
+
+MISSING = ("breaching", "not_breaching", "ignore")
+
+
 def alarm_m_of_n(series: DataFrame, value_col: str, threshold: float, m: int, n: int, below: bool = True,
-                 key_cols=(), order_col: str = "window_start") -> DataFrame:
+                 key_cols=(), order_col: str = "window_start", period_seconds: int | None = None, missing: str = "not_breaching",
+                 until=None) -> DataFrame:
     """``breach`` per period; ``alarm`` when at least m of the last n
     consecutive periods (this one included) breach. The window holds one
-    series (periods = time span / width)."""
+    series (periods = time span / width).
+
+    With ``period_seconds`` the series is filled first, so that n rows are n consecutive periods, and a period
+    without data (or with a null value) counts by the rule ``missing``: as a breach, as none, or not at all: the
+    last n periods that have data count then. Without it the rows given are the periods."""
+    if missing not in MISSING:
+        raise ValueError(f"missing is one of {MISSING}")
     v = F.col(value_col)
     breach = (v < F.lit(threshold)) if below else (v > F.lit(threshold))
-    d = series.withColumn("breach", F.coalesce(breach, F.lit(False)))
+    if period_seconds is not None:
+        series = period_series(series, period_seconds, key_cols, order_col, until)
+    d = series.withColumn("breach", F.coalesce(breach, F.lit(missing == "breaching" and period_seconds is not None)))
+    if period_seconds is not None and missing == "ignore":
+        # the last n rows with data, at every row: the n-th latest position that has data bounds the frame
+        seen = Window.partitionBy(*key_cols).orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
+        d = d.withColumn("_seen", F.count(value_col).over(seen))
+        last = Window.partitionBy(*key_cols).orderBy("_seen").rangeBetween(-(n - 1), 0)
+        d = d.withColumn("breaches_in_n", F.sum(F.when(v.isNotNull() & F.col("breach"), 1).otherwise(0).cast("long")).over(last)).drop("_seen")
+        return d.withColumn("alarm", F.col("breaches_in_n") >= F.lit(m))
     w = Window.partitionBy(*key_cols).orderBy(order_col).rowsBetween(-(n - 1), 0)
     return d.withColumn("breaches_in_n", F.sum(F.col("breach").cast("long")).over(w)).withColumn(
         "alarm", F.col("breaches_in_n") >= F.lit(m))

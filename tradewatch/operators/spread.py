@@ -11,10 +11,12 @@ from tradewatch.operators.alerts import alert_build
 
 def vwap(df: DataFrame, width: str = "30 seconds") -> DataFrame:
     """sum(price * quantity) / sum(quantity) per (window, symbol, exchange),
-    both sums exact (DECIMAL); partial aggregation runs before the shuffle."""
+    both sums exact (DECIMAL); partial aggregation runs before the shuffle. A trade
+    whose product or quantity is no finite number in range is left out of both."""
+    pq, q = money(F.col("price") * F.col("quantity")), money("quantity")
     g = df.groupBy(F.window("timestamp", width).alias("w"), "symbol", "exchange").agg(
-        F.sum(money(F.col("price") * F.col("quantity"))).alias("_pq"),
-        F.sum(money("quantity")).alias("_q"),
+        F.sum(F.when(q.isNotNull(), pq)).alias("_pq"),
+        F.sum(F.when(pq.isNotNull(), q)).alias("_q"),
         F.count(F.lit(1)).alias("trade_count"),
         F.max(F.struct("timestamp", "event_id")).alias("_last"),
     )

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tradewatch.functions.columns import ratio
 from tradewatch.operators.alerts import alert_build
-from tradewatch.operators.windows import combine_drawdown, distributed_percent_rank, drawdown_segments, max_drawdown
+from tradewatch.operators.windows import combine_drawdown, distributed_percent_rank, drawdown_segments, max_drawdown, stored
 
 KEYS = ["wallet", "blockchain"]
 RET = "decimal(18,8)"
@@ -46,7 +46,7 @@ def wallet_stats(df: DataFrame, as_of=None, days: int = 30) -> DataFrame:
     return _stats(_recent(df, as_of, days), KEYS)
 
 
-def wallet_drawdown(df: DataFrame, as_of=None, days: int = 30, bucket_seconds: int = 7 * 86400) -> DataFrame:
+def wallet_drawdown(df: DataFrame, as_of=None, days: int = 30, bucket_seconds: int | None = None) -> DataFrame:
     """Largest fall of the cumulative return below its running peak (from 0),
     in (ts, event_id) order, per wallet."""
     r = _recent(df, as_of, days)
@@ -71,33 +71,35 @@ SEGMENT_SUMS = [("trade_count", lambda: F.lit(1).cast("long")),
                 ("_ret_sum", lambda: F.col("ret").cast(RET))]
 
 
-def wallet_segments(df: DataFrame, keys, bucket_seconds: int) -> DataFrame:
-    """Summaries per (key, time bucket): counts, returns, drawdown parts; needs ``_as_of``."""
+def wallet_segments(df: DataFrame, keys, bucket_seconds: int | None) -> DataFrame:
+    """Summaries per (key, segment): counts, returns, drawdown parts; needs ``_as_of``."""
     return drawdown_segments(df, keys, ["ts", "event_id"], "ret", "ts", bucket_seconds,
-                             sums=[(n, c()) for n, c in SEGMENT_SUMS], maxima=[("scored_at", F.col("_as_of"))])
+                             sums=[(n, c()) for n, c in SEGMENT_SUMS],
+                             maxima=[("scored_at", F.col("_as_of")), ("_last", F.struct("ts", "event_id"))])
 
 
 def scores_of_segments(seg: DataFrame, keys, min_trades: int) -> DataFrame:
-    """Summaries to scores: one row per key with alpha."""
-    s = combine_drawdown(seg, keys, sums=[n for n, _ in SEGMENT_SUMS], maxima=["scored_at"])
+    """Summaries to scores: one row per key with alpha and its latest event."""
+    s = combine_drawdown(seg, keys, sums=[n for n, _ in SEGMENT_SUMS], maxima=["scored_at", "_last"])
     stats = s.select(*keys, "scored_at", "trade_count", "wins", (F.col("wins") / F.col("trade_count")).alias("win_rate"),
-                     (F.col("_ret_sum").cast("double") / F.col("trade_count")).alias("avg_return"), "max_drawdown")
+                     (F.col("_ret_sum").cast("double") / F.col("trade_count")).alias("avg_return"), "max_drawdown",
+                     F.col("_last.ts").alias("last_timestamp"), F.col("_last.event_id").alias("last_event_id"))
     return _with_alpha(stats, min_trades)
 
 
-def _scores(df: DataFrame, keys, min_trades: int, bucket_seconds: int) -> DataFrame:
+def _scores(df: DataFrame, keys, min_trades: int, bucket_seconds: int | None) -> DataFrame:
     """Counts, returns and drawdown of each key from one bucketed pass, and alpha."""
     return scores_of_segments(wallet_segments(df, keys, bucket_seconds), keys, min_trades)
 
 
-def wallet_scores(df: DataFrame, as_of=None, days: int = 30, min_trades: int = 5, bucket_seconds: int = 7 * 86400) -> DataFrame:
+def wallet_scores(df: DataFrame, as_of=None, days: int = 30, min_trades: int = 5, bucket_seconds: int | None = None) -> DataFrame:
     """Scores of every wallet over ``days`` up to ``as_of`` (a time or a Column; None
     takes the latest trade, which reads the trades once more)."""
     return _scores(_recent(df, as_of, days), KEYS, min_trades, bucket_seconds)
 
 
 def wallet_scores_periodic(df: DataFrame, width: str, min_trades: int = 5,
-                           bucket_seconds: int = 7 * 86400) -> DataFrame:
+                           bucket_seconds: int | None = None) -> DataFrame:
     """Scores per tumbling scoring period (``scored_at`` = period end): one
     scoring run per period, as a daily job would write them."""
     p = df.withColumn("_w", F.window("ts", width)).withColumn("_as_of", F.col("_w.end")) \
@@ -108,14 +110,31 @@ def wallet_scores_periodic(df: DataFrame, width: str, min_trades: int = 5,
 
 def alpha_percentile(scores: DataFrame, out_col: str = "alpha_percentile") -> DataFrame:
     """percent_rank of alpha within (blockchain, scored_at), exact and without
-    a single-partition window (windows.distributed_percent_rank)."""
-    return distributed_percent_rank(scores, ["blockchain", "scored_at"], "alpha", out_col)
+    a single-partition window (windows.distributed_percent_rank). The scores are stored
+    first: ranking and looking up read them, the trades are read once."""
+    return distributed_percent_rank(stored(scores, "wallet-scores"), ["blockchain", "scored_at"], "alpha", out_col)
+
+
+def alpha_by_symbol(trades: DataFrame, ranked: DataFrame) -> DataFrame:
+    """symbol, scored_at, alpha_pct: the mean alpha percentile of the wallets that traded the symbol in a scoring
+    period, each wallet once. ``trades`` and ``ranked`` have the wallet keys and ``period_start``."""
+    active = trades.select(*KEYS, "period_start", "symbol").distinct()  # a hot wallet is one row a period and symbol
+    known = ranked.where(F.col("alpha_percentile").isNotNull()).select(*KEYS, "period_start", "scored_at", "alpha_percentile")
+    g = active.join(known, [*KEYS, "period_start"]).groupBy("symbol", "scored_at").agg(
+        F.sum(F.col("alpha_percentile").cast("decimal(20,12)")).alias("_s"), F.count(F.lit(1)).alias("_n"))
+    return g.select("symbol", "scored_at", (F.col("_s").cast("double") / F.col("_n")).alias("alpha_pct"))
+
+
+def with_period(df: DataFrame, width: str) -> DataFrame:
+    """Add ``period_start``, the tumbling scoring period of a trade."""
+    return df.withColumn("period_start", F.window("ts", width).start)
 
 
 def wallet_high_alpha(scores: DataFrame, pct: float = 0.95, high_pct: float = 0.99) -> DataFrame:
     """``high_alpha_wallet`` alerts for alpha above the ``pct`` percentile of
     its scoring run (high above ``high_pct``). The percentile is exact: the
     value of rank ceil(pct * n), by the distributed rank of the distinct values."""
+    scores = stored(scores, "wallet-scores")  # read for ranks, sizes and alerts
     known = scores.where(F.col("alpha").isNotNull())
     ranked = distributed_percent_rank(known, ["scored_at"], "alpha", "_rank")
     sizes = known.groupBy("scored_at").agg(F.count(F.lit(1)).alias("_n"))

@@ -1,15 +1,17 @@
 """Scale helpers for analytic windows whose natural partition key has few
-groups (a symbol, a venue, a pair). Each spreads one key over time buckets so
-that no task holds a whole key, while giving exactly the single-partition
-answer.
+groups (a symbol, a venue, a pair). Each spreads one key over segments of its
+time order, so that no task holds a whole key, while giving exactly the single-partition
+answer. Segments follow the data (``time_segments``): a key with a third of all rows gets a
+third of the partitions, also where all its rows lie in one minute.
 
 * ``halo_rows``: copy each row into the later buckets whose frames can reach
   it, so a range frame of ``lookback`` seconds runs per (key, bucket).
-* ``bucketed_prev``: ``lag`` by key in time order, computed per (key, bucket)
-  with the previous bucket's last row carried across bucket edges.
+* ``bucketed_prev``: ``lag`` by key in time order, computed per (key, segment)
+  with the previous segment's last row carried across the edges.
 * ``bucketed_last``: as-of fill (last non-null value at or before each row).
+* ``asof_fill``: the same for several sources onto given points, in one pass.
 * ``max_drawdown``: largest fall of a running sum below its running peak,
-  combined from per-bucket summaries.
+  combined from per-segment summaries.
 * ``distributed_percent_rank``: exact percent_rank per group via a range
   partitioned sort of distinct values (no single-partition window).
 """
@@ -19,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tradewatch.session import scratch_path
+
 
 def _seconds(c) -> Column:
     c = F.col(c) if isinstance(c, str) else c
@@ -36,63 +40,116 @@ def halo_rows(df: DataFrame, t_seconds: str, lookback: int, bucket: int) -> Data
     return out.withColumn("_home", F.col("_bucket") == F.col("_b0")).drop("_b0")
 
 
-def bucketed_prev(df: DataFrame, keys, order_cols, value_cols, ts_col: str, bucket_seconds: int,
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` into the shared folder and read it back: every later reader gets the
+    same rows from the same files, and a lost executor costs its tasks only."""
+    path = scratch_path(df.sparkSession, "stored", name, unique=True)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def time_segments(df: DataFrame, keys, order_cols, partitions: int | None = None) -> DataFrame:
+    """Add ``_tb``, the segment of a row: rows are range-partitioned by (keys, order), and the
+    partition is the segment. A key gets as many segments as its share of all rows asks for,
+    however its rows lie in time; segments of a key follow each other in order. The rows are
+    stored, as two samplings of the ranges may differ.
+
+    ``order_cols`` should tell the rows of a key apart (a time and an id): rows that agree in all of them stay in one segment."""
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(n, *keys, *order_cols).withColumn("_tb", F.spark_partition_id().cast("long"))
+    return stored(ranged, "segments")
+
+
+def _segmented(df: DataFrame, keys, order_cols, ts_col: str, bucket_seconds: int | None) -> DataFrame:
+    """Adaptive segments, or fixed time buckets where a width is given (for summaries that are kept)."""
+    if bucket_seconds is None:
+        return time_segments(df, keys, order_cols)
+    return df.withColumn("_tb", F.floor(_seconds(ts_col) / F.lit(bucket_seconds)).cast("long"))
+
+
+def _carried(d: DataFrame, edges: DataFrame, keys) -> DataFrame:
+    """Rows with the carry of their segment. Keys may be null."""
+    on = [*keys, "_tb"]
+    right = edges.select(*[F.col(c).alias("_e" + c) for c in on], *[c for c in edges.columns if c not in on])
+    same = [d[c].eqNullSafe(right["_e" + c]) for c in on]
+    return d.join(right, same, "left").drop(*["_e" + c for c in on])
+
+
+def bucketed_prev(df: DataFrame, keys, order_cols, value_cols, ts_col: str, bucket_seconds: int | None = None,
                   prefix: str = "prev_") -> DataFrame:
     """``prefix + v`` = value of the previous row of the same key in
     ``order_cols`` order (``lag(v)`` over keys). Rows are windowed per
-    (key, time bucket); the first row of a bucket takes the last row of the
-    nearest earlier non-empty bucket. The bucket edges come from the windowed
-    frame itself (one row per bucket), so the input is shuffled once."""
+    (key, segment); the first row of a segment takes the last row of the
+    nearest earlier one, from an aggregate with one row per (segment, key)."""
     keys, order_cols, value_cols = list(keys), list(order_cols), list(value_cols)
-    bcol = F.floor(_seconds(ts_col) / F.lit(bucket_seconds)).cast("long")
-    d = df.withColumn("_tb", bcol)
-    w = Window.partitionBy(*keys, "_tb").orderBy(*order_cols)
-    for v in value_cols:
-        d = d.withColumn(prefix + v, F.lag(v).over(w))
-    d = d.withColumn("_first", F.row_number().over(w) == 1)
-    for v in value_cols:
-        d = d.withColumn("_last_" + v, F.last(v).over(w.rowsBetween(Window.unboundedPreceding,
-                                                                      Window.unboundedFollowing)))
-    edges = d.where("_first").select(*keys, "_tb", *["_last_" + v for v in value_cols])
+    d = _segmented(df, keys, order_cols, ts_col, bucket_seconds)
+    last = F.max(F.struct(*[F.struct(F.col(c).isNotNull(), F.col(c)).alias(f"o{i}") for i, c in enumerate(order_cols)],
+                          F.struct(*value_cols).alias("v")))["v"]
+    edges = d.groupBy(*keys, "_tb").agg(last.alias("_last"))
     wb = Window.partitionBy(*keys).orderBy("_tb")
-    carry = edges.select(*keys, "_tb", *[F.lag("_last_" + v).over(wb).alias("_carry_" + v) for v in value_cols])
-    j = d.join(carry, [*keys, "_tb"], "left")
+    carry = edges.select(*keys, "_tb", F.lag("_last").over(wb).alias("_carry"))
+    w = Window.partitionBy(*keys, "_tb").orderBy(*order_cols)
+    d = d.select("*", *[F.lag(v).over(w).alias(prefix + v) for v in value_cols], (F.row_number().over(w) == 1).alias("_first"))
+    j = _carried(d, carry, keys)
     for v in value_cols:
-        j = j.withColumn(prefix + v, F.when(F.col("_first"), F.col("_carry_" + v)).otherwise(F.col(prefix + v)))
-    return j.drop("_tb", "_first", *["_carry_" + v for v in value_cols], *["_last_" + v for v in value_cols])
+        j = j.withColumn(prefix + v, F.when(F.col("_first"), F.col("_carry")[v]).otherwise(F.col(prefix + v)))
+    return j.drop("_tb", "_first", "_carry")
 
 
-def bucketed_last(df: DataFrame, keys, order_cols, value_col: str, ts_col: str, bucket_seconds: int,
+def bucketed_last(df: DataFrame, keys, order_cols, value_col: str, ts_col: str, bucket_seconds: int | None,
                   out_col: str) -> DataFrame:
     """``out_col`` = last non-null ``value_col`` at or before each row of the
     same key (``last(v, ignorenulls)`` over an unbounded-preceding frame),
-    computed per (key, bucket); rows of a bucket before its first value take
-    the last value of the nearest earlier bucket that has one. The per-bucket
-    edge rows come from the windowed frame itself, so the input is shuffled
-    once; the carry runs on one row per bucket (time span / bucket per key)."""
+    computed per (key, segment); rows of a segment before its first value take
+    the last value of the nearest earlier segment that has one, from an
+    aggregate with one row per (segment, key)."""
     keys, order_cols = list(keys), list(order_cols)
-    bcol = F.floor(_seconds(ts_col) / F.lit(bucket_seconds)).cast("long")
-    d = df.withColumn("_tb", bcol)
+    d = _segmented(df, keys, order_cols, ts_col, bucket_seconds)
+    held = F.when(F.col(value_col).isNotNull(), F.struct(
+        *[F.struct(F.col(c).isNotNull(), F.col(c)).alias(f"o{i}") for i, c in enumerate(order_cols)], F.col(value_col).alias("v")))
+    edges = d.groupBy(*keys, "_tb").agg(F.max(held)["v"].alias("_last"))
+    wf = Window.partitionBy(*keys).orderBy("_tb").rowsBetween(Window.unboundedPreceding, -1)
+    fill = edges.select(*keys, "_tb", F.last("_last", ignorenulls=True).over(wf).alias("_carry"))
     w = Window.partitionBy(*keys, "_tb").orderBy(*order_cols)
     d = d.withColumn(out_col, F.last(value_col, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    d = d.withColumn("_blast", F.last(value_col, ignorenulls=True).over(
-        w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-    d = d.withColumn("_first", F.row_number().over(w) == 1)
-    edges = d.where("_first").select(*keys, "_tb", "_blast")
-    wf = Window.partitionBy(*keys).orderBy("_tb").rowsBetween(Window.unboundedPreceding, -1)
-    fill = edges.select(*keys, "_tb", F.last("_blast", ignorenulls=True).over(wf).alias("_carry"))
-    out = d.join(fill, [*keys, "_tb"], "left")
-    out = out.withColumn(out_col, F.coalesce(F.col(out_col), F.col("_carry")))
-    return out.drop("_tb", "_carry", "_blast", "_first")
+    out = _carried(d, fill, keys)
+    return out.withColumn(out_col, F.coalesce(F.col(out_col), F.col("_carry"))).drop("_tb", "_carry")
+
+
+def asof_fill(points: DataFrame, t_col: str, sources: dict[str, DataFrame], keys) -> DataFrame:
+    """``points`` with a column for each source: its last value at or before ``t_col`` for the same
+    key, null where there is none yet. A source has the keys, ``at`` (a timestamp) and ``value``
+    (double); null values are skipped, of several at one time the largest counts.
+
+    All sources and points are laid out once by (key, time) and filled in one pass over the
+    segments, so many sources cost one shuffle and no range join."""
+    keys, names = list(keys), list(sources)
+    rows = points.select(*keys, F.col(t_col).alias("_ts"), F.lit(1).alias("_kind"), F.lit("").alias("_of"),
+                         *[F.lit(None).cast("double").alias(n) for n in names],
+                         F.struct(*[c for c in points.columns if c not in keys]).alias("_point"))
+    none = F.lit(None).cast(rows.schema["_point"].dataType).alias("_point")
+    for name, s in sources.items():
+        one = s.where(F.col("value").isNotNull()).groupBy(*keys, "at").agg(F.max(F.col("value").cast("double")).alias("_v"))
+        rows = rows.unionByName(one.select(*keys, F.col("at").alias("_ts"), F.lit(0).alias("_kind"), F.lit(name).alias("_of"),
+                                           *[(F.col("_v") if n == name else F.lit(None).cast("double")).alias(n) for n in names], none))
+    d = time_segments(rows, keys, ["_ts", "_kind", "_of"])
+    held = [F.max(F.when(F.col(n).isNotNull(), F.struct("_ts", F.col(n).alias("v"))))["v"].alias("_last_" + n) for n in names]
+    before = Window.partitionBy(*keys).orderBy("_tb").rowsBetween(Window.unboundedPreceding, -1)
+    edges = d.groupBy(*keys, "_tb").agg(*held).select(
+        *keys, "_tb", *[F.last("_last_" + n, ignorenulls=True).over(before).alias("_carry_" + n) for n in names])
+    up = Window.partitionBy(*keys, "_tb").orderBy("_ts", "_kind", "_of").rowsBetween(Window.unboundedPreceding, 0)
+    d = d.select(*keys, "_tb", "_kind", "_point", *[F.last(n, ignorenulls=True).over(up).alias(n) for n in names])
+    out = _carried(d.where("_kind = 1"), edges, keys)
+    return out.select(*keys, "_point.*", *[F.coalesce(n, "_carry_" + n).alias(n) for n in names])
 
 
-def max_drawdown(df: DataFrame, keys, order_cols, value_col: str, ts_col: str, bucket_seconds: int,
+def max_drawdown(df: DataFrame, keys, order_cols, value_col: str, ts_col: str, bucket_seconds: int | None = None,
                  out_col: str = "max_drawdown", sums=(), maxima=()) -> DataFrame:
     """Per key: max over rows of (running peak of the cumulative sum, starting
     at 0) minus the cumulative sum. Values are summed as DECIMAL so the answer
-    does not depend on summation order. Per-bucket summaries (total, lowest
+    does not depend on summation order. Per-segment summaries (total, lowest
     running sum, highest running sum, internal drawdown) are combined in time
-    order on the small per-bucket table, so no task holds a whole key. Rows
+    order on the small per-segment table, so no task holds a whole key. Rows
     without a value change nothing; a key without any value gets null.
 
     ``sums`` and ``maxima`` are (name, Column) pairs that the same per-bucket
@@ -104,13 +161,14 @@ def max_drawdown(df: DataFrame, keys, order_cols, value_col: str, ts_col: str, b
 _DEC = "decimal(38,12)"
 
 
-def drawdown_segments(df: DataFrame, keys, order_cols, value_col: str, ts_col: str, bucket_seconds: int,
+def drawdown_segments(df: DataFrame, keys, order_cols, value_col: str, ts_col: str, bucket_seconds: int | None = None,
                       sums=(), maxima=()) -> DataFrame:
-    """One summary per (key, time bucket ``_tb``) for ``combine_drawdown``; a bucket's
+    """One summary per (key, segment ``_tb``) for ``combine_drawdown``. With fixed time buckets a
     summary depends on the rows of that bucket only, so it can be stored."""
     keys, order_cols = list(keys), list(order_cols)
-    bcol = F.floor(_seconds(ts_col) / F.lit(bucket_seconds)).cast("long")
-    d = df.withColumn("_tb", bcol).withColumn("_v", F.col(value_col).cast(_DEC))
+    slim = df.select(*dict.fromkeys([*keys, *order_cols, ts_col]), F.col(value_col).cast(_DEC).alias("_v"),
+                     *[c.alias(n) for n, c in [*sums, *maxima]])
+    d = _segmented(slim, keys, order_cols, ts_col, bucket_seconds)
     w = Window.partitionBy(*keys, "_tb").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
     d = d.withColumn("_cum", F.sum("_v").over(w))
     d = d.withColumn("_peak", F.max("_cum").over(w))
@@ -119,7 +177,7 @@ def drawdown_segments(df: DataFrame, keys, order_cols, value_col: str, ts_col: s
         F.min("_cum").alias("_low"),
         F.max("_cum").alias("_high"),
         F.sum("_v").alias("_total"), F.count("_v").alias("_values"),
-        *[F.sum(c).alias(n) for n, c in sums], *[F.max(c).alias(n) for n, c in maxima])
+        *[F.sum(n).alias(n) for n, _ in sums], *[F.max(n).alias(n) for n, _ in maxima])
 
 
 def combine_drawdown(seg: DataFrame, keys, out_col: str = "max_drawdown", sums=(), maxima=()) -> DataFrame:
@@ -145,14 +203,16 @@ def distributed_percent_rank(df: DataFrame, group_cols, value_col: str, out_col:
     without a single-partition window: count rows per distinct (group, value)
     (map-side combine collapses hot values), sort the distinct values with a
     range partitioning, take prefix counts per partition from a table of
-    (partitions x groups) rows, and join the rank back to the rows."""
+    (partitions x groups) rows, and join the rank back to the rows. The ranged
+    values are stored: both readers of the partitions see the same ranges."""
     g = list(group_cols)
     n_parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     vals = df.where(F.col(value_col).isNotNull()).groupBy(*g, value_col).agg(F.count(F.lit(1)).alias("_cnt"))
-    ranged = vals.repartitionByRange(n_parts, *g, value_col).withColumn("_pid", F.spark_partition_id())
+    ranged = stored(vals.repartitionByRange(n_parts, *g, value_col).withColumn("_pid", F.spark_partition_id()), "ranks")
     # rows strictly below each value inside its range partition
     wl = Window.partitionBy("_pid", *g).orderBy(value_col).rowsBetween(Window.unboundedPreceding, -1)
-    local = ranged.withColumn("_below_local", F.coalesce(F.sum("_cnt").over(wl), F.lit(0)))
+    # a part's rows meet again by the range of its number: the one exchange of this branch
+    local = ranged.repartitionByRange(n_parts, "_pid").withColumn("_below_local", F.coalesce(F.sum("_cnt").over(wl), F.lit(0)))
     per_part = ranged.groupBy("_pid", *g).agg(F.sum("_cnt").alias("_part_n"))
     wp = Window.partitionBy(*g).orderBy("_pid")
     offsets = per_part.select(

@@ -19,11 +19,14 @@ ALERT_PARTITIONS = ("dt", "alert_type")
 
 
 def read_if_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
-    """The folder as a DataFrame, or None when it does not exist yet."""
+    """The folder as a DataFrame, or None when it does not exist yet or holds no data
+    file. Any other failure is the caller's: a table that can't be read is not empty."""
     try:
         return spark.read.format(fmt).load(path)
-    except AnalysisException:
-        return None
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
 
 
 def with_day(df: DataFrame, ts_col: str, name: str = "dt") -> DataFrame:

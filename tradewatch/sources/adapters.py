@@ -75,6 +75,14 @@ def wallet_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def wallet_trades_live(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wallet trades laid over the days of ``events``: a ship date's day number since 1992
+    times 17 minutes, from 2024-01-01 on (seven years in one month)."""
+    day = F.datediff(F.to_date("ts"), F.lit("1992-01-01").cast("date"))
+    start = F.unix_micros(F.lit("2024-01-01").cast("timestamp"))
+    return wallet_trades(spark, sf_dir).withColumn("ts", F.timestamp_micros(start + day.cast("long") * F.lit(17 * 60 * 1_000_000)))
+
+
 def wallet_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     cu = table(spark, sf_dir, "customer")
     return cu.where(F.col("c_mktsegment") != "HOUSEHOLD").select(
@@ -177,15 +185,15 @@ def raw_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unified-event JSON payloads with injected faults (by event id):
     %37 price null, %41 negative quantity, %43 unknown symbol, %47 unknown
     exchange, %53 bad side, %59 repeated 10 s later, %61 cut-short JSON,
-    %67 quote_volume off by 1 %."""
+    %67 quote_volume off by 1 %, %71 infinite price, %73 a quantity beyond any exact sum."""
     t = trades_e(spark, sf_dir)
     n = F.col("event_id").cast("long")
     rows = t.select(
         "event_id",
         F.when(n % 47 == 0, "kraken").otherwise(F.col("exchange")).alias("exchange"),
         F.when(n % 43 == 0, "DOGE-XYZ").otherwise(F.col("symbol")).alias("symbol"),
-        F.when(n % 37 != 0, F.col("price")).alias("price"),
-        F.when(n % 41 == 0, -F.col("quantity")).otherwise(F.col("quantity")).alias("quantity"),
+        F.when(n % 37 != 0, F.when(n % 71 == 0, F.lit(float("inf"))).otherwise(F.col("price"))).alias("price"),
+        F.when(n % 41 == 0, -F.col("quantity")).when(n % 73 == 0, F.lit(1e30)).otherwise(F.col("quantity")).alias("quantity"),
         F.when(n % 67 == 0, F.col("quote_volume") * F.lit(1.01)).otherwise(F.col("quote_volume")).alias("quote_volume"),
         F.when(n % 53 == 0, "hold").otherwise(F.col("side")).alias("side"),
         "timestamp", "ingestion_timestamp",

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradewatch.functions.columns import norm_epoch_ms, norm_quote_volume, norm_symbol
+from tradewatch.functions.columns import norm_epoch_ms, norm_ingest_stamp, norm_quote_volume, norm_symbol
 from tradewatch.operators.quality import TRADE_JSON_SCHEMA
 
 RAW_PARTITIONS = ("date", "symbol")
@@ -58,9 +58,10 @@ def stream_trades(spark: SparkSession, fmt: str, options: dict, schema: T.Struct
     return p
 
 
-def load_agg_trades(df: DataFrame, symbol: str, exchange: str = "binance") -> DataFrame:
+def load_agg_trades(df: DataFrame, symbol: str, exchange: str = "binance", ingested_at=None) -> DataFrame:
     """A historical aggregate-trade dump of one pair (CSV rows of
-    AGG_DUMP_SCHEMA) -> unified trades plus the ``date`` partition column."""
+    AGG_DUMP_SCHEMA) -> the unified schema plus the ``date`` partition column. A time
+    that is none gives null (and a null date)."""
     price = F.col("price").try_cast("double")
     qty = F.col("quantity").try_cast("double")
     return df.select(
@@ -68,7 +69,7 @@ def load_agg_trades(df: DataFrame, symbol: str, exchange: str = "binance") -> Da
         norm_symbol(F.lit(symbol)).alias("symbol"), price.alias("price"), qty.alias("quantity"),
         norm_quote_volume(price, qty).alias("quote_volume"),
         F.when(F.col("is_buyer_maker"), "sell").otherwise("buy").alias("side"),
-        norm_epoch_ms("transact_time").alias("timestamp"),
+        norm_epoch_ms("transact_time").alias("timestamp"), norm_ingest_stamp(ingested_at).alias("ingestion_timestamp"),
     ).withColumn("date", F.to_date("timestamp"))
 
 

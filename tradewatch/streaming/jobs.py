@@ -22,6 +22,7 @@ from tradewatch.operators import quality as Q
 from tradewatch.operators import spread as S
 from tradewatch.operators import volume as V
 from tradewatch.operators import whale as W
+from tradewatch.plans.files import exists, remove
 from tradewatch.plans.sinks import read_if_exists, route_alerts
 
 
@@ -119,7 +120,8 @@ def stream_volume_aggregates(src: DataFrame, width: str, watermark: str) -> Data
 def volume_batch(agg_path: str, out_path: str, cfg: dict, lookback: int, processed_at: str | None = None):
     """foreachBatch body for MOD-001: append the closed windows to the
     aggregates table, then score them against the earlier windows read back
-    from that table within ``lookback`` (the table is the state).
+    from that table within ``lookback`` (the table is the state). The alerts are
+    routed to the hot and cold stores.
 
     The table is partitioned by (date, batch_id): a replayed epoch overwrites
     only its own partitions, and the read-back lists only the folders of the
@@ -148,10 +150,10 @@ def volume_batch(agg_path: str, out_path: str, cfg: dict, lookback: int, process
             scored = V.vol_zscore(base, va["z_score_medium"], va["z_score_high"]).join(
                 b.select(*keys), keys, "left_semi")
             scored.write.mode("overwrite").parquet(_batch_dir(os.path.join(out_path, "scored"), epoch))
-            s = L.lin_attach(scored, "MOD-001", "volume-anomaly", va, processed_at or "stream",
+            done = spark.read.parquet(_batch_dir(os.path.join(out_path, "scored"), epoch))
+            s = L.lin_attach(done, "MOD-001", "volume-anomaly", va, processed_at or "stream",
                              event_col="last_event_id")
-            V.vol_spike_alerts(s, cfg).write.mode("overwrite").parquet(
-                _batch_dir(os.path.join(out_path, "alerts"), epoch))
+            route_alerts(V.vol_spike_alerts(s, cfg), os.path.join(out_path, "hot"), os.path.join(out_path, "cold"), epoch)
         finally:
             b.unpersist()
     return fn
@@ -165,48 +167,109 @@ def observe_quality(raw: DataFrame) -> DataFrame:
                        F.count(F.when(F.col("value").isNull(), 1)).alias("null_payloads"))
 
 
-def _seen_before(flagged: DataFrame, valid_path: str, epoch: int, seconds: int) -> DataFrame:
-    """Mark rows whose event an earlier batch kept within ``seconds``. The valid table is
-    the state; rows of this and later batches are left out, so a replay sees what the first
-    run saw, and the time filter reaches the scan."""
-    spark = flagged.sparkSession
-    prior = read_if_exists(spark, valid_path)
-    span = flagged.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")).first()
-    if prior is None or span["lo"] is None:
+KEY_HOUR = "yyyy-MM-dd-HH"
+KEY_FILES = 16  # files of an hour's keys before they are compacted
+
+
+def _hours_of(flagged: DataFrame, seconds: int) -> list[str]:
+    """The hours that hold whatever could make a row of the batch a duplicate: those around its own
+    rows, so a single very old row adds its hour and no more."""
+    us = F.unix_micros("timestamp")
+    near = F.sequence(F.floor((us - seconds * 1_000_000) / 3_600_000_000), F.floor((us + seconds * 1_000_000) / 3_600_000_000))
+    hours = flagged.where(F.col("reason").isNull() & F.col("timestamp").isNotNull()).select(F.explode(near).alias("h")).distinct()
+    return [r[0] for r in hours.select(F.date_format(F.timestamp_seconds(F.col("h") * 3600), KEY_HOUR)).collect()]  # of one batch
+
+
+def _keys_of(spark, keys_path: str, hours) -> DataFrame | None:
+    """The stored keys of some hours. Only their folders are listed, however long the stream has run."""
+    paths = [p for p in (os.path.join(keys_path, f"hour={h}") for h in hours) if exists(spark, p)]
+    return spark.read.option("basePath", keys_path).schema(KEYS_SCHEMA).parquet(*paths) if paths else None
+
+
+KEYS_SCHEMA = "key string, timestamp timestamp, batch_id long, hour string"
+
+
+def _key() -> F.Column:
+    """Names an event: a digest, as nulls in one part must not run into another."""
+    return F.sha2(F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in Q.KEY]), {"ignoreNullFields": "false"}), 256)
+
+
+def _seen_before(flagged: DataFrame, keys_path: str, epoch: int, seconds: int) -> DataFrame:
+    """Mark rows whose event an earlier batch kept within ``seconds``. Keys of this and later
+    batches are left out, so a replay sees what the first run saw."""
+    prior = _keys_of(flagged.sparkSession, keys_path, _hours_of(flagged, seconds))
+    if prior is None:
         return flagged
-    wide = dt.timedelta(seconds=seconds)
-    key = F.struct(*[F.col(c).cast("string") for c in Q.KEY])
-    prior = prior.where((F.col("batch_id") < epoch) & F.col("timestamp").between(F.lit(span["lo"] - wide), F.lit(span["hi"] + wide)))
-    prior = prior.select(key.alias("_key"), F.col("timestamp").alias("_seen"))
+    prior = prior.where(F.col("batch_id") < epoch).select(F.col("key").alias("_key"), F.col("timestamp").alias("_seen"))
     near = F.abs(F.unix_micros("timestamp") - F.unix_micros("_seen")) <= F.lit(seconds * 1_000_000)
-    keyed = flagged.withColumn("_k", F.when(F.col("reason").isNull(), key))
+    keyed = flagged.withColumn("_k", F.when(F.col("reason").isNull(), _key()))
     hit = keyed.join(prior, (F.col("_k") == F.col("_key")) & near, "left_semi").withColumn("is_duplicate", F.lit(True))
     miss = keyed.join(prior, (F.col("_k") == F.col("_key")) & near, "left_anti")
     return hit.unionByName(miss).drop("_k")
 
 
-def quality_batch(valid_path: str, dlq_path: str, metrics_path: str, cfg: dict, processing_date: str | None = None):
+def _remember(valid: DataFrame, keys_path: str, epoch: int) -> None:
+    """Append the kept events' keys by hour. An hour that has got many files is compacted: the new
+    files are complete before the old ones go."""
+    rows = valid.select(_key().alias("key"), "timestamp", F.lit(epoch).cast("long").alias("batch_id"),
+                        F.date_format(F.date_trunc("hour", "timestamp"), KEY_HOUR).alias("hour"))
+    rows.write.mode("append").partitionBy("hour").parquet(keys_path)
+    spark = valid.sparkSession
+    for h in [r[0] for r in rows.select("hour").distinct().collect()]:  # of one batch
+        held = _keys_of(spark, keys_path, [h])
+        old = held.inputFiles()
+        if len(old) > KEY_FILES:
+            held.distinct().repartition("key").write.mode("append").partitionBy("hour").parquet(keys_path)
+            remove(spark, *old)
+
+
+def _write(df: DataFrame, path: str, by=()) -> None:
+    df.write.mode("overwrite").partitionBy(*by).parquet(path)
+
+
+def _delivered(df: DataFrame, path: str, by=()) -> tuple[int, Exception | None]:
+    """Write a batch's folder and read back how many rows it holds; a failed write is told, not raised."""
+    error = None
+    try:
+        _write(df, path, by)
+    except Exception as e:  # noqa: BLE001  raised by the caller, once it is accounted for
+        error = e
+    found = read_if_exists(df.sparkSession, path)
+    return 0 if found is None else found.count(), error
+
+
+def quality_batch(valid_path: str, dlq_path: str, metrics_path: str, cfg: dict, processing_date: str | None = None,
+                  keys_path: str | None = None):
     """foreachBatch body: validate, write valid rows and dead letters, and
     one delivery-metrics row per batch. The flagged batch is persisted so the
-    three writes share one computation. Duplicates are looked for in the batch
-    and in what earlier batches kept."""
+    writes share one computation. Duplicates are looked for in the batch
+    and in the keys that earlier batches kept (``keys_path``, by hour).
+
+    The metrics compare the rows handed over with those found in the batch's folders; what
+    is missing counts as ``send_failures``. After a failed write the row is written, then the batch fails, and
+    its retry replaces the row."""
+    keys = keys_path or valid_path.rstrip("/") + "_keys"
+
     def fn(batch: DataFrame, epoch: int) -> None:
         within = Q.dq_flag(batch, cfg).persist()
-        flagged = _seen_before(within, valid_path, epoch, cfg["quality"]["dedup_seconds"]).persist()
+        flagged = _seen_before(within, keys, epoch, cfg["quality"]["dedup_seconds"]).persist()
         try:
             valid = flagged.where(F.col("reason").isNull() & ~F.col("is_duplicate")).drop(
                 "failed_rules", "reason", "is_duplicate")
             day = F.current_date() if processing_date is None else F.lit(processing_date).cast("date")
             invalid = flagged.where(F.col("reason").isNotNull()).withColumn(
                 "dt", F.date_format(F.coalesce(F.to_date("timestamp"), day), "yyyy-MM-dd")).drop("is_duplicate")
-            valid.write.mode("overwrite").parquet(_batch_dir(valid_path, epoch))
-            invalid.write.mode("overwrite").partitionBy("reason", "dt").parquet(_batch_dir(dlq_path, epoch))
-            m = Q.dq_metrics(flagged).select(
-                F.lit(epoch).cast("long").alias("batch_id"), "processed",
-                (F.col("passed") + F.col("failed")).alias("records_sent"),
-                F.col("passed").alias("valid_sent"), F.col("failed").alias("dlq_sent"),
-                F.col("duplicate").alias("dropped_duplicates"), F.lit(0).cast("long").alias("send_failures"))
-            m.write.mode("overwrite").parquet(_batch_dir(metrics_path, epoch))
+            m = Q.dq_metrics(flagged)
+            n_valid, failed = _delivered(valid, _batch_dir(valid_path, epoch))
+            n_dlq, failed_dlq = _delivered(invalid, _batch_dir(dlq_path, epoch), ("reason", "dt"))
+            sent, dead = F.lit(n_valid).cast("long"), F.lit(n_dlq).cast("long")
+            m.select(F.lit(epoch).cast("long").alias("batch_id"), "processed", (sent + dead).alias("records_sent"),
+                     sent.alias("valid_sent"), dead.alias("dlq_sent"), F.col("duplicate").alias("dropped_duplicates"),
+                     (F.col("passed") + F.col("failed") - sent - dead).alias("send_failures")
+                     ).write.mode("overwrite").parquet(_batch_dir(metrics_path, epoch))
+            if failed or failed_dlq:
+                raise failed or failed_dlq
+            _remember(valid, keys, epoch)
         finally:
             flagged.unpersist()
             within.unpersist()

@@ -1,11 +1,15 @@
 """MOD-004 on a stream: wallet scores kept up to date per micro-batch, in
 DataFrame operations.
 
-State is two tables. Trades are stored by (month, batch); a replayed batch
-overwrites its own part. For the months a batch touches, late ones included, the
-per-(wallet, day) summaries are built again from the stored trades, and the scores
-of the horizon are combined from the summaries, as in the batch operator. What lies before the
-horizon is not read, so idle wallets leave the scores."""
+State is two tables. Trades are stored by (day, batch); a replayed batch
+overwrites its own part. Summaries of (wallet, day) are stored by month, each with the batch that made it: the
+latest counts. A batch touches some (wallet, day) pairs, late ones included; only their
+summaries are built again, from the stored trades of those days. The scores
+of the horizon are combined from the summaries, as in the batch operator.
+
+Summaries have two tiers: those batches append, and, once a month holds those of many batches, one
+compacted set that replaces them. Days before the horizon are removed. So the files a batch opens
+and the rows it builds depend on the batch and the horizon, not on the number of batches before."""
 
 from __future__ import annotations
 
@@ -15,8 +19,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradewatch.operators import wallet as W
+from tradewatch.plans.files import partition_values, remove
 
 DAY = 86400
+COMPACT_AFTER = 8  # batches in a month before their summaries are compacted
 
 
 def _segments(trades: DataFrame) -> DataFrame:
@@ -27,34 +33,59 @@ def _month_of_bucket() -> F.Column:
     return F.date_format(F.date_add(F.lit("1970-01-01").cast("date"), F.col("_tb").cast("int")), "yyyy-MM")
 
 
-def wallet_alpha_batch(trades_path: str, segments_path: str, scores_path: str, days: int = 30, min_trades: int = 5):
+def latest_segments(segments: DataFrame) -> DataFrame:
+    """The summary of every (wallet, day) that the last batch made; of a replayed batch either copy."""
+    own = [*W.KEYS, "_tb"]
+    rest = [c for c in segments.columns if c not in (*own, "batch_id")]
+    won = segments.groupBy(*own).agg(F.max_by(F.struct(*rest), "batch_id").alias("s"))
+    return won.select(*own, "s.*")
+
+
+def _compact(month_df: DataFrame, segments_path: str, epoch: int, after: int) -> None:
+    """Replace a month's summaries by the latest ones, once more than ``after`` batches have added to it. The
+    new files are complete before the old ones go: a failure in between leaves copies, no gap."""
+    old = month_df.inputFiles()  # bounded by the compaction itself
+    if month_df.select("batch_id").distinct().limit(after + 1).count() <= after:
+        return
+    rows = latest_segments(month_df).withColumn("batch_id", F.lit(epoch).cast("long"))
+    rows.repartition("month", "wallet").write.mode("append").partitionBy("month").parquet(segments_path)
+    remove(month_df.sparkSession, *old)
+
+
+def wallet_alpha_batch(trades_path: str, segments_path: str, scores_path: str, days: int = 30, min_trades: int = 5,
+                       compact_after: int = COMPACT_AFTER):
     """foreachBatch body. Input rows: wallet, blockchain, ts, event_id, ret.
     Writes the scores of all wallets within ``days`` of the latest trade as
-    ``batch_id=<epoch>``. Work per batch: the months it touches, and one summary per
-    (wallet, day) of the horizon."""
+    ``batch_id=<epoch>``."""
     dynamic = {"partitionOverwriteMode": "dynamic"}
 
     def fn(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        month = F.date_format("ts", "yyyy-MM")
-        rows = batch.select("wallet", "blockchain", "ts", "event_id", "ret", month.alias("month"),
+        rows = batch.select("wallet", "blockchain", "ts", "event_id", "ret", F.date_format("ts", "yyyy-MM-dd").alias("day"),
                             F.lit(epoch).cast("long").alias("batch_id"))
-        rows.write.mode("overwrite").options(**dynamic).partitionBy("month", "batch_id").parquet(trades_path)
-        # a month reads back as text whatever the session infers
+        rows.write.mode("overwrite").options(**dynamic).partitionBy("day", "batch_id").parquet(trades_path)
+        # a day reads back as text whatever the session infers
         stored = spark.read.schema(rows.schema).parquet(trades_path)
-        touched = [r[0] for r in stored.where(F.col("batch_id") == epoch).select("month").distinct().collect()]  # of one batch
+        mine = stored.where(F.col("batch_id") == epoch)
+        touched = [r[0] for r in mine.select("day").distinct().collect()]  # of one batch
         if not touched:
             return
-        seg = _segments(stored.where(F.col("month").isin(touched))).withColumn("month", _month_of_bucket())
-        seg.repartition("month", "wallet").write.mode("overwrite").options(**dynamic).partitionBy("month").parquet(segments_path)
+        pairs = mine.select(*W.KEYS, "day").distinct()
+        again = stored.where(F.col("day").isin(touched)).join(pairs, [*W.KEYS, "day"], "left_semi")
+        seg = _segments(again).withColumn("month", _month_of_bucket()).withColumn("batch_id", F.lit(epoch).cast("long"))
+        seg.repartition("month", "wallet").write.mode("append").partitionBy("month").parquet(segments_path)
         segments = spark.read.schema(seg.schema).parquet(segments_path)
-        as_of = segments.agg(F.max("scored_at")).first()[0]
+        months = partition_values(spark, segments_path, "month")
+        as_of = segments.where(F.col("month") == months[-1]).agg(F.max("scored_at")).first()[0]  # the latest day's month
         lo = as_of - dt.timedelta(days=days)
         first = (lo.date() - dt.date(1970, 1, 1)).days
         # the day the horizon begins in is summed from its trades, later days from their summaries
-        edge = _segments(stored.where((F.col("month") == f"{lo:%Y-%m}") & (F.col("ts") > F.lit(lo))
-                                      & (F.to_date("ts") == F.lit(lo.date()))))
-        inside = segments.where((F.col("month") >= f"{lo:%Y-%m}") & (F.col("_tb") > first)).select(*edge.columns)
+        edge = _segments(stored.where((F.col("day") == f"{lo:%Y-%m-%d}") & (F.col("ts") > F.lit(lo))))
+        inside = latest_segments(segments.where((F.col("month") >= f"{lo:%Y-%m}") & (F.col("_tb") > first))).select(*edge.columns)
         scores = W.scores_of_segments(inside.unionByName(edge), W.KEYS, min_trades).withColumn("scored_at", F.lit(as_of))
         scores.write.mode("overwrite").parquet(f"{scores_path}/batch_id={epoch}")
+        for month in sorted({d[:7] for d in touched}):
+            _compact(segments.where(F.col("month") == month), segments_path, epoch, compact_after)
+        remove(spark, *[f"{trades_path}/day={d}" for d in partition_values(spark, trades_path, "day") if d < f"{lo:%Y-%m-%d}"],
+               *[f"{segments_path}/month={m}" for m in months if m < f"{lo:%Y-%m}"])
     return fn

@@ -358,8 +358,8 @@ dirty AS (
     CASE WHEN n % 61 <> 0 THEN event_id END AS event_id,
     CASE WHEN n % 61 <> 0 THEN (CASE WHEN n % 47 = 0 THEN 'kraken' ELSE exchange END) END AS exchange,
     CASE WHEN n % 61 <> 0 THEN (CASE WHEN n % 43 = 0 THEN 'DOGE-XYZ' ELSE symbol END) END AS symbol,
-    CASE WHEN n % 61 <> 0 AND n % 37 <> 0 THEN price END AS price,
-    CASE WHEN n % 61 <> 0 THEN (CASE WHEN n % 41 = 0 THEN -quantity ELSE quantity END) END AS quantity,
+    CASE WHEN n % 61 <> 0 AND n % 37 <> 0 THEN (CASE WHEN n % 71 = 0 THEN 'Infinity'::DOUBLE ELSE price END) END AS price,
+    CASE WHEN n % 61 <> 0 THEN (CASE WHEN n % 41 = 0 THEN -quantity WHEN n % 73 = 0 THEN 1e30::DOUBLE ELSE quantity END) END AS quantity,
     CASE WHEN n % 61 <> 0 THEN (CASE WHEN n % 67 = 0 THEN quote_volume * CAST(1.01 AS DOUBLE) ELSE quote_volume END) END
       AS quote_volume,
     CASE WHEN n % 61 <> 0 THEN (CASE WHEN n % 53 = 0 THEN 'hold' ELSE side END) END AS side,
@@ -370,7 +370,8 @@ dirty AS (
 rules AS (
   SELECT *,
     event_id IS NULL OR symbol IS NULL OR price IS NULL OR quantity IS NULL OR "timestamp" IS NULL AS r_incomplete,
-    coalesce(price <= 0 OR quantity <= 0, false) AS r_range,
+    coalesce(price <= 0 OR quantity <= 0, false) OR coalesce(abs(price) >= 1e20, false) OR coalesce(abs(quantity) >= 1e20, false)
+      OR coalesce(abs(price * quantity) >= 1e20, false) OR coalesce(abs(quote_volume) >= 1e20, false) AS r_range,
     symbol IS NOT NULL AND symbol NOT IN ('BTC-USDT', 'ETH-USDT', 'SOL-USDT') AS r_symbol,
     NOT coalesce(exchange IN ('binance', 'coinbase'), false) AS r_exchange,
     NOT coalesce(side IN ('buy', 'sell'), false) AS r_side,

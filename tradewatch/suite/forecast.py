@@ -1,7 +1,7 @@
 """Registered queries: MOD-011 back-test and MOD-010 prediction.
 Alerts to test are the whale and volume alerts of ``events``; prices are the
-same trades. Horizons 1 h, 4 h, 24 h; the prediction grid is the 6 h
-consensus grid with a 4 h outcome horizon."""
+same trades. Horizons 1 h, 4 h, 24 h; the prediction grid has a row per symbol and 15 minutes, a
+4 h outcome horizon, and scoring runs every three days."""
 
 from __future__ import annotations
 
@@ -11,17 +11,21 @@ from tradewatch.functions.columns import alert_id as alert_id_col
 from tradewatch.functions.columns import stable_round
 from tradewatch.operators import backtest as B
 from tradewatch.operators import predict as P
+from tradewatch.operators import wallet as W
+from tradewatch.operators.windows import stored
 from tradewatch.sources import adapters as A
 from tradewatch.suite.core import alert_view
 from tradewatch.suite.detect import VOL_SQL, vol_scored
-from tradewatch.suite.identity import CONS_SQL, consensus, whales_e
-from tradewatch.suite.oracle import TRADES_E, alert_id, sround, ttl, with_
+from tradewatch.suite.identity import CONS_SQL, consensus, flows, period_sql, whales_e
+from tradewatch.suite.oracle import TRADES_E, WALLET_LIVE, alert_id, sround, ttl, with_
 from tradewatch.suite.registry import query, sql
 
 HORIZONS = (3600, 14400, 86400)
 BT_DATE = "2024-02-01"
 PRED_H = 14400
-GRID_S = 21600
+GRID_S = 900
+RUN_DAYS, MIN_RUN_TRADES = 3, 5
+RUN_W = f"{RUN_DAYS} days"
 
 
 def bt_alerts(spark, sf):
@@ -42,7 +46,9 @@ def returns(spark, sf):
     return B.bt_forward_return(bt_alerts(spark, sf), A.trades_e(spark, sf), HORIZONS)
 
 
-BT_SQL = VOL_SQL + f""",
+def bt_sql(more: str = "") -> str:
+    """CTEs of the back-test; ``more`` adds alerts to the whale and volume ones."""
+    return VOL_SQL + f""",
 wh AS (SELECT * FROM trades_e WHERE quote_volume > 100000),
 alerts AS (
   SELECT {alert_id("'whale_trade'", 'exchange', 'symbol', 'event_id')} AS alert_id, 'MOD-002' AS module_id,
@@ -51,7 +57,7 @@ alerts AS (
   UNION ALL
   SELECT {alert_id("'volume_spike'", 'exchange', 'symbol', 't')}, 'MOD-001', 'volume_spike', symbol, window_end,
     CASE WHEN close_price > open_price THEN 1 WHEN close_price < open_price THEN -1 END
-  FROM vs WHERE severity IS NOT NULL),
+  FROM vs WHERE severity IS NOT NULL{more}),
 hz AS (SELECT * FROM (VALUES (3600), (14400), (86400)) t(horizon_s)),
 pts AS (SELECT a.*, hz.horizon_s, a.detected_at + to_seconds(hz.horizon_s) AS t FROM alerts a, hz),
 px AS (SELECT symbol, "timestamp" AS ts, arg_max(price, event_id) AS price FROM trades_e GROUP BY 1, 2),
@@ -76,6 +82,9 @@ rep AS (
   FROM r GROUP BY 1, 2, 3)"""
 
 
+BT_SQL = bt_sql()
+
+
 @query("bt_price_asof")
 def q_bt_price_asof(spark, sf):
     pts = bt_alerts(spark, sf).withColumn("t", F.col("detected_at"))
@@ -159,12 +168,14 @@ def q_backtest_complete(spark, sf):
     return a.withColumn("d_mean_hit_rate", stable_round("d_mean_hit_rate", 6))
 
 
-sql("backtest_complete", with_(TRADES_E) + BT_SQL + f""",
+COMPLETE_SQL = f""",
 g AS (SELECT module_id AS tested, CAST(sum(n_alerts) AS BIGINT) AS n, avg(hit_rate) AS h, TIMESTAMP '{BT_DATE}' AS tm FROM rep GROUP BY 1)
 SELECT {alert_id("'backtest_complete'", 'NULL', 'NULL', 'tested', f"'{BT_DATE}'")} AS alert_id, 'backtest_complete' AS alert_type,
   'MOD-011' AS module_id, CAST(NULL AS VARCHAR) AS symbol, CAST(NULL AS VARCHAR) AS exchange, 'low' AS severity, tm AS detected_at,
   'Back-test of ' || tested || ' complete: ' || n || ' alerts' AS message, {ttl('tm')} AS ttl_epoch,
-  tested AS d_tested_module, n AS d_n_alerts, {sround('h', 6)} AS d_mean_hit_rate FROM g""")
+  tested AS d_tested_module, n AS d_n_alerts, {sround('h', 6)} AS d_mean_hit_rate FROM g"""
+
+sql("backtest_complete", with_(TRADES_E) + BT_SQL + COMPLETE_SQL)
 
 
 @query("bt_degradation")
@@ -174,7 +185,7 @@ def q_bt_degradation(spark, sf):
     return a.withColumn("d_hit_rate", stable_round("d_hit_rate", 6))
 
 
-sql("bt_degradation", with_(TRADES_E) + BT_SQL + f""",
+DEGRADATION_SQL = f""",
 dly AS (SELECT module_id, symbol, horizon_s, CAST(detected_at AS DATE) AS backtest_date,
           avg(CAST(hit AS DOUBLE)) AS hit_rate FROM r GROUP BY 1, 2, 3, 4),
 tr AS (SELECT *, avg(hit_rate) OVER (PARTITION BY module_id, symbol, horizon_s ORDER BY backtest_date
@@ -185,13 +196,24 @@ SELECT {alert_id("'signal_degradation'", 'NULL', 'symbol', 'module_id', 'horizon
   'Hit rate of ' || module_id || ' on ' || symbol || ' fell below its trailing mean' AS message,
   {ttl('CAST(backtest_date AS TIMESTAMP)')} AS ttl_epoch, module_id AS d_tested_module, horizon_s AS d_horizon_s,
   {sround('hit_rate', 6)} AS d_hit_rate
-FROM tr WHERE hit_rate < trailing_rate - 0.1""")
+FROM tr WHERE hit_rate < trailing_rate - 0.1"""
+
+sql("bt_degradation", with_(TRADES_E) + BT_SQL + DEGRADATION_SQL)
 
 
 # ---- MOD-010 ------------------------------------------------------------------------------------
 
+def symbol_alpha(spark, sf):
+    """Alpha percentile of a symbol's wallets at every scoring run."""
+    t = W.with_period(A.wallet_trades_live(spark, sf), RUN_W)
+    return W.alpha_by_symbol(t, W.alpha_percentile(W.wallet_scores_periodic(A.wallet_trades_live(spark, sf), RUN_W, MIN_RUN_TRADES)))
+
+
 def features(spark, sf):
-    return P.pred_features(consensus(spark, sf))
+    """Stored: outcomes and accuracy read the grid as well."""
+    t = A.trades_e(spark, sf)
+    f = P.pred_features(P.pred_grid(t, GRID_S), consensus(spark, sf), vol_scored(spark, sf), flows(spark, sf), symbol_alpha(spark, sf))
+    return stored(f, "features")
 
 
 def accuracy(spark, sf):
@@ -200,9 +222,25 @@ def accuracy(spark, sf):
     return P.pred_accuracy(f, out, PRED_H, GRID_S)
 
 
-PRED_SQL = CONS_SQL + f""",
-pf AS (SELECT *, last_value(flow_ratio IGNORE NULLS) OVER (PARTITION BY symbol ORDER BY window_start
-         ROWS UNBOUNDED PRECEDING) AS flow_ratio_filled, 0.5 AS alpha_pct FROM cscore),
+ALPHA_SQL = "," + period_sql("wallet_live", RUN_DAYS, MIN_RUN_TRADES) + """,
+lpr AS (SELECT wallet, blockchain, period_start, scored_at, percent_rank() OVER (PARTITION BY blockchain, scored_at ORDER BY alpha) AS q
+  FROM ys WHERE alpha IS NOT NULL),
+la AS (SELECT symbol, scored_at, CAST(sum(CAST(q AS DECIMAL(20,12))) AS DOUBLE) / count(*) AS alpha_pct
+  FROM (SELECT DISTINCT wallet, blockchain, period_start, symbol FROM y) JOIN lpr USING (wallet, blockchain, period_start) GROUP BY 1, 2)"""
+
+PRED_SQL = CONS_SQL + ALPHA_SQL + f""",
+grid AS (SELECT symbol, unnest(generate_series(lo, hi, INTERVAL {GRID_S} SECOND)) AS window_start FROM (
+  SELECT symbol, time_bucket(INTERVAL {GRID_S} SECOND, min("timestamp"), TIMESTAMP '1970-01-01') AS lo,
+    time_bucket(INTERVAL {GRID_S} SECOND, max("timestamp"), TIMESTAMP '1970-01-01') AS hi FROM trades_e GROUP BY 1)),
+g0 AS (SELECT symbol, window_start, window_start + INTERVAL {GRID_S} SECOND AS window_end FROM grid),
+zz AS (SELECT symbol, window_end AS at, max(abs(z_score)) AS z FROM vs WHERE z_score IS NOT NULL GROUP BY 1, 2),
+g1 AS (SELECT g.*, c.consensus_score AS c FROM g0 g ASOF LEFT JOIN cscore c ON g.symbol = c.symbol AND g.window_end >= c.window_end),
+g2 AS (SELECT g.*, zz.z FROM g1 g ASOF LEFT JOIN zz ON g.symbol = zz.symbol AND g.window_end >= zz.at),
+g3 AS (SELECT g.*, f.flow_ratio AS f FROM g2 g ASOF LEFT JOIN (SELECT * FROM fl WHERE flow_ratio IS NOT NULL) f
+  ON g.symbol = f.symbol AND g.window_end >= f.window_end),
+g4 AS (SELECT g.*, la.alpha_pct AS a FROM g3 g ASOF LEFT JOIN la ON g.symbol = la.symbol AND g.window_end >= la.scored_at),
+pf AS (SELECT symbol, window_start, window_end, coalesce(c, 0.0) AS consensus_score, coalesce(z, 0.0) AS z_score, coalesce(f, 0.5) AS flow_ratio,
+    coalesce(a, 0.5) AS alpha_pct, least(coalesce(z, 0.0) / 3.5, 1.0) AS volume_signal, abs(2.0 * coalesce(f, 0.5) - 1.0) AS flow_signal FROM g4),
 px AS (SELECT symbol, "timestamp" AS ts, arg_max(price, event_id) AS price FROM trades_e GROUP BY 1, 2),
 o0 AS (SELECT p.window_start, p.symbol, p.window_end, q.price AS close_0 FROM pf p ASOF LEFT JOIN px q
        ON p.symbol = q.symbol AND p.window_end >= q.ts),
@@ -212,7 +250,7 @@ oc AS (SELECT o0.window_start, o0.symbol, CASE WHEN time_h > window_end THEN abs
        FROM o0 JOIN o1 USING (window_start, symbol)),
 pa AS (
   SELECT pf.*, oc.moved, CAST(floor(consensus_score / 20) AS INTEGER) AS score_bucket,
-    CAST(floor(coalesce(flow_ratio_filled, 0.5) * 5) AS INTEGER) AS flow_bucket, epoch_us(pf.window_start) // 1000000 AS t
+    CAST(floor(flow_ratio * 5) AS INTEGER) AS flow_bucket, epoch_us(pf.window_start) // 1000000 AS t
   FROM pf LEFT JOIN oc USING (window_start, symbol)),
 acc AS (SELECT *, avg(CAST(moved AS DOUBLE)) OVER (PARTITION BY score_bucket, flow_bucket ORDER BY t
           RANGE BETWEEN UNBOUNDED PRECEDING AND {GRID_S + PRED_H} PRECEDING) AS accuracy FROM pa),
@@ -231,13 +269,12 @@ ps AS (
 @query("pred_features")
 def q_pred_features(spark, sf):
     f = features(spark, sf)
-    return f.select("window_start", "symbol", stable_round("consensus_score", 6).alias("consensus_score"),
-                    stable_round("flow_ratio_filled", 6).alias("flow_ratio_filled"), "alpha_pct")
+    return f.select("window_start", "symbol", *[stable_round(c, 6).alias(c) for c in ("consensus_score", "z_score", "flow_ratio", "alpha_pct")])
 
 
-sql("pred_features", with_(TRADES_E) + VOL_SQL + PRED_SQL + f"""
-SELECT window_start, symbol, {sround('consensus_score', 6)} AS consensus_score,
-  {sround('flow_ratio_filled', 6)} AS flow_ratio_filled, alpha_pct FROM pf""")
+sql("pred_features", with_(TRADES_E, WALLET_LIVE) + VOL_SQL + PRED_SQL + f"""
+SELECT window_start, symbol, {sround('consensus_score', 6)} AS consensus_score, {sround('z_score', 6)} AS z_score,
+  {sround('flow_ratio', 6)} AS flow_ratio, {sround('alpha_pct', 6)} AS alpha_pct FROM pf""")
 
 
 @query("pred_accuracy")
@@ -247,7 +284,7 @@ def q_pred_accuracy(spark, sf):
                     stable_round("accuracy", 6).alias("accuracy"))
 
 
-sql("pred_accuracy", with_(TRADES_E) + VOL_SQL + PRED_SQL + f"""
+sql("pred_accuracy", with_(TRADES_E, WALLET_LIVE) + VOL_SQL + PRED_SQL + f"""
 SELECT window_start, symbol, moved, score_bucket, flow_bucket, {sround('accuracy', 6)} AS accuracy FROM acc""")
 
 
@@ -257,7 +294,7 @@ def q_pred_score(spark, sf):
     return s.select("window_start", "symbol", *[stable_round(c, 6).alias(c) for c in ("p_1h", "p_2h", "p_4h")])
 
 
-sql("pred_score", with_(TRADES_E) + VOL_SQL + PRED_SQL + f"""
+sql("pred_score", with_(TRADES_E, WALLET_LIVE) + VOL_SQL + PRED_SQL + f"""
 SELECT window_start, symbol, {sround('p_1h', 6)} AS p_1h, {sround('p_2h', 6)} AS p_2h, {sround('p_4h', 6)} AS p_4h
 FROM ps""")
 
@@ -268,7 +305,7 @@ def q_pred_alerts(spark, sf):
     return a.withColumn("d_p_1h", stable_round("d_p_1h", 6))
 
 
-sql("pred_alerts", with_(TRADES_E) + VOL_SQL + PRED_SQL + f""",
+sql("pred_alerts", with_(TRADES_E, WALLET_LIVE) + VOL_SQL + PRED_SQL + f""",
 pl AS (SELECT *, lag(p_1h) OVER (PARTITION BY symbol ORDER BY window_start) AS prev_p_1h FROM ps)
 SELECT {alert_id("'high_probability_move'", 'NULL', 'symbol', 'epoch_us(window_start) // 1000000')} AS alert_id,
   'high_probability_move' AS alert_type, 'MOD-010' AS module_id, symbol, CAST(NULL AS VARCHAR) AS exchange,

@@ -62,10 +62,12 @@ sc AS (
       THEN win_rate * avg_return * sqrt(trade_count) / max_drawdown END AS alpha
   FROM st LEFT JOIN dd USING (wallet, blockchain))"""
 
-YEARLY = WALLET_TRADES + f""",
-y AS (SELECT *, time_bucket(INTERVAL 365 DAY, ts, TIMESTAMP '1970-01-01') AS period_start FROM wallet_trades),
+def period_sql(source: str, days: int, min_trades: int) -> str:
+    """Scores per scoring period, the CTE ``ys``."""
+    return f"""
+y AS (SELECT *, time_bucket(INTERVAL {days} DAY, ts, TIMESTAMP '1970-01-01') AS period_start FROM {source}),
 yst AS (
-  SELECT wallet, blockchain, period_start, period_start + INTERVAL 365 DAY AS scored_at, count(*) AS trade_count,
+  SELECT wallet, blockchain, period_start, period_start + INTERVAL {days} DAY AS scored_at, count(*) AS trade_count,
     count(*) FILTER (WHERE ret > 0) / count(*) AS win_rate,
     CAST(sum(CAST(ret AS DECIMAL(18,8))) AS DOUBLE) / count(*) AS avg_return
   FROM y GROUP BY 1, 2, 3),
@@ -80,11 +82,14 @@ ydd AS (
   FROM yp GROUP BY 1, 2, 3),
 ys AS (
   SELECT yst.*, ydd.max_drawdown,
-    CASE WHEN trade_count >= {PERIOD_MIN_TRADES} AND max_drawdown <> 0
+    CASE WHEN trade_count >= {min_trades} AND max_drawdown <> 0
       THEN win_rate * avg_return * sqrt(trade_count) / max_drawdown END AS alpha
   FROM yst LEFT JOIN ydd USING (wallet, blockchain, period_start))"""
 
 
+YEARLY = WALLET_TRADES + "," + period_sql("wallet_trades", 365, PERIOD_MIN_TRADES)
+
+
 @query("wallet_stats")
 def q_wallet_stats(spark, sf):
     s = W.wallet_stats(A.wallet_trades(spark, sf), None, DAYS)
@@ -136,7 +141,7 @@ def q_wallet_high_alpha(spark, sf):
     return a.withColumn("d_alpha", stable_round("d_alpha", 6)).withColumn("d_threshold", stable_round("d_threshold", 6))
 
 
-sql("wallet_high_alpha", with_(YEARLY) + f""",
+HIGH_SQL = f""",
 ranked AS (SELECT scored_at, alpha, row_number() OVER (PARTITION BY scored_at ORDER BY alpha) AS rn,
            count(*) OVER (PARTITION BY scored_at) AS n FROM ys WHERE alpha IS NOT NULL),
 th AS (SELECT scored_at, max(alpha) FILTER (WHERE rn = CAST(ceil(0.95 * n) AS BIGINT)) AS threshold,
@@ -149,7 +154,9 @@ SELECT {alert_id("'high_alpha_wallet'", 'NULL', 'NULL', 'wallet', 'blockchain',
   'Wallet ' || wallet || ' on ' || blockchain || ' above the 95 percentile of alpha' AS message,
   {ttl('scored_at')} AS ttl_epoch, CAST(wallet AS VARCHAR) AS d_wallet, {sround('alpha', 6)} AS d_alpha,
   {sround('threshold', 6)} AS d_threshold
-FROM h""")
+FROM h"""
+
+sql("wallet_high_alpha", with_(YEARLY) + HIGH_SQL)
 
 CHANGE_FIELDS = {"wallet": "string", "alpha": "double", "prev_alpha": "double"}
 
@@ -160,14 +167,16 @@ def q_wallet_score_change(spark, sf):
     return a.withColumn("d_alpha", stable_round("d_alpha", 6)).withColumn("d_prev_alpha", stable_round("d_prev_alpha", 6))
 
 
-sql("wallet_score_change", with_(YEARLY) + f""",
+CHANGE_SQL = f""",
 l AS (SELECT *, lag(alpha) OVER (PARTITION BY wallet, blockchain ORDER BY scored_at) AS prev_alpha FROM ys)
 SELECT {alert_id("'score_change'", 'NULL', 'NULL', 'wallet', 'blockchain', 'epoch_us(scored_at) // 1000000')}
     AS alert_id, 'score_change' AS alert_type, 'MOD-004' AS module_id, CAST(NULL AS VARCHAR) AS symbol,
   CAST(NULL AS VARCHAR) AS exchange, 'low' AS severity, scored_at AS detected_at,
   'Wallet ' || wallet || ' alpha moved by more than {SCORE_DELTA}' AS message, {ttl('scored_at')} AS ttl_epoch,
   CAST(wallet AS VARCHAR) AS d_wallet, {sround('alpha', 6)} AS d_alpha, {sround('prev_alpha', 6)} AS d_prev_alpha
-FROM l WHERE abs(alpha - prev_alpha) > {SCORE_DELTA}""")
+FROM l WHERE abs(alpha - prev_alpha) > {SCORE_DELTA}"""
+
+sql("wallet_score_change", with_(YEARLY) + CHANGE_SQL)
 
 
 # ---- MOD-005 -----------------------------------------------------------------------------------
@@ -213,14 +222,16 @@ def q_label_alerts(spark, sf):
 
 
 
-sql("label_alerts", with_(WALLET_TRADES, WALLET_LABELS) + f"""
+LABEL_SQL = f"""
 SELECT {alert_id("'known_whale_activity'", 'exchange', 'symbol', 'event_id', 't.wallet')} AS alert_id,
   'known_whale_activity' AS alert_type, 'MOD-005' AS module_id, symbol, exchange,
   CASE WHEN quote_volume > 500000 THEN 'high' ELSE 'medium' END AS severity, ts AS detected_at,
   printf('Labelled wallet %s (%s) traded %d USD of %s', CAST(t.wallet AS VARCHAR), label,
          CAST(floor(quote_volume) AS BIGINT), symbol) AS message,
   {ttl('ts')} AS ttl_epoch, CAST(t.wallet AS VARCHAR) AS d_wallet, label AS d_label, quote_volume AS d_quote_volume
-FROM wallet_trades t JOIN wallet_labels l ON t.wallet = l.wallet WHERE quote_volume > 100000""")
+FROM wallet_trades t JOIN wallet_labels l ON t.wallet = l.wallet WHERE quote_volume > 100000"""
+
+sql("label_alerts", with_(WALLET_TRADES, WALLET_LABELS) + LABEL_SQL)
 
 
 # ---- MOD-006 / MOD-007 -------------------------------------------------------------------------------

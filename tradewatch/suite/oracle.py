@@ -45,6 +45,11 @@ wallet_trades AS (
     event_id, exchange, symbol, price, quantity, quote_volume, side, "timestamp" AS ts, ret
   FROM trades_l JOIN orders ON l_orderkey = o_orderkey)"""
 
+WALLET_LIVE = WALLET_TRADES + """,
+wallet_live AS (
+  SELECT wallet, blockchain, event_id, exchange, symbol, price, quantity, quote_volume, side, ret,
+    TIMESTAMP '2024-01-01' + to_minutes(17 * date_diff('day', DATE '1992-01-01', CAST(ts AS DATE))) AS ts FROM wallet_trades)"""
+
 WALLET_LABELS = """
 wallet_labels AS (
   SELECT c_custkey AS wallet, c_name AS label, c_mktsegment AS entity_type FROM customer WHERE c_mktsegment <> 'HOUSEHOLD')"""

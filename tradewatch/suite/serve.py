@@ -14,19 +14,22 @@ from tradewatch.operators import quality as Q
 from tradewatch.operators import serving as SV
 from tradewatch.operators import volume as V
 from tradewatch.plans.modules import run_modules
+from tradewatch.session import scratch_path
 from tradewatch.sources import adapters as A
 from tradewatch.suite import core, detect
 from tradewatch.suite.core import WHALE_ALERTS_SQL, dirty_flagged, whales_with_lineage
 from tradewatch.suite.detect import SPREAD_ALERTS_SQL, SPREAD_SQL, VOL_SQL, spread_alerts, spreads, vol_alerts
 from tradewatch.suite.identity import CONS_SQL
-from tradewatch.suite.oracle import TRADES_E, config_hash, sround, ttl, with_
+from tradewatch.suite.oracle import TRADES_E, config_hash, corr_id, sround, ttl, with_
 from tradewatch.suite.registry import PROCESSED_AT, query, sql
 from tradewatch.operators.lineage import lin_config_hash
 
 RUN_CFG = make_config({
     "volume_anomaly": {"window_seconds": 3600, "rolling_window_seconds": 259200},
     "spread_calculator": {"window_seconds": 3600},
-    "flow": {"window_seconds": 21600}, "consensus": {"window_seconds": 21600}})
+    "flow": {"window_seconds": 21600}, "consensus": {"window_seconds": 21600},
+    "wallet_scorer": {"period_days": 3, "min_trades": 5, "score_delta": 0.2},
+    "dex": {"liquidity_window_seconds": 604800, "liquidity_change_pct": 10.0}})
 WHALE_HASH = config_hash("whale_detector")
 VOL_HASH = lin_config_hash(detect.CFG["volume_anomaly"])
 SPREAD_HASH = lin_config_hash(detect.CFG["spread_calculator"])
@@ -149,19 +152,23 @@ sql("run_modules", RUN_SQL + f"\nSELECT {BASE_SQL} FROM run_all")
 
 # ---- lineage lookups ------------------------------------------------------------------------------
 
-def _latest_whale_cid(spark, sf):
-    """The correlation id looked up: that of the latest whale trade (one row)."""
-    w = L.with_correlation_id(core.whale_detect(A.trades_e(spark, sf), core.CFG))
-    return w.agg(F.max_by("correlation_id", F.struct("timestamp", "event_id")).alias("cid"))
-
-
 LATEST_CID_SQL = f""",
 cid AS (SELECT max_by(d_correlation_id, struct_pack(t := detected_at, e := event_id)) AS cid FROM whale_alerts)"""
 
 
+def lineage_table(spark, sf):
+    """The lineage table of the small tier's alerts, as a run writes it beside them."""
+    path = scratch_path(spark, "runs", "lineage", unique=True)
+    L.write_lineage(small_alerts(spark, sf), path)
+    return spark.read.parquet(path)
+
+
 @query("lin_by_correlation")
 def q_lin_by_correlation(spark, sf):
-    return L.lin_by_correlation(small_alerts(spark, sf), _latest_whale_cid(spark, sf).scalar())
+    """A lookup by id, bounded by the day of the trade it belongs to."""
+    w = L.with_correlation_id(core.whale_detect(A.trades_e(spark, sf), core.CFG)).agg(
+        F.max_by(F.struct("correlation_id", "timestamp"), F.struct("timestamp", "event_id")).alias("w")).first()["w"]  # one row
+    return L.lin_by_correlation(lineage_table(spark, sf), w["correlation_id"], since=w["timestamp"])
 
 
 sql("lin_by_correlation", SMALL_SQL + LATEST_CID_SQL + f"""
@@ -173,7 +180,7 @@ FROM small, cid WHERE correlation_id = cid.cid""")
 
 @query("lin_by_config")
 def q_lin_by_config(spark, sf):
-    return L.lin_by_config(small_alerts(spark, sf), VOL_HASH)
+    return L.lin_by_config(lineage_table(spark, sf), VOL_HASH)
 
 
 sql("lin_by_config", SMALL_SQL + f"""
@@ -183,13 +190,14 @@ GROUP BY 1, 2, 3""")
 
 @query("lin_trace_raw")
 def q_lin_trace_raw(spark, sf):
-    """Every alert of one venue traced to its raw trade, or to the one that closed its window."""
-    return L.lin_trace_raw(small_alerts(spark, sf), A.trades_e(spark, sf))
+    """Every alert traced to its raw trade, or to the one that closed its window, spreads included."""
+    return L.lin_trace_raw(lineage_table(spark, sf), A.trades_e(spark, sf)).drop("alert_id")
 
 
-sql("lin_trace_raw", SMALL_SQL + """
+sql("lin_trace_raw", SMALL_SQL + f""",
+tc AS (SELECT *, {corr_id()} AS cid FROM trades_e)
 SELECT t.exchange, t.symbol, t.event_id, t.price, t.quantity, s.alert_type, s.detected_at, s.correlation_id
-FROM small s JOIN trades_e t ON s.source_event_id = t.event_id AND s.symbol = t.symbol AND s.exchange = t.exchange""")
+FROM small s JOIN tc t ON s.source_event_id = t.event_id AND s.symbol = t.symbol AND s.correlation_id = t.cid""")
 
 
 # ---- serving --------------------------------------------------------------------------------------
@@ -313,6 +321,26 @@ SELECT window_start, pass_rate_pct, breach,
 FROM b""")
 
 
+@query("alarm_m_of_n_gaps")
+def q_alarm_m_of_n_gaps(spark, sf):
+    """Lag alarm of every venue, 3 of 4 periods of 15 minutes; a period without any trade is a breach, up to the last period of all venues."""
+    lag = SV.lag_monitor(A.trades_e(spark, sf), "15 minutes").select("window_start", "exchange", "max_lag_s")
+    a = SV.alarm_m_of_n(lag, "max_lag_s", 400.0, 3, 4, False, ["exchange"], period_seconds=900, missing="breaching",
+                        until=lag.agg(F.max("window_start")).scalar())
+    return a.select("exchange", "window_start", "max_lag_s", "missing", "breach", "breaches_in_n", "alarm")
+
+
+sql("alarm_m_of_n_gaps", with_(TRADES_E) + """,
+ser AS (SELECT time_bucket(INTERVAL 15 MINUTE, "timestamp", TIMESTAMP '1970-01-01') AS window_start, exchange,
+          max(epoch_us(ingestion_timestamp) - epoch_us("timestamp")) / 1000000 AS max_lag_s FROM trades_e GROUP BY 1, 2),
+cal AS (SELECT exchange, unnest(generate_series(lo, (SELECT max(window_start) FROM ser), INTERVAL 15 MINUTE)) AS window_start
+        FROM (SELECT exchange, min(window_start) AS lo FROM ser GROUP BY 1)),
+b AS (SELECT exchange, window_start, max_lag_s, max_lag_s IS NULL AS missing, coalesce(max_lag_s > 400.0, true) AS breach
+      FROM cal LEFT JOIN ser USING (exchange, window_start))
+SELECT *, CAST(sum(CAST(breach AS INTEGER)) OVER w AS BIGINT) AS breaches_in_n, sum(CAST(breach AS INTEGER)) OVER w >= 3 AS alarm
+FROM b WINDOW w AS (PARTITION BY exchange ORDER BY window_start ROWS BETWEEN 3 PRECEDING AND CURRENT ROW)""")
+
+
 @query("lag_monitor")
 def q_lag_monitor(spark, sf):
     m = SV.lag_monitor(A.trades_e(spark, sf), "1 day")

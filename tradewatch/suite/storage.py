@@ -15,9 +15,11 @@ from tradewatch.functions.columns import stable_round
 from tradewatch.operators.whale import whale_alerts, whale_detect
 from tradewatch.plans import lake as LK
 from tradewatch.plans import sinks as SK
+from tradewatch.plans.files import exists, signature
 from tradewatch.session import scratch_path
 from tradewatch.sources import adapters as A
 from tradewatch.sources import trades as TR
+from tradewatch.sources.tables import TABLES
 from tradewatch.suite import core
 from tradewatch.suite.core import TRADE_COLS, WHALE_ALERTS_SQL, whales_with_lineage
 from tradewatch.suite.oracle import TRADES_E, sround, with_
@@ -28,12 +30,19 @@ CUT = "2024-01-20 00:00:00"
 FIXTURE_VERSION = "v2"
 
 
-def _tag(sf: str) -> str:
-    return hashlib.sha1(os.path.abspath(sf).encode()).hexdigest()[:10]
+def _tag(spark, sf: str) -> str:
+    """Names a data folder by its files' sizes and change times, so that changed data gets new fixtures."""
+    tables = [(t, signature(spark, os.path.join(sf, f"{t}.parquet"))) for t in TABLES]
+    return hashlib.sha1(repr((sf, tables)).encode()).hexdigest()[:10]
 
 
-def fixture_path(spark, sf, name):
-    return scratch_path(spark, "fixtures", FIXTURE_VERSION, _tag(sf), name)
+def fixture(spark, sf, name, build) -> str:
+    """The path of a derived table, written by ``build(path)`` once per data folder; one
+    that was cut short (no success marker) is written again."""
+    path = scratch_path(spark, "fixtures", FIXTURE_VERSION, _tag(spark, sf), name)
+    if not exists(spark, os.path.join(path, "_SUCCESS")):
+        build(path)
+    return path
 
 
 def fresh(spark, name):
@@ -43,11 +52,10 @@ def fresh(spark, name):
 def raw_trades_table(spark, sf) -> str:
     """trades_e as the raw_trades table partitioned by (date, symbol);
     written once per data folder."""
-    path = fixture_path(spark, sf, "raw_trades")
-    if SK.read_if_exists(spark, path) is None:
+    def build(path):
         t = A.trades_e(spark, sf).withColumn("date", F.to_date("timestamp"))
         t.write.mode("overwrite").partitionBy("date", "symbol").parquet(path)
-    return path
+    return fixture(spark, sf, "raw_trades", build)
 
 
 # ---- 2.1 sources ---------------------------------------------------------------------------------
@@ -66,8 +74,7 @@ WHERE "timestamp" >= TIMESTAMP '2024-01-05' AND "timestamp" < TIMESTAMP '2024-01
 @query("src_agg_trades")
 def q_src_agg_trades(spark, sf):
     """A per-pair dump folder (CSV) of venue A trades, loaded per pair."""
-    path = fixture_path(spark, sf, "agg_dump")
-    if SK.read_if_exists(spark, path, "csv") is None:
+    def build(path):
         t = A.trades_e(spark, sf)
         dump = t.select(F.regexp_replace("symbol", "-", "").alias("pair"),
                         F.col("event_id").cast("long").alias("agg_trade_id"), F.col("price").cast("string").alias("price"),
@@ -77,16 +84,17 @@ def q_src_agg_trades(spark, sf):
                         F.unix_millis("timestamp").alias("transact_time"),
                         (F.col("side") == "sell").alias("is_buyer_maker"))
         dump.write.mode("overwrite").partitionBy("pair").option("header", True).csv(path)
-    parts = [TR.load_agg_trades(TR.read_agg_dump(spark, os.path.join(path, f"pair={p}")), p)
+    path = fixture(spark, sf, "agg_dump", build)
+    parts = [TR.load_agg_trades(TR.read_agg_dump(spark, os.path.join(path, f"pair={p}")), p, ingested_at=core.INGESTED_AT)
              for p in ("BTCUSDT", "ETHUSDT", "SOLUSDT")]
     out = parts[0].unionByName(parts[1]).unionByName(parts[2])
     return out.withColumn("date", F.date_format("date", "yyyy-MM-dd"))
 
 
-sql("src_agg_trades", with_(TRADES_E) + """
+sql("src_agg_trades", with_(TRADES_E) + f"""
 SELECT event_id, 'binance' AS exchange, symbol, price, quantity, quote_volume, side,
-  make_timestamp((epoch_us("timestamp") // 1000) * 1000) AS "timestamp", strftime("timestamp", '%Y-%m-%d') AS date
-FROM trades_e""")
+  make_timestamp((epoch_us("timestamp") // 1000) * 1000) AS "timestamp", strftime("timestamp", '%Y-%m-%d') AS date,
+  TIMESTAMP '{core.INGESTED_AT}' AS ingestion_timestamp FROM trades_e""")
 
 
 @query("src_label_files")

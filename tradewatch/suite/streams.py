@@ -1,7 +1,7 @@
 """Registered queries: Structured Streaming jobs (SURVEY 2.11 streams,
 2.1 src_trades_stream, 2.8 wallet_alpha_incremental).
 
-Each query streams the whole input folder with an availableNow trigger into
+Each query streams the whole input folder, a micro-batch per file, with an availableNow trigger into
 fresh sink and checkpoint folders under ``spark.checkpoint.dir``, waits for
 the run to finish, and returns the sink read back. Append-mode windows are
 emitted once the watermark passes their end, so the oracles drop windows
@@ -11,13 +11,14 @@ from __future__ import annotations
 
 import contextlib
 import os
+import time
 
 from pyspark.sql import functions as F
 
 from tradewatch.functions.columns import stable_round
 from tradewatch.operators import normalize as N
 from tradewatch.operators.quality import TRADE_JSON_SCHEMA
-from tradewatch.plans.sinks import read_if_exists
+from tradewatch.plans.files import remove
 from tradewatch.sources import adapters as A
 from tradewatch.sources import trades as TR
 from tradewatch.streaming import jobs as J
@@ -27,21 +28,37 @@ from tradewatch.suite.core import ALERT_BASE, TRADE_COLS, WHALE_ALERTS_SQL, aler
 from tradewatch.suite.oracle import SQL as ORACLE
 from tradewatch.suite.oracle import TRADES_E, alert_id, sround, with_
 from tradewatch.suite.registry import PROCESSED_AT, query, sql
-from tradewatch.suite.storage import fixture_path, fresh
+from tradewatch.suite.storage import fixture, fresh
 
 VOL_WM, SPREAD_WM, FLOW_WM = "30 seconds", "15 seconds", "30 seconds"
 
 
-def _fixture(spark, sf, name, build):
-    path = fixture_path(spark, sf, name)
-    if read_if_exists(spark, path) is None:
-        build().write.mode("overwrite").parquet(path)
-    return path
+SLICES = 4  # parts of the time span that arrive one after the other, each as a micro-batch or several
+
+
+def _in_slices(spark, sf, name, table, ts):
+    """A source folder whose files arrive in the order of ``ts``: the file source takes them by
+    change time, so the slices are written one by one (rows without a time come first)."""
+    def build(path):
+        df = table()
+        at = F.unix_micros(ts)
+        lo, hi = df.agg(F.min(at), F.max(at)).first()
+        part = F.coalesce(F.floor((at - F.lit(lo)) * F.lit(SLICES) / F.lit(max(hi - lo, 1) + 1)), F.lit(0))
+        remove(spark, path)  # of a writer that was cut short
+        for i in range(SLICES):
+            df.where(part == i).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", str(i == SLICES - 1).lower()).mode("append").parquet(path)
+            time.sleep(1.1)  # change times may have whole seconds only
+    return fixture(spark, sf, name, build)
+
+
+def _stream(spark, path, schema):
+    """A micro-batch per file."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
 def trades_source(spark, sf):
-    path = _fixture(spark, sf, "trades_e", lambda: A.trades_e(spark, sf))
-    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    path = _in_slices(spark, sf, "trades_slices", lambda: A.trades_e(spark, sf).coalesce(1), F.col("timestamp"))
+    return _stream(spark, path, spark.read.parquet(path).schema)
 
 
 def _run(q):
@@ -68,10 +85,9 @@ def state_partitions(spark):
 
 @query("src_trades_stream")
 def q_src_trades_stream(spark, sf):
-    path = fixture_path(spark, sf, "payloads_text")
-    if read_if_exists(spark, path, "text") is None:
-        N.norm_payload(A.trades_e(spark, sf)).select("payload").write.mode("overwrite").text(path)
-    p = TR.stream_trades(spark, "text", {}, TRADE_JSON_SCHEMA, path=path)
+    path = fixture(spark, sf, "payloads_text", lambda where: N.norm_payload(A.trades_e(spark, sf)).select("payload").repartition(
+        SLICES).write.mode("overwrite").text(where))
+    p = TR.stream_trades(spark, "text", {"maxFilesPerTrigger": "1"}, TRADE_JSON_SCHEMA, path=path)
     out, ck = fresh(spark, "stream_trades"), fresh(spark, "ck")
     with state_partitions(spark):
         _run(J.start(p, out, ck))
@@ -97,14 +113,18 @@ SELECT {ALERT_BASE}, d_quote_volume, d_price, d_quantity, d_side, d_correlation_
 TAIL = "(SELECT max(\"timestamp\") FROM trades_e) - INTERVAL {wm}"
 
 
-@query("stream_volume")
-def q_stream_volume(spark, sf):
+def _volume_run(spark, sf):
     base, ck = fresh(spark, "stream_volume"), fresh(spark, "ck")
     agg_path, out = os.path.join(base, "volume_aggregates"), os.path.join(base, "out")
     src = J.stream_volume_aggregates(trades_source(spark, sf), detect.VOL_W, VOL_WM)
     with state_partitions(spark):
         _run(J.start_batches(src, J.volume_batch(agg_path, out, detect.CFG, detect.VOL_LB, PROCESSED_AT), ck))
-    scored = spark.read.parquet(os.path.join(out, "scored"))
+    return out
+
+
+@query("stream_volume")
+def q_stream_volume(spark, sf):
+    scored = spark.read.parquet(os.path.join(_volume_run(spark, sf), "scored"))
     return scored.select("window_start", "symbol", "exchange", F.round("z_score", 6).alias("z_score"), "severity")
 
 
@@ -113,6 +133,16 @@ SELECT window_start, symbol, exchange, round(z_score, 6) AS z_score, severity FR
 WHERE window_end <= {TAIL.format(wm="30 SECOND")}""")
 
 
+@query("stream_volume_alerts")
+def q_stream_volume_alerts(spark, sf):
+    return _routed(spark, _volume_run(spark, sf))
+
+
+sql("stream_volume_alerts", with_(TRADES_E) + detect.VOL_SQL + detect.VOL_ALERTS_SQL + f"""
+SELECT alert_id, alert_type, symbol, severity, detected_at, 'MOD-001' AS lineage_module, true AS in_hot FROM vol_alerts
+WHERE detected_at <= {TAIL.format(wm="30 SECOND")}""")
+
+
 def _spread_run(spark, sf):
     base, ck = fresh(spark, "stream_spread"), fresh(spark, "ck")
     src = J.stream_vwap(trades_source(spark, sf), detect.SPREAD_W, SPREAD_WM)
@@ -181,9 +211,15 @@ SELECT window_start, window_end, symbol, buy_volume, sell_volume, {sround('flow_
 FROM fl WHERE window_end <= {TAIL.format(wm="30 SECOND")}""")
 
 
-def _dq_run(spark, sf):
-    path = _fixture(spark, sf, "raw_dirty", lambda: A.raw_dirty(spark, sf))
-    src = J.observe_quality(spark.readStream.schema("key string, value string").parquet(path))
+def _dq_run(spark, sf, slices):
+    """The dirty feed in micro-batches by event time, or as one."""
+    if slices:
+        at = F.try_to_timestamp(F.regexp_replace(F.get_json_object("value", "$.timestamp"), "Z$", ""))
+        path = _in_slices(spark, sf, "dirty_slices", lambda: A.raw_dirty(spark, sf).coalesce(1), at)
+    else:
+        path = fixture(spark, sf, "raw_dirty", lambda where: A.raw_dirty(spark, sf).write.mode("overwrite").parquet(where))
+    schema = "key string, value string"
+    src = J.observe_quality(_stream(spark, path, schema) if slices else spark.readStream.schema(schema).parquet(path))
     base, ck = fresh(spark, "stream_dq"), fresh(spark, "ck")
     paths = {k: os.path.join(base, k) for k in ("valid", "dlq", "metrics")}
     with state_partitions(spark):
@@ -194,7 +230,7 @@ def _dq_run(spark, sf):
 
 @query("stream_dq")
 def q_stream_dq(spark, sf):
-    v = spark.read.parquet(_dq_run(spark, sf)["valid"])
+    v = spark.read.parquet(_dq_run(spark, sf, True)["valid"])
     return v.select("key", "event_id", "exchange", "symbol", "price", "timestamp")
 
 
@@ -203,7 +239,7 @@ sql("stream_dq", ORACLE["dq_dedup"])
 
 @query("metrics_delivery")
 def q_metrics_delivery(spark, sf):
-    m = spark.read.parquet(_dq_run(spark, sf)["metrics"])
+    m = spark.read.parquet(_dq_run(spark, sf, False)["metrics"])
     return m.select("batch_id", "processed", "records_sent", "valid_sent", "dlq_sent", "dropped_duplicates",
                     "send_failures")
 
@@ -218,8 +254,9 @@ SELECT CAST(0 AS BIGINT) AS batch_id, count(*) AS processed,
 
 @query("wallet_alpha_incremental")
 def q_wallet_alpha_incremental(spark, sf):
-    path = _fixture(spark, sf, "wallet_trades", lambda: A.wallet_trades(spark, sf))
-    src = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    # slices by trade, not by time: each batch brings late rows of all days
+    path = fixture(spark, sf, "wallet_slices", lambda where: A.wallet_trades(spark, sf).repartition(SLICES, "event_id").write.mode("overwrite").parquet(where))
+    src = _stream(spark, path, spark.read.parquet(path).schema)
     base, ck = fresh(spark, "wallet_alpha"), fresh(spark, "ck")
     fn = wallet_alpha_batch(*[os.path.join(base, k) for k in ("trades", "segments", "scores")], identity.DAYS, identity.MIN_TRADES)
     _run(J.start_batches(src, fn, ck))
