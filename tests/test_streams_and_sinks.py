@@ -161,3 +161,48 @@ def test_wallet_state_is_bounded_by_batch_and_horizon(spark, tmp_path):
     assert latest.groupBy("wallet", "_tb").count().where("count > 1").isEmpty()
     got = {x.wallet: (x.trade_count, x.max_drawdown, x.alpha) for x in spark.read.parquet(paths[2]).where("batch_id = 13").collect()}
     assert got == {x.wallet: (x.trade_count, x.max_drawdown, x.alpha) for x in wallet_scores(spark.createDataFrame(everything, schema), None, 2, 1).collect()}
+
+
+def test_stream_keys_stay_few_files_and_a_failed_write_is_counted(spark, tmp_path, monkeypatch):
+    """Batches of one day add keys that are compacted; a write that fails gives send_failures, its retry none."""
+    paths = [str(tmp_path / k) for k in ("valid", "dlq", "metrics")]
+    monkeypatch.setattr(J, "KEY_FILES", 3)
+    fn = J.quality_batch(*paths, core.DQ_CFG, "2024-01-01")
+    for epoch in range(6):
+        fn(spark.createDataFrame([(str(i), _payload(i, 60 * epoch + i)) for i in (epoch, epoch - 1)], "key string, value string"), epoch)
+    files = list((tmp_path / "valid_keys").glob("day=*/*.parquet"))
+    assert len(files) <= 5
+    assert sorted(int(r.event_id) for r in spark.read.parquet(paths[0]).collect()) == [-1, 0, 1, 2, 3, 4, 5]
+    real, broken = J._write, []
+
+    def write(df, path, by=()):
+        if "valid" in path and not broken:
+            broken.append(path)
+            raise OSError("no space")
+        real(df, path, by)
+    monkeypatch.setattr(J, "_write", write)
+    last = spark.createDataFrame([("70", _payload(70, 5000)), ("71", "{")], "key string, value string")
+    delivery = lambda: spark.read.parquet(paths[2]).where("batch_id = 6").select("processed", "records_sent", "valid_sent", "dlq_sent", "send_failures").first()
+    try:
+        fn(last, 6)
+        raise AssertionError("the batch must fail")
+    except OSError:
+        assert tuple(delivery()) == (2, 1, 0, 1, 1)
+    fn(last, 6)
+    assert tuple(delivery()) == (2, 2, 1, 1, 0)
+
+
+def test_lineage_lookups_read_the_days_asked_for(spark, tmp_path):
+    alerts = serve.small_alerts(spark, SF_SMALL)
+    path = str(tmp_path / "lineage")
+    L.write_lineage(alerts, path)
+    table = spark.read.parquet(path)
+    one = table.where("alert_type = 'whale_trade'").orderBy("detected_at").first()
+    found = L.lin_by_correlation(table, one.correlation_id, since=one.detected_at, until=one.detected_at)
+    scan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in scan and "dt" in scan.split("PartitionFilters: [")[1].split("]")[0] and "PushedFilters: [" in scan
+    assert one.alert_id in {r.alert_id for r in found.collect()}
+    trades = A.trades_e(spark, SF_SMALL)
+    kinds = {r.alert_type for r in L.lin_trace_raw(table, trades).select("alert_type").distinct().collect()}
+    assert kinds == {r.alert_type for r in alerts.select("alert_type").distinct().collect()}
+    assert L.lin_trace_raw(alerts, trades).count() == alerts.count()

@@ -34,10 +34,9 @@ def alerts_query(alerts: DataFrame, alert_type=None, symbol=None, since=None, li
         a = a.where(F.col("dt").cast("date") >= F.to_date(_ts(since)))
     a = a.where(F.col("detected_at") >= _ts(since))
     order = [F.col("detected_at").desc(), F.col("alert_id").desc()]
-    # two top-k scans (TakeOrderedAndProject): the page, and limit + 1 rows
-    # counted as a scalar subquery for has_more
-    more = a.orderBy(*order).limit(limit + 1).agg(F.count(F.lit(1))).scalar() > F.lit(limit)
-    return a.orderBy(*order).limit(limit).withColumn("has_more", more)
+    # one top-k of limit + 1 rows; whether the last one exists is told from those rows
+    top = a.orderBy(*order).limit(limit + 1).withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(F.lit(1))))
+    return top.withColumn("has_more", F.col("_n") > F.lit(limit)).drop("_n").orderBy(*order).limit(limit)
 
 
 def metrics_symbol(trades: DataFrame, spreads: DataFrame, alerts: DataFrame, as_of=None) -> DataFrame:

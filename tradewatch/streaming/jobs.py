@@ -22,7 +22,7 @@ from tradewatch.operators import quality as Q
 from tradewatch.operators import spread as S
 from tradewatch.operators import volume as V
 from tradewatch.operators import whale as W
-from tradewatch.plans.files import exists, remove
+from tradewatch.plans.files import exists, remove, signature
 from tradewatch.plans.sinks import read_if_exists, route_alerts
 
 
@@ -167,40 +167,48 @@ def observe_quality(raw: DataFrame) -> DataFrame:
                        F.count(F.when(F.col("value").isNull(), 1)).alias("null_payloads"))
 
 
-KEY_HOUR = "yyyy-MM-dd-HH"
-KEY_FILES = 16  # files of an hour's keys before they are compacted
+KEY_FILES = 16  # files of a day's keys before they are compacted
+KEYS_SCHEMA = "key string, timestamp timestamp, batch_id long, day string"
 
 
-def _hours_of(flagged: DataFrame, seconds: int) -> list[str]:
-    """The hours that hold whatever could make a row of the batch a duplicate: those around its own
-    rows, so a single very old row adds its hour and no more."""
-    us = F.unix_micros("timestamp")
-    near = F.sequence(F.floor((us - seconds * 1_000_000) / 3_600_000_000), F.floor((us + seconds * 1_000_000) / 3_600_000_000))
-    hours = flagged.where(F.col("reason").isNull() & F.col("timestamp").isNotNull()).select(F.explode(near).alias("h")).distinct()
-    return [r[0] for r in hours.select(F.date_format(F.timestamp_seconds(F.col("h") * 3600), KEY_HOUR)).collect()]  # of one batch
+def _key() -> F.Column:
+    """Names an event: a digest, as nulls in one part must not run into another."""
+    return F.sha2(F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in Q.KEY]), {"ignoreNullFields": "false"}), 256)
 
 
-def _keys_of(spark, keys_path: str, hours) -> DataFrame | None:
-    """The stored keys of some hours. Only their folders are listed, however long the stream has run."""
-    paths = [p for p in (os.path.join(keys_path, f"hour={h}") for h in hours) if exists(spark, p)]
-    return spark.read.option("basePath", keys_path).schema(KEYS_SCHEMA).parquet(*paths) if paths else None
+def _spans(flagged: DataFrame, seconds: int) -> list[tuple[str, dt.datetime, dt.datetime]]:
+    """(day, from, to) of what could make a row of the batch a duplicate. Spans are those of the days
+    present, so a single very old row adds its own day and no more."""
+    ok = flagged.where(F.col("reason").isNull() & F.col("timestamp").isNotNull())
+    wide, out = dt.timedelta(seconds=seconds), []
+    for r in ok.groupBy(F.to_date("timestamp").alias("d")).agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")).collect():  # of one batch
+        lo, hi = r["lo"] - wide, r["hi"] + wide
+        out += [((lo.date() + dt.timedelta(days=i)).isoformat(), lo, hi) for i in range((hi.date() - lo.date()).days + 1)]
+    return out
 
 
-KEYS_SCHEMA = "key string, timestamp timestamp, batch_id long, hour string"
+def _day_path(keys_path: str, day: str) -> str:
+    return os.path.join(keys_path, f"day={day}")
 
 
-def _key() -> F.Column:
-    """Names an event: a digest, as nulls in one part must not run into another."""
-    return F.sha2(F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in Q.KEY]), {"ignoreNullFields": "false"}), 256)
+def _keys_of(spark, keys_path: str, days) -> DataFrame | None:
+    """The stored keys of some days. Only their folders are listed, however long the stream has run."""
+    paths = [p for p in (_day_path(keys_path, d) for d in sorted(set(days))) if exists(spark, p)]
+    return spark.read.option("basePath", keys_path).schema(KEYS_SCHEMA).parquet(*paths) if paths else None
 
 
 def _seen_before(flagged: DataFrame, keys_path: str, epoch: int, seconds: int) -> DataFrame:
     """Mark rows whose event an earlier batch kept within ``seconds``. Keys of this and later
-    batches are left out, so a replay sees what the first run saw."""
-    prior = _keys_of(flagged.sparkSession, keys_path, _hours_of(flagged, seconds))
+    batches are left out, so a replay sees what the first run saw; the time filter reaches the
+    files, whose statistics skip what lies elsewhere in the day."""
+    spans = _spans(flagged, seconds)
+    prior = _keys_of(flagged.sparkSession, keys_path, [d for d, _, _ in spans])
     if prior is None:
         return flagged
-    prior = prior.where(F.col("batch_id") < epoch).select(F.col("key").alias("_key"), F.col("timestamp").alias("_seen"))
+    near_day = F.lit(False)
+    for day, lo, hi in spans:
+        near_day = near_day | ((F.col("day") == day) & F.col("timestamp").between(F.lit(lo), F.lit(hi)))
+    prior = prior.where((F.col("batch_id") < epoch) & near_day).select(F.col("key").alias("_key"), F.col("timestamp").alias("_seen"))
     near = F.abs(F.unix_micros("timestamp") - F.unix_micros("_seen")) <= F.lit(seconds * 1_000_000)
     keyed = flagged.withColumn("_k", F.when(F.col("reason").isNull(), _key()))
     hit = keyed.join(prior, (F.col("_k") == F.col("_key")) & near, "left_semi").withColumn("is_duplicate", F.lit(True))
@@ -209,18 +217,19 @@ def _seen_before(flagged: DataFrame, keys_path: str, epoch: int, seconds: int) -
 
 
 def _remember(valid: DataFrame, keys_path: str, epoch: int) -> None:
-    """Append the kept events' keys by hour. An hour that has got many files is compacted: the new
-    files are complete before the old ones go."""
+    """Append the kept events' keys by day, sorted by time. A day that has got many files is compacted:
+    the new files are complete before the old ones go."""
     rows = valid.select(_key().alias("key"), "timestamp", F.lit(epoch).cast("long").alias("batch_id"),
-                        F.date_format(F.date_trunc("hour", "timestamp"), KEY_HOUR).alias("hour"))
-    rows.write.mode("append").partitionBy("hour").parquet(keys_path)
+                        F.date_format("timestamp", "yyyy-MM-dd").alias("day"))
+    rows.repartitionByRange("day", "timestamp").sortWithinPartitions("day", "timestamp").write.mode("append").partitionBy("day").parquet(keys_path)
     spark = valid.sparkSession
-    for h in [r[0] for r in rows.select("hour").distinct().collect()]:  # of one batch
-        held = _keys_of(spark, keys_path, [h])
-        old = held.inputFiles()
+    for day in [r[0] for r in rows.select("day").distinct().collect()]:  # of one batch
+        path = _day_path(keys_path, day)
+        old = [name for name, _, _ in signature(spark, path) if name.endswith(".parquet")]
         if len(old) > KEY_FILES:
-            held.distinct().repartition("key").write.mode("append").partitionBy("hour").parquet(keys_path)
-            remove(spark, *old)
+            held = _keys_of(spark, keys_path, [day]).distinct()
+            held.repartitionByRange("timestamp").sortWithinPartitions("timestamp").write.mode("append").partitionBy("day").parquet(keys_path)
+            remove(spark, *[os.path.join(path, name) for name in old])
 
 
 def _write(df: DataFrame, path: str, by=()) -> None:
@@ -243,7 +252,7 @@ def quality_batch(valid_path: str, dlq_path: str, metrics_path: str, cfg: dict,
     """foreachBatch body: validate, write valid rows and dead letters, and
     one delivery-metrics row per batch. The flagged batch is persisted so the
     writes share one computation. Duplicates are looked for in the batch
-    and in the keys that earlier batches kept (``keys_path``, by hour).
+    and in the keys that earlier batches kept (``keys_path``, by day).
 
     The metrics compare the rows handed over with those found in the batch's folders; what
     is missing counts as ``send_failures``. After a failed write the row is written, then the batch fails, and
