@@ -141,8 +141,8 @@ def test_wallet_state_is_bounded_by_batch_and_horizon(spark, tmp_path):
     schema = "wallet long, blockchain string, ts timestamp, event_id string, ret double"
     paths = [str(tmp_path / k) for k in ("trades", "segments", "scores")]
     fn, everything, files = wallet_alpha_batch(*paths, days=2, min_trades=1, compact_after=3), [], []
-    for epoch in range(14):
-        at = T0 + dt.timedelta(hours=6 * epoch)
+    for epoch in range(16):
+        at = T0 + dt.timedelta(hours=6 * epoch - 24)  # from December on
         rows = [(w, "solana", at + dt.timedelta(minutes=w), f"{epoch}-{w}", ((epoch * 7 + w) % 5 - 2) / 10) for w in ([0, 1, 2] if epoch % 2 else [0, 3])]
         if epoch == 9:
             rows.append((5, "solana", at - dt.timedelta(days=1), "late", 0.3))
@@ -156,10 +156,10 @@ def test_wallet_state_is_bounded_by_batch_and_horizon(spark, tmp_path):
         if files[-1] >= files[-2 if epoch else -1]:  # not compacted by this batch
             assert made.select("wallet", "_tb").distinct().count() == len(days)
     assert max(files[7:]) <= 3 * 8 and max(files) < 14 * 3
-    assert {p.name for p in (tmp_path / "trades").glob("day=*")} == {"day=2024-01-02", "day=2024-01-03", "day=2024-01-04"}
+    assert {p.name for p in (tmp_path / "trades").glob("month=*")} == {"month=2024-01"}
     latest = latest_segments(spark.read.parquet(paths[1]))
     assert latest.groupBy("wallet", "_tb").count().where("count > 1").isEmpty()
-    got = {x.wallet: (x.trade_count, x.max_drawdown, x.alpha) for x in spark.read.parquet(paths[2]).where("batch_id = 13").collect()}
+    got = {x.wallet: (x.trade_count, x.max_drawdown, x.alpha) for x in spark.read.parquet(paths[2]).where("batch_id = 15").collect()}
     assert got == {x.wallet: (x.trade_count, x.max_drawdown, x.alpha) for x in wallet_scores(spark.createDataFrame(everything, schema), None, 2, 1).collect()}
 
 

@@ -1,14 +1,14 @@
 """MOD-004 on a stream: wallet scores kept up to date per micro-batch, in
 DataFrame operations.
 
-State is two tables. Trades are stored by (day, batch); a replayed batch
+State is two tables. Trades are stored by (month, batch), sorted by day; a replayed batch
 overwrites its own part. Summaries of (wallet, day) are stored by month, each with the batch that made it: the
 latest counts. A batch touches some (wallet, day) pairs, late ones included; only their
 summaries are built again, from the stored trades of those days. The scores
 of the horizon are combined from the summaries, as in the batch operator.
 
 Summaries have two tiers: those batches append, and, once a month holds those of many batches, one
-compacted set that replaces them. Days before the horizon are removed. So the files a batch opens
+compacted set that replaces them. Months before the horizon are removed. So the summaries a batch opens
 and the rows it builds depend on the batch and the horizon, not on the number of batches before."""
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradewatch.operators import wallet as W
-from tradewatch.plans.files import partition_values, remove
+from tradewatch.plans.files import partition_values, remove, signature
 
 DAY = 86400
 COMPACT_AFTER = 8  # batches in a month before their summaries are compacted
@@ -61,17 +61,20 @@ def wallet_alpha_batch(trades_path: str, segments_path: str, scores_path: str, d
 
     def fn(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        rows = batch.select("wallet", "blockchain", "ts", "event_id", "ret", F.date_format("ts", "yyyy-MM-dd").alias("day"),
-                            F.lit(epoch).cast("long").alias("batch_id"))
-        rows.write.mode("overwrite").options(**dynamic).partitionBy("day", "batch_id").parquet(trades_path)
-        # a day reads back as text whatever the session infers
+        rows = batch.select("wallet", "blockchain", "ts", "event_id", "ret", F.to_date("ts").alias("day"),
+                            F.date_format("ts", "yyyy-MM").alias("month"), F.lit(epoch).cast("long").alias("batch_id"))
+        rows.sortWithinPartitions("month", "day").write.mode("overwrite").options(**dynamic).partitionBy("month", "batch_id").parquet(trades_path)
+        # a month reads back as text whatever the session infers
         stored = spark.read.schema(rows.schema).parquet(trades_path)
         mine = stored.where(F.col("batch_id") == epoch)
-        touched = [r[0] for r in mine.select("day").distinct().collect()]  # of one batch
+        touched = mine.groupBy("month").agg(F.min("day").alias("lo"), F.max("day").alias("hi")).collect()  # of one batch
         if not touched:
             return
         pairs = mine.select(*W.KEYS, "day").distinct()
-        again = stored.where(F.col("day").isin(touched)).join(pairs, [*W.KEYS, "day"], "left_semi")
+        near = F.lit(False)
+        for m in touched:  # prunes folders and, by the days, files
+            near = near | ((F.col("month") == m["month"]) & F.col("day").between(F.lit(m["lo"]), F.lit(m["hi"])))
+        again = stored.where(near).join(pairs, [*W.KEYS, "day"], "left_semi")
         seg = _segments(again).withColumn("month", _month_of_bucket()).withColumn("batch_id", F.lit(epoch).cast("long"))
         seg.repartition("month", "wallet").write.mode("append").partitionBy("month").parquet(segments_path)
         segments = spark.read.schema(seg.schema).parquet(segments_path)
@@ -80,12 +83,12 @@ def wallet_alpha_batch(trades_path: str, segments_path: str, scores_path: str, d
         lo = as_of - dt.timedelta(days=days)
         first = (lo.date() - dt.date(1970, 1, 1)).days
         # the day the horizon begins in is summed from its trades, later days from their summaries
-        edge = _segments(stored.where((F.col("day") == f"{lo:%Y-%m-%d}") & (F.col("ts") > F.lit(lo))))
+        edge = _segments(stored.where((F.col("month") == f"{lo:%Y-%m}") & (F.col("day") == F.lit(lo.date())) & (F.col("ts") > F.lit(lo))))
         inside = latest_segments(segments.where((F.col("month") >= f"{lo:%Y-%m}") & (F.col("_tb") > first))).select(*edge.columns)
         scores = W.scores_of_segments(inside.unionByName(edge), W.KEYS, min_trades).withColumn("scored_at", F.lit(as_of))
         scores.write.mode("overwrite").parquet(f"{scores_path}/batch_id={epoch}")
-        for month in sorted({d[:7] for d in touched}):
-            _compact(segments.where(F.col("month") == month), segments_path, epoch, compact_after)
-        remove(spark, *[f"{trades_path}/day={d}" for d in partition_values(spark, trades_path, "day") if d < f"{lo:%Y-%m-%d}"],
-               *[f"{segments_path}/month={m}" for m in months if m < f"{lo:%Y-%m}"])
+        for m in touched:
+            if len(signature(spark, f"{segments_path}/month={m['month']}")) > compact_after:  # a batch adds a file at least
+                _compact(segments.where(F.col("month") == m["month"]), segments_path, epoch, compact_after)
+        remove(spark, *[f"{path}/month={m}" for path in (trades_path, segments_path) for m in partition_values(spark, path, "month") if m < f"{lo:%Y-%m}"])
     return fn
