@@ -41,7 +41,7 @@ from tradewatch.llm.trie_bpe import _S, WORDS, TrieBpe
 CHUNK = 1 << 16  # characters of a byte range
 BLOCK = 1 << 22  # characters of a block
 RUN = 1 << 19  # characters encoded together
-CACHE_UNITS, CACHE_WORDS = 250_000, 100_000  # these bound memory only: a full cache is emptied
+CACHE_UNITS, CACHE_WORDS = 500_000, 200_000  # these bound memory only: a full cache is emptied
 JOINED = 20_000  # units encoded together
 MARK = "▁"
 PAIR = 20  # bits of the second id in a pair
