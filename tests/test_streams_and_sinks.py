@@ -206,3 +206,16 @@ def test_lineage_lookups_read_the_days_asked_for(spark, tmp_path):
     kinds = {r.alert_type for r in L.lin_trace_raw(table, trades).select("alert_type").distinct().collect()}
     assert kinds == {r.alert_type for r in alerts.select("alert_type").distinct().collect()}
     assert L.lin_trace_raw(alerts, trades).count() == alerts.count()
+
+
+def test_a_stream_without_alerts_gives_an_empty_result(spark, tmp_path):
+    """Stores that no alert has reached, or no batch."""
+    from tradewatch.suite.streams import _routed
+    none = serve.small_alerts(spark, SF_SMALL).limit(0)
+    columns = ["alert_id", "alert_type", "symbol", "severity", "detected_at", "lineage_module", "in_hot"]
+    for base in ("none", "never"):
+        hot, cold = (str(tmp_path / base / k) for k in ("hot", "cold"))
+        if base == "none":
+            SK.route_alerts(none, hot, cold, 0)
+        r = _routed(spark, str(tmp_path / base))
+        assert r.columns == columns and r.count() == 0

@@ -12,6 +12,7 @@ from tradewatch.functions.columns import alert_id
 
 ALERT_COLUMNS = ["alert_id", "alert_type", "module_id", "symbol", "exchange", "severity", "detected_at", "message",
                  "ttl_epoch", "details"]
+ALERT_SCHEMA = ", ".join(c + {"detected_at": " timestamp", "ttl_epoch": " long"}.get(c, " string") for c in ALERT_COLUMNS)
 
 
 def _col(c) -> Column:

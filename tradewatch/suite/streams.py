@@ -17,8 +17,10 @@ from pyspark.sql import functions as F
 
 from tradewatch.functions.columns import stable_round
 from tradewatch.operators import normalize as N
+from tradewatch.operators.alerts import ALERT_SCHEMA
 from tradewatch.operators.quality import TRADE_JSON_SCHEMA
 from tradewatch.plans.files import remove
+from tradewatch.plans.sinks import read_if_exists
 from tradewatch.sources import adapters as A
 from tradewatch.sources import trades as TR
 from tradewatch.streaming import jobs as J
@@ -151,9 +153,15 @@ def _spread_run(spark, sf):
     return base
 
 
+def _alerts(spark, path):
+    """An alert store; one that no alert has reached has no file to take a schema from."""
+    found = read_if_exists(spark, path)
+    return spark.createDataFrame([], ALERT_SCHEMA) if found is None else found
+
+
 def _routed(spark, base):
     """What reached the cold store, and whether the hot one and the lineage agree."""
-    cold, hot = (spark.read.parquet(os.path.join(base, k)) for k in ("cold", "hot"))
+    cold, hot = (_alerts(spark, os.path.join(base, k)) for k in ("cold", "hot"))
     module = F.get_json_object("details", "$._lineage.module_id")
     return cold.join(hot.select("alert_id", F.lit(True).alias("in_hot")), "alert_id", "left").select(
         "alert_id", "alert_type", "symbol", "severity", "detected_at", module.alias("lineage_module"), F.coalesce("in_hot", F.lit(False)).alias("in_hot"))
