@@ -127,3 +127,15 @@ def test_segments_equal_plain_windows(spark):
     d = d.withColumn("peak", F.greatest(F.lit(0).cast("decimal(38,12)"), F.max("cum").over(up)))
     want = {r.k: float(r.dd) for r in d.groupBy("k").agg(F.greatest(F.max(F.col("peak") - F.col("cum")), F.lit(0)).alias("dd")).collect()}
     assert {r.k: r.max_drawdown for r in WH.max_drawdown(df, ["k"], ["ts", "id"], "v", "ts").collect()} == pytest.approx(want)
+
+
+def test_only_large_keys_are_ranged(spark, monkeypatch):
+    """Small keys cost no range partitioning; a large one is cut, with the same answer."""
+    df, ranged = _hot(spark), []
+    real = WH.time_segments
+    monkeypatch.setattr(WH, "time_segments", lambda rows, *a, **k: ranged.append(1) or real(rows, *a, **k))
+    dd = lambda: {r.k: (r.max_drawdown, r.n) for r in WH.max_drawdown(df, ["k"], ["ts", "id"], "v", "ts", sums=[("n", F.lit(1))]).collect()}
+    plain = dd()
+    assert not ranged and sum(n for _, n in plain.values()) == 3000
+    monkeypatch.setattr(WH, "KEY_ROWS", 1000)
+    assert dd() == plain and len(ranged) == 1

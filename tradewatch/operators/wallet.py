@@ -71,25 +71,31 @@ SEGMENT_SUMS = [("trade_count", lambda: F.lit(1).cast("long")),
                 ("_ret_sum", lambda: F.col("ret").cast(RET))]
 
 
+def _figures() -> dict:
+    return {"sums": [(n, c()) for n, c in SEGMENT_SUMS], "maxima": [("scored_at", F.col("_as_of")), ("_last", F.struct("ts", "event_id"))]}
+
+
 def wallet_segments(df: DataFrame, keys, bucket_seconds: int | None) -> DataFrame:
     """Summaries per (key, segment): counts, returns, drawdown parts; needs ``_as_of``."""
-    return drawdown_segments(df, keys, ["ts", "event_id"], "ret", "ts", bucket_seconds,
-                             sums=[(n, c()) for n, c in SEGMENT_SUMS],
-                             maxima=[("scored_at", F.col("_as_of")), ("_last", F.struct("ts", "event_id"))])
+    return drawdown_segments(df, keys, ["ts", "event_id"], "ret", "ts", bucket_seconds, **_figures())
 
 
 def scores_of_segments(seg: DataFrame, keys, min_trades: int) -> DataFrame:
     """Summaries to scores: one row per key with alpha and its latest event."""
-    s = combine_drawdown(seg, keys, sums=[n for n, _ in SEGMENT_SUMS], maxima=["scored_at", "_last"])
+    return _scored(combine_drawdown(seg, keys, sums=[n for n, _ in SEGMENT_SUMS], maxima=["scored_at", "_last"]), keys, min_trades)
+
+
+def _scored(s: DataFrame, keys, min_trades: int, more=()) -> DataFrame:
     stats = s.select(*keys, "scored_at", "trade_count", "wins", (F.col("wins") / F.col("trade_count")).alias("win_rate"),
                      (F.col("_ret_sum").cast("double") / F.col("trade_count")).alias("avg_return"), "max_drawdown",
-                     F.col("_last.ts").alias("last_timestamp"), F.col("_last.event_id").alias("last_event_id"))
+                     F.col("_last.ts").alias("last_timestamp"), F.col("_last.event_id").alias("last_event_id"), *more)
     return _with_alpha(stats, min_trades)
 
 
-def _scores(df: DataFrame, keys, min_trades: int, bucket_seconds: int | None) -> DataFrame:
-    """Counts, returns and drawdown of each key from one bucketed pass, and alpha."""
-    return scores_of_segments(wallet_segments(df, keys, bucket_seconds), keys, min_trades)
+def _scores(df: DataFrame, keys, min_trades: int, bucket_seconds: int | None, sets=()) -> DataFrame:
+    """Counts, returns and drawdown of each key from one pass, and alpha."""
+    s = max_drawdown(df, keys, ["ts", "event_id"], "ret", "ts", bucket_seconds, **_figures(), sets=sets)
+    return _scored(s, keys, min_trades, [n for n, _ in sets])
 
 
 def wallet_scores(df: DataFrame, as_of=None, days: int = 30, min_trades: int = 5, bucket_seconds: int | None = None) -> DataFrame:
@@ -99,13 +105,14 @@ def wallet_scores(df: DataFrame, as_of=None, days: int = 30, min_trades: int = 5
 
 
 def wallet_scores_periodic(df: DataFrame, width: str, min_trades: int = 5,
-                           bucket_seconds: int | None = None) -> DataFrame:
+                           bucket_seconds: int | None = None, symbols: bool = False) -> DataFrame:
     """Scores per tumbling scoring period (``scored_at`` = period end): one
-    scoring run per period, as a daily job would write them."""
+    scoring run per period, as a daily job would write them. With ``symbols`` a score
+    tells which symbols the wallet traded in the period, each as a struct, for ``alpha_by_symbol``."""
     p = df.withColumn("_w", F.window("ts", width)).withColumn("_as_of", F.col("_w.end")) \
         .withColumn("period_start", F.col("_w.start")).drop("_w")
     keys = [*KEYS, "period_start"]
-    return _scores(p, keys, min_trades, bucket_seconds)
+    return _scores(p, keys, min_trades, bucket_seconds, [("symbols", F.struct("symbol"))] if symbols else ())
 
 
 def alpha_percentile(scores: DataFrame, out_col: str = "alpha_percentile") -> DataFrame:
@@ -115,21 +122,15 @@ def alpha_percentile(scores: DataFrame, out_col: str = "alpha_percentile") -> Da
     return distributed_percent_rank(stored(scores, "wallet-scores"), ["blockchain", "scored_at"], "alpha", out_col)
 
 
-def alpha_by_symbol(trades: DataFrame, ranked: DataFrame) -> DataFrame:
+def alpha_by_symbol(ranked: DataFrame) -> DataFrame:
     """symbol, scored_at, alpha_pct: the mean alpha percentile of the wallets that traded the symbol in a scoring
-    period, each wallet once. ``trades`` and ``ranked`` have the wallet keys and ``period_start``."""
-    active = trades.select(*KEYS, "period_start", "symbol").distinct()  # a hot wallet is one row a period and symbol
-    known = ranked.where(F.col("alpha_percentile").isNotNull()).select(*KEYS, "period_start", "scored_at", "alpha_percentile")
-    g = active.join(known, [*KEYS, "period_start"]).groupBy("symbol", "scored_at").agg(
+    period, each wallet once. ``ranked`` are periodic scores with ``symbols`` and their percentile."""
+    known = ranked.where(F.col("alpha_percentile").isNotNull()).select("scored_at", "alpha_percentile", F.explode("symbols").alias("s"))
+    g = known.groupBy(F.col("s.symbol").alias("symbol"), "scored_at").agg(
         F.sum(F.col("alpha_percentile").cast("decimal(20,12)")).alias("_s"), F.count(F.lit(1)).alias("_n"))
     return g.select("symbol", "scored_at", (F.col("_s").cast("double") / F.col("_n")).alias("alpha_pct"))
 
 
-def with_period(df: DataFrame, width: str) -> DataFrame:
-    """Add ``period_start``, the tumbling scoring period of a trade."""
-    return df.withColumn("period_start", F.window("ts", width).start)
-
-
 def wallet_high_alpha(scores: DataFrame, pct: float = 0.95, high_pct: float = 0.99) -> DataFrame:
     """``high_alpha_wallet`` alerts for alpha above the ``pct`` percentile of
     its scoring run (high above ``high_pct``). The percentile is exact: the

@@ -11,7 +11,7 @@ third of the partitions, also where all its rows lie in one minute.
 * ``bucketed_last``: as-of fill (last non-null value at or before each row).
 * ``asof_fill``: the same for several sources onto given points, in one pass.
 * ``max_drawdown``: largest fall of a running sum below its running peak,
-  combined from per-segment summaries.
+  for large keys combined from per-segment summaries.
 * ``distributed_percent_rank``: exact percent_rank per group via a range
   partitioned sort of distinct values (no single-partition window).
 """
@@ -61,7 +61,9 @@ def time_segments(df: DataFrame, keys, order_cols, partitions: int | None = None
 
 
 def _segmented(df: DataFrame, keys, order_cols, ts_col: str, bucket_seconds: int | None) -> DataFrame:
-    """Adaptive segments, or fixed time buckets where a width is given (for summaries that are kept)."""
+    """Adaptive segments, or fixed time buckets where a width is given (for summaries that are kept), or those a row names already."""
+    if "_tb" in df.columns:
+        return df
     if bucket_seconds is None:
         return time_segments(df, keys, order_cols)
     return df.withColumn("_tb", F.floor(_seconds(ts_col) / F.lit(bucket_seconds)).cast("long"))
@@ -144,43 +146,63 @@ def asof_fill(points: DataFrame, t_col: str, sources: dict[str, DataFrame], keys
 
 
 def max_drawdown(df: DataFrame, keys, order_cols, value_col: str, ts_col: str, bucket_seconds: int | None = None,
-                 out_col: str = "max_drawdown", sums=(), maxima=()) -> DataFrame:
+                 out_col: str = "max_drawdown", sums=(), maxima=(), sets=()) -> DataFrame:
     """Per key: max over rows of (running peak of the cumulative sum, starting
     at 0) minus the cumulative sum. Values are summed as DECIMAL so the answer
-    does not depend on summation order. Per-segment summaries (total, lowest
-    running sum, highest running sum, internal drawdown) are combined in time
-    order on the small per-segment table, so no task holds a whole key. Rows
-    without a value change nothing; a key without any value gets null.
+    does not depend on summation order. Rows without a value change nothing; a key without any value gets null.
 
-    ``sums`` and ``maxima`` are (name, Column) pairs that the same per-bucket
-    aggregation totals for each key, so that other figures of the key need no second pass."""
-    seg = drawdown_segments(df, keys, order_cols, value_col, ts_col, bucket_seconds, sums, maxima)
-    return combine_drawdown(seg, keys, out_col, [n for n, _ in sums], [n for n, _ in maxima])
+    Keys are counted by hash class first. Keys of small classes run as they are, each in one window. Those of a class that
+    may hold a large key are cut into segments, whose summaries (total, lowest running sum, highest running sum, internal
+    drawdown) are combined in time order on the small per-segment table, so no task holds a large key.
+
+    ``sums``, ``maxima`` and ``sets`` are (name, Column) pairs that the same aggregation totals (or
+    collects, for few distinct values) for each key, so that other figures of the key need no second pass."""
+    keys, order_cols = list(keys), list(order_cols)
+    names = [[n for n, _ in x] for x in (sums, maxima, sets)]
+    segmented = lambda d: combine_drawdown(
+        drawdown_segments(d, keys, order_cols, value_col, ts_col, bucket_seconds, sums, maxima, sets), keys, out_col, *names)
+    if bucket_seconds is not None:
+        return segmented(df)
+    key_class = F.pmod(F.xxhash64(*keys), F.lit(KEY_CLASSES))
+    sizes = df.groupBy(key_class.alias("c")).agg(F.count(F.lit(1)).alias("n"))
+    large = [r["c"] for r in sizes.where(F.col("n") > KEY_ROWS).collect()]  # KEY_CLASSES at most
+    small = df.where(~key_class.isin(large)) if large else df
+    one = _summaries(small.withColumn("_v", F.col(value_col).cast(_DEC)), keys, order_cols, sums, maxima, sets)
+    zero = F.lit(0).cast(_DEC)
+    out = one.select(*keys, F.when(F.col("_values") > 0, F.greatest("_inner", zero - F.col("_low"), zero)).cast("double").alias(out_col),
+                     *[n for x in names for n in x])
+    return out.unionByName(segmented(df.where(key_class.isin(large)))) if large else out
 
 
 _DEC = "decimal(38,12)"
+KEY_CLASSES = 1 << 16  # hash classes of keys
+KEY_ROWS = 250_000  # a class with more rows may hold a large key; its keys are cut into segments
 
 
 def drawdown_segments(df: DataFrame, keys, order_cols, value_col: str, ts_col: str, bucket_seconds: int | None = None,
-                      sums=(), maxima=()) -> DataFrame:
+                      sums=(), maxima=(), sets=()) -> DataFrame:
     """One summary per (key, segment ``_tb``) for ``combine_drawdown``. With fixed time buckets a
     summary depends on the rows of that bucket only, so it can be stored."""
     keys, order_cols = list(keys), list(order_cols)
-    slim = df.select(*dict.fromkeys([*keys, *order_cols, ts_col]), F.col(value_col).cast(_DEC).alias("_v"),
-                     *[c.alias(n) for n, c in [*sums, *maxima]])
-    d = _segmented(slim, keys, order_cols, ts_col, bucket_seconds)
-    w = Window.partitionBy(*keys, "_tb").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
+    slim = df.select(*dict.fromkeys([*keys, *order_cols, ts_col, *[c for c in df.columns if c == "_tb"]]), F.col(value_col).cast(_DEC).alias("_v"),
+                     *[c.alias(n) for n, c in [*sums, *maxima, *sets]])
+    own = [[(n, F.col(n)) for n, _ in x] for x in (sums, maxima, sets)]
+    return _summaries(_segmented(slim, keys, order_cols, ts_col, bucket_seconds), [*keys, "_tb"], order_cols, *own)
+
+
+def _summaries(d: DataFrame, keys, order_cols, sums, maxima, sets) -> DataFrame:
+    w = Window.partitionBy(*keys).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
     d = d.withColumn("_cum", F.sum("_v").over(w))
     d = d.withColumn("_peak", F.max("_cum").over(w))
-    return d.groupBy(*keys, "_tb").agg(
+    return d.groupBy(*keys).agg(
         F.max(F.col("_peak") - F.col("_cum")).alias("_inner"),       # drawdown from a peak inside the bucket
         F.min("_cum").alias("_low"),
         F.max("_cum").alias("_high"),
         F.sum("_v").alias("_total"), F.count("_v").alias("_values"),
-        *[F.sum(n).alias(n) for n, _ in sums], *[F.max(n).alias(n) for n, _ in maxima])
+        *[F.sum(c).alias(n) for n, c in sums], *[F.max(c).alias(n) for n, c in maxima], *[F.collect_set(c).alias(n) for n, c in sets])
 
 
-def combine_drawdown(seg: DataFrame, keys, out_col: str = "max_drawdown", sums=(), maxima=()) -> DataFrame:
+def combine_drawdown(seg: DataFrame, keys, out_col: str = "max_drawdown", sums=(), maxima=(), sets=()) -> DataFrame:
     """Summaries of a key's buckets, in time order, to its drawdown and totals."""
     keys, dec = list(keys), _DEC
     wb = Window.partitionBy(*keys).orderBy("_tb")
@@ -194,7 +216,8 @@ def combine_drawdown(seg: DataFrame, keys, out_col: str = "max_drawdown", sums=(
                                            F.lit(0).cast(dec)))
     return seg.groupBy(*keys).agg(
         F.when(F.sum("_values") > 0, F.max("_dd")).cast("double").alias(out_col),
-        *[F.sum(n).alias(n) for n in sums], *[F.max(n).alias(n) for n in maxima])
+        *[F.sum(n).alias(n) for n in sums], *[F.max(n).alias(n) for n in maxima],
+        *[F.array_distinct(F.flatten(F.collect_list(n))).alias(n) for n in sets])
 
 
 def distributed_percent_rank(df: DataFrame, group_cols, value_col: str, out_col: str = "percent_rank",

@@ -106,8 +106,8 @@ def _wallets(run: Run, m: str) -> DataFrame:
     c = run.cfg["wallet_scorer"]
     trades = run.read("wallet_trades", m)
     width = f"{int(c['period_days'])} days"
-    scores = stored(WS.wallet_scores_periodic(trades, width, c["min_trades"]), "wallet-scores")
-    run.made["symbol_alpha"] = lambda: WS.alpha_by_symbol(WS.with_period(trades, width), WS.alpha_percentile(scores))
+    scores = stored(WS.wallet_scores_periodic(trades, width, c["min_trades"], symbols=True), "wallet-scores")
+    run.made["symbol_alpha"] = lambda: WS.alpha_by_symbol(WS.alpha_percentile(scores))
     rows = run.source(m, "wallet_scorer", "wallet_trades", F.col("last_event_id"), (F.col("blockchain"), F.col("wallet")), "last_timestamp")(scores)
     return alert_union(WS.wallet_high_alpha(rows, c["high_alpha_pct"]), WS.wallet_score_change(rows, c["score_delta"]))
 

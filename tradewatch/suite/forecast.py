@@ -205,8 +205,7 @@ sql("bt_degradation", with_(TRADES_E) + BT_SQL + DEGRADATION_SQL)
 
 def symbol_alpha(spark, sf):
     """Alpha percentile of a symbol's wallets at every scoring run."""
-    t = W.with_period(A.wallet_trades_live(spark, sf), RUN_W)
-    return W.alpha_by_symbol(t, W.alpha_percentile(W.wallet_scores_periodic(A.wallet_trades_live(spark, sf), RUN_W, MIN_RUN_TRADES)))
+    return W.alpha_by_symbol(W.alpha_percentile(W.wallet_scores_periodic(A.wallet_trades_live(spark, sf), RUN_W, MIN_RUN_TRADES, symbols=True)))
 
 
 def features(spark, sf):
