@@ -219,3 +219,33 @@ def test_a_stream_without_alerts_gives_an_empty_result(spark, tmp_path):
             SK.route_alerts(none, hot, cold, 0)
         r = _routed(spark, str(tmp_path / base))
         assert r.columns == columns and r.count() == 0
+
+
+def test_slices_are_written_by_several_tasks(spark, monkeypatch):
+    """All cores write a slice; a micro-batch takes its files, and the slices come in the order of time."""
+    from tradewatch.suite import streams as ST
+    monkeypatch.setattr(ST, "FILE_ROWS", 50)
+    path = ST._in_slices(spark, SF_SMALL, "sliced_test", lambda: A.trades_e(spark, SF_SMALL), F.col("timestamp"))
+    rows = spark.read.parquet(path)
+    per = F.element_at(F.split(F.input_file_name(), "/"), -1)
+    got = rows.groupBy(per.alias("f")).agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")).orderBy("hi").collect()
+    n = len(got) // ST.SLICES
+    assert n > 1 and len(got) == n * ST.SLICES and rows.count() == A.trades_e(spark, SF_SMALL).count()
+    parts = [got[i * n:(i + 1) * n] for i in range(ST.SLICES)]
+    assert all(max(x.hi for x in a) < min(x.lo for x in b) for a, b in zip(parts, parts[1:], strict=False))
+
+
+def test_wallet_summaries_of_a_batch_are_few_files(spark, tmp_path):
+    from tradewatch.streaming.wallet_state import MONTH_PARTS, wallet_alpha_batch
+    schema = "wallet long, blockchain string, ts timestamp, event_id string, ret double"
+    rows = [(w, "solana", T0 + dt.timedelta(minutes=w), f"{w}", 0.1) for w in range(400)]
+    paths = [str(tmp_path / k) for k in ("trades", "segments", "scores")]
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        wallet_alpha_batch(*paths)(spark.createDataFrame(rows, schema), 0)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert 1 < len(list((tmp_path / "segments").glob("month=*/*.parquet"))) <= MONTH_PARTS

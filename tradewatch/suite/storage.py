@@ -27,7 +27,7 @@ from tradewatch.suite.registry import PROCESSED_AT, query, sql
 from tradewatch.suite.serve import BASE, BASE_SQL, SMALL_SQL, RUN_CFG, small_alerts
 
 CUT = "2024-01-20 00:00:00"
-FIXTURE_VERSION = "v2"
+FIXTURE_VERSION = "v3"
 
 
 def _tag(spark, sf: str) -> str:

@@ -1,7 +1,7 @@
 """Registered queries: Structured Streaming jobs (SURVEY 2.11 streams,
 2.1 src_trades_stream, 2.8 wallet_alpha_incremental).
 
-Each query streams the whole input folder, a micro-batch per file, with an availableNow trigger into
+Each query streams the whole input folder, a micro-batch per slice, with an availableNow trigger into
 fresh sink and checkpoint folders under ``spark.checkpoint.dir``, waits for
 the run to finish, and returns the sink read back. Append-mode windows are
 emitted once the watermark passes their end, so the oracles drop windows
@@ -19,7 +19,8 @@ from tradewatch.functions.columns import stable_round
 from tradewatch.operators import normalize as N
 from tradewatch.operators.alerts import ALERT_SCHEMA
 from tradewatch.operators.quality import TRADE_JSON_SCHEMA
-from tradewatch.plans.files import remove
+from tradewatch.operators.windows import stored
+from tradewatch.plans.files import remove, signature
 from tradewatch.plans.sinks import read_if_exists
 from tradewatch.sources import adapters as A
 from tradewatch.sources import trades as TR
@@ -35,31 +36,41 @@ from tradewatch.suite.storage import fixture, fresh
 VOL_WM, SPREAD_WM, FLOW_WM = "30 seconds", "15 seconds", "30 seconds"
 
 
-SLICES = 4  # parts of the time span that arrive one after the other, each as a micro-batch or several
+SLICES = 4  # parts of the rows that arrive one after the other, each as a micro-batch
+FILE_ROWS = 50_000  # a slice has a file for so many rows, one per core at most
+
+
+def _files(spark, rows: int) -> int:
+    return max(1, min(spark.sparkContext.defaultParallelism, rows // FILE_ROWS))
 
 
 def _in_slices(spark, sf, name, table, ts):
     """A source folder whose files arrive in the order of ``ts``: the file source takes them by
-    change time, so the slices are written one by one (rows without a time come first)."""
+    change time, so the slices are written one by one (rows without a time come first). The rows are made once, by
+    all cores; slices have about the same number of rows and, as a micro-batch takes, the same number of files."""
     def build(path):
-        df = table()
-        at = F.unix_micros(ts)
-        lo, hi = df.agg(F.min(at), F.max(at)).first()
-        part = F.coalesce(F.floor((at - F.lit(lo)) * F.lit(SLICES) / F.lit(max(hi - lo, 1) + 1)), F.lit(0))
+        df = stored(table().withColumn("_at", F.unix_micros(ts)), name)
+        cuts = df.agg(F.percentile_approx("_at", [i / SLICES for i in range(1, SLICES)], 1000)).first()[0] or []
+        part = sum([F.when(F.col("_at") > c, 1).otherwise(0) for c in cuts], F.lit(0))
+        sizes = {r["part"]: r["count"] for r in df.groupBy(part.alias("part")).count().collect()}  # SLICES at most
+        files = _files(spark, min(sizes.get(i, 0) for i in range(SLICES)))
         remove(spark, path)  # of a writer that was cut short
         for i in range(SLICES):
-            df.where(part == i).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", str(i == SLICES - 1).lower()).mode("append").parquet(path)
+            rows = df.where(part == i).drop("_at")
+            rows = rows.repartition(files) if files > 1 else rows.coalesce(1)
+            rows.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", str(i == SLICES - 1).lower()).mode("append").parquet(path)
             time.sleep(1.1)  # change times may have whole seconds only
     return fixture(spark, sf, name, build)
 
 
 def _stream(spark, path, schema):
-    """A micro-batch per file."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+    """A micro-batch per slice."""
+    files = sum(name.endswith(".parquet") for name, _, _ in signature(spark, path))
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", max(1, files // SLICES)).parquet(path)
 
 
 def trades_source(spark, sf):
-    path = _in_slices(spark, sf, "trades_slices", lambda: A.trades_e(spark, sf).coalesce(1), F.col("timestamp"))
+    path = _in_slices(spark, sf, "trades_slices", lambda: A.trades_e(spark, sf), F.col("timestamp"))
     return _stream(spark, path, spark.read.parquet(path).schema)
 
 
@@ -223,7 +234,7 @@ def _dq_run(spark, sf, slices):
     """The dirty feed in micro-batches by event time, or as one."""
     if slices:
         at = F.try_to_timestamp(F.regexp_replace(F.get_json_object("value", "$.timestamp"), "Z$", ""))
-        path = _in_slices(spark, sf, "dirty_slices", lambda: A.raw_dirty(spark, sf).coalesce(1), at)
+        path = _in_slices(spark, sf, "dirty_slices", lambda: A.raw_dirty(spark, sf), at)
     else:
         path = fixture(spark, sf, "raw_dirty", lambda where: A.raw_dirty(spark, sf).write.mode("overwrite").parquet(where))
     schema = "key string, value string"
@@ -263,7 +274,10 @@ SELECT CAST(0 AS BIGINT) AS batch_id, count(*) AS processed,
 @query("wallet_alpha_incremental")
 def q_wallet_alpha_incremental(spark, sf):
     # slices by trade, not by time: each batch brings late rows of all days
-    path = fixture(spark, sf, "wallet_slices", lambda where: A.wallet_trades(spark, sf).repartition(SLICES, "event_id").write.mode("overwrite").parquet(where))
+    def build(where):
+        files = _files(spark, A.trades_l(spark, sf).count() // SLICES)
+        A.wallet_trades(spark, sf).repartition(SLICES * files, "event_id").write.mode("overwrite").parquet(where)
+    path = fixture(spark, sf, "wallet_slices", build)
     src = _stream(spark, path, spark.read.parquet(path).schema)
     base, ck = fresh(spark, "wallet_alpha"), fresh(spark, "ck")
     fn = wallet_alpha_batch(*[os.path.join(base, k) for k in ("trades", "segments", "scores")], identity.DAYS, identity.MIN_TRADES)
