@@ -25,10 +25,22 @@ DAY = 86400
 COMPACT_AFTER = 8  # batches in a month before their summaries are compacted
 
 
+MONTH_PARTS = 8  # tasks that write a month's summaries
+
+
 def _segments(trades: DataFrame) -> DataFrame:
     return W.wallet_segments(trades.withColumn("_as_of", F.col("ts")), W.KEYS, DAY)
 
 
+def _day_number():
+    return F.floor(F.unix_micros("ts") / F.lit(DAY * 1_000_000)).cast("long")
+
+
+def _spread(segments: DataFrame) -> DataFrame:
+    """Summaries laid out so that a month is written by several tasks, but not by all."""
+    return segments.repartition("month", F.pmod(F.xxhash64("wallet"), F.lit(MONTH_PARTS)))
+
+
 def _month_of_bucket() -> F.Column:
     return F.date_format(F.date_add(F.lit("1970-01-01").cast("date"), F.col("_tb").cast("int")), "yyyy-MM")
 
@@ -41,14 +53,12 @@ def latest_segments(segments: DataFrame) -> DataFrame:
     return won.select(*own, "s.*")
 
 
-def _compact(month_df: DataFrame, segments_path: str, epoch: int, after: int) -> None:
-    """Replace a month's summaries by the latest ones, once more than ``after`` batches have added to it. The
+def _compact(month_df: DataFrame, segments_path: str, epoch: int) -> None:
+    """Replace a month's summaries by the latest ones. The
     new files are complete before the old ones go: a failure in between leaves copies, no gap."""
     old = month_df.inputFiles()  # bounded by the compaction itself
-    if month_df.select("batch_id").distinct().limit(after + 1).count() <= after:
-        return
     rows = latest_segments(month_df).withColumn("batch_id", F.lit(epoch).cast("long"))
-    rows.repartition("month", "wallet").write.mode("append").partitionBy("month").parquet(segments_path)
+    _spread(rows).write.mode("append").partitionBy("month").parquet(segments_path)
     remove(month_df.sparkSession, *old)
 
 
@@ -70,13 +80,13 @@ def wallet_alpha_batch(trades_path: str, segments_path: str, scores_path: str, d
         touched = mine.groupBy("month").agg(F.min("day").alias("lo"), F.max("day").alias("hi")).collect()  # of one batch
         if not touched:
             return
-        pairs = mine.select(*W.KEYS, "day").distinct()
+        pairs = mine.select(*W.KEYS, _day_number().alias("_tb")).distinct()
         near = F.lit(False)
         for m in touched:  # prunes folders and, by the days, files
             near = near | ((F.col("month") == m["month"]) & F.col("day").between(F.lit(m["lo"]), F.lit(m["hi"])))
-        again = stored.where(near).join(pairs, [*W.KEYS, "day"], "left_semi")
+        again = stored.where(near).withColumn("_tb", _day_number()).join(pairs, [*W.KEYS, "_tb"], "left_semi")
         seg = _segments(again).withColumn("month", _month_of_bucket()).withColumn("batch_id", F.lit(epoch).cast("long"))
-        seg.repartition("month", "wallet").write.mode("append").partitionBy("month").parquet(segments_path)
+        _spread(seg).write.mode("append").partitionBy("month").parquet(segments_path)
         segments = spark.read.schema(seg.schema).parquet(segments_path)
         months = partition_values(spark, segments_path, "month")
         as_of = segments.where(F.col("month") == months[-1]).agg(F.max("scored_at")).first()[0]  # the latest day's month
@@ -84,11 +94,14 @@ def wallet_alpha_batch(trades_path: str, segments_path: str, scores_path: str, d
         first = (lo.date() - dt.date(1970, 1, 1)).days
         # the day the horizon begins in is summed from its trades, later days from their summaries
         edge = _segments(stored.where((F.col("month") == f"{lo:%Y-%m}") & (F.col("day") == F.lit(lo.date())) & (F.col("ts") > F.lit(lo))))
-        inside = latest_segments(segments.where((F.col("month") >= f"{lo:%Y-%m}") & (F.col("_tb") > first))).select(*edge.columns)
+        # a wallet's summaries, a few per day, meet once for their latest and for the score
+        inside = latest_segments(segments.where((F.col("month") >= f"{lo:%Y-%m}") & (F.col("_tb") > first)).repartition(*W.KEYS)).select(*edge.columns)
         scores = W.scores_of_segments(inside.unionByName(edge), W.KEYS, min_trades).withColumn("scored_at", F.lit(as_of))
         scores.write.mode("overwrite").parquet(f"{scores_path}/batch_id={epoch}")
-        for m in touched:
-            if len(signature(spark, f"{segments_path}/month={m['month']}")) > compact_after:  # a batch adds a file at least
-                _compact(segments.where(F.col("month") == m["month"]), segments_path, epoch, compact_after)
+        many = [m["month"] for m in touched if len(signature(spark, f"{segments_path}/month={m['month']}")) > compact_after]  # a batch adds a file at least
+        if many:
+            batches = segments.where(F.col("month").isin(many)).groupBy("month", "batch_id").agg(F.lit(1)).groupBy("month").count()
+            for m in batches.where(F.col("count") > compact_after).collect():  # months of one batch
+                _compact(segments.where(F.col("month") == m["month"]), segments_path, epoch)
         remove(spark, *[f"{path}/month={m}" for path in (trades_path, segments_path) for m in partition_values(spark, path, "month") if m < f"{lo:%Y-%m}"])
     return fn
