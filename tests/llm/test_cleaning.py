@@ -1,6 +1,7 @@
 """Quality rules, line templates, mixing, secrets, licences and the classifier."""
 
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -379,3 +380,14 @@ def test_trees_learn_a_step():
     y = ((x[:, 1] > 0.3) ^ (x[:, 2] > 0)).astype(float)
     s = fit(x, y).score(x)
     assert ((s >= 0.5) == y).mean() > 0.97
+
+
+def test_every_close_pair_is_linked(spark):
+    from tradewatch.llm.template_lines import _links
+    r = random.Random(8)
+    toks = {(leaf, v): [0] * LEADING + [r.randrange(1, 4) for _ in range(5 + leaf)] for leaf in range(3) for v in range(40)}
+    rows = spark.createDataFrame([(leaf, v, 1, t) for (leaf, v), t in toks.items()], "leaf long, variant long, docs long, toks array<long>")
+    got = sorted((x.leaf, *sorted((x.variant, x.head))) for x in _links(rows, rows).collect())
+    same = lambda a, b: sum(x == y for x, y in zip(a[LEADING:], b[LEADING:], strict=True))
+    want = [(leaf, a, b) for leaf in range(3) for a in range(40) for b in range(a + 1, 40) if same(toks[leaf, a], toks[leaf, b]) >= CLOSE * (5 + leaf)]
+    assert got == want and len(want) > 100

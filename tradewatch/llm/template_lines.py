@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradewatch.llm.common import numbered, saved
@@ -34,7 +34,6 @@ LEADING = 4
 MIN_DOCS = 3
 LONG = 10
 CLOSE = 0.6  # share of the tokens behind the leading ones that agree with the seed
-CLASSES = 4  # variants of a cell are compared with the highest-ranked one of each hash class
 BITS = 25  # leaves are looked up in a bitmap of so many address bits; what it lets pass by chance is joined away
 SEEN = 200_000  # bounds memory only: variants a task remembers to have sent
 _DIGIT = regex.compile(rb"[0-9]")
@@ -148,21 +147,21 @@ def _instances(src: DataFrame, variants: DataFrame, min_docs: int) -> DataFrame:
 
 
 def _links(left: DataFrame, rows: DataFrame) -> DataFrame:
-    """leaf, variant, head, hw: the variants left that are close to a higher-ranked one.
+    """leaf, variant, head, hw: every variant left with every higher-ranked one it is close to.
 
-    Variants meet in the cells (position, token) of their leaf behind the leading tokens: two that
-    are close share one. In every cell all are compared with the highest-ranked variant of each hash class. The rank
+    Variants meet in the cells (position, token) of their leaf behind the leading tokens. Two that agree in k of m
+    positions share one of their m - k + 1 rarest cells each, so only those are joined; no pair is left out. The rank
     is the number of variants met in all cells, so a line that many documents hold weighs as one."""
     cell = ["leaf", "pos", "tok"]
-    beyond = F.slice("toks", LEADING + 1, F.greatest(F.size("toks") - LEADING, F.lit(0)))
-    cells = saved(left.select("leaf", "variant", F.posexplode(beyond).alias("pos", "tok")), "template-cells")
+    m = F.greatest(F.size("toks") - LEADING, F.lit(0))
+    cells = saved(left.select("leaf", "variant", m.alias("m"), F.posexplode(F.slice("toks", LEADING + 1, m)).alias("pos", "tok")), "template-cells")
     sizes = saved(cells.groupBy(*cell).agg(F.count(F.lit(1)).alias("c")).filter("c > 1"), "template-cell-sizes")
-    cells = saved(cells.join(sizes, cell), "template-shared-cells")
-    weight = saved(cells.groupBy("leaf", "variant").agg(F.sum("c").alias("w")), "template-ranks")
-    ranked = saved(cells.join(weight, ["leaf", "variant"]).select("leaf", "variant", "pos", "tok", "w"), "template-ranked")
-    top = saved(ranked.groupBy(*cell, F.pmod("variant", F.lit(CLASSES))).agg(F.max(F.struct("w", "variant")).alias("top")).select(
-        *cell, F.col("top.w").alias("hw"), F.col("top.variant").alias("head")), "template-heads")
-    met = ranked.join(top, cell)
+    cells = saved(cells.join(sizes, cell), "template-shared-cells")  # a cell of one variant is rarer than these
+    own = Window.partitionBy("leaf", "variant")
+    place = F.col("m") - F.count(F.lit(1)).over(own) + F.row_number().over(own.orderBy("c", "pos", "tok"))
+    ranked = cells.select(*cell, "variant", F.sum("c").over(own).alias("w"), place.alias("place"), (F.col("m") - F.ceil(CLOSE * F.col("m")) + 1).alias("rarest"))
+    ranked = saved(ranked.filter("place <= rarest").select(*cell, "variant", "w"), "template-ranked")
+    met = ranked.join(ranked.select(*cell, F.col("variant").alias("head"), F.col("w").alias("hw")), cell)
     pairs = saved(met.filter("hw > w OR hw = w AND head > variant").select("leaf", "variant", "head", "hw").distinct(), "template-pairs")
     toks = rows.select("leaf", "variant", "toks")
     pairs = pairs.join(toks, ["leaf", "variant"]).join(toks.select("leaf", F.col("variant").alias("head"), F.col("toks").alias("ht")), ["leaf", "head"])
