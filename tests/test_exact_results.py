@@ -112,3 +112,16 @@ def test_overlong_epochs_become_null(spark):
     rows = ['{"e":"trade","E":1,"s":"BTCUSDT","t":%d,"p":"1","q":"1","T":%d,"m":true}' % x for x in ((1, 2 ** 63 - 1), (2, -2 ** 63), (3, 1_700_000_000_000))]
     got = N.norm_venue_a(spark.createDataFrame([(r,) for r in rows], "value string"), ingested_at="2024-01-01").collect()
     assert [(r.event_id, r.timestamp is None) for r in got] == [("1", True), ("2", True), ("3", False)]
+
+
+def test_symbol_alpha_counts_each_named_wallet_once(spark):
+    from tradewatch.operators.wallet import alpha_by_symbol, alpha_percentile, wallet_scores_periodic
+    rets = {1: [.1, -.1, .3], 2: [.1, -.3, .1], 3: [.2, -.1, .5], None: [.4, -.1, .4]}
+    rows = [(w, "solana", f"2024-01-01 0{i}:00:00", f"{w}-{i}", r, s) for w, x in rets.items() for i, r in enumerate(x)
+            for s in (["X", "Y"] if w == 1 else ["X"])]
+    t = spark.createDataFrame(rows, "wallet long, blockchain string, at string, event_id string, ret double, symbol string").withColumn("ts", F.col("at").cast("timestamp"))
+    ranked = alpha_percentile(wallet_scores_periodic(t, "3 days", 1, symbols=True))
+    rank = {r.wallet: r.alpha_percentile for r in ranked.collect()}
+    got = {r.symbol: r.alpha_pct for r in alpha_by_symbol(ranked).collect()}
+    assert set(rank) == {1, 2, 3, None} and rank[None] is not None
+    assert {k: round(v, 6) for k, v in got.items()} == {"X": round((rank[1] + rank[2] + rank[3]) / 3, 6), "Y": round(rank[1], 6)}

@@ -124,8 +124,8 @@ def alpha_percentile(scores: DataFrame, out_col: str = "alpha_percentile") -> Da
 
 def alpha_by_symbol(ranked: DataFrame) -> DataFrame:
     """symbol, scored_at, alpha_pct: the mean alpha percentile of the wallets that traded the symbol in a scoring
-    period, each wallet once. ``ranked`` are periodic scores with ``symbols`` and their percentile."""
-    known = ranked.where(F.col("alpha_percentile").isNotNull()).select("scored_at", "alpha_percentile", F.explode("symbols").alias("s"))
+    period, each wallet once; one without a name counts nowhere. ``ranked`` are periodic scores with ``symbols`` and their percentile."""
+    known = ranked.dropna(subset=[*KEYS, "period_start", "alpha_percentile"]).select("scored_at", "alpha_percentile", F.explode("symbols").alias("s"))
     g = known.groupBy(F.col("s.symbol").alias("symbol"), "scored_at").agg(
         F.sum(F.col("alpha_percentile").cast("decimal(20,12)")).alias("_s"), F.count(F.lit(1)).alias("_n"))
     return g.select("symbol", "scored_at", (F.col("_s").cast("double") / F.col("_n")).alias("alpha_pct"))
