@@ -319,7 +319,7 @@ def brute_cosines(texts):
     norm = lambda c: np.sqrt(sum((v * idf(w)) ** 2 for w, v in c.items()))
     out = {}
     for k, c in terms.items():
-        best = (0, 0, None)
+        best = (0, 1, None)
         for i, name, x, _ in templates():
             d = Counter(re.findall(TERM, x.lower()))
             cos = round(float(sum(v * d[w] * idf(w) ** 2 for w, v in c.items()) / (norm(c) * norm(d))), 6) if c else 0
