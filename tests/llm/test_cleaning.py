@@ -391,3 +391,41 @@ def test_every_close_pair_is_linked(spark):
     same = lambda a, b: sum(x == y for x, y in zip(a[LEADING:], b[LEADING:], strict=True))
     want = [(leaf, a, b) for leaf in range(3) for a in range(40) for b in range(a + 1, 40) if same(toks[leaf, a], toks[leaf, b]) >= CLOSE * (5 + leaf)]
     assert got == want and len(want) > 100
+
+
+def noisy(r, start, base, n, share, vocabulary):
+    """n copies of a line with a share of its words replaced."""
+    return sorted({" ".join([start, *[r.choice(vocabulary) if r.random() < share else x for x in base]]) for _ in range(n)})
+
+
+def test_near_copies_are_compared_with_heads_not_with_each_other(stored, monkeypatch):
+    """Pairs tested grow with the copies, not with their square; in tables of numbers names alone do not make lines meet."""
+    from tradewatch.llm import template_lines
+    pairs, save = [], template_lines.saved
+
+    def counted(df, name):
+        out = save(df, name)
+        if name == "template-pairs":
+            pairs.append(out.count())
+        return out
+
+    r = random.Random(3)
+    words = prose(9, 400).split()
+    lines = noisy(r, "The mail of today", words[:30], 250, 0.1, words) + [f"1 2 3 4 {w} 5 6 7 8" for w in dict.fromkeys(words)]
+    data = list(enumerate(lines))
+    monkeypatch.setattr(template_lines, "saved", counted)
+    got = sorted(str((str(x.doc_id), x.n_lines, x.n_recurring, x.dropped)) for x in line_verdicts(stored(rows(*data))).collect())
+    assert got == brute_lines(data)
+    assert 0 < sum(pairs) < 4 * len(data)
+
+
+def test_families_with_many_edits(stored):
+    """Variants near several seeds, near none, and near a higher one that is no seed itself."""
+    r, data = random.Random(4), []
+    for k, (m, share, many) in enumerate([(5, 0.2, 4), (8, 0.3, 6), (12, 0.3, 5), (12, 0.35, 30), (25, 0.35, 12), (3, 0.4, 5)]):
+        vocabulary = [f"w{chr(97 + i)}" for i in range(many - many // 3)] + ["7"] * (many // 3)
+        for start in (f"the {chr(97 + k)} of it", "1 2 3 4"):
+            data += [(len(data) + i, x) for i, x in enumerate(noisy(r, start, [r.choice(vocabulary) for _ in range(m)], 60, share, vocabulary))]
+    data += [(len(data) + i, x + "\n" + y) for i, ((_, x), (_, y)) in enumerate(zip(data[::3], data[1::3], strict=False))]
+    got = sorted(str((str(x.doc_id), x.n_lines, x.n_recurring, x.dropped)) for x in line_verdicts(stored(rows(*data))).collect())
+    assert got == brute_lines(data)

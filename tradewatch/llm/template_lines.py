@@ -36,6 +36,7 @@ LONG = 10
 CLOSE = 0.6  # share of the tokens behind the leading ones that agree with the seed
 BITS = 25  # leaves are looked up in a bitmap of so many address bits; what it lets pass by chance is joined away
 SEEN = 200_000  # bounds memory only: variants a task remembers to have sent
+CELL = ["leaf", "pos", "tok"]
 _DIGIT = regex.compile(rb"[0-9]")
 _FIELD = regex.compile(rb"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*")
 
@@ -129,7 +130,7 @@ def _instances(src: DataFrame, variants: DataFrame, min_docs: int) -> DataFrame:
         F.first("docs").alias("docs"), F.first("toks").alias("toks")), "template-variants")
     left, found = rows, None
     while True:
-        links = _links(left, rows)
+        links = _seed_links(left, rows)
         if links.isEmpty():
             break
         below = links.select("leaf", F.col("variant").alias("head")).distinct()
@@ -146,23 +147,53 @@ def _instances(src: DataFrame, variants: DataFrame, min_docs: int) -> DataFrame:
     return rows.limit(0).select("leaf", "variant", F.col("variant").alias("template")) if found is None else found
 
 
-def _links(left: DataFrame, rows: DataFrame) -> DataFrame:
-    """leaf, variant, head, hw: every variant left with every higher-ranked one it is close to.
+def _ranked(left: DataFrame) -> DataFrame:
+    """leaf, pos, tok, variant, w: the cells in which the variants left meet, and the rank of each.
 
     Variants meet in the cells (position, token) of their leaf behind the leading tokens. Two that agree in k of m
-    positions share one of their m - k + 1 rarest cells each, so only those are joined; no pair is left out. The rank
+    positions share one of their m - k + 1 rarest cells each, so only those are kept. Where all leading tokens are fields,
+    close variants share a cell that is no field: there cells of fields come last, and none is kept. The rank
     is the number of variants met in all cells, so a line that many documents hold weighs as one."""
-    cell = ["leaf", "pos", "tok"]
     m = F.greatest(F.size("toks") - LEADING, F.lit(0))
-    cells = saved(left.select("leaf", "variant", m.alias("m"), F.posexplode(F.slice("toks", LEADING + 1, m)).alias("pos", "tok")), "template-cells")
-    sizes = saved(cells.groupBy(*cell).agg(F.count(F.lit(1)).alias("c")).filter("c > 1"), "template-cell-sizes")
-    cells = saved(cells.join(sizes, cell), "template-shared-cells")  # a cell of one variant is rarer than these
-    own = Window.partitionBy("leaf", "variant")
-    place = F.col("m") - F.count(F.lit(1)).over(own) + F.row_number().over(own.orderBy("c", "pos", "tok"))
-    ranked = cells.select(*cell, "variant", F.sum("c").over(own).alias("w"), place.alias("place"), (F.col("m") - F.ceil(CLOSE * F.col("m")) + 1).alias("rarest"))
-    ranked = saved(ranked.filter("place <= rarest").select(*cell, "variant", "w"), "template-ranked")
-    met = ranked.join(ranked.select(*cell, F.col("variant").alias("head"), F.col("w").alias("hw")), cell)
-    pairs = saved(met.filter("hw > w OR hw = w AND head > variant").select("leaf", "variant", "head", "hw").distinct(), "template-pairs")
+    bare = F.forall(F.slice("toks", 1, LEADING), lambda x: x == FIELD)
+    cells = saved(left.select("leaf", "variant", m.alias("m"), bare.alias("bare"), F.posexplode(F.slice("toks", LEADING + 1, m)).alias("pos", "tok")), "template-cells")
+    sizes = saved(cells.groupBy(*CELL).agg(F.count(F.lit(1)).alias("c")).filter("c > 1"), "template-cell-sizes")
+    cells = saved(cells.join(sizes, CELL), "template-shared-cells")  # a cell of one variant is rarer than these
+    own, field = Window.partitionBy("leaf", "variant"), F.col("bare") & (F.col("tok") == FIELD)
+    place = F.col("m") - F.count(F.lit(1)).over(own) + F.row_number().over(own.orderBy(field, "c", "pos", "tok"))
+    ranked = cells.select(*CELL, "variant", F.sum("c").over(own).alias("w"), place.alias("place"), field.alias("field"),
+                          (F.col("m") - F.ceil(CLOSE * F.col("m")) + 1).alias("rarest"))
+    return saved(ranked.filter("place <= rarest AND NOT field").select(*CELL, "variant", "w"), "template-ranked")
+
+
+def _seed_links(left: DataFrame, rows: DataFrame) -> DataFrame:
+    """leaf, variant, head, hw: the links of the variants left that tell the seeds and who is close to them.
+
+    Every variant is compared with the highest-ranked one, the head, of each of its cells. One that is close to a head is no
+    seed. Only the others, a few in a family of any size, are compared with all in those of their cells that another heads.
+    So no link of a seed is left out; of links between two that are no seeds enough are found to tell that."""
+    ranked = _ranked(left)
+    heads = ranked.groupBy(*CELL).agg(F.count(F.lit(1)).alias("c"), F.max(F.struct("w", "variant")).alias("top")).filter("c > 1")
+    heads = saved(heads.select(*CELL, F.col("top.w").alias("hw"), F.col("top.variant").alias("head")), "template-heads")
+    led = saved(ranked.join(heads, CELL).filter("head != variant"), "template-led")
+    links = _close(led.select("leaf", "variant", "head", "hw"), rows)
+    rest = saved(led.join(links.select("leaf", "variant").distinct(), ["leaf", "variant"], "left_anti").select(*CELL, "variant", "w"), "template-rest")
+    return links.unionByName(_links(left, rows, ranked, rest))
+
+
+def _links(left: DataFrame, rows: DataFrame, ranked: DataFrame | None = None, asked: DataFrame | None = None) -> DataFrame:
+    """leaf, variant, head, hw: every variant left with every higher-ranked one it is close to; with ``asked``
+    only those that meet in its cells, one of the two being the variant asked for."""
+    ranked = _ranked(left) if ranked is None else ranked
+    met = (ranked if asked is None else asked).join(ranked.select(*CELL, F.col("variant").alias("other"), F.col("w").alias("ow")), CELL)
+    up = F.expr("ow > w OR ow = w AND other > variant")
+    lower, higher = F.when(up, F.col("variant")).otherwise(F.col("other")), F.when(up, F.col("other")).otherwise(F.col("variant"))
+    return _close(met.filter("other != variant").select("leaf", lower.alias("variant"), higher.alias("head"), F.greatest("w", "ow").alias("hw")), rows)
+
+
+def _close(met: DataFrame, rows: DataFrame) -> DataFrame:
+    """leaf, variant, head, hw: the pairs that met and are close."""
+    pairs = saved(met.distinct(), "template-pairs")
     toks = rows.select("leaf", "variant", "toks")
     pairs = pairs.join(toks, ["leaf", "variant"]).join(toks.select("leaf", F.col("variant").alias("head"), F.col("toks").alias("ht")), ["leaf", "head"])
     agree = F.zip_with("toks", "ht", lambda x, y: F.when(x == y, x))
