@@ -249,3 +249,72 @@ def test_wallet_summaries_of_a_batch_are_few_files(spark, tmp_path):
         spark.conf.set("spark.sql.shuffle.partitions", old)
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert 1 < len(list((tmp_path / "segments").glob("month=*/*.parquet"))) <= MONTH_PARTS
+
+
+WALLET_ROWS = "wallet long, blockchain string, ts timestamp, event_id string, ret double"
+
+
+def _wallet_stream(spark, tmp_path, **options):
+    """The batch function, its folders, and its last scores beside those of the batch operator."""
+    from tradewatch.operators.wallet import wallet_scores
+    from tradewatch.streaming.wallet_state import wallet_alpha_batch
+    paths = [str(tmp_path / k) for k in ("trades", "segments", "scores")]
+    plain = lambda df: {x.wallet: (x.trade_count, x.wins, x.max_drawdown, x.alpha, x.last_event_id) for x in df.collect()}
+
+    def both(rows, epoch):
+        want = wallet_scores(spark.createDataFrame(rows, WALLET_ROWS), None, options["days"], options["min_trades"])
+        return plain(spark.read.parquet(paths[2]).where(f"batch_id = {epoch}")), plain(want)
+    return wallet_alpha_batch(*paths, **options), both
+
+
+def test_a_batch_needs_no_older_trades_of_days_with_few(spark, tmp_path):
+    """A day with few trades is kept as its trades: a batch that adds to it reads no older trades."""
+    import shutil
+    fn, both = _wallet_stream(spark, tmp_path, days=30, min_trades=1)
+    rows = [(w, "solana", T0 + dt.timedelta(hours=3 * i), f"{i}", ((i * 7 + w) % 5 - 2) / 10) for w in range(3) for i in range(16)]
+    for epoch in range(2):
+        fn(spark.createDataFrame(rows[epoch::2], WALLET_ROWS), epoch)  # both bring trades of the same days
+        for old in (tmp_path / "trades").glob(f"month=*/batch_id={epoch}"):
+            shutil.rmtree(old)
+    got, want = both(rows, 1)
+    assert got == want and len(got) == 3
+
+
+def test_wallet_days_with_many_trades_are_summed_whole(spark, tmp_path):
+    """Days that turn from few trades to many, stay many, come late, or come twice."""
+    import random
+
+    from tradewatch.streaming.wallet_state import UNITS, latest_segments
+    fn, both = _wallet_stream(spark, tmp_path, days=30, min_trades=1, compact_after=20)
+    r = random.Random(7)
+    at = lambda: T0 + dt.timedelta(days=r.randrange(3), minutes=r.randrange(1440))
+    parts = [[(w, "solana", at(), f"{k}-{i}", round(r.uniform(-1, 1), 3)) for w in range(3) for i in range(n)]
+             for k, n in enumerate((2, 5 * UNITS, 3, 4 * UNITS))]
+    parts[2] += [(7, "solana", T0, f"{i // 2}", (i % 4 - 1) / 8) for i in range(2 * UNITS)]  # ids repeat
+    parts[3] += [(None, "solana", T0, "x", 0.5), (8, "solana", T0, "y", None), (9, "solana", T0 + dt.timedelta(hours=1), "z", -0.25)]
+    known = []
+    for epoch in (0, 1, 2, 1, 3, 3):
+        fn(spark.createDataFrame(parts[epoch], WALLET_ROWS), epoch)
+        known += parts[epoch] * (parts[epoch][0] not in known)
+        if epoch < 2 or epoch == 3:
+            got, want = both([x for x in known if x[0] not in (None, 7)], epoch)
+            assert {k: v for k, v in got.items() if k != 7} == want
+    assert got[7][0] == 2 * UNITS and set(got) == {0, 1, 2, 7, 8, 9}
+    state = spark.read.parquet(str(tmp_path / "segments"))
+    assert {x.whole for x in state.select("whole").distinct().collect()} == {0, 1}
+    assert latest_segments(state).groupBy("wallet", "_tb").count().where("count > 1").isEmpty()
+    assert latest_segments(state).agg(F.sum("trade_count")).first()[0] == sum(x[0] is not None for p in parts for x in p)
+
+
+def test_compacting_a_month_keeps_the_other_months(spark, tmp_path):
+    fn, both = _wallet_stream(spark, tmp_path, days=90, min_trades=1, compact_after=3)
+    rows = [(w, "solana", T0 + dt.timedelta(hours=w), f"{w}", 0.1 - w % 2 / 4) for w in range(4)]
+    fn(spark.createDataFrame(rows, WALLET_ROWS), 0)
+    for epoch in range(1, 8):  # the next month is compacted, some of its days are touched again
+        more = [(w, "solana", T0 + dt.timedelta(days=40 + epoch % 3, hours=w), f"{epoch}-{w}", (epoch % 3 - 1) / 10) for w in range(4)]
+        fn(spark.createDataFrame(more, WALLET_ROWS), epoch)
+        rows += more
+    got, want = both(rows, 7)
+    assert got == want and all(v[0] == 8 for v in got.values())
+    files = {p.name: len(list(p.glob("*.parquet"))) for p in (tmp_path / "segments").glob("month=*")}
+    assert len(files) == 2 and max(files.values()) < 7

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tradewatch.functions.columns import ratio
 from tradewatch.operators.alerts import alert_build
+from tradewatch.operators import windows as WN
 from tradewatch.operators.windows import combine_drawdown, distributed_percent_rank, drawdown_segments, max_drawdown, stored
 
 KEYS = ["wallet", "blockchain"]
@@ -80,9 +81,28 @@ def wallet_segments(df: DataFrame, keys, bucket_seconds: int | None) -> DataFram
     return drawdown_segments(df, keys, ["ts", "event_id"], "ret", "ts", bucket_seconds, **_figures())
 
 
-def scores_of_segments(seg: DataFrame, keys, min_trades: int) -> DataFrame:
-    """Summaries to scores: one row per key with alpha and its latest event."""
-    return _scored(combine_drawdown(seg, keys, sums=[n for n, _ in SEGMENT_SUMS], maxima=["scored_at", "_last"]), keys, min_trades)
+def unit_segments(df: DataFrame) -> DataFrame:
+    """Each trade as the summary of a segment of its own, with the ``_tb`` that it names; needs no shuffle."""
+    return WN.unit_summaries(df, [*KEYS, "_tb"], "ret", [(n, c()) for n, c in SEGMENT_SUMS], [("scored_at", F.col("ts")), ("_last", F.struct("ts", "event_id"))])
+
+
+def fold_units(units: DataFrame, keys) -> DataFrame:
+    """``unit_segments`` of a key to the summary that ``wallet_segments`` gives."""
+    return WN.fold_units(units, keys, ["_last"], [n for n, _ in SEGMENT_SUMS], ["scored_at", "_last"])
+
+
+def scores_of_units(units: DataFrame, keys, min_trades: int, scored_at) -> DataFrame:
+    """``unit_segments`` to scores as of ``scored_at``; a key's units meet in one window."""
+    d = units.select(*keys, "_total", "wins", "_ret_sum", F.col("_last.ts").alias("ts"), F.col("_last.event_id").alias("event_id"))
+    sums = [("trade_count", F.lit(1).cast("long")), ("wins", F.col("wins")), ("_ret_sum", F.col("_ret_sum"))]
+    s = WN.drawdown_in_windows(d, keys, ["ts", "event_id"], "_total", sums=sums, maxima=[("_last", F.struct("ts", "event_id"))])
+    return _scored(s.withColumn("scored_at", F.lit(scored_at)), keys, min_trades)
+
+
+def scores_of_segments(seg: DataFrame, keys, min_trades: int, scored_at, order=("_tb",)) -> DataFrame:
+    """Summaries, in ``order``, to scores as of ``scored_at``: one row per key with alpha and its latest event."""
+    s = combine_drawdown(seg, keys, sums=[n for n, _ in SEGMENT_SUMS], maxima=["_last"], order=order)
+    return _scored(s.withColumn("scored_at", F.lit(scored_at)), keys, min_trades)
 
 
 def _scored(s: DataFrame, keys, min_trades: int, more=()) -> DataFrame:

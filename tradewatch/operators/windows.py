@@ -167,13 +167,18 @@ def max_drawdown(df: DataFrame, keys, order_cols, value_col: str, ts_col: str, b
     sizes = df.groupBy(key_class.alias("c")).agg(F.count(F.lit(1)).alias("n"))
     large = [r["c"] for r in sizes.where(F.col("n") > KEY_ROWS).collect()]  # KEY_CLASSES at most
     small = df.where(~key_class.isin(large)) if large else df
-    one = _summaries(small.withColumn("_v", F.col(value_col).cast(_DEC)), keys, order_cols, sums, maxima, sets)
-    zero = F.lit(0).cast(_DEC)
-    out = one.select(*keys, F.when(F.col("_values") > 0, F.greatest("_inner", zero - F.col("_low"), zero)).cast("double").alias(out_col),
-                     *[n for x in names for n in x])
+    out = drawdown_in_windows(small, keys, order_cols, value_col, out_col, sums, maxima, sets)
     return out.unionByName(segmented(df.where(key_class.isin(large)))) if large else out
 
 
+def drawdown_in_windows(df: DataFrame, keys, order_cols, value_col: str, out_col: str = "max_drawdown", sums=(), maxima=(), sets=()) -> DataFrame:
+    """``max_drawdown`` of keys that are small: a window for each."""
+    one = _summaries(df.withColumn("_v", F.col(value_col).cast(_DEC)), list(keys), list(order_cols), sums, maxima, sets)
+    zero = F.lit(0).cast(_DEC)
+    return one.select(*keys, F.when(F.col("_values") > 0, F.greatest("_inner", zero - F.col("_low"), zero)).cast("double").alias(out_col),
+                      *[n for x in (sums, maxima, sets) for n, _ in x])
+
+
 _DEC = "decimal(38,12)"
 KEY_CLASSES = 1 << 16  # hash classes of keys
 KEY_ROWS = 250_000  # a class with more rows may hold a large key; its keys are cut into segments
@@ -202,17 +207,32 @@ def _summaries(d: DataFrame, keys, order_cols, sums, maxima, sets) -> DataFrame:
         *[F.sum(c).alias(n) for n, c in sums], *[F.max(c).alias(n) for n, c in maxima], *[F.collect_set(c).alias(n) for n, c in sets])
 
 
-def combine_drawdown(seg: DataFrame, keys, out_col: str = "max_drawdown", sums=(), maxima=(), sets=()) -> DataFrame:
+def unit_summaries(df: DataFrame, keys, value_col: str, sums=(), maxima=()) -> DataFrame:
+    """Each row as the summary of a segment of its own; its lowest and highest running sum are its total, so
+    ``drawdown_segments``' columns for them stay null."""
+    v, none = F.col(value_col).cast(_DEC), F.lit(None).cast(_DEC)
+    return df.select(*keys, none.alias("_inner"), none.alias("_low"), none.alias("_high"), v.alias("_total"),
+                     v.isNotNull().cast("long").alias("_values"), *[c.alias(n) for n, c in [*sums, *maxima]])
+
+
+def fold_units(units: DataFrame, keys, order_cols, sums=(), maxima=()) -> DataFrame:
+    """``unit_summaries`` of a key, a segment's say, to one summary."""
+    own = [[(n, F.col(n)) for n in x] for x in (sums, maxima)]
+    return _summaries(units.withColumn("_v", F.col("_total")), list(keys), list(order_cols), *own, ())
+
+
+def combine_drawdown(seg: DataFrame, keys, out_col: str = "max_drawdown", sums=(), maxima=(), sets=(), order=("_tb",)) -> DataFrame:
     """Summaries of a key's buckets, in time order, to its drawdown and totals."""
     keys, dec = list(keys), _DEC
-    wb = Window.partitionBy(*keys).orderBy("_tb")
+    wb = Window.partitionBy(*keys).orderBy(*order)
     before = wb.rowsBetween(Window.unboundedPreceding, -1)
+    low, high = [F.coalesce(c, "_total") for c in ("_low", "_high")]
     seg = seg.withColumn("_offset", F.coalesce(F.sum("_total").over(before), F.lit(0).cast(dec)))
     # running peak before the bucket: max(0, max over earlier buckets of offset + high)
     seg = seg.withColumn("_peak_before", F.greatest(F.lit(0).cast(dec),
-                                                    F.coalesce(F.max(F.col("_offset") + F.col("_high")).over(before),
+                                                    F.coalesce(F.max(F.col("_offset") + high).over(before),
                                                                F.lit(0).cast(dec))))
-    seg = seg.withColumn("_dd", F.greatest(F.col("_inner"), F.col("_peak_before") - F.col("_offset") - F.col("_low"),
+    seg = seg.withColumn("_dd", F.greatest(F.col("_inner"), F.col("_peak_before") - F.col("_offset") - low,
                                            F.lit(0).cast(dec)))
     return seg.groupBy(*keys).agg(
         F.when(F.sum("_values") > 0, F.max("_dd")).cast("double").alias(out_col),

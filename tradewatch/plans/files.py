@@ -32,6 +32,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """The names in a folder; none if it is not there."""
+    fs, p = _fs(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+
+
 def signature(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
     """Name, size and change time of a table's files: differs as soon as its data does."""
     fs, p = _fs(spark, path)
